@@ -7,6 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.decontaminate import contamination
+from tagloom.llm.extract import extract
+from tagloom.llm.language import identify, learn
+from tagloom.llm.pack import pack
+from tagloom.llm.pii import personal_data
+from tagloom.llm.scratch import crc_of
 from tagloom.llm.url_filter import apply_rules
 
 #: Lower-casing of A-Z alone, in SQL.
@@ -48,5 +53,30 @@ r(h, s, v) AS (VALUES {", ".join(map(str, RULES))}),
 f AS (SELECT rid, arg_max(h || s, length(h || s)) rule, arg_max(v, length(h || s)) v FROM p, r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY rid)
 SELECT page_id, host, path, rule, coalesce(v, 'allow') verdict FROM p LEFT JOIN f USING (rid)"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_url_filter": op4_url_filter, "op9_decontamination": op9_decontamination}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_of("doc_id") % 4 == 2)
+    found = identify(docs.select("doc_id", "held_out", "text"), learn(docs.filter(~docs.held_out)))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def tokenizer_path() -> str:
+    """The vocabulary of the packing query, from the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}

@@ -60,6 +60,11 @@ class Words:
     end: np.ndarray
     first: np.ndarray
     lower: np.ndarray
+    sums: np.ndarray
+
+    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of other stretches of bytes, in the same measure."""
+        return mix((self.sums[end] - self.sums[start]) * _power_tables(len(self.lower) + 1)[1][start])
 
     def text(self, i: int) -> bytes:
         return self.lower[self.start[i] : self.end[i]].tobytes()
@@ -78,8 +83,8 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray) -> Words:
-    """Lower-case A-Z and take the words between parting bytes; no word goes beyond its text."""
+def words(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray, fold: bool = True) -> Words:
+    """Lower-case A-Z (if fold) and take the words between parting bytes; no word goes beyond its text."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = ~parting[data]
@@ -87,11 +92,11 @@ def words(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray) -> Words:
     edge[offsets] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
     end = np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
-    lower = LOWER[data]
+    lower = LOWER[data] if fold else data
     up, down = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[lower] * up[:n], out=sums[1:])
-    return Words(mix((sums[end] - sums[start]) * down[start]), start, end, np.searchsorted(start, offsets), lower)
+    return Words(mix((sums[end] - sums[start]) * down[start]), start, end, np.searchsorted(start, offsets), lower, sums)
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
