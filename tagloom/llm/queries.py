@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.llm.decontaminate import contamination
 from tagloom.llm.extract import extract
 from tagloom.llm.language import identify, learn
+from tagloom.llm import ngram
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
 from tagloom.llm.scratch import crc_of
@@ -78,5 +80,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_of("doc_id") % 5 == 1)
+    model = ngram.count(docs.filter(~docs.held_out))
+    found = ngram.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_language_model": op2_language_model, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}

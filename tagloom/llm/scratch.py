@@ -36,11 +36,6 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a table's size, from its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
 def crc_of(column: str):
     """crc32 of a key as text; a null key counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
