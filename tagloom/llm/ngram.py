@@ -31,7 +31,7 @@ from tagloom.llm.scratch import new_folder
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, words
 
 END, BEGIN, _PAIR = np.uint64(0x517CC1B727220A95), np.uint64(0x2545F4914F6CDD1D), np.uint64(0xA0761D6478BD642F)
-FLUSH_TOKENS, SHARD_TOKENS, MOST_SHARDS, HEAVY, HEAVY_PART = 1 << 21, 1 << 21, 4096, 4096, 0.001
+FLUSH_TOKENS, SHARD_TOKENS, MOST_SHARDS, HEAVY, HEAVY_PART = 1 << 20, 1 << 21, 4096, 4096, 0.001
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -312,7 +312,7 @@ def _score(model, text: str, names: list[str]):
         d, e = m.pair_discounts, m.word_discounts
         for batch in batches:
             texts, cols = batch.column(batch.schema.get_field_index(text)), [[], [], [], []]
-            for lo, hi in blocks(texts, 1 << 21):
+            for lo, hi in blocks(texts, 1 << 20):
                 now, before, first = tokens(texts.slice(lo, hi - lo))
                 w, inv = np.unique(now, return_inverse=True)
                 b, back = np.unique(before, return_inverse=True)
