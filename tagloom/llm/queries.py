@@ -11,6 +11,8 @@ from tagloom.llm.decontaminate import contamination
 from tagloom.llm.extract import extract
 from tagloom.llm.language import identify, learn
 from tagloom.llm import ngram
+from tagloom.llm.line_dedup import remove_repeated_lines
+from tagloom.llm.near_duplicates import similar_groups
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
 from tagloom.llm.scratch import crc_of
@@ -87,5 +89,36 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_language_model": op2_language_model, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
-ORACLES: dict[str, str] = {"op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+_OP3_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({LOW.format("text")}, '[^\x20\x09-\x0D]+'), []) w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, p, p + 3) END g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+l AS (SELECT a, b FROM (SELECT x.doc_id a, y.doc_id b, count(*) c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) n_shingles, least(d.doc_id, min(r.b)) component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id"""
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+_OP1_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, string_split(text, chr(10)) ls FROM documents),
+p AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) i FROM d),
+w AS (SELECT doc_id * 1000000 + i l, regexp_extract_all({LOW.format("ls[i]")}, '[^\x20\x09-\x0D]+') w FROM p),
+s AS (SELECT DISTINCT l, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, q, q + 4) END g FROM (SELECT l, w, unnest(range(1, greatest(len(w) - 3, 2))) q FROM w WHERE len(w) >= 3)),
+n AS (SELECT l, count(*) n FROM s GROUP BY l),
+k AS (SELECT a, b FROM (SELECT x.l a, y.l b, count(*) c FROM s x JOIN s y ON x.g = y.g AND x.l <> y.l GROUP BY ALL) JOIN n p ON p.l = a JOIN n q ON q.l = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+r AS (SELECT a, b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a),
+g AS (SELECT a l FROM r GROUP BY a HAVING min(b) < a)
+SELECT d.doc_id, CAST(CASE WHEN text <> '' THEN len(ls) ELSE 0 END AS BIGINT) n_lines, count(g.l) n_removed,
+CASE WHEN count(g.l) = 0 THEN any_value(text) ELSE coalesce(string_agg(ls[i], chr(10) ORDER BY i) FILTER (g.l IS NULL), '') END AS text
+FROM d JOIN p USING (doc_id, ls) LEFT JOIN g ON g.l = doc_id * 1000000 + i GROUP BY d.doc_id, ls, d.text"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup, "op2_language_model": op2_language_model, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
+ORACLES: dict[str, str] = {"op1_line_dedup": _OP1_SQL, "op3_ngram_jaccard": _OP3_SQL, "op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}
