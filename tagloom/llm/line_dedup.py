@@ -16,7 +16,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tagloom.llm.scratch import saved
 from tagloom.llm.setjoin import SetJoin, components
@@ -42,13 +41,14 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     """key, text hash and numbers (from 0) of the lines that go, one row for each document that loses any."""
     join = SetJoin(size, percent, True, least_words)
     rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    lines = saved(join.items(rows, ["k", "h"], "text").filter("n > 0"), "lines")
-    groups = components(join.links(rows.select("text")))
+    scan = join.scan(rows, ["k", "h"], "text")
+    lines = join.items(scan).filter("n > 0")
+    groups = components(join.links(rows.select("text"), scan))
+    many = lines.groupBy("digest").count().filter("count > 1").select("digest").join(groups.withColumnRenamed("node", "digest"), "digest", "full").withColumn("grp", F.coalesce("grp", "digest"))
     place = F.struct(F.col("k").isNull().alias("last"), "k", "h", "part")
-    classes = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("lines")).join(groups.withColumnRenamed("node", "digest"), "digest", "left")
-    many = classes.filter("lines > 1 OR grp IS NOT NULL").withColumn("grp", F.coalesce("grp", "digest"))
-    first = many.withColumn("first", F.min("first").over(Window.partitionBy("grp"))).select("digest", "first")
-    return lines.join(first, "digest").filter(F.col("first") < place).groupBy("k", "h").agg(F.collect_set("part").alias("gone"))
+    some = saved(lines.join(many, "digest").select("grp", "k", "h", "part"), "lines")
+    first = some.groupBy("grp").agg(F.min(place).alias("first"))
+    return some.join(first, "grp").filter(F.col("first") < place).groupBy("k", "h").agg(F.collect_set("part").alias("gone"))
 
 
 def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, least_words: int = 3) -> DataFrame:

@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.llm.scratch import saved
 from tagloom.llm.setjoin import SetJoin, components
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """key, n_shingles and component_id (the smallest key of its group) of each row."""
     join = SetJoin(size, percent)
-    items = saved(join.items(docs, [key], text), "items")
-    groups = components(join.links(docs.select(F.col(text).alias("text"))))
+    scan = join.scan(docs, [key], text)
+    items = join.items(scan)
+    groups = components(join.links(docs.select(F.col(text).alias("text")), scan))
     classes = items.filter("n > 0").groupBy("digest").agg(F.min(key).alias("low")).join(groups.withColumnRenamed("node", "digest"), "digest", "left")
     classes = classes.withColumn("grp", F.coalesce("grp", "digest")).withColumn("low", F.min("low").over(Window.partitionBy("grp"))).select("digest", "low")
     found = items.join(classes, "digest", "left")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 20, 8192, 1 << 18, 1 << 24
+FLUSH, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 20, 8192, 1 << 20, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -114,31 +114,50 @@ class SetJoin:
         """Shingles that similar sets of n and m share at least."""
         return -(-self.percent * (n + m) // (100 + self.percent))
 
-    def _frequent(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            tok, c = np.unique(np.concatenate(held), return_counts=True)
-            n = sum(map(len, held))
-            held.clear()
-            often = c > 2
-            return _table("tok n", pa.array([None, *tok[often].view(np.int64).tolist()], pa.int64()), pa.array([n, *c[often].tolist()], pa.int64()))
-
-        seen: set[int] = set()
-        for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
-            n = np.diff(s.at)
-            new = np.array([d not in seen for d in s.digest.tolist()], bool) & (n > 0) if len(n) else np.zeros(0, bool)
-            if len(seen) < FLUSH:
-                seen.update(s.digest.tolist())
-            held.append(s.tok[np.repeat(new, n)])
-            if sum(map(len, held)) >= FLUSH:
+    def scan(self, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+        """One reading of the texts, saved: a row for each item (keys, part: line number or 0, n: size, digest), and rows (tok, n) of shingles
+        that come more than once among a task's last million or two, with tok null for the number of all."""
+        kinds = [docs.schema[k].dataType.simpleString() for k in keys]
+        names = [f"k{i}" for i in range(len(keys))] + ["part", "n", "digest", "tok", "often"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[np.ndarray] = []
+            seen: set[int] = set()
+            types: list[pa.DataType] = []
+
+            def flush() -> pa.RecordBatch:
+                tok, c = np.unique(np.concatenate(held), return_counts=True)
+                total = sum(map(len, held))
+                held.clear()
+                more = c > 1
+                tok = pa.array([None, *tok[more].view(np.int64).tolist()], pa.int64())
+                none = [pa.nulls(len(tok), t) for t in (*types, pa.int64())]
+                return pa.RecordBatch.from_arrays([*none, pa.array([total, *c[more].tolist()], pa.int64()), pa.nulls(len(tok), pa.int64()), tok, pa.array([True] * len(tok))], names)
+
+            for part, s in _each(batches, self.size, self.by_line, len(keys), self.least_words):
+                types = [part.column(i).type for i in range(len(keys))]
+                n = np.diff(s.at)
+                at = pa.array(s.row.astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), pa.nulls(len(n), pa.int64()), pa.array([False] * len(n), pa.bool_())], names)
+                digests = s.digest.tolist()
+                new = np.fromiter((d not in seen for d in digests), bool, len(digests))
+                if len(seen) < FLUSH >> 2:
+                    seen.update(digests)
+                held.append(s.tok[np.repeat(new, n)])
+                if sum(map(len, held)) >= 2 * FLUSH:
+                    yield flush()
+            if held:
                 yield flush()
-        if held:
-            yield flush()
 
-    def frequent(self, texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+        schema = ", ".join([*(f"k{i} {k}" for i, k in enumerate(kinds)), "part long, n long, digest long, tok long, often boolean"])
+        return saved(docs.select(*keys, text).mapInArrow(run, schema), "scan").toDF(*keys, "part", "n", "digest", "tok", "often")
+
+    def items(self, scan: DataFrame) -> DataFrame:
+        return scan.filter("NOT often").drop("tok", "often")
+
+    def frequent(self, scan: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
         """Frequent shingles, sorted, with the power of two of their counts; and the number of all."""
-        counts = saved(texts.mapInArrow(self._frequent, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n")), "frequent")
+        counts = saved(scan.filter("often").groupBy("tok").agg(F.sum("n").alias("n")), "frequent")
         total = counts.filter("tok IS NULL").agg(F.sum("n")).first()[0] or 0
         powers = counts.filter("tok IS NOT NULL").groupBy(F.length(F.bin("n")).alias("p")).count().orderBy(F.desc("p")).collect()
         least, room = 64, FREQUENT
@@ -254,8 +273,9 @@ class SetJoin:
                             a.append(q[x])
                             b.append(members[y])
             i, j = np.concatenate(a), np.concatenate(b)
-            swap = digest[i] > digest[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            if open_groups:
+                swap = digest[i] > digest[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
             return pa.Table.from_batches([_table("a b n m pa pb", *(pa.array(v) for v in (digest[i], digest[j], n[i], n[j], pos[i], pos[j])))])
 
         return run
@@ -263,9 +283,12 @@ class SetJoin:
     def _maybe(self, runs: DataFrame, open_groups: bool) -> DataFrame:
         """Pairs that can still reach the overlap, by what their prefixes share and what is left after the last shared place."""
         pairs = runs.groupBy("shard").applyInArrow(self._pairs(open_groups), "a long, b long, n long, m long, pa long, pb long")
-        bound = pairs.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+        bound = pairs.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.min("pa").alias("fa"), F.min("pb").alias("fb"))
         need = F.ceil(F.lit(self.percent) * (F.col("n") + F.col("m")) / (100 + self.percent) - 1e-9)
-        return bound.filter(F.col("c") + F.least(F.col("n") - F.col("pa"), F.col("m") - F.col("pb")) - 1 >= need).select("a", "b")
+        kept = bound.filter(F.col("c") + F.least(F.col("n") - F.col("pa"), F.col("m") - F.col("pb")) - 1 >= need)
+        if open_groups:
+            return kept.select("a", "b", "fa", "fb")
+        return kept.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b"))  # one leader is enough to begin with
 
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +310,10 @@ class SetJoin:
                 ok.append(100 * both >= self.percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def links(self, texts: DataFrame) -> DataFrame:
+    def links(self, texts: DataFrame, scan: DataFrame) -> DataFrame:
         """Links (a, b) between digests of classes, enough to connect all that are similar through others. texts: one column."""
         spark = texts.sparkSession
-        known, powers, total = self.frequent(texts)
+        known, powers, total = self.frequent(scan)
         shards = int(min(MOST_SHARDS, max(8, total * (100 - self.percent) // 100 // SHARD_ENTRIES + 1)))
         prefixes = texts.mapInArrow(self._prefixes(spark.sparkContext.broadcast((known, powers)), shards), "shard int, tok binary, digest binary, n binary, pos binary")
         kind = "shard int, tok long, digest long, n long, pos long"
@@ -298,29 +321,33 @@ class SetJoin:
         leaders = saved(self._maybe(runs.withColumn("grp", F.col("digest")), False), "pairs")
         bitmap = spark.sparkContext.broadcast(bitmap_of(runs.select("digest")))
         sets = saved(texts.mapInArrow(self._whole(bitmap), "digest long, toks binary").join(runs.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
-        first = saved(self._verified(leaders, sets), "links")
-        groups = components(first)
+        links = saved(self._verified(leaders, sets), "links")
+        groups = saved(components(links), "groups")
         grouped = runs.join(groups.withColumnRenamed("node", "digest"), "digest", "left").withColumn("grp", F.coalesce("grp", "digest"))
-        second = saved(self._verified(self._maybe(grouped, True), sets), "links")
-        return first.union(second)
+        pairs = saved(self._maybe(grouped, True), "pairs")
+        for turn in range(4):  # for each query the most central other, one of each query and group, then all still open: most groups merge before
+            every = turn == 3
+            ends = [groups.toDF(x, f"g{x}") for x in ("a", "b")]
+            left = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").withColumns({"ga": F.coalesce("ga", "a"), "gb": F.coalesce("gb", "b")}).filter("ga <> gb")
+            if turn < 2:
+                left = left.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b")).unionByName(left.groupBy("b").agg(F.min_by("a", F.struct("fa", "a")).alias("a"))).distinct()
+            elif turn == 2:
+                any_of = F.xxhash64("a", "b")
+                left = left.groupBy("a", "gb").agg(F.max_by("b", any_of).alias("b")).select("a", "b").union(left.groupBy("b", "ga").agg(F.max_by("a", any_of).alias("a")).select("a", "b")).distinct()
+            new = saved(self._verified(left.select("a", "b"), sets), "links")
+            if every or not new.limit(1).count():
+                links = links.union(new)
+                if every:
+                    return links
+                continue
+            links = links.union(new)
+            groups = saved(components(links), "groups")
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         x = sets.select(F.col("digest").alias("a"), F.col("toks").alias("x"))
         y = sets.select(F.col("digest").alias("b"), F.col("toks").alias("y"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(self._verify, "a long, b long")
 
-    def items(self, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-        """A row for each item: the keys, its part (line number, or 0), size and digest."""
-        kinds = [docs.schema[k].dataType.simpleString() for k in keys]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, s in _each(batches, self.size, self.by_line, len(keys), self.least_words):
-                at = pa.array(s.row.astype(np.int64))
-                yield _table(" ".join([f"k{i}" for i in range(len(keys))] + ["part", "n", "digest"]), *(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(np.diff(s.at)), _int64(s.digest))
-
-        rows = docs.select(*keys, text).mapInArrow(run, ", ".join([*(f"k{i} {k}" for i, k in enumerate(kinds)), "part long", "n long", "digest long"]))
-        return rows.toDF(*keys, "part", "n", "digest")
-
 
 def bitmap_of(digests: DataFrame) -> bytes:
     """A bitmap of fixed size with the place of each digest set; gathered in slices on the executors."""
