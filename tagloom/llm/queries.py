@@ -13,6 +13,7 @@ from tagloom.llm.language import identify, learn
 from tagloom.llm import ngram
 from tagloom.llm.line_dedup import remove_repeated_lines
 from tagloom.llm.near_duplicates import similar_groups
+from tagloom.llm.neighbours import nearest
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
 from tagloom.llm.scratch import crc_of
@@ -120,5 +121,9 @@ CASE WHEN count(g.l) = 0 THEN any_value(text) ELSE coalesce(string_agg(ls[i], ch
 FROM d JOIN p USING (doc_id, ls) LEFT JOIN g ON g.l = doc_id * 1000000 + i GROUP BY d.doc_id, ls, d.text"""
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup, "op2_language_model": op2_language_model, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup, "op2_language_model": op2_language_model, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
 ORACLES: dict[str, str] = {"op1_line_dedup": _OP1_SQL, "op3_ngram_jaccard": _OP3_SQL, "op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}
