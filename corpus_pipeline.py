@@ -17,27 +17,32 @@ from tagloom.llm.line_dedup import remove_repeated_lines
 from tagloom.llm.near_duplicates import one_of_each
 from tagloom.llm.pack import pack
 from tagloom.llm.queries import tokenizer_path
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import bounded_batches, saved
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return reject_unknown(docs, learn(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     kept = remove_repeated_lines(docs).filter((F.col("n_removed") == 0) | (F.trim("text") != ""))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return pack(docs, tokenizer_path())
 
 

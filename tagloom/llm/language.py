@@ -98,14 +98,14 @@ def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], passes: int = 4,
     data = []
     for lang, mark, idx, cnt in rows:
         x = np.log1p(cnt) * idf[idx]
-        data.append((langs.index(lang), mark, idx, (x / max(math.sqrt(float(x @ x)), 1e-12)).astype(np.float64)))
+        data.append((langs.index(lang), mark, idx, (x / max(math.sqrt(float(x @ x)), 1e-12)).astype(np.float32)))
     held = [d for d in data if d[1] % 5 == 0] if len(data) >= 50 else data
     taught = [d for d in data if d[1] % 5] if len(data) >= 50 else data
     k = len(langs)
     z, n, w = (np.zeros((FEATURES + 1, k)) for _ in range(3))
     for _ in range(passes):
         for y, _, idx, x in taught:
-            i, v = np.append(idx, FEATURES), np.append(x, 1.0)  # the last is the bias
+            i, v = np.append(idx.astype(np.int64), FEATURES), np.append(x, 1.0)  # the last is the bias
             zi, ni = z[i], n[i]
             wi = np.where(np.abs(zi) > l1, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2), 0.0)
             p = _softmax(v @ wi)
@@ -122,7 +122,7 @@ def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], passes: int = 4,
     return model
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 4000) -> LanguageModel | None:
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 3000) -> LanguageModel | None:
     """Train on labelled rows; rows without language or text are left out."""
     mark = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(5)), F.lit(1 << 30))
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), mark.alias("mark"))
@@ -132,7 +132,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     share = sample_rows / len(n)
     most = F.create_map(*(x for k, v in n.items() for x in (F.lit(k), F.lit(int(min(1.0, share / v) * (1 << 30))))))
     got = rows.filter(F.col("mark") < F.try_element_at(most, F.col("lang"))).select("lang", "text", "mark").mapInArrow(_features, "lang string, mark long, idx binary, cnt binary").toPandas()
-    return train([(a, int(b), np.frombuffer(c, np.uint16).astype(np.int64), np.frombuffer(d, np.float32)) for a, b, c, d in got.itertuples(index=False)])
+    return train([(a, int(b), np.frombuffer(c, np.uint16), np.frombuffer(d, np.float32)) for a, b, c, d in got.itertuples(index=False)])
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -16,7 +16,7 @@ from tagloom.llm.near_duplicates import similar_groups
 from tagloom.llm.neighbours import nearest
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
-from tagloom.llm.scratch import crc_of
+from tagloom.llm.scratch import bounded_batches, crc_of
 from tagloom.llm.url_filter import apply_rules
 
 #: Lower-casing of A-Z alone, in SQL.
@@ -24,6 +24,7 @@ LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -39,3 +39,9 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 def crc_of(column: str):
     """crc32 of a key as text; a null key counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python workers a few MB of texts at a time, however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 20, 8192, 1 << 20, 1 << 24
+FLUSH, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -141,10 +141,10 @@ class SetJoin:
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), pa.nulls(len(n), pa.int64()), pa.array([False] * len(n), pa.bool_())], names)
                 digests = s.digest.tolist()
                 new = np.fromiter((d not in seen for d in digests), bool, len(digests))
-                if len(seen) < FLUSH >> 2:
+                if len(seen) < FLUSH >> 1:
                     seen.update(digests)
                 held.append(s.tok[np.repeat(new, n)])
-                if sum(map(len, held)) >= 2 * FLUSH:
+                if sum(map(len, held)) > 2 * FLUSH:
                     yield flush()
             if held:
                 yield flush()
@@ -292,7 +292,7 @@ class SetJoin:
 
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = np.frombuffer(bitmap.value, bool)
+            bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).view(bool)
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
                 want = bits[(s.digest % np.uint64(BITMAP)).astype(np.int64)] & (np.diff(s.at) > 0)
                 want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
@@ -365,10 +365,7 @@ def bitmap_of(digests: DataFrame) -> bytes:
         return pa.Table.from_batches([_table("part bits", table["part"].combine_chunks().slice(0, 1), pa.array([bits.tobytes()], pa.binary()))])
 
     got = digests.mapInArrow(mark, "part int, bits binary").groupBy("part").applyInArrow(either, "part int, bits binary").collect()
-    out = np.zeros(BITMAP, bool)
-    for r in got:
-        out[r.part * wide : (r.part + 1) * wide] = np.unpackbits(np.frombuffer(r.bits, np.uint8))
-    return out.tobytes()
+    return b"".join(bytes(r.bits) for r in sorted(got, key=lambda r: r.part)) or bytes(BITMAP // 8)
 
 
 def components(links: DataFrame) -> DataFrame:
