@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
+FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -83,7 +83,7 @@ def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) ->
 
 def _each(batches: Iterator[pa.RecordBatch], size: int, by_line: bool, text: int = 0, least_words: int = 1) -> Iterator[tuple[pa.RecordBatch, Sets]]:
     for batch in batches:
-        for lo, hi in blocks(batch.column(text), 1 << 20):
+        for lo, hi in blocks(batch.column(text), BLOCK):
             part = batch.slice(lo, hi - lo)
             yield part, sets_of(part.column(text), size, by_line, least_words)
 
@@ -122,7 +122,7 @@ class SetJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
-            seen: set[int] = set()
+            seen = np.zeros(0, np.uint64)
             types: list[pa.DataType] = []
 
             def flush() -> pa.RecordBatch:
@@ -139,10 +139,9 @@ class SetJoin:
                 n = np.diff(s.at)
                 at = pa.array(s.row.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), pa.nulls(len(n), pa.int64()), pa.array([False] * len(n), pa.bool_())], names)
-                digests = s.digest.tolist()
-                new = np.fromiter((d not in seen for d in digests), bool, len(digests))
-                if len(seen) < FLUSH >> 1:
-                    seen.update(digests)
+                new = ~np.isin(s.digest, seen)
+                if len(seen) < FLUSH >> 2:
+                    seen = np.union1d(seen, s.digest)
                 held.append(s.tok[np.repeat(new, n)])
                 if sum(map(len, held)) > 2 * FLUSH:
                     yield flush()
@@ -205,7 +204,7 @@ class SetJoin:
                 if keep.any():
                     held.append((s.tok[order][keep], s.digest[item[keep]], n[item[keep]], pos[keep]))
                     count += int(keep.sum())
-                if count >= FLUSH:
+                if count >= FLUSH >> 1:
                     yield flush()
                     count = 0
             if held:
@@ -292,9 +291,10 @@ class SetJoin:
 
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)).view(bool)
+            bits = np.frombuffer(bitmap.value, np.uint8)
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
-                want = bits[(s.digest % np.uint64(BITMAP)).astype(np.int64)] & (np.diff(s.at) > 0)
+                place = (s.digest % np.uint64(BITMAP)).astype(np.int64)
+                want = ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0) & (np.diff(s.at) > 0)
                 want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
                 at = np.flatnonzero(want)
                 yield _table("digest toks", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()))
