@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
+FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
