@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 20, 8192, 1 << 19, 1 << 24
+FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 18, 8192, 1 << 19, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -236,9 +236,11 @@ class SetJoin:
             if k > 2048:  # looking for partners would cost more than keeping the run
                 keep[x] = True
                 continue
-            f = self._fits(n[x, None], pos[x, None], n[None, x], pos[None, x])
-            np.fill_diagonal(f, False)
-            keep[x] = f.any(1)
+            for lo in range(a, a + k, 128):
+                y = slice(lo, min(lo + 128, a + k))
+                f = self._fits(n[y, None], pos[y, None], n[None, x], pos[None, x])
+                f[np.arange(y.stop - lo), np.arange(lo - a, y.stop - a)] = False
+                keep[y] = f.any(1)
         s = np.full(int(keep.sum()), table["shard"][0].as_py(), np.int32)
         return pa.Table.from_batches([_table("shard tok digest n pos", pa.array(s), _int64(tok[keep]), _int64(digest[keep]), _int64(n[keep]), _int64(pos[keep]))])
 
@@ -266,8 +268,8 @@ class SetJoin:
                         least_n, reach = np.maximum(small, self.least(n[queries])), (n[members] - pos[members]).max()
                         opens = (most >= self.least(n[queries])) & (n[queries] >= self.least(small)) & (np.minimum(n[queries] - pos[queries], reach) >= self.overlap(n[queries], least_n))
                         queries = queries[opens]
-                        for at in range(0, len(queries), 1024):
-                            q = queries[at : at + 1024]
+                        for at in range(0, len(queries), 128):
+                            q = queries[at : at + 128]
                             x, y = np.nonzero(self._fits(n[q][:, None], pos[q][:, None], n[members][None], pos[members][None]))
                             a.append(q[x])
                             b.append(members[y])
