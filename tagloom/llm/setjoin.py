@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 18, 8192, 1 << 19, 1 << 24
+FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 18, 1 << 30, 1 << 19, 1 << 24
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -182,8 +182,9 @@ class SetJoin:
                 order = np.argsort(tok)  # and so by shard
                 _, once = np.unique(mix(tok[order]) ^ digest[order], return_index=True)
                 order = order[np.sort(once)]
-                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = [(s, *(x[order[cuts[s] : cuts[s + 1]]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4")))) for s in np.flatnonzero(np.diff(cuts)).tolist()]
+                own = shard[order]
+                cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
+                rows = [(int(own[lo]), *(x[order[lo:hi]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
                 cols = list(zip(*rows, strict=True))
                 return _table("shard tok digest n pos", pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]))
 
