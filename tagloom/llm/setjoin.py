@@ -5,11 +5,13 @@
    gives the same result; this one keeps shared passages out of prefixes.
 3. Each class sends its prefix (the shingles of which a similar set must have one) to shards by shingle. A shard keeps the runs of one
    shingle in which the length filter and the positional filter leave a member a partner.
-4. In each run all members are compared with one leader, the member that has the shingle at its first place. Links make groups.
+4. In each run each member is compared with the member of another group that has the shingle at its first place, then with the next few
+   members. Links make groups. That is done a few times, as each time groups merge: the work grows with the number of members.
 5. Token-group matrix: which groups have a member in each run. A member is a query against the other groups in its runs; a group
-   opens only if its sizes and places can still reach the overlap, and then its members are compared.
-6. Pairs are bounded by what their prefixes share, then verified on whole sets, which are made again from the texts for those classes
-   alone that a bitmap of fixed size lets through.
+   opens only if its sizes and places can still reach the overlap, and then its members are compared. Pairs within a group are never made.
+6. Pairs are bounded by a parity sketch of each set (two sets differ in at least as many shingles as their sketches in bits) and by what
+   their prefixes share, then verified on whole sets, which are made again from the texts for those classes alone that a bitmap of
+   fixed size lets through.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import saved
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP = 1 << 20, 1 << 19, 1 << 18, 1 << 30, 1 << 19, 1 << 24
+FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP, LEADERS, WINDOW, SKETCH = 1 << 20, 1 << 19, 1 << 18, 1 << 30, 1 << 19, 1 << 24, 3, 16, 256
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -42,6 +44,18 @@ class Sets:
     def item(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
 
+    def sketches(self, items: np.ndarray) -> list[bytes]:
+        """For each of some items SKETCH bits: whether an odd number of its shingles has that bit as its place."""
+        made = []
+        for few in np.array_split(items, len(items) // 1024 + 1):
+            n = self.at[few + 1] - self.at[few]
+            of = np.repeat(np.arange(len(few)), n)
+            tok = self.tok[np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.at[few], n)]
+            place = (mix(tok ^ _SHORT) % np.uint64(SKETCH)).astype(np.int64)
+            bits = np.bincount(of * SKETCH + place, minlength=len(few) * SKETCH).reshape(-1, SKETCH) & 1
+            made += [x.tobytes() for x in np.packbits(bits.astype(bool), axis=1)]
+        return made
+
 
 def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) -> Sets:
     """Distinct shingles of each text, or of each line with words; with fewer words, all of them as one; none below least_words."""
@@ -218,6 +232,10 @@ class SetJoin:
         need = self.overlap(n, m)
         return (np.minimum(n, m) >= self.least(np.maximum(n, m))) & (1 + np.minimum(n - pos, m - other) - 1 >= need)
 
+    def _reaches(self, n, x, m, y):
+        """The sketches' bound: pairs whose sets may share enough."""
+        return n + m - np.bitwise_count(x ^ y).sum(1, dtype=np.int64) >= 2 * self.overlap(n, m)
+
     def _runs(self, table: pa.Table) -> pa.Table:
         """The members of runs that have a partner left, with the run's shingle."""
         tok, digest, n, pos = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table[c]]) for c, t in (("tok", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("pos", "<u4")))
@@ -250,12 +268,23 @@ class SetJoin:
             tok, digest, n, pos, group = (table[c].to_numpy() for c in ("tok", "digest", "n", "pos", "grp"))
             order = np.lexsort((digest, pos, tok))
             tok, digest, n, pos, group = tok[order], digest[order], n[order], pos[order], group[order]
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u8").reshape(-1, SKETCH // 64)[order]
             cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1], [True]]))
             a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             if not open_groups:
-                lead = np.repeat(cut[:-1], np.diff(cut))
-                fit = self._fits(n, pos, n[lead], pos[lead]) & (lead != np.arange(len(tok)))
-                a, b = [np.flatnonzero(fit)], [lead[fit]]
+                size = np.diff(cut)
+                lead = np.repeat(cut[:-1], size)
+                other = group != group[lead]
+                second = np.minimum.reduceat(np.where(other, np.arange(len(tok)), len(tok)), cut[:-1])
+                lead = np.where(other, lead, np.repeat(second, size))
+                place, end, best = np.arange(len(tok)), np.repeat(cut[1:], size), np.full(len(tok), -1)
+                for step in range(WINDOW + 1):
+                    to = np.where(lead < len(tok), lead, place) if step == 0 else np.where(place + step < end, place + step, place)
+                    at = np.flatnonzero((best < 0) & (group[to] != group))
+                    at = at[self._fits(n[at], pos[at], n[to[at]], pos[to[at]])]
+                    at = at[self._reaches(n[at], sketch[at], n[to[at]], sketch[to[at]])]
+                    best[at] = to[at]
+                a, b = [np.flatnonzero(best >= 0)], [best[best >= 0]]
             else:
                 for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     g = group[lo:hi]
@@ -272,8 +301,10 @@ class SetJoin:
                         for at in range(0, len(queries), 128):
                             q = queries[at : at + 128]
                             x, y = np.nonzero(self._fits(n[q][:, None], pos[q][:, None], n[members][None], pos[members][None]))
-                            a.append(q[x])
-                            b.append(members[y])
+                            x, y = q[x], members[y]
+                            may = self._reaches(n[x], sketch[x], n[y], sketch[y])
+                            a.append(x[may])
+                            b.append(y[may])
             i, j = np.concatenate(a), np.concatenate(b)
             if open_groups:
                 swap = digest[i] > digest[j]
@@ -289,8 +320,8 @@ class SetJoin:
         need = F.ceil(F.lit(self.percent) * (F.col("n") + F.col("m")) / (100 + self.percent) - 1e-9)
         kept = bound.filter(F.col("c") + F.least(F.col("n") - F.col("pa"), F.col("m") - F.col("pb")) - 1 >= need)
         if open_groups:
-            return kept.select("a", "b", "fa", "fb")
-        return kept.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b"))  # one leader is enough to begin with
+            return kept.select("a", "b")
+        return kept.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b"))  # one leader is enough for one time
 
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +331,7 @@ class SetJoin:
                 want = ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0) & (np.diff(s.at) > 0)
                 want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
                 at = np.flatnonzero(want)
-                yield _table("digest toks", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()))
+                yield _table("digest toks sketch", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()), pa.array(s.sketches(at), pa.binary()))
 
         return run
 
@@ -321,30 +352,17 @@ class SetJoin:
         prefixes = texts.mapInArrow(self._prefixes(spark.sparkContext.broadcast((known, powers)), shards), "shard int, tok binary, digest binary, n binary, pos binary")
         kind = "shard int, tok long, digest long, n long, pos long"
         runs = saved(prefixes.groupBy("shard").applyInArrow(lambda t: self._runs(t), kind), "runs")
-        leaders = saved(self._maybe(runs.withColumn("grp", F.col("digest")), False), "pairs")
         bitmap = spark.sparkContext.broadcast(bitmap_of(runs.select("digest")))
-        sets = saved(texts.mapInArrow(self._whole(bitmap), "digest long, toks binary").join(runs.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
-        links = saved(self._verified(leaders, sets), "links")
-        groups = saved(components(links), "groups")
-        grouped = runs.join(groups.withColumnRenamed("node", "digest"), "digest", "left").withColumn("grp", F.coalesce("grp", "digest"))
-        pairs = saved(self._maybe(grouped, True), "pairs")
-        for turn in range(4):  # for each query the most central other, one of each query and group, then all still open: most groups merge before
-            every = turn == 3
-            ends = [groups.toDF(x, f"g{x}") for x in ("a", "b")]
-            left = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").withColumns({"ga": F.coalesce("ga", "a"), "gb": F.coalesce("gb", "b")}).filter("ga <> gb")
-            if turn < 2:
-                left = left.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b")).unionByName(left.groupBy("b").agg(F.min_by("a", F.struct("fa", "a")).alias("a"))).distinct()
-            elif turn == 2:
-                any_of = F.xxhash64("a", "b")
-                left = left.groupBy("a", "gb").agg(F.max_by("b", any_of).alias("b")).select("a", "b").union(left.groupBy("b", "ga").agg(F.max_by("a", any_of).alias("a")).select("a", "b")).distinct()
-            new = saved(self._verified(left.select("a", "b"), sets), "links")
-            if every or not new.limit(1).count():
-                links = links.union(new)
-                if every:
-                    return links
-                continue
-            links = links.union(new)
+        sets = saved(texts.mapInArrow(self._whole(bitmap), "digest long, toks binary, sketch binary").join(runs.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
+        sketches = sets.select("digest", "sketch")
+        grouped, links = runs.join(sketches, "digest").withColumn("grp", F.col("digest")), None
+        for _ in range(LEADERS):
+            new = saved(self._verified(saved(self._maybe(grouped, False), "pairs"), sets), "links")
+            links = links.union(new) if links else new
             groups = saved(components(links), "groups")
+            state = sketches.join(groups.withColumnRenamed("node", "digest"), "digest", "left").withColumn("grp", F.coalesce("grp", "digest"))
+            grouped = runs.join(state, "digest")
+        return links.union(saved(self._verified(saved(self._maybe(grouped, True), "pairs"), sets), "links"))
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         x = sets.select(F.col("digest").alias("a"), F.col("toks").alias("x"))
