@@ -238,3 +238,65 @@ def test_pipeline(spark):
 
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.columns[0] == "doc_id" and found.count() > 0
+
+
+def bm25(terms, seed, docs):
+    n, mean = len(docs), sum(map(len, docs)) / len(docs)
+    out = {}
+    for d, words in enumerate(docs):
+        total = 0.0
+        for t in set(terms) & set(words):
+            df, tf = sum(t in x for x in docs), words.count(t)
+            total += np.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+        if total and d != seed:
+            out[d] = total
+    return out
+
+
+def test_packing_searches_the_whole_table(spark, monkeypatch):
+    r = random.Random(3)
+    topics = [[f"{w}{c}" for w in WORDS[:40]] for c in "abcdefgh"]
+    made = [" ".join([*(r.choice(topics[i % 8]) for _ in range(r.randint(20, 50))), *(r.choice(WORDS) for _ in range(10))]) for i in range(160)]
+    made += ["", None, "alone"]
+    order = sorted(range(len(made)), key=lambda i: i // 8 % 5)  # each partition holds a few documents of every topic
+    df = spark.createDataFrame([(i, made[i]) for i in order], "doc_id long, text string").coalesce(1).repartitionByRange(5, F.expr("doc_id div 8 % 5"))
+    path = tokenizer_path()
+    monkeypatch.setattr(pack, "SLICE_DOCS", 16)
+    monkeypatch.setattr(pack, "CHUNK_SEEDS", 7)
+    table = pack.read(df, path, "doc_id", "text", 2)
+    corpus = pack.Corpus(table)
+    words = [space_words(x) for x in made]
+    assert corpus.docs == len(made) and abs(corpus.mean - np.mean([len(w) for w in words])) < 1e-9
+    uid = {x.key: x.uid for x in table.select("key", "uid").collect()}
+    of = {v: k for k, v in uid.items()}
+    seeds = spark.createDataFrame([(uid[i],) for i in range(0, 160, 9)], "grp long")
+    free = spark.createDataFrame([(uid[i],) for i in range(163) if i % 3], "uid long")
+    got = {}
+    for x in corpus.nearest(seeds, free, 10).collect():
+        got.setdefault(of[x.grp], {})[of[x.uid]] = x.score
+    for s in range(0, 160, 9):
+        want = {d: v for d, v in bm25(words[s], s, words).items() if d % 3}
+        best = sorted(want.values(), reverse=True)[:10]
+        assert np.allclose(sorted(got[s].values(), reverse=True), best, rtol=1e-5) and all(abs(want[d] - v) < 1e-3 for d, v in got[s].items())
+    rows = pack.pack(df, path, window=512, last_docs=20).collect()
+    sizes = {}
+    for x in sorted(rows, key=lambda x: (x.sequence_id, x.offset)):
+        assert x.offset == sizes.get(x.sequence_id, 0)
+        sizes[x.sequence_id] = x.offset + x.length
+    assert all(n == 512 or (n < 512 and n & (n - 1) == 0) for n in sizes.values())
+    parts, total = {}, {}
+    for x in rows:
+        parts.setdefault(x.doc_id, []).append((x.start, x.length))
+        total[x.doc_id] = x.doc_tokens
+    for d, p in parts.items():
+        assert [a for a, _ in sorted(p)] == [0, *np.cumsum([n for _, n in sorted(p)])[:-1]] and sum(n for _, n in p) == total[d]
+    assert len(parts) == len(made)
+    together, apart = 0, 0
+    for s in sizes:
+        own = {x.doc_id for x in rows if x.sequence_id == s and x.doc_id < 160}
+        for a in own:
+            for b in own:
+                if a < b and a % 8 == b % 8:
+                    together += 1
+                    apart += a // 8 % 5 != b // 8 % 5
+    assert together and apart > together / 2  # documents of one topic meet across partitions
