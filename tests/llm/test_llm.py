@@ -300,3 +300,14 @@ def test_packing_searches_the_whole_table(spark, monkeypatch):
                     together += 1
                     apart += a // 8 % 5 != b // 8 % 5
     assert together and apart > together / 2  # documents of one topic meet across partitions
+
+
+def test_extract_counts_all_pages_of_a_host(spark):
+    first = "<body><div class=a><h1>T {0}</h1><p>one text of page {0} that is long enough to read</p><p>other text {0} of it, again long enough</p></div></body>"
+    second = "<body><div class=b><p>Home of all</p><h1>U {0}</h1><p>some text of page {0} that is long enough to read</p><p>last text {0} of it, again long enough</p></div></body>"
+    rows = [(0, "http://h/0", "<body><div class=b><p>Home of all</p></div></body>")]
+    rows += [(i, f"http://h/{i}", (first if i % 3 else second).format(i)) for i in range(1, 60)]
+    rows += [(100 + i, f"http://same/{i}", first.format(1)) for i in range(6)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert not any("Home of all" in got[i] for i in range(1, 60))
+    assert all(f"some text of page {i} " in got[i] and f"U {i}" in got[i] for i in range(3, 60, 3)) and "other text 1 of it" in got[100]
