@@ -109,14 +109,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OP1_SQL = f"""
-WITH RECURSIVE d AS (SELECT doc_id, text, string_split(text, chr(10)) ls FROM documents),
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) ls FROM documents),
 p AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) i FROM d),
 w AS (SELECT doc_id * 1000000 + i l, regexp_extract_all({LOW.format("ls[i]")}, '[^\x20\x09-\x0D]+') w FROM p),
-s AS (SELECT DISTINCT l, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, q, q + 4) END g FROM (SELECT l, w, unnest(range(1, greatest(len(w) - 3, 2))) q FROM w WHERE len(w) >= 3)),
+s AS (SELECT DISTINCT l, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, q, q + 4) END g FROM (SELECT l, w, unnest(range(1, greatest(len(w) - 3, 2))) q FROM w WHERE len(w) >= 1)),
 n AS (SELECT l, count(*) n FROM s GROUP BY l),
-k AS (SELECT a, b FROM (SELECT x.l a, y.l b, count(*) c FROM s x JOIN s y ON x.g = y.g AND x.l <> y.l GROUP BY ALL) JOIN n p ON p.l = a JOIN n q ON q.l = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
-r AS (SELECT a, b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a),
-g AS (SELECT a l FROM r GROUP BY a HAVING min(b) < a)
+g AS (SELECT DISTINCT b l FROM (SELECT x.l a, y.l b, count(*) c FROM s x JOIN s y ON x.g = y.g AND x.l < y.l GROUP BY ALL) JOIN n p ON p.l = a JOIN n q ON q.l = b WHERE 100 * c >= 80 * (p.n + q.n - c))
 SELECT d.doc_id, CAST(CASE WHEN text <> '' THEN len(ls) ELSE 0 END AS BIGINT) n_lines, count(g.l) n_removed,
 CASE WHEN count(g.l) = 0 THEN any_value(text) ELSE coalesce(string_agg(ls[i], chr(10) ORDER BY i) FILTER (g.l IS NULL), '') END AS text
 FROM d JOIN p USING (doc_id, ls) LEFT JOIN g ON g.l = doc_id * 1000000 + i GROUP BY d.doc_id, ls, d.text"""

@@ -31,6 +31,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Saved tables of one operator, dropped as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_folder(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)  # holds the table, so that no other gets its id
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this object; others are left alone."""
+        for table in tables:
+            if id(table) in self.paths:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table))[1])
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def drop_all(self, *but: DataFrame) -> None:
+        self.drop(*(t for t, _ in list(self.paths.values()) if not any(t is x for x in but)))
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a saved table if it has at most so many rows; a larger one is joined as Spark decides."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -3,31 +3,33 @@
 1. Equal sets are one class, known by a 64-bit digest of the set (two different sets share one with a chance of 2**-64).
 2. Shingles that are frequent in some part of the input are counted; the order of a set's shingles is by rarity, then hash. Any one order
    gives the same result; this one keeps shared passages out of prefixes.
-3. Each class sends its prefix (the shingles of which a similar set must have one) to shards by shingle. A shard keeps the runs of one
-   shingle in which the length filter and the positional filter leave a member a partner.
-4. In each run each member is compared with the member of another group that has the shingle at its first place, then with the next few
-   members. Links make groups. That is done a few times, as each time groups merge: the work grows with the number of members.
-5. Token-group matrix: which groups have a member in each run. A member is a query against the other groups in its runs; a group
-   opens only if its sizes and places can still reach the overlap, and then its members are compared. Pairs within a group are never made.
-6. Pairs are bounded by a parity sketch of each set (two sets differ in at least as many shingles as their sketches in bits) and by what
-   their prefixes share, then verified on whole sets, which are made again from the texts for those classes alone that a bitmap of
-   fixed size lets through.
+3. Each class sends its prefix (the shingles of which a similar set must have one) to shards by shingle; a shingle counted often is dealt to
+   several cells by class. A run is what one cell has of one shingle. Members stay in a run while the length filter, the positional filter and
+   a parity sketch (two sets differ in at least as many shingles as their sketches in bits) leave them a partner.
+4. In each run a member names the first earlier member it may be similar to; each class takes the one named most often, and the pair is
+   verified on whole sets, which are made again from the texts for those classes alone that a bitmap of bounded size lets through.
+5. What is still open is done in full. `earlier` wants one earlier similar class of each class, so only classes without one ask again, for all
+   earlier partners. `links` wants classes connected: links make groups, pairs of groups name one pair each, and then the members of all but
+   the largest group of a run ask for all partners in other groups. Those that ask go to every cell of a shingle, the others stay in theirs.
+   In `links` that is a token-group matrix: a table of which groups have how many members, which sizes and which reach in each
+   shingle's run; a member opens a group only if sizes and places allow the overlap. Pairs in a group are never made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import Scratch, small
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, MOST_SHARDS, FREQUENT, BITMAP, LEADERS, WINDOW, SKETCH = 1 << 20, 1 << 19, 1 << 18, 1 << 30, 1 << 19, 1 << 24, 3, 16, 256
+FLUSH, BLOCK, SHARD_ENTRIES, FREQUENT, PIECE_BITS, SCAN, HUB, LEAST_BITS, MOST_BITS = 1 << 20, 1 << 19, 1 << 18, 1 << 19, 13, 2048, 2000, 1 << 20, 1 << 30
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -44,17 +46,16 @@ class Sets:
     def item(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
 
-    def sketches(self, items: np.ndarray) -> list[bytes]:
-        """For each of some items SKETCH bits: whether an odd number of its shingles has that bit as its place."""
-        made = []
-        for few in np.array_split(items, len(items) // 1024 + 1):
-            n = self.at[few + 1] - self.at[few]
-            of = np.repeat(np.arange(len(few)), n)
-            tok = self.tok[np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.at[few], n)]
-            place = (mix(tok ^ _SHORT) % np.uint64(SKETCH)).astype(np.int64)
-            bits = np.bincount(of * SKETCH + place, minlength=len(few) * SKETCH).reshape(-1, SKETCH) & 1
-            made += [x.tobytes() for x in np.packbits(bits.astype(bool), axis=1)]
-        return made
+    def sketches(self, longs: int) -> np.ndarray:
+        """For each item 64 * longs bits: whether an odd number of its shingles has that bit as its place."""
+        bits, out = 64 * longs, []
+        for lo in range(0, len(self.at) - 1, 4096):
+            hi = min(lo + 4096, len(self.at) - 1)
+            tok = self.tok[self.at[lo] : self.at[hi]]
+            of = np.repeat(np.arange(hi - lo), np.diff(self.at[lo : hi + 1]))
+            odd = np.bincount(of * bits + (mix(tok ^ _SHORT) % np.uint64(bits)).astype(np.int64), minlength=(hi - lo) * bits) & 1
+            out.append(np.packbits(odd.astype(bool).reshape(hi - lo, bits), axis=1).view(np.int64))
+        return np.concatenate(out) if out else np.zeros((0, longs), np.int64)
 
 
 def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) -> Sets:
@@ -120,6 +121,15 @@ class SetJoin:
     by_line: bool = False
     least_words: int = 1
 
+    @property
+    def longs(self) -> int:
+        """Length of a sketch: lines are short."""
+        return 1 if self.by_line else 4
+
+    @property
+    def sketch(self) -> list[str]:
+        return [f"s{i}" for i in range(self.longs)]
+
     def least(self, n):
         """Shingles that a set of n must share with any similar one."""
         return -(-self.percent * n // 100)
@@ -128,11 +138,11 @@ class SetJoin:
         """Shingles that similar sets of n and m share at least."""
         return -(-self.percent * (n + m) // (100 + self.percent))
 
-    def scan(self, docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-        """One reading of the texts, saved: a row for each item (keys, part: line number or 0, n: size, digest), and rows (tok, n) of shingles
-        that come more than once among a task's last million or two, with tok null for the number of all."""
+    def scan(self, docs: DataFrame, keys: list[str], text: str, scratch: Scratch) -> DataFrame:
+        """One reading of the texts, saved: a row for each item (keys, part: line number or 0, n: size, digest, sketch), and rows (tok, n) of
+        shingles that come more than once among a task's last million or two, with tok null for the number of all."""
         kinds = [docs.schema[k].dataType.simpleString() for k in keys]
-        names = [f"k{i}" for i in range(len(keys))] + ["part", "n", "digest", "tok", "often"]
+        names = [f"k{i}" for i in range(len(keys))] + ["part", "n", "digest", *self.sketch, "tok", "often"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
@@ -146,13 +156,13 @@ class SetJoin:
                 more = c > 1
                 tok = pa.array([None, *tok[more].view(np.int64).tolist()], pa.int64())
                 none = [pa.nulls(len(tok), t) for t in (*types, pa.int64())]
-                return pa.RecordBatch.from_arrays([*none, pa.array([total, *c[more].tolist()], pa.int64()), pa.nulls(len(tok), pa.int64()), tok, pa.array([True] * len(tok))], names)
+                return pa.RecordBatch.from_arrays([*none, pa.array([total, *c[more].tolist()], pa.int64()), *[pa.nulls(len(tok), pa.int64())] * (1 + self.longs), tok, pa.array([True] * len(tok))], names)
 
             for part, s in _each(batches, self.size, self.by_line, len(keys), self.least_words):
                 types = [part.column(i).type for i in range(len(keys))]
                 n = np.diff(s.at)
                 at = pa.array(s.row.astype(np.int64))
-                yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), pa.nulls(len(n), pa.int64()), pa.array([False] * len(n), pa.bool_())], names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), *map(pa.array, s.sketches(self.longs).T), pa.nulls(len(n), pa.int64()), pa.array(np.zeros(len(n), bool))], names)
                 new = ~np.isin(s.digest, seen)
                 if len(seen) < FLUSH >> 2:
                     seen = np.union1d(seen, s.digest)
@@ -162,15 +172,16 @@ class SetJoin:
             if held:
                 yield flush()
 
-        schema = ", ".join([*(f"k{i} {k}" for i, k in enumerate(kinds)), "part long, n long, digest long, tok long, often boolean"])
-        return saved(docs.select(*keys, text).mapInArrow(run, schema), "scan").toDF(*keys, "part", "n", "digest", "tok", "often")
+        longs = ", ".join(f"{c} long" for c in self.sketch)
+        schema = ", ".join([*(f"k{i} {k}" for i, k in enumerate(kinds)), f"part long, n long, digest long, {longs}, tok long, often boolean"])
+        return scratch.save(docs.select(*keys, text).mapInArrow(run, schema), "scan")
 
     def items(self, scan: DataFrame) -> DataFrame:
         return scan.filter("NOT often").drop("tok", "often")
 
-    def frequent(self, scan: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-        """Frequent shingles, sorted, with the power of two of their counts; and the number of all."""
-        counts = saved(scan.filter("often").groupBy("tok").agg(F.sum("n").alias("n")), "frequent")
+    def frequent(self, scan: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, int]:
+        """At most FREQUENT of the most frequent shingles, sorted, with the power of two of their counts; and the number of all."""
+        counts = scratch.save(scan.filter("often").groupBy("tok").agg(F.sum("n").alias("n")), "frequent")
         total = counts.filter("tok IS NULL").agg(F.sum("n")).first()[0] or 0
         powers = counts.filter("tok IS NOT NULL").groupBy(F.length(F.bin("n")).alias("p")).count().orderBy(F.desc("p")).collect()
         least, room = 64, FREQUENT
@@ -180,6 +191,7 @@ class SetJoin:
             least = r.p
         got = counts.filter((F.col("tok").isNotNull()) & (F.length(F.bin("n")) >= least)).select("tok", F.length(F.bin("n")).cast("int").alias("p")).toPandas()
         tok, p = got.tok.to_numpy(np.int64).view(np.uint64), got.p.to_numpy(np.uint8)
+        scratch.drop(counts)
         order = np.argsort(tok)
         return tok[order], p[order], int(total)
 
@@ -190,34 +202,34 @@ class SetJoin:
             count = 0
 
             def flush() -> pa.RecordBatch:
-                tok, digest, n, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+                tok, digest, n, pos, power = (np.concatenate(x) for x in zip(*held, strict=True))
                 held.clear()
-                shard = ((tok >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(tok)  # and so by shard
+                spread = np.where(power > PIECE_BITS, mix(tok ^ mix(piece_of(tok, digest, power))), tok)
+                shard = ((spread >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                order = np.lexsort((tok, shard))
                 _, once = np.unique(mix(tok[order]) ^ digest[order], return_index=True)
                 order = order[np.sort(once)]
                 own = shard[order]
                 cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
-                rows = [(int(own[lo]), *(x[order[lo:hi]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                rows = [(int(own[lo]), *(x[order[lo:hi]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4"), (power, "u1")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
                 cols = list(zip(*rows, strict=True))
-                return _table("shard tok digest n pos", pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]))
+                return _table("shard tok digest n pos power", pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]))
 
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
                 n = np.diff(s.at)
                 item = s.item()
                 power = np.zeros(len(s.tok), np.uint8)
+                order = np.arange(len(s.tok))
                 if len(known) and len(s.tok):
                     at = np.minimum(np.searchsorted(known, s.tok), len(known) - 1)
                     hit = known[at] == s.tok
                     power[hit] = powers[at[hit]]
                     order = np.argsort(power, kind="stable")
                     order = order[np.argsort(item[order].astype(np.uint16 if len(n) < 1 << 16 else np.int64), kind="stable")]
-                else:
-                    order = np.arange(len(s.tok))
                 pos = np.arange(len(s.tok)) - np.repeat(s.at[:-1], n)
                 keep = pos < np.repeat(n - self.least(n) + 1, n)
                 if keep.any():
-                    held.append((s.tok[order][keep], s.digest[item[keep]], n[item[keep]], pos[keep]))
+                    held.append((s.tok[order][keep], s.digest[item[keep]], n[item[keep]], pos[keep], power[order][keep]))
                     count += int(keep.sum())
                 if count >= FLUSH >> 1:
                     yield flush()
@@ -230,108 +242,92 @@ class SetJoin:
     def _fits(self, n, pos, m, other):
         """Length and positional filter: the pair's first shared shingle may be this one."""
         need = self.overlap(n, m)
-        return (np.minimum(n, m) >= self.least(np.maximum(n, m))) & (1 + np.minimum(n - pos, m - other) - 1 >= need)
+        return (np.minimum(n, m) >= self.least(np.maximum(n, m))) & (np.minimum(n - pos, m - other) >= need)
 
     def _reaches(self, n, x, m, y):
         """The sketches' bound: pairs whose sets may share enough."""
         return n + m - np.bitwise_count(x ^ y).sum(1, dtype=np.int64) >= 2 * self.overlap(n, m)
 
+    def fits(self, x: str, y: str) -> Column:
+        """Both filters as a condition on two entries, x and y being the prefixes of their columns."""
+        n, m = F.col(f"{x}n"), F.col(f"{y}n")
+        need = F.expr(f"({self.percent} * ({x}n + {y}n) + {99 + self.percent}) div {100 + self.percent}")
+        apart = reduce(Column.__add__, [F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in self.sketch])
+        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & (F.least(n - F.col(f"{x}pos"), m - F.col(f"{y}pos")) >= need) & (n + m - apart >= 2 * need)
+
     def _runs(self, table: pa.Table) -> pa.Table:
-        """The members of runs that have a partner left, with the run's shingle."""
-        tok, digest, n, pos = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table[c]]) for c, t in (("tok", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("pos", "<u4")))
-        order = np.lexsort((digest, tok))
-        tok, digest, n, pos = tok[order], digest[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+        """The members of runs that have a partner left by length and position."""
+        tok, digest, n, pos, power = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table[c]]) for c, t in (("tok", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("pos", "<u4"), ("power", "u1")))
+        piece = piece_of(tok, digest, power)
+        order = np.lexsort((digest, piece, tok))
+        tok, digest, n, pos, power, piece = tok[order], digest[order], n[order].astype(np.int64), pos[order].astype(np.int64), power[order], piece[order]
         new = np.ones(len(tok), bool)
         new[1:] = (tok[1:] != tok[:-1]) | (digest[1:] != digest[:-1])
-        tok, digest, n, pos = tok[new], digest[new], n[new], pos[new]
-        cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1], [True]]))
+        tok, digest, n, pos, power, piece = (x[new] for x in (tok, digest, n, pos, power, piece))
+        cut = np.flatnonzero(np.concatenate([[True], (tok[1:] != tok[:-1]) | (piece[1:] != piece[:-1]), [True]]))
         size = np.diff(cut)
-        keep = np.zeros(len(tok), bool)
+        keep = np.repeat(size > SCAN, size) | (power > PIECE_BITS)  # looking for partners would cost more here, or they lie in other pieces
         two = cut[:-1][size == 2]
         fit = self._fits(n[two], pos[two], n[two + 1], pos[two + 1])
         keep[two[fit]] = keep[two[fit] + 1] = True
-        for a, k in zip(cut[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
+        some = (size > 2) & (size <= SCAN)
+        for a, k in zip(cut[:-1][some].tolist(), size[some].tolist(), strict=True):
             x = slice(a, a + k)
-            if k > 2048:  # looking for partners would cost more than keeping the run
-                keep[x] = True
-                continue
             for lo in range(a, a + k, 128):
                 y = slice(lo, min(lo + 128, a + k))
                 f = self._fits(n[y, None], pos[y, None], n[None, x], pos[None, x])
                 f[np.arange(y.stop - lo), np.arange(lo - a, y.stop - a)] = False
-                keep[y] = f.any(1)
-        s = np.full(int(keep.sum()), table["shard"][0].as_py(), np.int32)
-        return pa.Table.from_batches([_table("shard tok digest n pos", pa.array(s), _int64(tok[keep]), _int64(digest[keep]), _int64(n[keep]), _int64(pos[keep]))])
+                keep[y] |= f.any(1)
+        pieces = np.left_shift(1, np.maximum(power.astype(np.int64) - PIECE_BITS, 0))
+        return pa.Table.from_batches([_table("tok piece pieces digest pos", *(_int64(x[keep]) for x in (tok, piece, pieces, digest, pos)))])
+
+    def _choose(self, order: list[str]):
+        """Members of runs that have a partner left by their sketches too, and the first earlier one of each."""
 
-    def _pairs(self, open_groups: bool) -> Callable[[pa.Table], pa.Table]:
         def run(table: pa.Table) -> pa.Table:
-            tok, digest, n, pos, group = (table[c].to_numpy() for c in ("tok", "digest", "n", "pos", "grp"))
-            order = np.lexsort((digest, pos, tok))
-            tok, digest, n, pos, group = tok[order], digest[order], n[order], pos[order], group[order]
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u8").reshape(-1, SKETCH // 64)[order]
-            cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1], [True]]))
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            if not open_groups:
-                size = np.diff(cut)
-                lead = np.repeat(cut[:-1], size)
-                other = group != group[lead]
-                second = np.minimum.reduceat(np.where(other, np.arange(len(tok)), len(tok)), cut[:-1])
-                lead = np.where(other, lead, np.repeat(second, size))
-                place, end, best = np.arange(len(tok)), np.repeat(cut[1:], size), np.full(len(tok), -1)
-                for step in range(WINDOW + 1):
-                    to = np.where(lead < len(tok), lead, place) if step == 0 else np.where(place + step < end, place + step, place)
-                    at = np.flatnonzero((best < 0) & (group[to] != group))
-                    at = at[self._fits(n[at], pos[at], n[to[at]], pos[to[at]])]
-                    at = at[self._reaches(n[at], sketch[at], n[to[at]], sketch[to[at]])]
-                    best[at] = to[at]
-                a, b = [np.flatnonzero(best >= 0)], [best[best >= 0]]
-            else:
-                for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    g = group[lo:hi]
-                    if (g == g[0]).all():
-                        continue
-                    by = lo + np.argsort(g, kind="stable")
-                    edges = np.flatnonzero(np.concatenate([[True], group[by][1:] != group[by][:-1], [True]]))
-                    for e in range(1, len(edges) - 1):  # queries before, a group after: each pair of groups once
-                        members, queries = by[edges[e] : edges[e + 1]], by[: edges[e]]
-                        small, most = n[members].min(), n[members].max()
-                        least_n, reach = np.maximum(small, self.least(n[queries])), (n[members] - pos[members]).max()
-                        opens = (most >= self.least(n[queries])) & (n[queries] >= self.least(small)) & (np.minimum(n[queries] - pos[queries], reach) >= self.overlap(n[queries], least_n))
-                        queries = queries[opens]
-                        for at in range(0, len(queries), 128):
-                            q = queries[at : at + 128]
-                            x, y = np.nonzero(self._fits(n[q][:, None], pos[q][:, None], n[members][None], pos[members][None]))
-                            x, y = q[x], members[y]
-                            may = self._reaches(n[x], sketch[x], n[y], sketch[y])
-                            a.append(x[may])
-                            b.append(y[may])
-            i, j = np.concatenate(a), np.concatenate(b)
-            if open_groups:
-                swap = digest[i] > digest[j]
-                i, j = np.where(swap, j, i), np.where(swap, i, j)
-            return pa.Table.from_batches([_table("a b n m pa pb", *(pa.array(v) for v in (digest[i], digest[j], n[i], n[j], pos[i], pos[j])))])
+            table = table.sort_by([(c, "ascending") for c in ("tok", "piece", *order, "digest")])
+            tok, piece, pieces, digest, n, pos = (table[c].to_numpy() for c in ("tok", "piece", "pieces", "digest", "n", "pos"))
+            sketch = np.stack([table[c].to_numpy().view(np.uint64) for c in self.sketch], 1)
+            new = np.concatenate([[True], (tok[1:] != tok[:-1]) | (piece[1:] != piece[:-1])])
+            start = np.maximum.accumulate(np.where(new, np.arange(len(tok)), 0))
+            end = np.append(np.flatnonzero(new), len(tok))[np.cumsum(new)]
+            best, keep = np.full(len(tok), -1), pieces > 1
+
+            def may(x, y):
+                ok = self._fits(n[x], pos[x], n[y], pos[y])
+                ok[ok] = self._reaches(n[x[ok]], sketch[x[ok]], n[y[ok]], sketch[y[ok]])
+                return ok
+
+            at, step = np.flatnonzero(start < np.arange(len(tok))), 0
+            while len(at):  # from the first member on
+                hit = may(at, start[at] + step)
+                best[at[hit]] = start[at[hit]] + step
+                step += 1
+                at = at[~hit]
+                at = at[start[at] + step < at]
+            keep[best >= 0] = True
+            keep[best[best >= 0]] = True
+            at, step = np.flatnonzero(~keep & (np.arange(len(tok)) + 1 < end)), 1
+            while len(at):  # those named by none look at later ones
+                hit = may(at, at + step)
+                keep[at[hit]] = True
+                step += 1
+                at = at[~hit]
+                at = at[at + step < end[at]]
+            named = pa.array(digest[best[keep]], mask=best[keep] < 0)
+            return table.filter(pa.array(keep)).append_column("named", named)
 
         return run
 
-    def _maybe(self, runs: DataFrame, open_groups: bool) -> DataFrame:
-        """Pairs that can still reach the overlap, by what their prefixes share and what is left after the last shared place."""
-        pairs = runs.groupBy("shard").applyInArrow(self._pairs(open_groups), "a long, b long, n long, m long, pa long, pb long")
-        bound = pairs.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.min("pa").alias("fa"), F.min("pb").alias("fb"))
-        need = F.ceil(F.lit(self.percent) * (F.col("n") + F.col("m")) / (100 + self.percent) - 1e-9)
-        kept = bound.filter(F.col("c") + F.least(F.col("n") - F.col("pa"), F.col("m") - F.col("pb")) - 1 >= need)
-        if open_groups:
-            return kept.select("a", "b")
-        return kept.groupBy("a").agg(F.min_by("b", F.struct("fb", "b")).alias("b"))  # one leader is enough for one time
-
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.frombuffer(bitmap.value, np.uint8)
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
-                place = (s.digest % np.uint64(BITMAP)).astype(np.int64)
+                place = (s.digest % np.uint64(len(bits) * 8)).astype(np.int64)
                 want = ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0) & (np.diff(s.at) > 0)
                 want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
                 at = np.flatnonzero(want)
-                yield _table("digest toks sketch", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()), pa.array(s.sketches(at), pa.binary()))
+                yield _table("digest toks", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()))
 
         return run
 
@@ -344,64 +340,186 @@ class SetJoin:
                 ok.append(100 * both >= self.percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def links(self, texts: DataFrame, scan: DataFrame) -> DataFrame:
-        """Links (a, b) between digests of classes, enough to connect all that are similar through others. texts: one column."""
-        spark = texts.sparkSession
-        known, powers, total = self.frequent(scan)
-        shards = int(min(MOST_SHARDS, max(8, total * (100 - self.percent) // 100 // SHARD_ENTRIES + 1)))
-        prefixes = texts.mapInArrow(self._prefixes(spark.sparkContext.broadcast((known, powers)), shards), "shard int, tok binary, digest binary, n binary, pos binary")
-        kind = "shard int, tok long, digest long, n long, pos long"
-        runs = saved(prefixes.groupBy("shard").applyInArrow(lambda t: self._runs(t), kind), "runs")
-        bitmap = spark.sparkContext.broadcast(bitmap_of(runs.select("digest")))
-        sets = saved(texts.mapInArrow(self._whole(bitmap), "digest long, toks binary, sketch binary").join(runs.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
-        sketches = sets.select("digest", "sketch")
-        grouped, links = runs.join(sketches, "digest").withColumn("grp", F.col("digest")), None
-        for _ in range(LEADERS):
-            new = saved(self._verified(saved(self._maybe(grouped, False), "pairs"), sets), "links")
-            links = links.union(new) if links else new
-            groups = saved(components(links), "groups")
-            state = sketches.join(groups.withColumnRenamed("node", "digest"), "digest", "left").withColumn("grp", F.coalesce("grp", "digest"))
-            grouped = runs.join(state, "digest")
-        return links.union(saved(self._verified(saved(self._maybe(grouped, True), "pairs"), sets), "links"))
-
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        x = sets.select(F.col("digest").alias("a"), F.col("toks").alias("x"))
+    def _verified(self, pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+        """Pairs (a, b) that are similar by their whole sets, saved. The set of an a with many partners is dealt out in several copies."""
+        pairs = scratch.save(pairs.select("a", "b"), "pairs")
+        hubs = scratch.save(pairs.groupBy("a").count().filter(F.col("count") > HUB).select("a", F.ceil(F.col("count") / HUB).cast("int").alias("salts")), "hubs")
+        few = small(hubs, 100_000)
+        x = sets.select(F.col("digest").alias("a"), F.col("toks").alias("x")).join(few, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
         y = sets.select(F.col("digest").alias("b"), F.col("toks").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(self._verify, "a long, b long")
+        salted = pairs.join(few, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        found = scratch.save(salted.join(y, "b").join(x, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(self._verify, "a long, b long"), "verified")
+        scratch.drop(pairs, hubs)
+        return found
+
+    def _entries(self, texts: DataFrame, scan: DataFrame, classes: DataFrame, order: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+        """Entries of all runs (tok, piece, pieces, digest, pos, named and the columns of classes), and the whole sets of their classes."""
+        spark = texts.sparkSession
+        known, powers, total = self.frequent(scan, scratch)
+        shards = max(8, total * (100 - self.percent) // 100 // SHARD_ENTRIES + 1)
+        ranks = spark.sparkContext.broadcast((known, powers))
+        prefixes = texts.mapInArrow(self._prefixes(ranks, int(min(shards, 1 << 30))), "shard int, tok binary, digest binary, n binary, pos binary, power binary")
+        runs = prefixes.groupBy("shard").applyInArrow(lambda t: self._runs(t), "tok long, piece long, pieces long, digest long, pos long")
+        full = runs.join(classes, "digest").withColumn("cell", F.pmod(F.xxhash64("tok", "piece"), F.lit(shards)))
+        entries = scratch.save(full.groupBy("cell").applyInArrow(self._choose(order), full.withColumn("named", F.lit(None).cast("long")).schema), "entries")
+        bitmap = spark.sparkContext.broadcast(bitmap_of(entries.select("digest")))
+        own = texts.mapInArrow(self._whole(bitmap), "digest long, toks binary")
+        sets = scratch.save(own.join(entries.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
+        for sent in (ranks, bitmap):
+            sent.destroy()
+        return entries, sets
+
+    def _named(self, entries: DataFrame) -> DataFrame:
+        """For each class b the earlier one named most often, a."""
+        votes = entries.filter("named IS NOT NULL").groupBy(F.col("digest").alias("b"), F.col("named").alias("a")).count()
+        return votes.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
+
+    def _may(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs with a row for each shared shingle (xn, yn, xpos, ypos), those that what they share and what is left after its last place allow."""
+        bound = pairs.groupBy("a", "b", "xn", "yn").agg(F.count("*").alias("c"), F.max("xpos").alias("px"), F.max("ypos").alias("py"))
+        need = F.expr(f"({self.percent} * (xn + yn) + {99 + self.percent}) div {100 + self.percent}")
+        return bound.filter(F.col("c") + F.least(F.col("xn") - F.col("px"), F.col("yn") - F.col("py")) - 1 >= need)
+
+    def _side(self, entries: DataFrame, name: str, *more: str) -> DataFrame:
+        return entries.select("tok", "piece", *(F.col(c).alias(f"{name}{c}") for c in ("digest", "n", "pos", *self.sketch, *more)))
+
+    def earlier(self, texts: DataFrame, scan: DataFrame, classes: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
+        """digest of each class that has a similar one before it in the order of some columns. classes: digest, n, sketch and these columns."""
+        entries, sets = self._entries(texts, scan, classes, order, scratch)
+        first = self._verified(self._named(entries), sets, scratch)
+        asks = entries.join(first.select(F.col("b").alias("digest")), "digest", "left_anti").withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)")))
+        before = F.struct(*(f"x{c}" for c in order)) < F.struct(*(f"y{c}" for c in order))
+        pairs = self._side(entries, "x", *order).join(self._side(asks, "y", *order), ["tok", "piece"]).filter(before & self.fits("x", "y"))
+        rest = self._verified(self._may(pairs.withColumnsRenamed({"xdigest": "a", "ydigest": "b"})), sets, scratch)
+        scratch.drop(entries, sets)
+        return first.select("b").union(rest.select("b")).distinct().toDF("digest")
+
+    def links(self, texts: DataFrame, scan: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+        """node, grp: the group of each class that is similar to another, directly or through others. classes: digest, n, sketch."""
+        entries, sets = self._entries(texts, scan, classes, ["digest"], scratch)
+        found = self._verified(self._named(entries), sets, scratch)
+        for last in (False, True):
+            groups = components(found, scratch)
+            sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+            grouped = scratch.save(entries.join(groups.withColumnRenamed("node", "digest"), "digest", "left").withColumn("grp", F.coalesce("grp", "digest")).join(sizes, "grp", "left").withColumn("members", F.coalesce("members", F.lit(1))), "grouped")
+            scratch.drop(groups)
+            pairs = self._opened(grouped) if last else self._between(grouped)
+            more = self._verified(pairs, sets, scratch)
+            scratch.drop(grouped)
+            found = found.union(more)
+        scratch.drop(entries, sets)
+        return components(found, scratch)
+
+    def matrix(self, grouped: DataFrame) -> DataFrame:
+        """The token-group matrix: for each shingle and group (in which some other group has the shingle too) how many members have it, their
+        sizes and reach, and the first of them; a row for each piece of the shingle's run."""
+        row = F.struct(*(F.col(c).alias(f"x{c}") for c in ("digest", "n", "pos", *self.sketch)))
+        cells = grouped.groupBy("tok", "grp", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("reach"), F.min(row).alias("one"), F.max("pieces").alias("pieces"))
+        shared = cells.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1").select("tok")
+        return cells.join(shared, "tok", "left_semi").select("tok", F.col("grp").alias("xgrp"), F.col("members").alias("xmembers"), "low", "high", "reach", "one.*", F.explode(F.expr("sequence(0L, pieces - 1)")).alias("piece"))
+
+    def _queries(self, grouped: DataFrame) -> DataFrame:
+        """Members of runs with each larger group in the run; of two groups of one size the one with the smaller id asks."""
+        asks = self._side(grouped, "y", "grp", "members")
+        return self.matrix(grouped).join(asks, ["tok", "piece"]).filter(F.struct("ymembers", "ygrp") < F.struct("xmembers", "xgrp"))
+
+    def _between(self, grouped: DataFrame) -> DataFrame:
+        """One pair for each two groups that may be similar: the one named in most runs."""
+        votes = self._queries(grouped).filter(self.fits("x", "y")).groupBy("xgrp", "ygrp", F.col("xdigest").alias("a"), F.col("ydigest").alias("b")).count()
+        return votes.groupBy("xgrp", "ygrp").agg(F.max_by(F.struct("a", "b"), F.struct("count", "a", "b")).alias("p")).select("p.*")
+
+    def _opened(self, grouped: DataFrame) -> DataFrame:
+        """Pairs of members of different groups that may be similar, from the groups that a member opens by their sizes and reach."""
+        need = F.ceil((self.percent * (F.col("yn") + F.greatest("low", F.expr(f"({self.percent} * yn + 99) div 100")))) / F.lit(100 + self.percent) - 1e-9)
+        sizes = (100 * F.col("high") >= self.percent * F.col("yn")) & (100 * F.col("yn") >= self.percent * F.col("low"))
+        opens = self._queries(grouped).filter(sizes & (F.least(F.col("yn") - F.col("ypos"), "reach") >= need)).select("ydigest", "xgrp").distinct()
+        asks = self._side(grouped.withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)"))), "y").join(opens, "ydigest")
+        pairs = self._side(grouped, "x", "grp").join(asks, ["tok", "piece", "xgrp"]).filter(self.fits("x", "y"))
+        return self._may(pairs.withColumnsRenamed({"xdigest": "a", "ydigest": "b"}))
+
+
+def piece_of(tok: np.ndarray, digest: np.ndarray, power: np.ndarray) -> np.ndarray:
+    """The piece of a frequent shingle's run in which a class lies; pieces hold some thousands."""
+    bits = np.maximum(power.astype(np.int64) - PIECE_BITS, 0).astype(np.uint64)
+    return (mix(tok ^ mix(digest)) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.uint64)
 
 
 def bitmap_of(digests: DataFrame) -> bytes:
-    """A bitmap of fixed size with the place of each digest set; gathered in slices on the executors."""
-    slices = 16
-    wide = BITMAP // slices
+    """A bitmap with the place of each digest, of some bits a digest and at most MOST_BITS; gathered in slices on the executors. What it lets
+    through by chance is sorted out by a join."""
+    size = 1 << max(1, 16 * digests.count()).bit_length()
+    size, slices = min(max(size, LEAST_BITS), MOST_BITS), 64
+    wide = size // slices
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITMAP, bool)
+        places = [np.zeros(0, np.int64)]
         for batch in batches:
-            bits[(batch.column(0).to_numpy().view(np.uint64) % np.uint64(BITMAP)).astype(np.int64)] = True
-        yield _table("part bits", pa.array(range(slices), pa.int32()), pa.array([np.packbits(bits[i * wide : (i + 1) * wide]).tobytes() for i in range(slices)], pa.binary()))
+            places.append((batch.column(0).to_numpy().view(np.uint64) % np.uint64(size)).astype(np.int64))
+        place = np.unique(np.concatenate(places))
+        cuts = np.searchsorted(place, np.arange(slices + 1) * wide)
+        for i in np.flatnonzero(np.diff(cuts)).tolist():
+            bits = np.zeros(wide, bool)
+            bits[place[cuts[i] : cuts[i + 1]] - i * wide] = True
+            yield _table("part bits", pa.array([i], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary()))
 
     def either(table: pa.Table) -> pa.Table:
         bits = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in table["bits"]])
         return pa.Table.from_batches([_table("part bits", table["part"].combine_chunks().slice(0, 1), pa.array([bits.tobytes()], pa.binary()))])
 
     got = digests.mapInArrow(mark, "part int, bits binary").groupBy("part").applyInArrow(either, "part int, bits binary").collect()
-    return b"".join(bytes(r.bits) for r in sorted(got, key=lambda r: r.part)) or bytes(BITMAP // 8)
+    whole = bytearray(size // 8)
+    for r in got:
+        whole[r.part * wide // 8 : (r.part + 1) * wide // 8] = r.bits
+    return bytes(whole)
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of some millions of edges (u, v) at a time, stars with the same components: u the smallest node."""
+    held: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        node, place = np.unique(np.concatenate([x for pair in held for x in pair]), return_inverse=True)
+        cut = np.cumsum([len(x) for pair in held for x in pair])
+        ends = np.split(place, cut[:-1])
+        u, v, label, before = np.concatenate(ends[::2]), np.concatenate(ends[1::2]), np.arange(len(node)), None
+        held.clear()
+        while before is None or (before != label).any():
+            before = label.copy()
+            least = np.minimum(label[u], label[v])
+            for x in (u, v):
+                np.minimum.at(label, label[x], least)
+                np.minimum.at(label, x, least)
+            label = label[label]
+        at = np.flatnonzero(label != np.arange(len(node)))
+        return _table("u v", pa.array(node[label[at]]), pa.array(node[at]))
+
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        if sum(len(x) for x, _ in held) > 1 << 22:
+            yield flush()
+    if held:
+        yield flush()
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, grp: the smallest node reachable by links (a, b), saved. Each task makes stars of its links; then the stars of neighbours are
+    joined, larger ones then smaller ones, until nothing changes."""
 
+    def mark(edges: DataFrame):
+        return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
 
-def components(links: DataFrame) -> DataFrame:
-    """node, grp: the smallest node reachable by links (a, b). Stars of neighbours are joined, larger ones then smaller ones, until nothing changes."""
-    edges = saved(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
-    while True:
+    edges = scratch.save(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u <> v").distinct().mapInArrow(_contract, "u long, v long"), "edges")
+    now = mark(edges)
+    while now[0]:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct()
         down = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(down, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u <> v").distinct()
-        new = saved(small, "edges")
-        mark_now = new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        changed, before = mark_now != before, mark_now
-        edges = new
-        if not changed:
-            return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("grp")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("grp")).distinct())
+        less = large.join(down, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u <> v").distinct()
+        new = scratch.save(less.mapInArrow(_contract, "u long, v long").distinct(), "edges")
+        scratch.drop(edges)
+        edges, before = new, now
+        now = mark(edges)
+        if now == before:
+            break
+    return edges.select(F.col("v").alias("node"), F.col("u").alias("grp")).union(edges.select("u", "u").distinct())

@@ -79,8 +79,41 @@ def test_line_dedup(spark):
     rows = [(2, f"{near}\nshort\nnew line of words here"), (1, f"{long}\nshort\n\na b c"), (3, "a b c\nshort"), (4, None), (5, ""), (None, long), (6, long), (6, long)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r.doc_id or 0, r.text, r.n_removed) for r in line_dedup.remove_repeated_lines(df).collect()), key=str)
-    assert got == sorted([(1, f"{long}\nshort\n\na b c", 0), (2, "short\nnew line of words here", 1), (3, "short", 1), (4, None, 0), (5, "", 0), (0, "", 1), (6, "", 1), (6, "", 1)], key=str)
+    assert got == sorted([(1, f"{long}\nshort\n\na b c", 0), (2, "new line of words here", 2), (3, "", 2), (4, None, 0), (5, "", 0), (0, "", 1), (6, "", 1), (6, "", 1)], key=str)
     assert line_dedup.remove_repeated_lines(df.filter("false")).count() == 0
+    kept = line_dedup.remove_repeated_lines(df, least_words=4)
+    assert {(r.doc_id, r.text) for r in kept.collect() if r.doc_id in (2, 3)} == {(2, "short\nnew line of words here"), (3, "a b c\nshort")}
+
+
+def test_line_dedup_takes_direct_matches(spark):
+    """Against brute force, with chains: a line goes if an earlier line is similar, whether that one stays or not; names clash, a text is very long."""
+    r = random.Random(11)
+    lines, rows = [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 30))) for _ in range(30)], []
+    for _ in range(200):  # chains: each a small change of some line before
+        w = r.choice(lines).split(" ")
+        w[r.randrange(len(w))] = r.choice(WORDS)
+        lines.append(" ".join(w))
+    r.shuffle(lines)
+    for i in range(40):
+        rows.append((i, "\n".join(lines[5 * i : 5 * i + 5]), 1, 2, "a", "b", "c", "d"))
+    rows.append((40, "\n".join(" ".join(r.choice(WORDS) for _ in range(12)) for _ in range(3000)) + "\n" + lines[0], 1, 2, "a", "b", "c", "d"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_removed int, k string, h string, gone string, `row` string").repartition(4)
+    got = line_dedup.remove_repeated_lines(df)
+    assert got.columns == ["doc_id", "text", "k", "h", "gone", "row", "n_lines", "n_removed"]
+    seen, index, want = [], {}, {}
+    for i, text, *_ in rows:
+        kept = []
+        for x in text.split("\n"):
+            w = space_words(x)
+            s = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+            near = {y for t in s for y in index.get(t, ())}
+            if not any(10 * len(s & seen[y]) >= 8 * len(s | seen[y]) for y in near):
+                kept.append(x)
+            for t in s:
+                index.setdefault(t, []).append(len(seen))
+            seen.append(s)
+        want[i] = "\n".join(kept)
+    assert {x.doc_id: x.text for x in got.collect()} == want
 
 
 def brute_contamination(text, items, size):
