@@ -126,6 +126,11 @@ class SetJoin:
         """Length of a sketch: lines are short."""
         return 1 if self.by_line else 4
 
+    @property
+    def wide(self) -> int:
+        """Length of the sketches that pairs are tried on before whole sets; they tell sets of some thousand shingles apart."""
+        return 1 if self.by_line else 64
+
     @property
     def sketch(self) -> list[str]:
         return [f"s{i}" for i in range(self.longs)]
@@ -327,7 +332,9 @@ class SetJoin:
                 want = ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0) & (np.diff(s.at) > 0)
                 want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
                 at = np.flatnonzero(want)
-                yield _table("digest toks", _int64(s.digest[at]), pa.array([s.tok[s.at[i] : s.at[i + 1]].tobytes() for i in at.tolist()], pa.binary()))
+                few = Sets(s.tok[np.repeat(want, np.diff(s.at))], np.concatenate([[0], np.cumsum(np.diff(s.at)[at])]), s.digest[at], s.row[at], s.part[at])
+                wide = few.sketches(self.wide)
+                yield _table("digest wide toks", _int64(few.digest), pa.array([x.tobytes() for x in wide], pa.binary()), pa.array([few.tok[few.at[i] : few.at[i + 1]].tobytes() for i in range(len(at))], pa.binary()))
 
         return run
 
@@ -340,16 +347,32 @@ class SetJoin:
                 ok.append(100 * both >= self.percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-        """Pairs (a, b) that are similar by their whole sets, saved. The set of an a with many partners is dealt out in several copies."""
-        pairs = scratch.save(pairs.select("a", "b"), "pairs")
+    def _near(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u8").reshape(-1, self.wide) for i in (4, 5))
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(self._reaches(n, x, m, y)))
+
+    def _joined(self, pairs: DataFrame, sets: DataFrame, column: Column, scratch: Scratch) -> DataFrame:
+        """Pairs with a column of sets of both, x and y. The set of an a with many partners is dealt out in several copies."""
         hubs = scratch.save(pairs.groupBy("a").count().filter(F.col("count") > HUB).select("a", F.ceil(F.col("count") / HUB).cast("int").alias("salts")), "hubs")
         few = small(hubs, 100_000)
-        x = sets.select(F.col("digest").alias("a"), F.col("toks").alias("x")).join(few, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-        y = sets.select(F.col("digest").alias("b"), F.col("toks").alias("y"))
+        ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+        held = sets.select("digest", column.alias("x")).join(small(scratch.save(ends, "ends"), 1_000_000), "digest", "left_semi")
+        x = held.withColumnRenamed("digest", "a").join(few, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+        y = held.toDF("b", "y")
         salted = pairs.join(few, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-        found = scratch.save(salted.join(y, "b").join(x, ["a", "salt"]).select("a", "b", "x", "y").mapInArrow(self._verify, "a long, b long"), "verified")
-        scratch.drop(pairs, hubs)
+        return salted.join(y, "b").join(x, ["a", "salt"])
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+        """Pairs (a, b) that are similar, saved: first by wide sketches, then by whole sets."""
+        pairs = near = scratch.save(pairs.select("a", "b"), "pairs")
+        if self.wide > self.longs:
+            both = self._joined(pairs, sets, F.struct("n", "wide"), scratch)
+            near = scratch.save(both.select("a", "b", "x.n", F.col("y.n").alias("m"), "x.wide", F.col("y.wide").alias("other")).mapInArrow(self._near, "a long, b long"), "near")
+        both = self._joined(near, sets, F.col("toks"), scratch)
+        found = scratch.save(both.select("a", "b", "x", "y").mapInArrow(self._verify, "a long, b long"), "verified")
+        scratch.drop(pairs, near)
         return found
 
     def _entries(self, texts: DataFrame, scan: DataFrame, classes: DataFrame, order: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -363,7 +386,7 @@ class SetJoin:
         full = runs.join(classes, "digest").withColumn("cell", F.pmod(F.xxhash64("tok", "piece"), F.lit(shards)))
         entries = scratch.save(full.groupBy("cell").applyInArrow(self._choose(order), full.withColumn("named", F.lit(None).cast("long")).schema), "entries")
         bitmap = spark.sparkContext.broadcast(bitmap_of(entries.select("digest")))
-        own = texts.mapInArrow(self._whole(bitmap), "digest long, toks binary")
+        own = texts.mapInArrow(self._whole(bitmap), "digest long, wide binary, toks binary").withColumn("n", F.expr("length(toks) div 8"))
         sets = scratch.save(own.join(entries.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
         for sent in (ranks, bitmap):
             sent.destroy()
