@@ -1,38 +1,42 @@
-"""Packing documents into training sequences by lexical retrieval over the whole table.
-
-One reading of the texts gives each document's tokens and terms; document frequencies, number and mean length of documents are those of the
-whole table. Documents are placed in rounds. A document at least as long as a window fills windows of its own first, and what is left of it
-is placed as the others. In each round some unused documents become seeds (as many as would use three quarters of the unused tokens), and each seed asks
-with all its terms for its best unused documents by BM25, wherever they lie: seeds go in chunks of bounded size to every task, each task scores
-all its unused documents against them, and the best of all tasks are merged. A document goes to the seed that wants it most, a seed takes its
-best documents until its window is full, and what a full window cuts off is unused again. A seed that isn't full asks again in the next
-round. When what is left is small (`LAST_DOCS`, `LAST_TOKENS`) one task places it seed after seed, by the same scores. Documents that share no term with an
-unused one are dealt to tasks by hash. Only the last windows of those tasks can fall short; they are cut into lengths that are powers of two,
-which need no padding.
-
-The work grows with seeds times documents, as every seed is scored against every unused document.
+"""Packing documents into training sequences by lexical retrieval over sharded BM25 inverted indexes.
+
+1. A bounded sample of documents (`sample_docs`) gives a routing tree: documents become token vectors weighted by idf, hashed to `DIMS`
+   dimensions, and each node splits its sample at the median of its main direction. Below the leaves further bits come from fixed random
+   directions around the leaf's mean, so that the order goes on to any depth, whatever the number of documents.
+2. One reading of all texts gives token ids, the place in that order, and document frequencies; number of documents, mean length and
+   document frequency of BM25 are those of the whole table (a table of one number for each id of the vocabulary).
+3. Documents are sorted by place over the cluster, so that alike ones lie together, wherever they come from; equal places are parted by a
+   hash, so that many copies make many shards. A shard is the next `shard_docs` documents or `shard_tokens` tokens of that order. Its
+   inverted index takes each seed's query with all the seed's terms and gives its unused neighbours, best first; they fill the seed's window. What a
+   full window cuts off is the next seed; without neighbours the next unused document of the order is. A shard's last window goes on with the
+   first documents of the next shard. Only the last window of a task can fall short; it is cut into lengths that are powers of two,
+   which need no padding.
+
+Every document is indexed and every seed asks its own shard, so the work grows with the number of documents. Neighbours in other shards
+aren't found; the README has figures for what that costs against a search of all documents.
 
 A null text is empty; an empty text is the end id alone. Rows with equal ids are packed each on its own. No documents give no rows. Other columns
-are not read. Equal scores are ordered by a hash of seed and document, so that copies are not all asked for by one seed after the other.
+are not read. A text of any length is packed whole; one longer than a shard is a shard. Equal scores go by the order in the shard, sequences are
+numbered by task and count.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import Scratch
 from tagloom.llm.tokens import WordEncoder
 from tagloom.llm.wordhash import blocks, mix
 
-LAST_TOKENS, LAST_DOCS, TURNS, LEAST_ASKED, K1, B = 2_000_000, 4_000, 3, 64, 1.2, 0.75
-CHUNK_SEEDS, CHUNK_TERMS, SLICE_DOCS, SLICE_TERMS, ROWS, DENSE, BITS = 4096, 1 << 20, 4096, 1 << 20, 256, 0.002, 32768
+SHARD_TOKENS, SHARD_DOCS, SAMPLE_DOCS, LEAF_DOCS, IDS, DIMS, PATH_BITS, K1, B = 2_000_000, 4_000, 4_096, 32, 1 << 16, 64, 40, 1.2, 0.75
 COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 _encoders: dict[str, WordEncoder] = {}
 
@@ -46,344 +50,258 @@ def saturation(tf: np.ndarray, length, mean: float) -> np.ndarray:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(1.0, mean)))
 
 
-def spread(n: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """start[i], start[i] + 1, ... of n[i] places for each i, one after the other."""
-    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
-
-
-class Seeds:
-    """Queries of a chunk of seeds: idf of each seed's terms, by seed."""
-
-    def __init__(self, ids: np.ndarray, n: np.ndarray, terms: np.ndarray, weights: np.ndarray):
-        self.ids, self.at = ids, np.concatenate([[0], np.cumsum(n)])
-        self.vocabulary, self.term = np.unique(terms, return_inverse=True)
-        self.weight, self.of = weights.astype(np.float32), np.repeat(np.arange(len(ids)), n)
-        self.asked = np.bincount(self.term, minlength=len(self.vocabulary))
-
-    def scores(self, doc: np.ndarray, term: np.ndarray, worth: np.ndarray, docs: int) -> Iterator[tuple[int, np.ndarray]]:
-        """First seed and scores (seeds x documents) of ROWS seeds at a time. Terms that many seeds and documents share are a product of dense
-        matrices, the others are added one by one; none is left out."""
-        at = np.minimum(np.searchsorted(self.vocabulary, term), max(0, len(self.vocabulary) - 1))
-        hit = self.vocabulary[at] == term if len(self.vocabulary) else np.zeros(len(term), bool)
-        doc, term, worth = doc[hit], at[hit], worth[hit].astype(np.float32)
-        order = np.argsort(term, kind="stable")
-        doc, term, worth = doc[order], term[order], worth[order]
-        n = np.bincount(term, minlength=len(self.vocabulary))
-        first = np.cumsum(n) - n
-        hot = self.asked * n > DENSE * len(self.ids) * docs
-        column = np.cumsum(hot) - 1
-        right = np.zeros((int(hot.sum()), docs), np.float32)
-        right[column[term[hot[term]]], doc[hot[term]]] = worth[hot[term]]
-        for lo in range(0, len(self.ids), ROWS):
-            hi = min(lo + ROWS, len(self.ids))
-            own = slice(self.at[lo], self.at[hi])
-            t, w, q = self.term[own], self.weight[own], self.of[own] - lo
-            left = np.zeros((hi - lo, len(right)), np.float32)
-            left[q[hot[t]], column[t[hot[t]]]] = w[hot[t]]
-            got = left @ right
-            cold = ~hot[t]
-            t, w, q = t[cold], w[cold], q[cold]
-            place = spread(n[t], first[t])
-            cell = np.repeat(q * docs, n[t]) + doc[place]
-            got += np.bincount(cell, np.repeat(w, n[t]) * worth[place], (hi - lo) * docs).reshape(hi - lo, docs)
-            yield lo, got
-
-
-def best_of(score: np.ndarray, uid: np.ndarray, seed: int, k: int) -> np.ndarray:
-    """Places of the k best, best first; equal scores by a hash of seed and document."""
-    few = np.flatnonzero(score > 0)
-    if len(few) > k:
-        few = few[score[few] >= np.partition(score[few], len(few) - k)[len(few) - k]]
-    tie = mix(uid[few].astype(np.uint64) ^ mix(np.full(len(few), seed, np.uint64)))
-    return few[np.lexsort((tie, -score[few]))[:k]]
-
-
-def in_order(sizes: list[int], seeds: Seeds, doc: np.ndarray, term: np.ndarray, worth: np.ndarray, window: int) -> list[int]:
-    """Documents of one task in the order in which they fill windows; seeds holds all of them."""
-    free = np.ones(len(sizes), bool)
-    at = np.searchsorted(seeds.vocabulary, term)
-    known = np.flatnonzero((at < len(seeds.vocabulary)) & (np.append(seeds.vocabulary, 0)[at] == term))
-    order = known[np.argsort(at[known], kind="stable")]
-    doc, worth, n = doc[order], worth[order], np.bincount(at[known], minlength=len(seeds.vocabulary))
-    first, uid = np.cumsum(n) - n, np.arange(len(sizes))
-
-    def near(d: int) -> Iterator[int]:
-        own = slice(seeds.at[d], seeds.at[d + 1])
-        t = seeds.term[own]
-        place = spread(n[t], first[t])
-        score = np.bincount(doc[place], np.repeat(seeds.weight[own], n[t]) * worth[place], len(sizes)) * free
-        return iter(best_of(score, uid, int(seeds.ids[d]), len(sizes)).tolist())
-
-    out: list[int] = []
-    left, found, fresh = window, iter(()), 0
-    while len(out) < len(sizes):
+def counts(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """document, term and count of the distinct ids of some documents that lie one after the other."""
+    pair, tf = np.unique(np.repeat(np.arange(len(sizes), dtype=np.uint32) << np.uint32(16), sizes) | ids, return_counts=True)
+    return (pair >> np.uint32(16)).astype(np.int64), (pair & np.uint32(IDS - 1)).astype(np.int64), tf
+
+
+@dataclass
+class Router:
+    """A tree of splits: node i goes on to 2i + 1 below or at its median along its direction, else to 2i + 2; leaves have no direction."""
+
+    idf: np.ndarray
+    direction: np.ndarray
+    median: np.ndarray
+    mean: np.ndarray
+    inner: np.ndarray
+
+    @staticmethod
+    def fit(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, docs: int) -> Router:
+        r = Router(idf(np.bincount(term, minlength=IDS), max(1, docs)).astype(np.float32), np.zeros((0, DIMS)), np.zeros(0), np.zeros((0, DIMS)), np.zeros(0, bool))
+        x = r.vectors(doc, term, tf, docs)
+        rows: dict[int, np.ndarray] = {0: np.arange(docs)}
+        nodes: dict[int, tuple] = {}
+        while rows:
+            i, own = rows.popitem()
+            mean = x[own].mean(0) if len(own) else np.zeros(DIMS)
+            if len(own) < 2 * LEAF_DOCS:
+                nodes[i] = (np.zeros(DIMS), 0.0, mean, False)
+                continue
+            way = np.linalg.svd(x[own] - mean, full_matrices=False)[2][0]
+            along = x[own] @ way
+            cut = float(np.median(along))
+            if not (along > cut).any():
+                nodes[i] = (np.zeros(DIMS), 0.0, mean, False)
+                continue
+            nodes[i] = (way, cut, mean, True)
+            rows[2 * i + 1], rows[2 * i + 2] = own[along <= cut], own[along > cut]
+        size = max(nodes) + 1
+        r.direction, r.median, r.mean, r.inner = np.zeros((size, DIMS)), np.zeros(size), np.zeros((size, DIMS)), np.zeros(size, bool)
+        for i, (way, cut, mean, inner) in nodes.items():
+            r.direction[i], r.median[i], r.mean[i], r.inner[i] = way, cut, mean, inner
+        return r
+
+    def vectors(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, docs: int) -> np.ndarray:
+        h = mix(term.astype(np.uint64) + np.uint64(1))
+        weight = (1 + np.log(tf)) * self.idf[term] * np.where(h >> np.uint64(63) > 0, 1.0, -1.0)
+        x = np.bincount(doc * DIMS + (h % np.uint64(DIMS)).astype(np.int64), weight, docs * DIMS).reshape(docs, DIMS)
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+    def places(self, x: np.ndarray) -> np.ndarray:
+        """Places in the order: the leaf's, from left to right, then bits of directions around its mean."""
+        node, path, depth = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+        while (on := np.flatnonzero(self.inner[node])).size:
+            right = (x[on] * self.direction[node[on]]).sum(1) > self.median[node[on]]
+            path[on] = path[on] << 1 | right
+            depth[on] += 1
+            node[on] = 2 * node[on] + 1 + right
+        ways = np.random.Generator(np.random.PCG64(5)).standard_normal((DIMS, PATH_BITS))
+        bits = ((x - self.mean[node]) @ ways > 0).astype(np.int64)
+        return (path << (62 - PATH_BITS - depth) << PATH_BITS) | (bits << np.arange(PATH_BITS - 1, -1, -1)).sum(1)
+
+
+def _tokens(path: str, end_id: int, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows lo:hi, their ids (each text's with the end id) and sizes."""
+    encoder = _encoders[path] if path in _encoders else _encoders.setdefault(path, WordEncoder(path))
+    for lo, hi in blocks(texts, 1 << 20):
+        flat, at, _, _ = encoder(texts.slice(lo, hi - lo))
+        at = at[: hi - lo + 1]
+        yield lo, hi, np.insert(flat[: at[-1]], at[1:], np.uint16(end_id)), np.diff(at) + 1
+
+
+def _sampled(path: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, ids, sizes in _tokens(path, end_id, batch.column(0)):
+                doc, term, tf = counts(ids, sizes)
+                at = np.searchsorted(doc, np.arange(len(sizes) + 1))
+                yield pa.RecordBatch.from_arrays([pa.array([x[at[i] : at[i + 1]].astype(t).tobytes() for i in range(len(sizes))], pa.binary()) for x, t in ((term, "<u2"), (tf, "<u4"))], ["term", "tf"])
+
+    return run
+
+
+def learn_router(texts: DataFrame, tokenizer_path: str, end_id: int, sample_docs: int) -> Router:
+    """From about sample_docs documents, chosen by a hash of the text and of a row number."""
+    rows = texts.count()
+    keep = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 30)) < int(min(1.0, sample_docs / max(1, rows)) * (1 << 30))
+    got = texts.filter(keep).mapInArrow(_sampled(tokenizer_path, end_id), "term binary, tf binary").limit(2 * sample_docs).toArrow()
+    term, tf = ([np.frombuffer(x.as_py(), t) for x in got[c]] for c, t in (("term", "<u2"), ("tf", "<u4")))
+    doc = np.repeat(np.arange(len(term)), [len(x) for x in term])
+    none = [np.zeros(0, np.int64)]
+    return Router.fit(doc, np.concatenate([*none, *term]), np.concatenate([*none, *tf]), len(term))
+
+
+def _read(path: str, end_id: int, router):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, df, docs, total = router.value, np.zeros(IDS, np.int64), 0, 0
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            for lo, hi, ids, sizes in _tokens(path, end_id, batch.column(1)):
+                doc, term, tf = counts(ids, sizes)
+                df += np.bincount(term, minlength=IDS)
+                docs, total = docs + hi - lo, total + len(ids)
+                at = np.concatenate([[0], np.cumsum(sizes)])
+                data = ids.astype("<u2").tobytes()
+                place = tree.places(tree.vectors(doc, term, tf, hi - lo))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(place), pa.array([data[2 * a : 2 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary()), *[pa.nulls(hi - lo, pa.int64())] * 2], ["key", "place", "ids", "term", "df"])
+        if docs:
+            term = np.flatnonzero(df)
+            term, df = np.append(term, [-1, -2]), np.append(df[term], [docs, total])  # and the number of documents and of tokens
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(term), kind), pa.nulls(len(term), pa.int64()), pa.nulls(len(term), pa.binary()), pa.array(term), pa.array(df)], ["key", "place", "ids", "term", "df"])
+
+    return run
+
+
+class Index:
+    """Inverted index of a shard: postings of rare terms, and a matrix of what the terms that many of its documents have are worth in each."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, weights: np.ndarray, mean: float):
+        self.docs = len(sizes)
+        doc, term, tf = counts(ids, sizes)
+        worth = (saturation(tf, sizes[doc], mean) * weights[term]).astype(np.float32)
+        known, term = np.unique(term, return_inverse=True)
+        self.term, self.of = term, np.searchsorted(doc, np.arange(self.docs + 1))
+        df = np.bincount(term, minlength=len(known))
+        self.hot = df > max(16, self.docs >> 5)
+        self.column = np.cumsum(self.hot) - 1
+        own = self.hot[term]
+        self.matrix = np.zeros((self.docs, int(self.hot.sum())), np.float32)
+        self.matrix[doc[own], self.column[term[own]]] = worth[own]
+        order = np.argsort(term[~own], kind="stable")
+        self.doc, self.worth = doc[~own][order], worth[~own][order]
+        self.n = np.where(self.hot, 0, df)
+        self.first = np.cumsum(self.n) - self.n
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of all documents of the shard for all terms of a seed."""
+        term = self.term[self.of[seed] : self.of[seed + 1]]
+        asked = np.zeros(self.matrix.shape[1], np.float32)
+        asked[self.column[term[self.hot[term]]]] = 1
+        n = self.n[term]
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[term], n)
+        return self.matrix @ asked + np.bincount(self.doc[place], self.worth[place], self.docs)
+
+
+def in_order(sizes: np.ndarray, index: Index, window: int, left: int) -> Iterator[int]:
+    """Documents of a shard in the order in which they fill windows; the first window has room for left tokens."""
+    free, fresh, found = np.ones(len(sizes), bool), 0, iter(())
+
+    def near(seed: int) -> Iterator[int]:
+        score = index.scores(seed) * free
+        return iter(np.argsort(-score, kind="stable")[: int((score > 0).sum())].tolist())
+
+    for _ in range(len(sizes)):
         d = next((x for x in found if free[x]), None)
         if d is None:
             while not free[fresh]:
                 fresh += 1
-            d = fresh
-        out.append(d)
+            d, found = fresh, None
+        yield d
         free[d] = False
         if sizes[d] >= left:  # full; the rest of this document, if any, is the next seed
-            left = window - (sizes[d] - left) % window
+            left = window - (int(sizes[d]) - left) % window
             found = near(d) if left < window else iter(())
         else:
-            if left == window:
-                found = near(d)
-            left -= sizes[d]
-    return out
+            found = near(d) if found is None else found
+            left -= int(sizes[d])
 
 
-def _lengths(total: int, window: int) -> Iterator[int]:
-    for _ in range(total // window):
-        yield window
-    rest = total % window
-    while rest:
-        yield (size := 1 << rest.bit_length() - 1)
-        rest -= size
-
-
-def _encode(path: str, end_id: int):
+def _pack(model, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, WordEncoder(path)) if path not in _encoders else _encoders[path]
+        weights, mean, shard_docs, shard_tokens = model.value
+        made = (context.partitionId() if (context := TaskContext.get()) else 0) << 33
+        held: list[tuple] = []  # key and ids of the shard's documents
+        window_pieces: list[tuple] = []  # of the open window: key, start, ids, tokens of the document
+        filled = total = 0
+
+        def rows(pieces: list[tuple]) -> Iterator[tuple]:
+            nonlocal made
+            offset = 0
+            for key, start, ids, n in pieces:
+                yield key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), n, made, offset
+                offset += len(ids)
+            made += 1
+
+        def batch_of(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i else kind) for i, c in enumerate(cols)], ["key", *COLUMNS])
+
+        def flush() -> list[tuple]:
+            nonlocal filled, window_pieces
+            keys, ids = zip(*held, strict=True)
+            held.clear()
+            sizes, out = np.array([len(x) for x in ids]), []
+            for d in in_order(sizes, Index(np.concatenate(ids), sizes, weights, mean), window, window - filled):
+                start, n = 0, len(ids[d])
+                while start < n:
+                    more = min(window - filled, n - start)
+                    window_pieces.append((keys[d], start, ids[d][start : start + more], n))
+                    start, filled = start + more, filled + more
+                    if filled == window:
+                        out += rows(window_pieces)
+                        window_pieces, filled = [], 0
+            return out
+
+        kind = pa.null()
         for batch in batches:
-            for lo, hi in blocks(batch.column(1), 1 << 20):
-                flat, at, pieces, first = encoder(batch.column(1).slice(lo, hi - lo))
-                ids, terms, tfs = [], [], []
-                for i in range(hi - lo):
-                    ids.append(np.append(flat[at[i] : at[i + 1]], np.uint16(end_id)).astype("<u2").tobytes())
-                    term, tf = np.unique(pieces[first[i] : first[i + 1]], return_counts=True)
-                    terms.append(term.astype("<u8").tobytes())
-                    tfs.append(tf.astype("<u4").tobytes())
-                size = np.diff(at[: hi - lo + 1]) + 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(size.astype(np.int64)), pa.array(np.diff(first[: hi - lo + 1]).astype(np.int64)), pa.array(ids, pa.binary()), pa.array(terms, pa.binary()), pa.array(tfs, pa.binary())], ["key", "n", "words", "ids", "terms", "tf"])
+            kind = batch.column(0).type
+            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.append((key, np.frombuffer(ids.as_py(), "<u2")))
+                total += len(held[-1][1])
+                if total >= shard_tokens or len(held) >= shard_docs:
+                    yield batch_of(flush(), kind)
+                    total = 0
+        last = flush() if held else []
+        while window_pieces:  # the largest power of two that is left
+            room, part = 1 << filled.bit_length() - 1, []
+            filled -= room
+            while room:
+                key, start, ids, n = window_pieces.pop(0)
+                part.append((key, start, ids[:room], n))
+                if len(ids) > room:
+                    window_pieces.insert(0, (key, start + room, ids[room:], n))
+                room -= len(part[-1][2])
+            last += rows(part)
+        if last:
+            yield batch_of(last, kind)
 
     return run
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of one task's documents with each term, a few million terms at a time."""
-    held: list[np.ndarray] = []
-
-    def flush() -> pa.RecordBatch:
-        term, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "df"])
-
-    for batch in batches:
-        held += [np.frombuffer(x.as_py(), "<u8") for x in batch.column(0)]
-        if sum(map(len, held)) > 1 << 22:
-            yield flush()
-    if held:
-        yield flush()
-
-
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        terms = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
-        for lo in range(0, len(terms), 500):
-            few = terms[lo : lo + 500]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).slice(lo, len(few)).to_numpy(), [len(x) for x in few])), pa.array(np.concatenate(few))], ["grp", "term"])
-
-
-def read(docs: DataFrame, tokenizer_path: str, key: str, text: str, end_id: int) -> DataFrame:
-    """uid, key, n (tokens), words, ids, terms (distinct, hashed) and tf of each document, saved."""
+def tokenized(docs: DataFrame, tokenizer_path: str, key: str, text: str, end_id: int, sample_docs: int, scratch: Scratch) -> tuple[DataFrame, np.ndarray, int, float]:
+    """key, place, row (a number of its own), ids of each document, saved; document frequencies, number and mean length of documents."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    router = docs.sparkSession.sparkContext.broadcast(learn_router(rows.select("text"), tokenizer_path, end_id, sample_docs))
     kind = docs.schema[key].dataType.simpleString()
-    made = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_encode(tokenizer_path, end_id), f"key {kind}, n long, words long, ids binary, terms binary, tf binary")
-    return saved(made.withColumn("uid", F.monotonically_increasing_id()), "packed")
-
-
-class Corpus:
-    """All documents with the statistics of BM25, and the search for the best unused ones."""
-
-    def __init__(self, table: DataFrame):
-        self.table = table
-        self.docs, words = table.agg(F.count("*"), F.sum("words")).first()
-        self.mean = (words or 0) / max(1, self.docs)
-        self.df = saved(table.select("terms").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).filter("df > 1"), "df")
-
-    def queries(self, seeds: DataFrame) -> DataFrame:
-        """grp and q (term, df) of each seed that shares a term with another document; grp is the seed's uid."""
-        rows = self.table.join(seeds.select(F.col("grp").alias("uid")), "uid").select(F.col("uid").alias("grp"), "terms").mapInArrow(_terms, "grp long, term long")
-        return rows.join(self.df, "term").groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("term", "df"))).alias("q"))
-
-    def seeds(self, got: pa.Table) -> Seeds:
-        got = got.combine_chunks().sort_by("grp")
-        lists = got["q"].combine_chunks() if got.num_rows else None
-        if lists is None:
-            return Seeds(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
-        flat = lists.flatten()
-        return Seeds(got["grp"].to_numpy(), np.diff(lists.offsets.to_numpy()), flat.field("term").to_numpy().view(np.uint64), idf(flat.field("df").to_numpy(), self.docs))
-
-    def _score(self, sent, bitmap, k: int):
-        mean = self.mean
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seeds, bits = Seeds(*sent.value), bitmap.value
-            best = [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * len(seeds.ids)
-            held: list[tuple] = []
-
-            def add() -> None:
-                n = np.array([len(x[1]) for x in held])
-                doc, uid = np.repeat(np.arange(len(held)), n), np.array([x[0] for x in held])
-                words = np.array([x[3] for x in held], float)[doc]
-                worth = saturation(np.concatenate([x[2] for x in held]).astype(float), words, mean)
-                for lo, score in seeds.scores(doc, np.concatenate([x[1] for x in held]), worth, len(held)):
-                    for i, row in enumerate(score, lo):
-                        own = uid != seeds.ids[i]
-                        at = best_of(row * own, uid, int(seeds.ids[i]), k)
-                        u, s = np.concatenate([best[i][0], uid[at]]), np.concatenate([best[i][1], row[at]])
-                        top = best_of(s, u, int(seeds.ids[i]), k)
-                        best[i] = u[top], s[top]
-                held.clear()
-
-            terms = 0
-            for batch in batches:
-                for uid, words, term, tf in zip(*(batch.column(i) for i in range(4)), strict=True):
-                    uid = uid.as_py()
-                    own = bits.get(uid // BITS)
-                    if own is None or not own[uid % BITS >> 3] >> (uid % 8) & 1:
-                        continue
-                    held.append((uid, np.frombuffer(term.as_py(), "<u8"), np.frombuffer(tf.as_py(), "<u4"), words.as_py()))
-                    terms += len(held[-1][1])
-                    if len(held) >= SLICE_DOCS or terms >= SLICE_TERMS:
-                        add()
-                        terms = 0
-            if held:
-                add()
-            some = [i for i, x in enumerate(best) if len(x[0])]
-            for lo in range(0, len(some), 1000):
-                few = some[lo : lo + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array(seeds.ids[few]), pa.array([best[i][0].astype("<i8").tobytes() for i in few], pa.binary()), pa.array([best[i][1].astype("<f4").tobytes() for i in few], pa.binary())], ["grp", "uids", "scores"])
-
-        return run
-
-    def nearest(self, seeds: DataFrame, free: DataFrame, k: int) -> DataFrame:
-        """grp, uid, score: the k best documents of free (uid) for each seed (grp) by BM25 over the whole table, saved."""
-        spark = self.table.sparkSession
-        asked = saved(self.queries(seeds), "queries")
-        count, terms = asked.agg(F.count("*"), F.sum(F.size("q"))).first()
-        chunks = max(1, math.ceil(count / CHUNK_SEEDS), math.ceil((terms or 0) / CHUNK_TERMS))
-        marks = free.select(F.bitmap_bucket_number(F.col("uid") + 1).alias("b"), F.bitmap_bit_position(F.col("uid") + 1).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
-        bitmap = spark.sparkContext.broadcast({r.b - 1: bytes(r.bits) for r in marks})
-        table = self.table.select("uid", "words", "terms", "tf").coalesce(max(2, spark.sparkContext.defaultParallelism * 2))
-        parts = None
-        for c in range(chunks):
-            s = self.seeds(asked.filter(F.pmod(F.xxhash64("grp"), F.lit(chunks)) == c).toArrow())
-            sent = spark.sparkContext.broadcast((s.ids, np.diff(s.at), s.vocabulary[s.term], s.weight))
-            found = saved(table.mapInArrow(self._score(sent, bitmap, k), "grp long, uids binary, scores binary").groupBy("grp").applyInArrow(_merge(k), "grp long, uid long, score float"), "nearest")
-            parts = parts.union(found) if parts is not None else found
-            sent.unpersist()
-        bitmap.unpersist()
-        return parts
-
-
-def _merge(k: int):
-    def run(table: pa.Table) -> pa.Table:
-        uid = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table["uids"]])
-        score = np.concatenate([np.frombuffer(x.as_py(), "<f4") for x in table["scores"]])
-        grp = table["grp"][0].as_py()
-        top = best_of(score, uid, grp, k)
-        return pa.table({"grp": pa.array([grp] * len(top), pa.int64()), "uid": uid[top], "score": score[top]})
-
-    return run
+    made = rows.mapInArrow(_read(tokenizer_path, end_id, router), f"key {kind}, place long, ids binary, term long, df long")
+    table = scratch.save(made.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    router.destroy()
+    sums = dict(table.filter("term IS NOT NULL").groupBy("term").agg(F.sum("df")).collect())  # at most one row for each id of the vocabulary
+    count, total = sums.pop(-1, 0), sums.pop(-2, 0)
+    df = np.zeros(IDS, np.int64)
+    df[list(sums)] = list(sums.values())
+    return table.filter("ids IS NOT NULL").select("key", "place", "row", "ids"), df, count, total / max(1, count)
 
 
-def _last(docs: int, mean: float, window: int):
-    """Pieces of what is left: items (members, size, and their seed's terms) of one bucket, filled seed after seed."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("grp")
-        lists = [x or [] for x in table["q"].to_pylist()]
-        n = np.array([len(x) for x in lists], np.int64)
-        asked = np.array([t["term"] for x in lists for t in x], np.int64).view(np.uint64)
-        seeds = Seeds(table["grp"].to_numpy(), n, asked, idf(np.array([t["df"] for x in lists for t in x], float), docs))
-        terms, tfs = ([np.frombuffer(x.as_py(), t) for x in table[c]] for c, t in (("terms", "<u8"), ("tf", "<u4")))
-        doc = np.repeat(np.arange(len(terms)), [len(x) for x in terms])
-        worth = saturation(np.concatenate(tfs).astype(float), table["words"].to_numpy().astype(float)[doc], mean)
-        sizes = table["have"].to_pylist()
-        members = table["members"].to_pylist()
-        bucket, lengths = table["bucket"][0].as_py(), enumerate(_lengths(sum(sizes), window))
-        sequence, left, offset, out = -1, 0, 0, []
-        for d in in_order(sizes, seeds, doc, np.concatenate(terms), worth, window):
-            for m in members[d]:
-                start, end = m["start"], m["start"] + m["length"]
-                while start < end:
-                    if not left:
-                        (sequence, left), offset = next(lengths), 0
-                    size = min(left, end - start)
-                    out.append((m["uid"], start, size, 3 * ((bucket << 33) + sequence) + 2, offset))
-                    start, left, offset = start + size, left - size, offset + size
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("uid", "start", "length", "sequence_id", "offset"), zip(*out, strict=True), strict=True)})
-
-    return run
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(i, p["start"], p["length"], zlib.crc32(np.frombuffer(ids, "<u2")[p["start"] : p["start"] + p["length"]].astype("<u4").tobytes()), len(ids) // 2, p["sequence_id"], p["offset"]) for i, (ids, ps) in enumerate(zip((x.as_py() for x in batch.column(1)), batch.column(2).to_pylist(), strict=True)) for p in ps]
-        cols = list(zip(*rows, strict=True)) or [()] * 7
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.int64()) for c in cols[1:])], ["key", *COLUMNS])
-
-
-def placed_in_rounds(corpus: Corpus, window: int, last_docs: int, last_tokens: int) -> DataFrame:
-    """uid, start, length, sequence_id, offset of each piece."""
-    table = corpus.table
-    spark = table.sparkSession
-    own = saved(table.filter(F.col("n") >= window).select("uid", F.explode(F.sequence(F.lit(0), (F.col("n") / window).cast("long") - 1)).alias("i")).withColumn("x", F.monotonically_increasing_id()), "own")
-    pieces = own.select("uid", (F.col("i") * window).alias("start"), F.lit(window).cast("long").alias("length"), (3 * F.col("x")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest = table.select("uid", (F.col("n") - F.col("n") % window).alias("start"), (F.col("n") % window).alias("n"), "words").filter("n > 0")
-    alone = rest.filter("words = 0").select(F.col("uid").alias("grp"), "uid", "start", F.col("n").alias("length"), F.lit(0).cast("long").alias("offset"))
-    free = saved(rest.filter("words > 0").drop("words"), "free")
-    members = spark.createDataFrame([], "grp long, uid long, start long, length long, offset long")
-    open_groups, turn = spark.createDataFrame([], "grp long, have long"), 0
-    lonely = spark.createDataFrame([], "grp long")
-    while True:
-        docs, tokens = free.agg(F.count("*"), F.sum("n")).first()
-        if not docs or (docs <= last_docs and tokens <= last_tokens):
-            break
-        need = open_groups.agg(F.sum(window - F.col("have"))).first()[0] or 0
-        share = max(0.0, (0.75 * tokens - need) / window) / docs
-        mark = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(1 << 30))
-        new = saved(free.filter(mark < int(share * (1 << 30))), "seeds")
-        if new.isEmpty() and open_groups.isEmpty():
-            new = saved(free.orderBy(mark, "uid").limit(1), "seeds")
-        members = members.union(new.select(F.col("uid").alias("grp"), "uid", "start", F.col("n").alias("length"), F.lit(0).cast("long").alias("offset")))
-        open_groups = saved(open_groups.union(new.select(F.col("uid").alias("grp"), F.col("n").alias("have"))), "open")
-        free = saved(free.join(new.select("uid"), "uid", "left_anti"), "free")
-        edges = corpus.nearest(open_groups, free, min(docs, max(LEAST_ASKED, math.ceil(2 * window * docs / tokens)) << turn))  # later seeds want the same few, so they name more
-        none = saved(open_groups.join(edges.select("grp").distinct(), "grp", "left_anti"), "lonely")
-        lonely = lonely.union(none.select("grp"))
-        open_groups = open_groups.join(none.select("grp"), "grp", "left_anti")
-        edges = saved(edges.join(free, "uid"), "edges")
-        for _ in range(TURNS):
-            wanted = edges.groupBy("uid", "start", "n").agg(F.max(F.struct("score", "grp")).alias("b")).select("uid", "start", "n", "b.grp", "b.score").join(open_groups, "grp")
-            before = F.col("have") + F.coalesce(F.sum("n").over(Window.partitionBy("grp").orderBy(F.desc("score"), F.xxhash64("grp", "uid"), "uid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            taken = saved(wanted.withColumn("offset", before).filter(F.col("offset") < window).withColumn("length", F.least("n", window - F.col("offset"))).select("grp", "uid", "start", "length", "offset", "n"), "taken")
-            members = members.union(taken.drop("n"))
-            more = taken.groupBy("grp").agg(F.sum("length").alias("more"))
-            open_groups = saved(open_groups.join(more, "grp", "left").select("grp", (F.col("have") + F.coalesce("more", F.lit(0))).alias("have")).filter(F.col("have") < window), "open")
-            free = free.join(taken.select("uid"), "uid", "left_anti").union(taken.filter("n > length").select("uid", (F.col("start") + F.col("length")).alias("start"), (F.col("n") - F.col("length")).alias("n")))
-            edges = saved(edges.join(taken.select("uid"), "uid", "left_anti").join(open_groups.select("grp"), "grp", "left_semi"), "edges")
-        free = saved(free, "free")
-        turn += 1
-    short = open_groups.select("grp").withColumn("apart", F.lit(False)).union(lonely.withColumn("apart", F.lit(True)))
-    full = members.join(short, "grp", "left_anti")
-    pieces = pieces.union(full.select("uid", "start", "length", (3 * F.col("grp") + 1).alias("sequence_id"), "offset"))
-    left = members.join(short, "grp").union(free.select(F.col("uid").alias("grp"), "uid", "start", F.col("n").alias("length"), F.lit(0).cast("long").alias("offset"), F.lit(False).alias("apart"))).union(alone.withColumn("apart", F.lit(True)))
-    items = saved(left.groupBy("grp", "apart").agg(F.sort_array(F.collect_list(F.struct("offset", "uid", "start", "length"))).alias("members"), F.sum("length").alias("have")), "items")
-    buckets = max(1, math.ceil(items.filter("apart").count() / LAST_DOCS))
-    items = items.withColumn("bucket", F.when(F.col("apart"), 1 + F.pmod(F.xxhash64("grp"), F.lit(buckets))).otherwise(F.lit(0)))
-    terms = table.select(F.col("uid").alias("grp"), "words", "terms", "tf")
-    final = items.join(terms, "grp").join(corpus.queries(items), "grp", "left").groupBy("bucket").applyInArrow(_last(corpus.docs, corpus.mean, window), "uid long, start long, length long, sequence_id long, offset long")
-    return saved(pieces.unionByName(final), "pieces")
-
-
-def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", window: int = 4096, end_id: int = 2, last_docs: int = LAST_DOCS, last_tokens: int = LAST_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", window: int = 4096, end_id: int = 2, shard_docs: int = SHARD_DOCS, shard_tokens: int = SHARD_TOKENS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """A row for each piece: the key, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
-    kind = docs.schema[key].dataType
-    table = read(docs, tokenizer_path, key, text, end_id)
-    pieces = placed_in_rounds(Corpus(table), window, last_docs, last_tokens)
-    of = pieces.groupBy("uid").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
-    rows = table.select("uid", "key", "ids").join(of, "uid").select("key", "ids", "pieces").mapInArrow(_cut, f"key {kind.simpleString()}, " + ", ".join(f"{c} long" for c in COLUMNS))
-    return rows.withColumnRenamed("key", key)
+    scratch = Scratch(docs.sparkSession)
+    table, df, count, mean = tokenized(docs, tokenizer_path, key, text, end_id, sample_docs, scratch)
+    weights = idf(df, count)
+    weights[end_id] = 0  # which all documents share
+    model = docs.sparkSession.sparkContext.broadcast((weights, mean, shard_docs, shard_tokens))
+    ordered = table.withColumn("tie", F.xxhash64("row")).repartitionByRange("place", "tie").sortWithinPartitions("place", "tie", "row")
+    kind = docs.schema[key].dataType.simpleString()
+    return ordered.select("key", "ids").mapInArrow(_pack(model, window), f"key {kind}, " + ", ".join(f"{c} long" for c in COLUMNS)).withColumnRenamed("key", key)

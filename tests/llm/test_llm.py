@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tagloom.llm import extract, language, line_dedup, near_duplicates, neighbours, ngram, pack, pii, tokens, url_filter
 from tagloom.llm.decontaminate import contamination, remove_contaminated
 from tagloom.llm.queries import tokenizer_path
+from tagloom.llm.scratch import Scratch
 
 WORDS = [a + b for a in "ba ke li mo nu re sa ti wo".split() for b in "ba ke li mo nu re sa ti wo".split()]
 
@@ -273,66 +275,74 @@ def test_pipeline(spark):
     assert found.columns[0] == "doc_id" and found.count() > 0
 
 
-def bm25(terms, seed, docs):
-    n, mean = len(docs), sum(map(len, docs)) / len(docs)
-    out = {}
-    for d, words in enumerate(docs):
-        total = 0.0
-        for t in set(terms) & set(words):
-            df, tf = sum(t in x for x in docs), words.count(t)
-            total += np.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
-        if total and d != seed:
-            out[d] = total
-    return out
+def bm25(docs):
+    """For each document as a seed the scores of all others for all its terms; documents are lists of token ids."""
+    n, mean, tf = len(docs), sum(map(len, docs)) / len(docs), [Counter(x) for x in docs]
+    df = Counter(t for x in tf for t in x)
 
+    def score(seed):
+        out = {}
+        for d, own in enumerate(tf):
+            norm = 1.2 * (0.25 + 0.75 * len(docs[d]) / mean)
+            total = sum(np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * own[t] * 2.2 / (own[t] + norm) for t in tf[seed].keys() & own.keys() - {2})
+            if total and d != seed:
+                out[d] = total
+        return out
 
-def test_packing_searches_the_whole_table(spark, monkeypatch):
+    return score
+
+
+def test_packing_by_retrieval(spark):
+    """Index and order against brute-force BM25 with statistics of the whole table; documents of one topic meet across partitions."""
     r = random.Random(3)
     topics = [[f"{w}{c}" for w in WORDS[:40]] for c in "abcdefgh"]
-    made = [" ".join([*(r.choice(topics[i % 8]) for _ in range(r.randint(20, 50))), *(r.choice(WORDS) for _ in range(10))]) for i in range(160)]
+    made = [" ".join([*(r.choice(topics[i % 8]) for _ in range(r.randint(20, 50))), *(r.choice(WORDS) for _ in range(10))]) for i in range(400)]
     made += ["", None, "alone"]
-    order = sorted(range(len(made)), key=lambda i: i // 8 % 5)  # each partition holds a few documents of every topic
-    df = spark.createDataFrame([(i, made[i]) for i in order], "doc_id long, text string").coalesce(1).repartitionByRange(5, F.expr("doc_id div 8 % 5"))
+    df = spark.createDataFrame([(i, made[i], "x", 1) for i in range(403)], "doc_id long, text string, place string, term int").repartition(5, "doc_id")
     path = tokenizer_path()
-    monkeypatch.setattr(pack, "SLICE_DOCS", 16)
-    monkeypatch.setattr(pack, "CHUNK_SEEDS", 7)
-    table = pack.read(df, path, "doc_id", "text", 2)
-    corpus = pack.Corpus(table)
-    words = [space_words(x) for x in made]
-    assert corpus.docs == len(made) and abs(corpus.mean - np.mean([len(w) for w in words])) < 1e-9
-    uid = {x.key: x.uid for x in table.select("key", "uid").collect()}
-    of = {v: k for k, v in uid.items()}
-    seeds = spark.createDataFrame([(uid[i],) for i in range(0, 160, 9)], "grp long")
-    free = spark.createDataFrame([(uid[i],) for i in range(163) if i % 3], "uid long")
-    got = {}
-    for x in corpus.nearest(seeds, free, 10).collect():
-        got.setdefault(of[x.grp], {})[of[x.uid]] = x.score
-    for s in range(0, 160, 9):
-        want = {d: v for d, v in bm25(words[s], s, words).items() if d % 3}
-        best = sorted(want.values(), reverse=True)[:10]
-        assert np.allclose(sorted(got[s].values(), reverse=True), best, rtol=1e-5) and all(abs(want[d] - v) < 1e-3 for d, v in got[s].items())
-    rows = pack.pack(df, path, window=512, last_docs=20).collect()
-    sizes = {}
-    for x in sorted(rows, key=lambda x: (x.sequence_id, x.offset)):
+    scratch = Scratch(spark)
+    table, frequency, count, mean = pack.tokenized(df, path, "doc_id", "text", 2, 4096, scratch)
+    rows = sorted(table.collect(), key=lambda x: x.key)
+    ids = [np.frombuffer(x.ids, "<u2").tolist() for x in rows]
+    assert count == 403 and abs(mean - np.mean([len(x) for x in ids])) < 1e-9
+    assert all(frequency[t] == sum(t in x for x in ids) for t in set(ids[0]))
+    weights = pack.idf(frequency, count)
+    weights[2] = 0
+    sizes = np.array([len(x) for x in ids])
+    index = pack.Index(np.concatenate(ids).astype(np.uint16), sizes, weights, mean)
+    score = bm25(ids)
+    for seed in range(0, 403, 31):
+        want, got = score(seed), index.scores(seed)
+        assert all(abs(want.get(d, 0) - got[d]) < 1e-3 for d in range(403) if d != seed)
+    used, left, found = set(), 256, None  # the greedy rule, step by step
+    for d in pack.in_order(sizes, index, 256, 256):
+        if found is not None:
+            best = max((found[x] for x in found if x not in used), default=0)
+            assert not best or abs(found[d] - best) < 1e-3
+        used.add(d)
+        if sizes[d] >= left:
+            left = 256 - (int(sizes[d]) - left) % 256
+            found = score(d) if left < 256 else None
+        else:
+            found = score(d) if found is None or d not in found else found
+            left -= int(sizes[d])
+    assert len(used) == 403
+    got = pack.pack(df, path, window=512, shard_docs=50).collect()
+    sizes, parts, total = {}, {}, {}
+    for x in sorted(got, key=lambda x: (x.sequence_id, x.offset)):
         assert x.offset == sizes.get(x.sequence_id, 0)
         sizes[x.sequence_id] = x.offset + x.length
-    assert all(n == 512 or (n < 512 and n & (n - 1) == 0) for n in sizes.values())
-    parts, total = {}, {}
-    for x in rows:
         parts.setdefault(x.doc_id, []).append((x.start, x.length))
         total[x.doc_id] = x.doc_tokens
+    assert all(n == 512 or (n < 512 and n & (n - 1) == 0) for n in sizes.values()) and len(parts) == 403
     for d, p in parts.items():
         assert [a for a, _ in sorted(p)] == [0, *np.cumsum([n for _, n in sorted(p)])[:-1]] and sum(n for _, n in p) == total[d]
-    assert len(parts) == len(made)
-    together, apart = 0, 0
+    together = pairs = 0
     for s in sizes:
-        own = {x.doc_id for x in rows if x.sequence_id == s and x.doc_id < 160}
-        for a in own:
-            for b in own:
-                if a < b and a % 8 == b % 8:
-                    together += 1
-                    apart += a // 8 % 5 != b // 8 % 5
-    assert together and apart > together / 2  # documents of one topic meet across partitions
+        own = sorted({x.doc_id for x in got if x.sequence_id == s and x.doc_id < 400})
+        pairs += len(own) * (len(own) - 1) // 2
+        together += sum(a % 8 == b % 8 for i, a in enumerate(own) for b in own[i + 1 :])
+    assert together > 0.6 * pairs  # by chance an eighth
 
 
 def test_extract_counts_all_pages_of_a_host(spark):
