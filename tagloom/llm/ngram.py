@@ -8,16 +8,17 @@ also send, for each second word, the number of distinct first words, summed in a
 counts of counts over all shards. A scoring task maps the arrays and looks up the distinct tokens and bigrams of a block of texts.
 
 Every text counts whole. A null text is empty, so its only token is the end. Repeated rows are scored one by one, and count as often as they
-come. Without training rows every token has probability 1. Other columns pass through. Files of a model stay in the
-shared folder until `LanguageModel.drop`; a task that runs again writes the same files.
+come. Without training rows every token has probability 1. A very long text is a block of its own. Other columns pass through; those named like the
+new ones give way. Files of a model stay in the shared folder until `LanguageModel.drop`; a task that runs again writes the same files. From a
+store that can't be mapped a worker reads the arrays that a block needs, and keeps those used last, up to `KEPT_BYTES`.
 """
 
 from __future__ import annotations
 
 import math
 import os
-import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +32,7 @@ from tagloom.llm.scratch import new_folder
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, words
 
 END, BEGIN, _PAIR = np.uint64(0x517CC1B727220A95), np.uint64(0x2545F4914F6CDD1D), np.uint64(0xA0761D6478BD642F)
-FLUSH_TOKENS, SHARD_TOKENS, MOST_SHARDS, HEAVY, HEAVY_PART = 1 << 20, 1 << 21, 4096, 4096, 0.001
+FLUSH_TOKENS, SHARD_TOKENS, HEAVY, HEAVY_PART, KEPT_BYTES = 1 << 20, 1 << 21, 4096, 0.001, 256 << 20
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,7 +222,7 @@ def count(docs: DataFrame, text: str = "text") -> LanguageModel:
     folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
     often = rows.mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(HEAVY + 1).collect()
     total = sum(r.n for r in often if r.word is None)
-    shards = min(MOST_SHARDS, 1 << max(3, math.ceil(math.log2(max(1, total / SHARD_TOKENS)))))
+    shards = 1 << max(3, math.ceil(math.log2(max(1, total / SHARD_TOKENS))))
     model = LanguageModel(folder, shards)
     if not total:
         return model
@@ -247,21 +248,31 @@ def count(docs: DataFrame, text: str = "text") -> LanguageModel:
 
 
 class Arrays:
-    """A model's arrays in a worker, mapped shard by shard."""
+    """A model's arrays in a worker: mapped, or read where the store can't be mapped."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.maps = model, {}
-        where, self.path = fs.FileSystem.from_uri(model.folder)
-        if not isinstance(where, fs.LocalFileSystem):  # a store that can't be mapped: each file is fetched once a worker
-            local = tempfile.mkdtemp(prefix="ngrams-")
-            fs.copy_files(self.path, local, source_filesystem=where)
-            self.path = local
+        self.model, self.maps, self.bytes = model, OrderedDict(), 0
+        self.where, self.path = fs.FileSystem.from_uri(model.folder)
+        self.local = isinstance(self.where, fs.LocalFileSystem)
 
     def _map(self, name: str) -> np.ndarray | None:
-        if name not in self.maps:
-            path = f"{self.path}/{name}.npy"
+        if name in self.maps:
+            self.maps.move_to_end(name)
+            return self.maps[name]
+        path = f"{self.path}/{name}.npy"
+        if self.local:
             self.maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self.maps[name]
+            return self.maps[name]
+        array = None
+        if self.where.get_file_info(path).type == fs.FileType.File:
+            with self.where.open_input_stream(path) as file:
+                array = np.lib.format.read_array(file)
+            self.bytes += array.nbytes
+        self.maps[name] = array
+        while self.bytes > KEPT_BYTES and len(self.maps) > 1:
+            _, old = self.maps.popitem(last=False)
+            self.bytes -= 0 if old is None else old.nbytes
+        return array
 
     def _look(self, keys: np.ndarray, shard: np.ndarray, names: str, values: str, rows: int) -> np.ndarray:
         """Values of sorted keys, 0 where there are none."""
@@ -337,11 +348,12 @@ def _score(model, text: str, names: list[str]):
 
 def score(docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, ...] = ("n_tokens", "n_known", "base_score", "score")) -> DataFrame:
     """Add the number of tokens, of known ones, the smoothed unigram score and the model's; all log10, summed over tokens."""
+    docs = docs.drop(*set(names) - {text})
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{names[0]}` long, `{names[1]}` long, `{names[2]}` double, `{names[3]}` double"])
     return docs.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), text, list(names)), schema)
 
 
 def perplexity(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Add the perplexity of each text under the model."""
-    found = score(docs, model, text, ("_n", "_known", "_base", "_score"))
-    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("_score") / F.col("_n"))).drop("_n", "_known", "_base", "_score")
+    found = score(docs.select(F.struct(*(c for c in docs.columns if c != "perplexity")).alias("doc"), F.col(text).alias("text")), model)
+    return found.select("doc.*", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -16,7 +16,7 @@ from tagloom.llm.near_duplicates import similar_groups
 from tagloom.llm.neighbours import nearest
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
-from tagloom.llm.scratch import bounded_batches, crc_of
+from tagloom.llm.scratch import Scratch, bounded_batches, crc_of
 from tagloom.llm.url_filter import apply_rules
 
 #: Lower-casing of A-Z alone, in SQL.
@@ -88,7 +88,9 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_of("doc_id") % 5 == 1)
     model = ngram.count(docs.filter(~docs.held_out))
     found = ngram.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
-    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scores = Scratch(spark).save(found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"), "scores")
+    model.drop()
+    return scores
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
