@@ -1,14 +1,15 @@
 """Language identification: multinomial logistic regression on TF-IDF character n-grams.
 
 Texts become code points: letters lower-cased, digits one symbol, white space one symbol. N-grams of 1 to 3 are hashed to 2**15
-features; a document's vector is log(1 + count) * idf, of length 1. Weights are learned by follow-the-regularised-leader with an elastic
+features; a document's vector is log(1 + count) * idf, of length 1, with document frequencies of all labelled rows. Weights are learned by follow-the-regularised-leader with an elastic
 net, one pass after another over a bounded sample of labelled rows; a temperature fitted on rows left out of the sample's
 training makes the score a probability. Sample: for each language about `sample_rows` / (number of languages) rows, taken by a hash
-of the id, features made on the executors from whole texts, so the driver holds at most `sample_rows` sparse vectors.
+of the id and the text, features made on the executors from whole texts, so the driver holds about `sample_rows` sparse vectors.
 Prediction covers every row and its whole text.
 
 A null text, or one without a letter, is `und` with score 0; so is every text if nothing could be learned. Rows without a language
-teach nothing. A null id counts as an empty text where ids are hashed; repeated rows get the same answer; ties go to the language that sorts first.
+teach nothing. A null id counts as an empty text where ids are hashed; repeated rows get the same answer and come into the sample together; ties go to the
+language that sorts first. A very long text is folded a part at a time. Other columns pass through; those named like the new ones give way.
 """
 
 from __future__ import annotations
@@ -85,16 +86,26 @@ class LanguageModel:
         return (x @ self.weights + self.bias) / self.temperature
 
 
-def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], passes: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02) -> LanguageModel | None:
-    """rows: (language, mark, feature numbers, counts), in any order; one fifth, by mark, only sets the temperature."""
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's texts with each feature, and the number of its texts as feature -1."""
+    df, n = np.zeros(FEATURES, np.int64), 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            rows, _ = counts(batch.column(0).slice(at, AT_ONCE))
+            df += (rows > 0).sum(0)
+            n += len(rows)
+    if n:
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(df[seen], n))], ["feature", "n"])
+
+
+def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], df: np.ndarray, texts: int, passes: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02) -> LanguageModel | None:
+    """rows: (language, mark, feature numbers, counts), in any order; one fifth, by mark, only sets the temperature. df: of all texts, by feature."""
     langs = sorted({r[0] for r in rows})
     if not langs:
         return None
     rows = sorted(rows, key=lambda r: (r[1], r[0], r[2].tobytes(), r[3].tobytes()))
-    df = np.zeros(FEATURES)
-    for r in rows:
-        df[r[2]] += 1
-    idf = np.log((1 + len(rows)) / (1 + df)).astype(np.float32) + np.float32(1)
+    idf = np.log((1 + texts) / (1 + df)).astype(np.float32) + np.float32(1)
     data = []
     for lang, mark, idx, cnt in rows:
         x = np.log1p(cnt) * idf[idx]
@@ -122,21 +133,25 @@ def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], passes: int = 4,
     return model
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 3000) -> LanguageModel | None:
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 4000) -> LanguageModel | None:
     """Train on labelled rows; rows without language or text are left out."""
-    mark = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(5)), F.lit(1 << 30))
+    mark = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(text), F.lit(5)), F.lit(1 << 30))
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), mark.alias("mark"))
     n = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
     if not n:
         return None
     share = sample_rows / len(n)
     most = F.create_map(*(x for k, v in n.items() for x in (F.lit(k), F.lit(int(min(1.0, share / v) * (1 << 30))))))
-    got = rows.filter(F.col("mark") < F.try_element_at(most, F.col("lang"))).select("lang", "text", "mark").mapInArrow(_features, "lang string, mark long, idx binary, cnt binary").toPandas()
-    return train([(a, int(b), np.frombuffer(c, np.uint16), np.frombuffer(d, np.float32)) for a, b, c, d in got.itertuples(index=False)])
+    got = rows.filter(F.col("mark") < F.try_element_at(most, F.col("lang"))).select("lang", "text", "mark").mapInArrow(_features, "lang string, mark long, idx binary, cnt binary").toArrow()
+    sums = dict(rows.select("text").mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n")).collect())  # a row for each feature
+    texts, df = sums.pop(-1), np.zeros(FEATURES)
+    df[list(sums)] = list(sums.values())
+    return train([(a.as_py(), b.as_py(), np.frombuffer(c.as_py(), np.uint16), np.frombuffer(d.as_py(), np.float32)) for a, b, c, d in zip(*got.columns, strict=True)], df, texts)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Add the predicted language and its probability; all other columns stay as they are."""
+    docs = docs.drop(*{pred, score} - {text})
     kept = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -158,5 +173,5 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text", p
 
 def reject_unknown(docs: DataFrame, model: LanguageModel | None, least: float = 0.5, text: str = "text") -> DataFrame:
     """Documents in a language that the model knows with at least this probability."""
-    found = identify(docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text).alias("_text")), model, "_text")
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("_doc.*")
+    found = identify(docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text")), model)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("doc.*")
