@@ -3,7 +3,8 @@
 Equal vectors are one node. A first graph comes from blocks of nodes that are adjacent on random projections. Then, again and again, each
 node brings the nodes that list it or that it lists together, and those that are nearer to each other than what they have so far take
 each other on (neighbours of neighbours, joined in Spark, distances in numpy). It ends when few entries change. A query begins at its own node and
-its list, and expands the best unexpanded nodes of its beam until there is none. Nodes found are turned into rows (of equal vectors the smallest ids)
+its list, and expands the best unexpanded nodes of its beam until there is none. A query that ends with too few rows, as its part of the graph is small,
+is held against all nodes instead, in blocks of queries. Nodes found are turned into rows (of equal vectors the smallest ids)
 and measured in double precision on the original vectors.
 
 Vectors that are null, all zero, hold a null or a value that isn't finite, or have another length than most, take no part, neither as query nor as
@@ -22,7 +23,7 @@ from pyspark.sql.window import Window
 
 from tagloom.llm.scratch import saved
 
-DEGREE, PROJECTIONS, BLOCK, ROUNDS, CHANGED, BEAM, STEPS = 32, 8, 256, 6, 0.02, 160, 10
+DEGREE, PROJECTIONS, BLOCK, CHANGED, BEAM, AT_ONCE = 32, 8, 256, 0.02, 160, 1024
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -144,7 +145,7 @@ def build(nodes: DataFrame) -> DataFrame:
         first = part if first is None else first.union(part)
     graph = saved(_merge(first, DEGREE).withColumn("new", F.lit(True)), "graph")
     n = nodes.count()
-    for _ in range(ROUNDS):
+    while True:
         sides = graph.select("id", "nbr", "new", "d").union(graph.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "new", "d").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("d", "nbr"))).filter(F.col("r") <= DEGREE).drop("r"))
         worst = graph.groupBy(F.col("id").alias("nbr")).agg(F.when(F.count("*") >= DEGREE, F.max("d")).otherwise(float("inf")).alias("worst"))
         members = sides.groupBy("id", "nbr").agg(F.max("new").alias("new")).join(nodes.withColumnRenamed("id", "nbr").join(worst, "nbr"), "nbr")
@@ -168,7 +169,7 @@ def walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
     asked = queries.select("id", F.col("vec").alias("q"))
     of = nodes.select(F.col("id").alias("nbr"), F.col("vec").alias("v"))
     beam = saved(queries.select("id", F.col("node").alias("nbr"), F.lit(0.0).alias("d"), F.lit(False).alias("done")), "beam")
-    for _ in range(STEPS):
+    while True:  # a node that fell out of the beam can't come back, so this ends
         steps = beam.filter("NOT done").join(graph.select(F.col("id").alias("nbr"), F.col("nbr").alias("to")), "nbr").select("id", F.col("to").alias("nbr")).distinct()
         fresh = steps.join(beam.select("id", "nbr"), ["id", "nbr"], "left_anti")
         found = fresh.join(of, "nbr").join(asked, "id").select("id", "nbr", "q", "v").mapInArrow(_measure, "id long, nbr long, d double")
@@ -187,7 +188,41 @@ def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
     first = Window.partitionBy("node").orderBy("id")
     members = saved(copies.select("node", "id").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1).select("node", "id"), "members")
     queries = saved(copies.filter(F.col("id") % every == 0).select("id", "node", "vec"), "queries")
-    beam = walk(queries, nodes, build(nodes))
+    found = saved(_ranked(walk(queries, nodes, build(nodes)), members, k), "found")
+    full = found.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("id"))
+    short = saved(queries.join(full, "id", "left_anti"), "short")
+    few = short.count()
+    if few:
+        found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(_ranked(scanned(short, few, nodes, k + 1), members, k))
+    return found
+
+
+def _ranked(beam: DataFrame, members: DataFrame, k: int) -> DataFrame:
     found = beam.withColumnRenamed("nbr", "node").join(members.withColumnRenamed("id", "vec_id"), "node").filter(F.col("vec_id") != F.col("id"))
     rank = Window.partitionBy("id").orderBy("score", "vec_id")
     return found.withColumn("score", F.sqrt("d")).withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select(F.col("id").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def scanned(queries: DataFrame, count: int, nodes: DataFrame, k: int) -> DataFrame:
+    """id, nbr, d of the k nearest nodes of some queries: AT_ONCE queries at a time go to every task, which sends its own best."""
+    spark, blocks, parts = nodes.sparkSession, -(-count // AT_ONCE) * 2, []
+    for b in range(blocks):
+        got = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).select("id", "vec").toArrow().combine_chunks()
+        if not got.num_rows:
+            continue
+        sent = spark.sparkContext.broadcast((got["id"].to_numpy(), _vectors(got["vec"].combine_chunks())))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ids, q = sent.value
+            for batch in batches:
+                nbr, x = batch.column(0).to_numpy(), _vectors(batch.column(1)).astype(np.float64)
+                for i, v in zip(ids.tolist(), q.astype(np.float64), strict=True):
+                    d = ((x - v) ** 2).sum(1)
+                    best = np.argsort(d, kind="stable")[:k]
+                    yield _table("id nbr d", np.full(len(best), i), nbr[best], d[best])
+
+        parts.append(_merge(nodes.select("id", "vec").mapInArrow(run, "id long, nbr long, d double"), k))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
