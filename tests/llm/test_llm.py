@@ -169,12 +169,27 @@ def test_language_model(docs, texts):
     c[order] = a.pairs(g[order], before[order])
     p = np.maximum(c - d[np.minimum(c, 3)], 0) / total[0] + sum(d[k + 1] * seen[k][0] for k in range(3)) / total[0] * lower
     assert abs(p.sum() + sum(d[k + 1] * seen[k][0] for k in range(3)) / total[0] * model.left / (model.distinct + 1) - 1) < 1e-9
+    for i in (0, 80, 85, 86):  # the score, by counting
+        pairs = Counter(p for x in t for p in zip(["<s>", *x], x, strict=False))
+        firsts = {w for _, w in pairs}
+        after = lambda w: [c for (v, _), c in pairs.items() if v == w]
+        total_score = 0.0
+        for v, w in zip(["<s>", *t[i]], t[i], strict=False):
+            n_before = sum(b == w for _, b in pairs)
+            low = max(n_before - e[min(n_before, 3)], 0) / len(pairs) + model.left / (len(firsts) + 1)
+            c, own = pairs[v, w], after(v)
+            rest = sum(d[min(x, 3)] for x in own)
+            total_score += np.log10((max(c - d[min(c, 3)], 0) + rest * low) / sum(own))
+        assert abs(got[i].score - total_score) < 1e-9
+    clash = ngram.perplexity(docs.withColumns({"score": F.lit("x"), "n_tokens": F.lit(1)}), model)
+    assert clash.columns == [*docs.columns, "score", "n_tokens", "perplexity"] and clash.filter("score <> 'x'").count() == 0
+    assert ngram.score(docs.withColumn("score", F.lit("x")), model).columns == [*docs.columns, "n_tokens", "n_known", "base_score", "score"]
     none = ngram.count(docs.filter("false"))
     assert ngram.score(docs, none).agg(F.sum("score")).first()[0] == 0.0
 
 
 def test_url_filter(spark):
-    urls = ["https://www.Example.com/en/1", "http://a.example.com/en/", "http://x.com", "http://x.com/?q", "https://b.net/fr/x#y", "ftp://net/es/", None, "no host", "http://example.com.org/en/", "http://xexample.com/en/"]
+    urls = ["https://www.Example.com/en/1", "http://a.b.www.example.com/en/x?" + "y" * 50_000, "http://net/es/" + "z" * 50_000, "http://com/", "http://example.com/", "http://zzz.com/en/", "http://a.example.com/en/", "http://x.com", "http://x.com/?q", "https://b.net/fr/x#y", "ftp://net/es/", None, "no host", "http://example.com.org/en/", "http://xexample.com/en/"]
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     rdf = spark.createDataFrame(rules, "host string, path string, verdict string")
@@ -182,6 +197,13 @@ def test_url_filter(spark):
         fits = [(h + p, v) for h, p, v in rules if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
         want = max(fits, key=lambda x: len(x[0]), default=(None, "allow"))
         assert (r.rule, r.verdict) == want, r
+    assert url_filter.apply_rules(pages.unionByName(pages), rdf).count() == 2 * len(urls)
+    deep = [(".".join("abcdefg"[i:]), "/", "allow" if i % 2 else "block") for i in range(7)]
+    ddf = spark.createDataFrame(deep, "host string, path string, verdict string")
+    hosts = [".".join("abcdefg"[i:]) for i in range(7)] + ["z." + ".".join("abcdefg"[i:]) for i in range(7)] + ["x.g", "f", "aa.b.c.d.e.f.g"]
+    for r in url_filter.apply_rules(spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string"), ddf).collect():
+        fits = [(h + p, v) for h, p, v in deep if r.host == h or r.host.endswith("." + h)]
+        assert (r.rule, r.verdict) == max(fits, key=lambda x: len(x[0]), default=(None, "allow")), r
     assert url_filter.apply_rules(pages, rdf.filter("false")).filter("rule IS NOT NULL").count() == 0
     assert url_filter.apply_rules(pages.filter("false"), rdf).count() == 0
 
@@ -250,6 +272,12 @@ def test_nearest(spark):
         assert [k for k, _, _ in own] == list(range(1, 11)) and all(abs(s - d[v]) < 1e-9 for _, v, s in own)
         hit += len({v for _, v, _ in own} & set(want))
     assert hit >= 0.9 * 90 and {r.query_id for r in got} == set(range(0, 900, 100))
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
+    whole = neighbours.scanned(nodes.filter("id % 90 = 0"), 10, nodes, 5).collect()
+    for q in range(0, 900, 90):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(1)
+        own = sorted((r.d, r.nbr) for r in whole if r.id == q)
+        assert len(own) == 5 and np.allclose([a for a, _ in own], np.sort(d)[:5])
     few = spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")
     assert neighbours.nearest(few).count() == 3 and neighbours.nearest(few.filter("false")).count() == 0
 
@@ -265,6 +293,8 @@ def test_language(spark):
     assert got[900] == got[901] == got[902] == ("und", 0.0) and got[903][0] == "xx" and all(0 <= s <= 1 for _, s in got.values())
     kept = language.reject_unknown(df, model)
     assert kept.columns == df.columns and {900, 901, 902}.isdisjoint(x.doc_id for x in kept.collect())
+    clash = language.identify(df.withColumn("score", F.lit("x")), model)
+    assert clash.columns == [*df.columns, "lang_pred", "score"] and clash.schema["score"].dataType.simpleString() == "double"
     assert language.learn(df.filter("false")) is None and language.identify(df, None).filter("lang_pred <> 'und'").count() == 0
 
 
