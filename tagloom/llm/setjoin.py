@@ -46,6 +46,10 @@ class Sets:
     def item(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
 
+    def some(self, want: np.ndarray) -> Sets:
+        n = np.diff(self.at)
+        return Sets(self.tok[np.repeat(want, n)], np.concatenate([[0], np.cumsum(n[want])]), self.digest[want], self.row[want], self.part[want])
+
     def sketches(self, longs: int) -> np.ndarray:
         """For each item 64 * longs bits: whether an odd number of its shingles has that bit as its place."""
         bits, out = 64 * longs, []
@@ -59,7 +63,7 @@ class Sets:
 
 
 def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) -> Sets:
-    """Distinct shingles of each text, or of each line with words; with fewer words, all of them as one; none below least_words."""
+    """Distinct shingles (48 bits of their hashes) of each text, or of each line with words; with fewer words, all as one; none below least_words."""
     data, offsets = flat(texts)
     w = words(data, offsets, SPACE)
     if by_line:
@@ -83,19 +87,39 @@ def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) ->
         own = n[few] == k
         if own.any():
             short[own] = mix(shingles(w.hash, k)[first[few[own]]] + np.full(1, k, np.uint64) * _SHORT)
-    tok, of = np.concatenate([h[full], short]), np.concatenate([item[full], few])
-    order = np.argsort(tok)
-    order = order[np.argsort(of[order].astype(np.uint16 if len(n) < 1 << 16 else np.int64), kind="stable")]
-    tok, of = tok[order], of[order]
-    keep = np.ones(len(tok), bool)
-    keep[1:] = (tok[1:] != tok[:-1]) | (of[1:] != of[:-1])
-    tok, of = tok[keep], of[keep]
+    tok, of = np.concatenate([h[full], short]) >> np.uint64(16), np.concatenate([item[full], few])
+    parts = []
+    for lo in range(0, max(1, len(n)), 1 << 16):  # one sort of item and hash together
+        own = slice(None) if len(n) <= 1 << 16 else (of >= lo) & (of < lo + (1 << 16))
+        both = np.sort((of[own] - lo).astype(np.uint64) << np.uint64(48) | tok[own])
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+        parts.append((both & np.uint64((1 << 48) - 1), (both >> np.uint64(48)).astype(np.int64) + lo))
+    tok, of = (np.concatenate(x) for x in zip(*parts, strict=True))
     at = np.searchsorted(of, np.arange(len(n) + 1))
     sums = np.zeros(len(tok) + 1, np.uint64)
     np.cumsum(mix(tok ^ _CLASS), out=sums[1:])
     return Sets(tok, at, mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64) * _SHORT), row, part)
 
 
+class Seen:
+    """Digests that a task has met, up to a bounded number, to leave out most repeats; those it lets through are sorted out by a shuffle."""
+
+    def __init__(self, most: int = FLUSH >> 2):
+        self.most, self.known, self.fresh = most, np.zeros(0, np.uint64), []
+
+    def new(self, digest: np.ndarray) -> np.ndarray:
+        mask = np.zeros(len(digest), bool)
+        mask[np.unique(digest, return_index=True)[1]] = True
+        if len(self.known):
+            mask &= self.known[np.minimum(np.searchsorted(self.known, digest), len(self.known) - 1)] != digest
+        if len(self.known) < self.most:
+            self.fresh.append(digest[mask])
+            if sum(map(len, self.fresh)) > self.most >> 3:
+                self.known = np.unique(np.concatenate([self.known, *self.fresh]))
+                self.fresh.clear()
+        return mask
+
+
 def _each(batches: Iterator[pa.RecordBatch], size: int, by_line: bool, text: int = 0, least_words: int = 1) -> Iterator[tuple[pa.RecordBatch, Sets]]:
     for batch in batches:
         for lo, hi in blocks(batch.column(text), BLOCK):
@@ -151,7 +175,7 @@ class SetJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
-            seen = np.zeros(0, np.uint64)
+            seen = Seen()
             types: list[pa.DataType] = []
 
             def flush() -> pa.RecordBatch:
@@ -168,9 +192,7 @@ class SetJoin:
                 n = np.diff(s.at)
                 at = pa.array(s.row.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(len(keys))), _int64(s.part), _int64(n), _int64(s.digest), *map(pa.array, s.sketches(self.longs).T), pa.nulls(len(n), pa.int64()), pa.array(np.zeros(len(n), bool))], names)
-                new = ~np.isin(s.digest, seen)
-                if len(seen) < FLUSH >> 2:
-                    seen = np.union1d(seen, s.digest)
+                new = seen.new(s.digest)
                 held.append(s.tok[np.repeat(new, n)])
                 if sum(map(len, held)) > 2 * FLUSH:
                     yield flush()
@@ -203,6 +225,9 @@ class SetJoin:
     def _prefixes(self, frequent, shards: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, powers = frequent.value
+            marked = np.zeros(1 << 22, bool)
+            marked[(known & np.uint64(len(marked) - 1)).astype(np.int64)] = True
+            seen = Seen()
             held: list[tuple] = []
             count = 0
 
@@ -210,10 +235,8 @@ class SetJoin:
                 tok, digest, n, pos, power = (np.concatenate(x) for x in zip(*held, strict=True))
                 held.clear()
                 spread = np.where(power > PIECE_BITS, mix(tok ^ mix(piece_of(tok, digest, power))), tok)
-                shard = ((spread >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                order = np.lexsort((tok, shard))
-                _, once = np.unique(mix(tok[order]) ^ digest[order], return_index=True)
-                order = order[np.sort(once)]
+                shard = (mix(spread) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
                 own = shard[order]
                 cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
                 rows = [(int(own[lo]), *(x[order[lo:hi]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4"), (power, "u1")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -221,16 +244,20 @@ class SetJoin:
                 return _table("shard tok digest n pos power", pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]))
 
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
+                s = s.some(seen.new(s.digest))
                 n = np.diff(s.at)
                 item = s.item()
                 power = np.zeros(len(s.tok), np.uint8)
                 order = np.arange(len(s.tok))
-                if len(known) and len(s.tok):
-                    at = np.minimum(np.searchsorted(known, s.tok), len(known) - 1)
-                    hit = known[at] == s.tok
-                    power[hit] = powers[at[hit]]
-                    order = np.argsort(power, kind="stable")
-                    order = order[np.argsort(item[order].astype(np.uint16 if len(n) < 1 << 16 else np.int64), kind="stable")]
+                maybe = np.flatnonzero(marked[(s.tok & np.uint64(len(marked) - 1)).astype(np.int64)]) if len(known) else order[:0]
+                if len(maybe):
+                    at = np.minimum(np.searchsorted(known, s.tok[maybe]), len(known) - 1)
+                    hit = known[at] == s.tok[maybe]
+                    power[maybe[hit]] = powers[at[hit]]
+                    touched = np.zeros(len(n), bool)
+                    touched[item[maybe[hit]]] = True
+                    own = np.flatnonzero(touched[item])
+                    order[own] = own[np.lexsort((power[own], item[own]))]  # stable: by rarity, then hash
                 pos = np.arange(len(s.tok)) - np.repeat(s.at[:-1], n)
                 keep = pos < np.repeat(n - self.least(n) + 1, n)
                 if keep.any():
@@ -326,15 +353,14 @@ class SetJoin:
 
     def _whole(self, bitmap):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = np.frombuffer(bitmap.value, np.uint8)
+            bits, seen = np.frombuffer(bitmap.value, np.uint8), Seen()
             for _, s in _each(batches, self.size, self.by_line, 0, self.least_words):
                 place = (s.digest % np.uint64(len(bits) * 8)).astype(np.int64)
                 want = ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0) & (np.diff(s.at) > 0)
-                want &= np.isin(np.arange(len(want)), np.unique(s.digest, return_index=True)[1])
-                at = np.flatnonzero(want)
-                few = Sets(s.tok[np.repeat(want, np.diff(s.at))], np.concatenate([[0], np.cumsum(np.diff(s.at)[at])]), s.digest[at], s.row[at], s.part[at])
+                few = s.some(want)
+                few = few.some(seen.new(few.digest))
                 wide = few.sketches(self.wide)
-                yield _table("digest wide toks", _int64(few.digest), pa.array([x.tobytes() for x in wide], pa.binary()), pa.array([few.tok[few.at[i] : few.at[i + 1]].tobytes() for i in range(len(at))], pa.binary()))
+                yield _table("digest wide toks", _int64(few.digest), pa.array([x.tobytes() for x in wide], pa.binary()), pa.array([few.tok[a:b].tobytes() for a, b in zip(few.at[:-1].tolist(), few.at[1:].tolist(), strict=True)], pa.binary()))
 
         return run
 

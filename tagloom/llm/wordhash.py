@@ -26,6 +26,7 @@ NOT_ALNUM = np.zeros(256, bool)
 NOT_ALNUM[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+_FOLDED_VALUES = _BYTE_VALUES[LOWER]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -87,15 +88,18 @@ def words(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray, fold: bool
     """Lower-case A-Z (if fold) and take the words between parting bytes; no word goes beyond its text."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~parting[data]
+    np.logical_not(parting[data], out=inside[1:-1])
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
     end = np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
     lower = LOWER[data] if fold else data
     up, down = _power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[lower] * up[:n], out=sums[1:])
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    value = (_FOLDED_VALUES if fold else _BYTE_VALUES)[data]
+    value *= up[:n]
+    np.cumsum(value, out=sums[1:])
     return Words(mix((sums[end] - sums[start]) * down[start]), start, end, np.searchsorted(start, offsets), lower, sums)
 
 
