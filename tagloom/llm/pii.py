@@ -1,12 +1,12 @@
 """Personal data: exact patterns with checks, and a linear-chain conditional random field for other ways of writing it.
 
 The field's labels are outside, and begin and inside of each kind; its features are word shapes around a token. It is trained by
-gradient steps on a small labelled table that `labelled_table` makes from templates, and decoded by Viterbi over numpy batches
-of token runs. A token can only belong to personal data within `REACH` tokens of a trigger (a digit, an @, or the word
-`at`/`dot` in brackets), so runs without a trigger need no decoding. A span of the field is kept if it doesn't touch a span of the patterns and
-passes the kind's own check; spans of the patterns always stay.
+gradient steps on a small labelled table (tokens and labels; by default the one that `labelled_table` makes from templates), once on the driver,
+and decoded by Viterbi over numpy batches of lines. Every span must hold a trigger by its kind's own check (a digit, an @, or the word `at` in
+brackets), so lines without one need no decoding; lines with one are decoded whole. A span of the field is kept if it doesn't touch a span of
+the patterns and passes the kind's check; spans of the patterns always stay. `evaluate` gives precision and recall of the field by kind.
 
-Null and empty texts have no spans. Offsets are code points, ends exclusive. Rows with equal ids are judged one by one; other columns
+Null and empty texts have no spans. Lines of any length are decoded whole, long ones few at a time. Equal labellings go by the order of labels. Offsets are code points, ends exclusive. Rows with equal ids are judged one by one; other columns
 are not read.
 """
 
@@ -17,7 +17,6 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -33,7 +32,7 @@ _EMAIL_AT, _EMAIL = re.compile(_LOCAL), re.compile(r"(?<![A-Za-z0-9._%+-])" + _L
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-REACH = 6
+CELLS = 1 << 17
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ]+|[0-9]+|[^\sA-Za-z0-9À-ɏ]|\n")
 _TRIGGER = re.compile(r"[0-9@]|[\[({]\s*(?:at|dot)\s*[\])}]", re.I)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -125,13 +124,12 @@ def _lse(a: np.ndarray, axis: int) -> np.ndarray:
     return (m + np.log(np.exp(a - m).sum(axis, keepdims=True))).squeeze(axis)
 
 
-@lru_cache(1)
-def train(passes: int = 6, rate: float = 0.3, l2: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def train(table: list[tuple[list[str], list[str]]] | None = None, passes: int = 6, rate: float = 0.3, l2: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights (feature, label) and (label, next label), by adaptive gradient steps on the log-likelihood."""
     k = len(LABELS)
     w, t = np.zeros((HASHED, k)), np.zeros((k, k))
     gw, gt = np.full((HASHED, k), 1e-6), np.full((k, k), 1e-6)
-    data = [(_features(a), np.array([LABELS.index(x) for x in b])) for a, b in labelled_table() if a]
+    data = [(_features(a), np.array([LABELS.index(x) for x in b])) for a, b in (labelled_table() if table is None else table) if len(a)]
     for _ in range(passes):
         for f, y in data:
             e, n = w[f].sum(1), len(y)
@@ -165,9 +163,13 @@ def viterbi(runs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
     """Best labels of each run of tokens, given its features; runs of about one length are decoded together."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(runs)
     order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
+    groups: list[list[int]] = []
+    for i in order:
+        if not groups or (len(groups[-1]) + 1) * len(runs[i]) > CELLS:
+            groups.append([])
+        groups[-1].append(i)
     first = np.array([0.0 if x[0] != "I" else -1e6 for x in LABELS])
-    for at in range(0, len(order), 256):
-        part = order[at : at + 256]
+    for part in groups:
         longest = max(len(runs[i]) for i in part)
         if not longest:
             continue
@@ -191,23 +193,14 @@ def viterbi(runs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
 
 
 def _runs(text: str) -> Iterator[list[tuple[str, int, int]]]:
-    """Runs of tokens within REACH tokens of a trigger, in one line, with their places."""
+    """Tokens with their places of each line that has a trigger."""
     end = 0
     for m in _TRIGGER.finditer(text):
         if m.start() < end:
             continue
-        a = max(end, m.start() - 80)
-        run: list[tuple[str, int, int]] = [(x[0], x.start(), x.end()) for x in _TOKEN.finditer(text, a, m.start())]
-        cut = max((i + 1 for i, x in enumerate(run) if x[0] == "\n"), default=0)
-        run, left = run[cut:][-REACH:], REACH + 1
-        for x in _TOKEN.finditer(text, m.start()):
-            if x[0] == "\n" or left == 0:
-                break
-            left = REACH + 1 if _TRIGGER.match(text, x.start()) else left
-            left -= 1
-            run.append((x[0], x.start(), x.end()))
-        end = run[-1][2]
-        yield run
+        a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
+        end = len(text) if b < 0 else b
+        yield [(x[0], x.start(), x.end()) for x in _TOKEN.finditer(text, a, end)]
 
 
 def _plausible(kind: str, s: str) -> bool:
@@ -221,9 +214,8 @@ def _plausible(kind: str, s: str) -> bool:
     return bool(re.search(r"@|[\[({]\s*at\s*[\])}]", s, re.I)) and len(s) >= 6
 
 
-def find_spans(texts: list[str]) -> list[tuple[list, list]]:
+def find_spans(texts: list[str], w: np.ndarray, t: np.ndarray) -> list[tuple[list, list]]:
     """For each text its pattern spans, and those and the field's spans together."""
-    w, t = train()
     base = [pattern_spans(x) for x in texts]
     runs, of = [], []
     for i, x in enumerate(texts):
@@ -253,24 +245,47 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 COLUMNS = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(1)
-        some = pc.fill_null(pc.match_substring_regex(texts, r"[0-9@\[({]"), False).to_pylist()
-        at = [i for i, s in enumerate(some) if s]
-        found = dict(zip(at, find_spans(texts.take(pa.array(at, pa.int64())).to_pylist()), strict=True))
-        cols: list[list] = [[] for _ in range(6)]
-        for i in range(batch.num_rows):
-            base, every = found.get(i, ((), ()))
-            n = {k: len(list(g)) for k, g in groupby(sorted(b[1] for b in base))}
-            for c, v in zip(cols, (*(n.get(k, 0) for k in range(4)), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every)), strict=True):
-                c.append(v)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64() if i < 4 else pa.string()) for i, c in enumerate(cols))], ["key", *(c.split()[0] for c in COLUMNS.split(", "))])
-
-
-def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The key, how many spans of each kind the patterns found, their digest, and all spans as kind:start:end."""
-    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_find, f"key {docs.schema[key].dataType.simpleString()}, {COLUMNS}")
+def _find(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1)
+            some = pc.fill_null(pc.match_substring_regex(texts, r"[0-9@\[({]"), False).to_pylist()
+            at = [i for i, s in enumerate(some) if s]
+            found = dict(zip(at, find_spans(texts.take(pa.array(at, pa.int64())).to_pylist(), *model.value), strict=True))
+            cols: list[list] = [[] for _ in range(6)]
+            for i in range(batch.num_rows):
+                base, every = found.get(i, ((), ()))
+                n = {k: len(list(g)) for k, g in groupby(sorted(b[1] for b in base))}
+                for c, v in zip(cols, (*(n.get(k, 0) for k in range(4)), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every)), strict=True):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64() if i < 4 else pa.string()) for i, c in enumerate(cols))], ["key", *(c.split()[0] for c in COLUMNS.split(", "))])
+
+    return run
+
+
+def evaluate(model: tuple[np.ndarray, np.ndarray], table: list[tuple[list[str], list[str]]]) -> dict[str, tuple[float, float]]:
+    """Precision and recall of the field's spans by kind on a labelled table."""
+
+    def spans(labels: list[str]) -> set[tuple[int, int, str]]:
+        cuts = [i for i, x in enumerate([*labels, "O"]) if x[0] != "I"]
+        return {(a, b, labels[a][2:]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if labels[a] != "O"}
+
+    table = [(a, b) for a, b in table if a]
+    got = [spans([LABELS[i] for i in y]) for y in viterbi([_features(a) for a, _ in table], *model)]
+    out = {}
+    for kind in KINDS:
+        found, right = ([{s for s in x if s[2] == kind} for x in y] for y in (got, [spans(b) for _, b in table]))
+        hit = sum(len(x & y) for x, y in zip(found, right, strict=True))
+        out[kind] = hit / max(1, sum(map(len, found))), hit / max(1, sum(map(len, right)))
+    return out
+
+
+def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", labelled: DataFrame | None = None) -> DataFrame:
+    """The key, how many spans of each kind the patterns found, their digest, and all spans as kind:start:end. labelled: tokens and labels (arrays of
+    strings) of at most some thousand sentences."""
+    table = None if labelled is None else [(r.tokens, r.labels) for r in labelled.select("tokens", "labels").collect()]
+    model = docs.sparkSession.sparkContext.broadcast(train(table))
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_find(model), f"key {docs.schema[key].dataType.simpleString()}, {COLUMNS}")
     return found.withColumnRenamed("key", key)
 
 
