@@ -55,8 +55,11 @@ class Scratch:
         self.drop(*(t for t, _ in list(self.paths.values()) if not any(t is x for x in but)))
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a saved table if it has at most so many rows; a larger one is joined as Spark decides."""
+def small(df: DataFrame, rows: int, wide: str | None = None, most_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast a saved table if it has at most so many rows and, in a column of free length, bytes; a larger one is joined as Spark decides."""
+    if wide:
+        n, size = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(wide)), F.lit(0))).first()
+        return F.broadcast(df) if n <= rows and size <= most_bytes else df
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 

@@ -1,5 +1,7 @@
 """The operators against brute force on small fixtures with nulls, empty and long texts, ties, repeats, empty tables and clashing names."""
 
+import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.llm import extract, language, line_dedup, near_duplicates, neighbours, ngram, pack, pii, tokens, url_filter
 from tagloom.llm.decontaminate import contamination, remove_contaminated
 from tagloom.llm.queries import tokenizer_path
-from tagloom.llm.scratch import Scratch
+from tagloom.llm.scratch import Scratch, saved
 
 WORDS = [a + b for a in "ba ke li mo nu re sa ti wo".split() for b in "ba ke li mo nu re sa ti wo".split()]
 
@@ -224,6 +226,52 @@ def test_pii(spark):
     assert pii.personal_data(df.filter("false")).count() == 0
 
 
+def test_pii_patterns_against_the_plain_ones(spark):
+    """All kinds, their numbers and digest against the contract's patterns, on texts with many near misses."""
+    plain = [re.compile(x) for x in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
+    digits = lambda x: re.sub("[^0-9]", "", x)
+
+    def ok(kind, x):
+        if kind == 1:
+            return all(int(v) <= 255 for v in x.split("."))
+        if kind == 2:
+            d = [int(c) for c in digits(x)][::-1]
+            return 14 <= len(d) <= 19 and (sum(d[::2]) + sum(v * 2 - 9 * (v > 4) for v in d[1::2])) % 10 == 0
+        return kind == 0 or 10 <= len(digits(x)) <= 15
+
+    r = random.Random(8)
+    pieces = ["4111 1111 1111 1111", "4111111111111112", "10.0.0.1", "1.2.3.4.5.6.7.8", "256.1.1.1", "+1 (826) 555-4081", "+12-34", "a@b.c", "é@x.y", "@", ".", " ", "-", "+", "1", "23", "\n", "é", "x", "(", ")"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(1, 14))) for _ in range(1500)]
+    rows = {x.doc_id: x for x in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, x in enumerate(texts):
+        want = sorted((m.start(), k, m.end()) for k, p in enumerate(plain) for m in p.finditer(x) if ok(k, m[0]))
+        row = rows[i]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == j for _, k, _ in want) for j in range(4)], x
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and set(filter(None, joined.split(","))) <= set(row.spans.split(","))
+
+
+def test_pii_field(spark):
+    """Viterbi against all labellings, precision and recall on sentences not trained on, whole lines, a labelled table of one's own."""
+    g = np.random.Generator(np.random.PCG64(2))
+    w, t = g.standard_normal((pii.HASHED, len(pii.LABELS))), g.standard_normal((len(pii.LABELS), len(pii.LABELS)))
+    runs = [pii._features(["a", "1", "@", "b"][:n]) for n in (1, 2, 3, 4)]
+    for f, y in zip(runs, pii.viterbi(runs, w, t), strict=True):
+        e = w[f].sum(1)
+        value = lambda z: sum(e[i, v] for i, v in enumerate(z)) + sum(t[a, b] for a, b in zip(z, z[1:], strict=False))
+        every = [z for z in itertools.product(range(len(pii.LABELS)), repeat=len(f)) if pii.LABELS[z[0]][0] != "I"]
+        assert tuple(y.tolist()) == max(every, key=value)
+    model = pii.train()
+    for kind, (precision, recall) in pii.evaluate(model, pii.labelled_table(300, 77)).items():
+        assert precision > 0.85 and recall > 0.85, kind
+    far = " ".join(["word"] * 300)
+    text = f"{far} mail jo (at) ex (dot) org {far}\n{far}"
+    ((base, every),) = pii.find_spans([text], *model)
+    assert not base and [text[a:b] for a, _, b in every] == ["jo (at) ex (dot) org"]
+    table = spark.createDataFrame([(a, b) for a, b in pii.labelled_table(50) if a], "tokens array<string>, labels array<string>")
+    assert pii.personal_data(spark.createDataFrame([(1, "x@y.z")], "doc_id long, text string"), labelled=table).first().n_email == 1
+
+
 def test_extract(spark):
     page = "<html><body><nav>menu</nav><div class='ad box'>ad</div><article><h1>T {0}</h1><p>one &amp;\n {0} <b>two<p>three<script>x('</p>')</script> four {0}<div id=comments>no</div></article><footer>f</footer>"
     rows = [(i, f"http://h/{i}", page.format(i)) for i in range(6)] + [(7, None, None), (8, "x", ""), (9, "http://h2/", "<p>a<br>b<ul><li>c<li>d</ul><aside>e</aside><ta")]
@@ -298,11 +346,110 @@ def test_language(spark):
     assert language.learn(df.filter("false")) is None and language.identify(df, None).filter("lang_pred <> 'und'").count() == 0
 
 
-def test_pipeline(spark):
+def brute_lines(texts):
+    """Of texts in order: each without the lines that are similar to an earlier one, by shingles of five words."""
+    seen, index, out = [], {}, []
+    for text in texts:
+        kept = []
+        for x in text.split("\n"):
+            w = space_words(x)
+            s = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+            near = {y for t in s for y in index.get(t, ())}
+            if not any(10 * len(s & seen[y]) >= 8 * len(s | seen[y]) for y in near):
+                kept.append(x)
+            for t in s:
+                index.setdefault(t, []).append(len(seen))
+            seen.append(s)
+        out.append("\n".join(kept))
+    return out
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage on all that its predecessor kept, with nulls, empty and repeated texts, an extra column with a clashing name; the whole run agrees."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    r = random.Random(21)
+    sentence = lambda n, words: " ".join(r.choice(words) for _ in range(n))
+    one, two = WORDS[:40], [w[::-1] for w in WORDS[40:]]
+    made = [("\n".join(sentence(r.randint(8, 30), words) for _ in range(r.randint(1, 4))), lang) for i in range(160) for words, lang in ((one, "xx"), (two, "yy")) if i % 2 == (lang == "xx")]
+    lines = [t.split("\n")[0] for t, _ in made]
+    bench = [sentence(14, one) for _ in range(3)]
+    for i in range(0, 60, 3):  # repeated lines, near copies, benchmark passages
+        t, lang = made[i]
+        made.append((t + "\n" + r.choice(lines), lang))
+        words = t.replace("\n", " ").split(" ")
+        words[len(words) // 2] = r.choice(one)
+        made.append((" ".join(words), lang))
+        made.append((f"{sentence(6, one)} {bench[i % 3]} {sentence(6, one)}", "xx"))
+    made += [(None, "xx"), ("", "yy"), ("12 34", None), made[5], (made[7][0], None)]
+    rows = [(i, t, lang, "src", len(t) if t else None, "clash") for i, (t, lang) in enumerate(made)] + [(None, sentence(20, one), "xx", None, 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `_gone` string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now, steps = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        now = saved(stage(spark, now, str(tmp_path)), name.replace(" ", "-"))
+        steps[name] = now.collect()
+        assert name == "packing" or now.columns == docs.columns
+    kept = sorted(steps["language"], key=lambda x: (x.doc_id is None, x.doc_id or 0))
+    assert len(kept) > 0.95 * len(rows) and all(x.text and re.search("[a-z]", x.text) for x in kept)
+    texts = brute_lines([x.text for x in kept])
+    want = [(x.doc_id, t) for x, t in zip(kept, texts, strict=True) if t == x.text or t.strip(" ")]
+    assert sorted(((x.doc_id, x.text) for x in steps["lines"]), key=str) == sorted(want, key=str) and all(x.n_chars == len(x.text) for x in steps["lines"])
+    least = groups([t for _, t in want], 5, 80)
+    want = [x for i, x in enumerate(want) if x[0] is None or least[i][1] == i]
+    assert sorted(((x.doc_id, x.text) for x in steps["near duplicates"]), key=str) == sorted(want, key=str)
+    want = [x for x in want if not brute_contamination(x[1], list(enumerate(bench)), 10)[1]]
+    assert sorted(((x.doc_id, x.text) for x in steps["decontamination"]), key=str) == sorted(want, key=str)
+    whole = Tokenizer.from_file(tokenizer_path())
+    ids = {i: np.array(whole.encode(t, add_special_tokens=False).ids + [2], "<u4") for i, t in want}
+    pieces = {}
+    for x in steps["packing"]:
+        assert x.ids_crc32 == zlib.crc32(ids[x.doc_id][x.start : x.start + x.length].tobytes())
+        pieces.setdefault(x.doc_id, []).append((x.start, x.length))
+    assert all(sum(n for _, n in pieces[i]) == len(v) for i, v in ids.items()) and pieces.keys() == ids.keys()
+    run = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in run} == ids.keys() and sum(x.length for x in run) == sum(map(len, ids.values()))
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
     import corpus_pipeline
 
-    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert found.columns[0] == "doc_id" and found.count() > 0
+    for name, kind in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_queries_keep_their_contracts(spark, tmp_path):
+    """Columns, types and folds of the queries on rows with nulls, empty texts, repeats and extra columns."""
+    from tagloom.llm.queries import QUERIES
+
+    r = random.Random(2)
+    texts = [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 30))) for _ in range(60)] + [None, "", "x@y.z 10.0.0.1", "12"]
+    rows = [(i, t, "xx" if i % 2 else "yy", "s", 1, "extra") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows + rows[:1], "doc_id long, text string, lang string, source string, n_chars long, score string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, texts[3]), (None, "a"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "http://a.com/x", "<p>t</p>"), (1, None, None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, [float(i % 7 + 1), float(i)]) for i in range(300)] + [(None, None)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    want = {
+        "op2_language_model": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double", "op3_ngram_jaccard": "doc_id bigint, n_shingles bigint, component_id bigint",
+        "op4_url_filter": "page_id bigint, host string, path string, rule string, verdict string", "op5_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+        "op6_extract": "page_id bigint, url string, text string, n_chars bigint", "op7_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+        "op8_nearest": "query_id bigint, rank int, vec_id bigint, score double", "op9_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+        "op10_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    }
+    got = {}
+    for name, columns in want.items():
+        df = QUERIES[name](spark, str(tmp_path))
+        assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) == columns, name
+        got[name] = df.collect()
+    for name, mod, rest in (("op2_language_model", 5, 1), ("op10_language", 4, 2)):
+        assert len(got[name]) == 65 and all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % mod == rest) for x in got[name])
+    train = sum(len(space_words(t)) + 1 for i, t in [*enumerate(texts), (0, texts[0])] if zlib.crc32(str(i).encode()) % 5 != 1)
+    assert {x.train_tokens for x in got["op2_language_model"]} == {train}
+    assert {x.lang_pred for x in got["op10_language"]} <= {"xx", "yy", "und"} and all(x.lang_pred == "und" for x in got["op10_language"] if x.doc_id in (60, 61, 63))
+    assert {x.query_id for x in got["op8_nearest"]} == {0, 100, 200} and len(got["op8_nearest"]) == 30 and len(got["op4_url_filter"]) == len(got["op6_extract"]) == 2
 
 
 def bm25(docs):
@@ -375,6 +522,49 @@ def test_packing_by_retrieval(spark):
     assert together > 0.6 * pairs  # by chance an eighth
 
 
+def test_extract_keeps_what_belongs_to_the_article(spark):
+    page = "<body><header>Site</header><div class='cookie-notice'>c</div><article><header><h1>Title {0}</h1></header><div class='article-header'>By A{0}</div><p class='notice-period'>Notice {0}</p><section id='search-methods'><p>Search {0}</p></section><div class='ad'>buy</div><div id='comment-list'>list {0}</div><div class='comments'>no</div><nav>n</nav></article></body>"
+    deep = "<div>" * 5000 + "<p>deep text</p>" + "</div>" * 5000
+    long = "<article>" + "".join(f"<p>{i} x</p>" for i in range(20_000)) + "</article>"
+    rows = [(i, f"http://a/{i}", page.format(i)) for i in range(5)] + [(3, "http://a/3", page.format(3)), (6, "http://d/", deep), (7, "http://l/", long), (None, "http://n/", "<p>t</p>")]
+    got = [(r.page_id, r.text) for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("wrapper", F.lit("x"))).collect()]
+    assert sorted(t for i, t in got if i == 3) == ["Title 3\nBy A3\nNotice 3\nSearch 3\nlist 3"] * 2
+    assert dict(got)[6] == "deep text" and dict(got)[7] == "\n".join(f"{i} x" for i in range(20_000)) and dict(got)[None] == "t"
+    assert extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_tree_matching_against_brute_force():
+    r = random.Random(5)
+
+    def tree(depth):
+        return f"<div class={r.choice('ab')}>" + ("".join(tree(depth - 1) for _ in range(r.randint(0, 3))) if depth else "t") + "</div>"
+
+    def best(a, b):
+        """The most nodes that any order-keeping match of two trees of one key pairs, where a pair counts the smaller tree."""
+        x, y = extract._nodes(a), extract._nodes(b)
+        sizes = {}
+        for k in (*x, *y):
+            extract._size(k, sizes)
+
+        def go(i, j):
+            if i == len(x) or j == len(y):
+                return 0
+            return max(go(i + 1, j), go(i, j + 1), min(sizes[id(x[i])], sizes[id(y[j])]) + go(i + 1, j + 1) if x[i].key == y[j].key else 0)
+
+        return go(0, 0), sizes
+
+    for _ in range(60):
+        a, b = (extract.parse(tree(3)) for _ in range(2))
+        sizes, pairs = {}, []
+        extract._size(a, sizes)
+        extract._size(b, sizes)
+        extract.align(a, b, pairs, sizes)
+        assert pairs[0] == (a, b) and all(p.key == q.key for p, q in pairs)
+        for p, q in pairs:
+            got = sum(min(sizes[id(x)], sizes[id(y)]) for x, y in pairs if x.up is p and y.up is q)
+            assert got == best(p, q)[0]
+
+
 def test_extract_counts_all_pages_of_a_host(spark):
     first = "<body><div class=a><h1>T {0}</h1><p>one text of page {0} that is long enough to read</p><p>other text {0} of it, again long enough</p></div></body>"
     second = "<body><div class=b><p>Home of all</p><h1>U {0}</h1><p>some text of page {0} that is long enough to read</p><p>last text {0} of it, again long enough</p></div></body>"
