@@ -93,10 +93,22 @@ def wildcards(seq: Column, pad: str = "_") -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.overlay(seq, F.lit(pad), i, F.lit(1)))
 
 
-def double_wildcards(seq: Column, pad: str = "_") -> Column:
-    """The string with each place, and each two places, replaced: strings that differ in at most two places share one of these."""
-    one = lambda s, i: F.overlay(s, F.lit(pad), i, F.lit(1))
-    return F.flatten(F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.transform(F.sequence(i, F.length(seq)), lambda j: one(one(seq, i), j))))
+def one_off(seq: Column) -> Column:
+    """The string and all that differ from it by one base: strings of one length that differ in at most two places share one of these."""
+    letters = F.array(*map(F.lit, LETTERS))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.transform(letters, lambda c: F.overlay(seq, c, i, F.lit(1))))))
+
+
+def file_prefix(path: Column) -> Column:
+    """A FASTQ file's name without folder and .fastq or .fastq.gz."""
+    return F.regexp_extract(path, r"([^/]*?)(?:\.fastq)?(?:\.gz)?$", 1)
+
+
+def seed_masked(seq: Column, ref_point: Column, is_v: Column) -> Column:
+    """An allele in lower case but for the seed around its reference point: 6 before to 10 after for V, 10 before to 6 after for J."""
+    before, after = F.when(is_v, 6).otherwise(10), F.when(is_v, 10).otherwise(6)
+    start, end = F.greatest(ref_point - before, F.lit(0)), F.least(ref_point + after, F.length(seq))
+    return F.concat(F.lower(F.substring(seq, F.lit(1), start)), F.upper(F.substring(seq, start + 1, end - start)), F.lower(F.substring(seq, end + 1, F.length(seq))))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -1,7 +1,14 @@
-"""Consensus of reads that share a tag, by DataFrame operations: vote for a core, shift reads onto it, count bases by place."""
+"""Consensus of reads that share a tag: vote for a core, shift reads onto it, count bases by place.
+
+Tags of usual size are assembled by numpy, many at once, after one shuffle by tag; a tag with more than MOST_READS distinct reads goes through
+DataFrame aggregations, which sum it up on many tasks. Both give the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +17,9 @@ from tagloom.functions.sequence import core, hamming, phred_symbol
 from tagloom.operators.umi import collided
 
 
+MOST_READS, AT_ONCE = 100_000, 20_000
+
+
 def migs(reads: DataFrame, least_length: int = 32, by: tuple[str, ...] = ("sample",)) -> DataFrame:
     """Distinct reads of each tag and mate with their number."""
     return reads.filter(F.col("umi").isNotNull() & (F.length("seq") >= least_length)).groupBy(*by, "mate", "umi", "seq").agg(F.count("*").alias("cnt"))
@@ -54,20 +64,161 @@ def consensus(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",
     return made.select(*key, F.col("n").alias("count"), F.array_join("s.nt", "").alias("seq"), F.array_join("s.q", "").alias("qual"))
 
 
-def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",)) -> DataFrame:
+def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: int, anchor: int, most: int, least: int):
+    """Tags' (numbered from 0, in order) reads in consensus, distinct reads in it, and sequence and quality; empty below `least` reads."""
+    tags, wide = int(tag[-1]) + 1, 2 * anchor + 1
+    size = np.array([len(x) for x in seqs])
+    begin, data = np.cumsum(size) - size, np.frombuffer(b"".join(seqs), np.uint8)
+    offsets = np.arange(-offset, offset + 1)
+    middle = size // 2
+    cores = data[(begin + middle - anchor)[:, None, None] - offsets[None, :, None] + np.arange(wide)[None, None]]
+    _, code = np.unique(np.ascontiguousarray(cores).view(f"S{wide}").ravel(), return_inverse=True)  # in the order of letters
+    vote, place, back = np.unique(np.repeat(tag, len(offsets)) * (int(code.max()) + 1) + code, return_index=True, return_inverse=True)
+    votes, away = np.bincount(back, np.repeat(cnt, len(offsets))), np.bincount(back, np.tile(np.abs(offsets), len(seqs)))
+    owner = vote // (int(code.max()) + 1)
+    order = np.lexsort((vote, away, -votes, owner))
+    best = place[order[np.searchsorted(owner[order], np.arange(tags))]]
+    chosen = cores.reshape(-1, wide)[best]
+    apart = (cores != chosen[tag][:, None]).sum(2)
+    at = apart.argmin(1)  # ties: the most negative offset
+    keep = apart[np.arange(len(at)), at] <= most
+    n, distinct = np.bincount(tag[keep], cnt[keep], tags).astype(np.int64), np.bincount(tag[keep], minlength=tags)
+    keep &= n[tag] >= least
+    x, y = middle - offsets[at], size - middle + offsets[at]
+    left, right = np.zeros(tags, np.int64), np.zeros(tags, np.int64)
+    np.maximum.at(left, tag[keep], x[keep])
+    np.maximum.at(right, tag[keep], y[keep])
+    width = left + right
+    base = np.cumsum(width) - width
+    k = np.flatnonzero(keep)
+    read = np.repeat(k, size[k])
+    inside = np.arange(len(read)) - np.repeat(np.cumsum(size[k]) - size[k], size[k])
+    spot = base[tag[read]] + left[tag[read]] - x[read] + inside
+    letter = np.full(256, 4)
+    letter[list(b"ATGC")] = range(4)
+    nt, total = letter[data[begin[read] + inside]], int(width.sum())
+    known, quarter = nt < 4, cnt // 4
+    sums = np.bincount(spot[known] * 4 + nt[known], cnt[read[known]], total * 4).reshape(total, 4)
+    spread = np.bincount(tag[k], quarter[k], tags)
+    sums += (np.repeat(spread, width) - np.bincount(spot[known], quarter[read[known]], total))[:, None]
+    top = sums.argmax(1)
+    share = sums[np.arange(total), top] / np.maximum(np.repeat(n, width), 1)
+    cqs = np.clip(((share - 0.25) / 0.75 * 40).astype(np.int64), 2, 40)
+    nts, quals = np.frombuffer(b"ATGC", np.uint8)[top].tobytes().decode(), (cqs + 33).astype(np.uint8).tobytes().decode()
+    return n, distinct, [nts[a : a + w] for a, w in zip(base.tolist(), width.tolist(), strict=True)], [quals[a : a + w] for a, w in zip(base.tolist(), width.tolist(), strict=True)]
+
+
+def _assembled(offset: int, anchor: int, most: int, least: int, keys: int):
+    """Batches sorted by tag and mate: the by-columns, umi, mate, seq, cnt. A row for each tag and mate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+
+        def made(table: pa.Table) -> pa.RecordBatch:
+            columns = [table.column(i).combine_chunks() for i in range(keys)]
+            new = np.zeros(table.num_rows, bool)
+            new[0] = True
+            for c in columns:
+                coded = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= coded[1:] != coded[:-1]
+            tag, cnt = np.cumsum(new) - 1, table.column(keys + 1).to_numpy()
+            n, distinct, seq, qual = consensus_of(tag, [x.encode() for x in table.column(keys).to_pylist()], cnt, offset, anchor, most, least)
+            first = pa.array(np.flatnonzero(new))
+            reads, rows = np.bincount(tag, cnt).astype(np.int64), np.bincount(tag)
+            some = n >= least
+            return pa.RecordBatch.from_arrays([*(c.take(first) for c in columns), pa.array(n), pa.array(reads - n), pa.array(rows - distinct), pa.array(seq, mask=~some), pa.array(qual, mask=~some)], [f"c{i}" for i in range(keys + 5)])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch], rest.schema)])
+            last = [table.column(i)[-1] for i in range(keys)]
+            cut = table.num_rows
+            while cut and all(table.column(i)[cut - 1] == last[i] for i in range(keys)):
+                cut -= 1
+            if cut >= AT_ONCE or (cut and table.num_rows > 2 * AT_ONCE):
+                yield made(table.slice(0, cut))
+                table = table.slice(cut)
+            rest = table
+        if rest is not None and rest.num_rows:
+            yield made(rest)
+
+    return run
+
+
+def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1) -> DataFrame:
+    """A row for each tag and mate: n (reads), average (of the tag's mates), collided, small (some mate has too few reads), and for the others count
+    (reads in consensus), dropped_reads, dropped_sequences, seq and qual (null if too few reads are left)."""
+    key = [*by, "umi"]
+    groups = migs(reads, 2 * (anchor + offset + 1), by)
+    sizes = groups.groupBy(*key, "mate").agg(F.sum("cnt").alias("n"), F.count("*").alias("rows"))
+    tags = sizes.groupBy(*key).agg(F.min("n").alias("least"), F.floor(F.avg("n")).alias("average"), F.max("rows").alias("rows"))
+    tags = tags.withColumn("small", F.col("least") < least).withColumn("collided", F.lit(False))
+    if filter_collisions:
+        hit = collided(tags.select(*key, F.col("average").alias("n")), ratio, by).select(*key, F.lit(True).alias("hit"))
+        tags = tags.join(hit, key, "left").withColumn("collided", F.coalesce("hit", F.lit(False))).drop("hit")
+    good = groups.join(tags.filter("NOT small AND NOT collided").select(*key, "rows"), key)
+    usual = good.filter(F.col("rows") <= MOST_READS).select(*key, "mate", "seq", "cnt").repartition(*key).sortWithinPartitions(*key, "mate")
+    kinds = {f.name: f.dataType.simpleString() for f in good.schema}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*key, "mate")), "count long, dropped_reads long, dropped_sequences long, seq string, qual string"])
+    found = usual.mapInArrow(_assembled(offset, anchor, most, least, len(key) + 1), schema)
+    large = good.filter(F.col("rows") > MOST_READS).drop("rows")
+    placed = aligned(large, offset, anchor, most, by)
+    left = placed.groupBy(*key, "mate").agg(F.sum("cnt").alias("count"), F.count("*").alias("kept"))
+    drops = large.groupBy(*key, "mate").agg(F.sum("cnt").alias("n"), F.count("*").alias("rows")).join(left, [*key, "mate"], "left").fillna(0, ["count", "kept"])
+    made = drops.join(consensus(placed, least, by).drop("count"), [*key, "mate"], "left")
+    found = found.unionByName(made.select(*key, "mate", "count", (F.col("n") - F.col("count")).alias("dropped_reads"), (F.col("rows") - F.col("kept")).alias("dropped_sequences"), "seq", "qual"))
+    return sizes.drop("rows").join(tags.drop("least", "rows"), key).join(found, [*key, "mate"], "left")
+
+
+def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1) -> DataFrame:
     """Consensus of every tag that passes; of paired reads only where both mates have one."""
-    groups = migs(reads, by=by)
-    groups = groups.join(passing(groups, least, filter_collisions, by=by).select(*by, "umi"), [*by, "umi"], "left_semi")
-    found = consensus(aligned(groups, by=by), least, by)
-    mates = groups.groupBy(*by, "umi").agg(F.count_distinct("mate").alias("mates"))
-    both = found.groupBy(*by, "umi").agg(F.count("*").alias("made"))
-    whole = both.join(mates, [*by, "umi"]).filter("made = mates")
-    return found.join(whole.select(*by, "umi"), [*by, "umi"], "left_semi")
-
-
-def assembly_log(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """Tags and reads in all, and in consensus, by sample and mate."""
-    groups = migs(reads, by=by)
-    made = assemble(reads, least, by=by).groupBy(*by, "mate").agg(F.count("*").alias("migs_good"), F.sum("count").alias("reads_good"))
-    every = groups.groupBy(*by, "mate").agg(F.count_distinct("umi").alias("migs_total"), F.sum("cnt").alias("reads_total"))
-    return every.join(made, [*by, "mate"], "left").fillna(0)
+    key = [*by, "umi"]
+    found = statuses(reads, least, filter_collisions, by, offset, anchor, most, ratio)
+    short = found.filter("seq IS NULL").select(*key).distinct()
+    return found.filter("seq IS NOT NULL").join(short, key, "left_anti").select(*key, "mate", "count", "seq", "qual")
+
+
+def alignment_details(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5) -> DataFrame:
+    """Reads behind each consensus, shifted and padded as they were counted: by, mate, umi, aligned, seq, cnt."""
+    groups = migs(reads, 2 * (anchor + offset + 1), by)
+    groups = groups.join(passing(groups, least, by=by).select(*by, "umi"), [*by, "umi"], "left_semi")
+    placed = aligned(groups, offset, anchor, most, by)
+    span = placed.groupBy(*by, "mate", "umi").agg(F.max("x").alias("left"), F.max("y").alias("right"), F.sum("cnt").alias("n")).filter(F.col("n") >= least)
+    padded = F.concat(F.repeat(F.lit("N"), F.col("left") - F.col("x")), F.col("seq"), F.repeat(F.lit("N"), F.col("right") - F.col("y")))
+    return placed.join(span, [*by, "mate", "umi"]).select(*by, "mate", "umi", padded.alias("aligned"), "seq", "cnt")
+
+
+def assembly_log(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), filter_collisions: bool = False, ratio: float = 0.1) -> DataFrame:
+    """The counters of an assembly, a row for each of the by-columns: tags and reads in consensus by mate and in all, reads and distinct reads
+    dropped within tags, and tags and reads dropped for their size and as collided, by mate."""
+    found = statuses(reads, least, filter_collisions, by, ratio=ratio)
+    passed = ~F.col("small") & ~F.col("collided")
+    tests = {"overseq": F.col("small") & ~F.col("collided") & (F.col("n") < least), "collision": F.col("collided")}
+    count = lambda test, name: F.count_if(test).alias(name)
+    add = lambda test, column, name: F.coalesce(F.sum(F.when(test, F.col(column))), F.lit(0)).alias(name)
+    made = F.col("seq").isNotNull()
+    by_mate = [
+        x for m in (1, 2) for mate in (F.col("mate") == m,) for x in (
+            count(mate & made, f"migs_good_{m}"), add(mate & made, "count", f"reads_good_{m}"), add(mate & passed, "dropped_reads", f"reads_dropped_{m}"), add(mate & passed, "dropped_sequences", f"sequences_dropped_{m}"),
+            *(y for k, test in tests.items() for y in (count(mate & test, f"migs_dropped_{k}_{m}"), add(mate & test, "n", f"reads_dropped_{k}_{m}"))),
+        )
+    ]
+    tags = found.groupBy(*by, "umi").agg(F.max("average").alias("average"), F.bool_and(made).alias("whole"))
+    total = tags.groupBy(*by).agg(F.count_if("whole").alias("migs_good_total"), F.count("*").alias("migs_total"), add(F.col("whole"), "average", "reads_good_total"), F.sum("average").alias("reads_total"))
+    return found.groupBy(*by).agg(*by_mate).join(total, list(by)).withColumn("mig_count_threshold", F.lit(least))
+
+
+def assemble_batch(reads: DataFrame, estimates: DataFrame, metadata: DataFrame | None = None, default_mask: str = "1:1", force_overseq: int | None = None, force_collision_filter: bool = False) -> DataFrame:
+    """Consensus of all samples, each with its own thresholds and mask. reads: sample, type, mate, umi, seq; estimates: sample, type,
+    overseq_threshold, filter_collisions; metadata: sample, type, mask (`1:1`, `1:0`, `0:1`; a missing one is the default). Samples without an estimate are left out."""
+    rules = estimates.select("sample", "type", (F.lit(force_overseq) if force_overseq else F.col("overseq_threshold")).cast("long").alias("least_n"), (F.lit(force_collision_filter) | F.coalesce("filter_collisions", F.lit(False))).alias("filter_collided"))
+    if metadata is not None:
+        rules = rules.join(metadata.select("sample", "type", "mask"), ["sample", "type"])
+    else:
+        rules = rules.withColumn("mask", F.lit(default_mask))
+    rules = rules.withColumn("mask", F.split(F.coalesce("mask", F.lit(default_mask)), ":"))
+    wanted = reads.join(rules, ["sample", "type"]).filter(F.element_at("mask", F.col("mate").cast("int")) == "1")
+    found = statuses(wanted, 1, False, ("sample", "type"))
+    tags = found.groupBy("sample", "type", "umi").agg(F.min("n").alias("fewest"), F.min("count").alias("left"), F.max("average").alias("n")).join(rules.drop("mask"), ["sample", "type"])
+    hit = collided(tags.filter("filter_collided").select("sample", "type", "umi", "n"), 0.1).select("sample", "type", "umi")
+    whole = tags.filter((F.col("fewest") >= F.col("least_n")) & (F.col("left") >= F.col("least_n"))).join(hit, ["sample", "type", "umi"], "left_anti")
+    return found.join(whole.select("sample", "type", "umi"), ["sample", "type", "umi"], "left_semi").select("sample", "type", "umi", "mate", "count", "seq", "qual")

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.sequence import IUPAC, seed_regex
+from tagloom.functions.sequence import IUPAC, iupac_complement, seed_regex
 
 _RC = str.maketrans("ATGCatgc", "TACGtacg")
 
@@ -27,9 +27,10 @@ class Barcode:
     slave: str | None = None
 
     def __post_init__(self) -> None:
-        for text in (self.master, self.slave or ""):
-            if not set(text.upper()) <= set(IUPAC):
-                raise ValueError(f"not an IUPAC barcode: {text}")
+        if not set(self.master.upper()) <= set(IUPAC):
+            raise ValueError(f"not an IUPAC barcode: {self.master}")
+        if self.slave and not set(self.slave.upper()) <= set(IUPAC):
+            self.slave = None  # a slave that can't be read is skipped
 
 
 def find(barcode: str, seq: str, qual: str, low: int = 15, low_share: float = 0.2, high_share: float = 0.05) -> int:
@@ -57,15 +58,24 @@ def trim(seq: str, qual: str, at: int, size: int, least: int = 10) -> tuple[str,
     return "".join(seq[i] for i in keep), "".join(qual[i] for i in keep)
 
 
-def overlap(s1: str, q1: str, s2: str, q2: str, most_offset: int = 5, seed: int = 5, match: int = 10) -> tuple[str, str] | None:
-    """Mates merged where the second begins inside the first: the better base of each shared place, ties to the second."""
+def trim_switch(seq: str, qual: str, slave: bool = False) -> tuple[str, str]:
+    """Cut the bases of template switching: up to 3 T and 3 to 7 G that a master's rest begins with, or C and A that a slave's ends with."""
+    m = re.search(r"C{3,7}A{0,3}$", seq) if slave else re.match(r"T{0,3}G{3,7}", seq)
+    if not m:
+        return seq, qual
+    return (seq[: m.start()], qual[: m.start()]) if slave else (seq[m.end() :], qual[m.end() :])
+
+
+def overlap(s1: str, q1: str, s2: str, q2: str, most_offset: int = 5, seed: int = 5, match: int = 10, partial: bool = False) -> tuple[str, str] | None:
+    """Mates merged where the second begins inside the first: the better base of each shared place, ties to the second. With partial, the
+    compared stretch may be cut short by the end of a mate."""
     for i in range(most_offset):
         k = s2[i : i + seed]
         p = s1.find(k) if len(k) == seed else -1
         while p >= 0:
             a, b = s1[p + seed : p + seed + match], s2[i + seed : i + seed + match]
             bad = [x != y for x, y in zip(a, b, strict=False)]
-            if len(bad) == match and sum(bad) <= match * 0.1 and not any(x and y for x, y in zip(bad, bad[1:], strict=False)):
+            if (len(bad) == match or (partial and bad)) and sum(bad) <= len(bad) * 0.1 and not any(x and y for x, y in zip(bad, bad[1:], strict=False)):
                 n = min(len(s1) - p, len(s2) - i)
                 best = [(s1[p + j], q1[p + j]) if q1[p + j] > q2[i + j] else (s2[i + j], q2[i + j]) for j in range(n)]
                 tail = (s1[p + n :], q1[p + n :]) if len(s1) - p > n else (s2[i + n :], q2[i + n :])
@@ -77,17 +87,24 @@ def overlap(s1: str, q1: str, s2: str, q2: str, most_offset: int = 5, seed: int
 SCHEMA = "sample string, type string, umi string, umi_qual string, s1 string, q1 string, s2 string, q2 string, swapped boolean"
 
 
-def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bool = False, both_ways: bool = True, mask: str = "0:1", merge: bool = False) -> DataFrame:
+def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bool = False, both_ways: bool = True, mask: str = "0:1", merge: bool = False, switch: bool = False, skip_undef: bool = False, partial: bool = False, complement: bool = False) -> DataFrame:
     """Assign read pairs (s1, q1, s2, q2) to the first barcode that is found, the first mate before the second. Columns in `keep` pass through.
 
-    sample is undef-m without a master, undef-s without its slave; type is paired, overlapped or unpaired. s2 may be null. A null read has no barcode."""
+    sample is undef-m without a master, undef-s without its slave; type is paired, overlapped or unpaired. s2 may be null. A null read has no barcode.
+    switch: template-switch bases go too (only where barcodes are cut); skip_undef: pairs without a sample are left out; partial: see `overlap`;
+    complement: barcodes are given on the other strand."""
+    if complement:
+        barcodes = [Barcode(b.sample, iupac_complement(b.master), iupac_complement(b.slave) if b.slave else None) for b in barcodes]
+    seeds = [re.compile(f"(?={seed_regex(b.master)})") for b in barcodes]
     flags = [x == "1" for x in mask.split(":")]
 
     def one(s1, q1, s2, q2):
         s1, q1 = s1 or "", q1 or ""
         pair = s2 is not None
         kind = "paired" if pair else "unpaired"
-        for b in barcodes:
+        for b, seed in zip(barcodes, seeds, strict=True):
+            if not seed.search(s1) and not (pair and both_ways and seed.search(s2)):
+                continue
             ends = [(s1, q1, s2 or "", q2 or "", False)] + ([(s2, q2, s1, q1, True)] if pair and both_ways else [])
             for ms, mq, os, oq, swapped in ends:
                 at = find(b.master, ms, mq)
@@ -96,6 +113,7 @@ def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bo
                 u, uq = tag(b.master, ms, mq, at)
                 if cut:
                     ms, mq = trim(ms, mq, at, len(b.master))
+                    ms, mq = trim_switch(ms, mq) if switch else (ms, mq)
                 sample = b.sample
                 if pair and b.slave and b.slave != "N":
                     to = find(b.slave, os, oq)
@@ -106,11 +124,12 @@ def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bo
                         u, uq = u + v, uq + vq
                         if cut:
                             os, oq = trim(os, oq, to, len(b.slave))
+                            os, oq = trim_switch(os, oq, True) if switch else (os, oq)
                 if flags[0]:
                     ms, mq = ms.translate(_RC)[::-1], mq[::-1]
                 if pair and flags[1]:
                     os, oq = os.translate(_RC)[::-1], oq[::-1]
-                if merge and pair and (whole := overlap(ms, mq, os, oq)):
+                if merge and pair and (whole := overlap(ms, mq, os, oq, partial=partial)):
                     return sample, "overlapped", u, uq, *whole, None, None, swapped
                 return sample, kind, u, uq, ms, mq, os if pair else None, oq if pair else None, swapped
         return "undef-m", kind, None, None, s1, q1, s2, q2, False
@@ -123,7 +142,26 @@ def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bo
             yield pd.concat([f[keep].reset_index(drop=True), out], axis=1)
 
     kinds = ", ".join(f"`{c}` {reads.schema[c].dataType.simpleString()}" for c in keep)
-    return reads.select(*keep, "s1", "q1", "s2", "q2").mapInPandas(run, f"{kinds}, {SCHEMA}" if keep else SCHEMA)
+    found = reads.select(*keep, "s1", "q1", "s2", "q2").mapInPandas(run, f"{kinds}, {SCHEMA}" if keep else SCHEMA)
+    return found.filter(~F.col("sample").isin("undef-m", "undef-s")) if skip_undef else found
+
+
+def compiled(rows: DataFrame) -> list[Barcode]:
+    """Barcodes of a table (ord, sample, master, slave), in its order; a barcode list is as long as a run has samples."""
+    return [Barcode(r["sample"], r.master, r.slave) for r in rows.orderBy("ord").collect()]
+
+
+def checkout_batch(reads: DataFrame, rows: DataFrame, keep: list[str], **options) -> DataFrame:
+    """Reads of several files, each with the barcodes of its own rows. reads has a file column; rows: ord, sample, master, slave, fastq1.
+    Barcodes without a file are for all."""
+    files = [r.fastq1 for r in rows.select("fastq1").filter("fastq1 IS NOT NULL").distinct().orderBy("fastq1").collect()]
+    parts = [checkout(reads.filter(F.col("file") == f), compiled(rows.filter(F.col("fastq1").isNull() | (F.col("fastq1") == f))), keep, **options) for f in files]
+    none = rows.filter("fastq1 IS NULL")
+    rest = reads.filter(~F.col("file").isin(files)) if files else reads
+    out = checkout(rest, compiled(none), keep, **options)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
 def checkout_log(found: DataFrame) -> DataFrame:

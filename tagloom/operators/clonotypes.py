@@ -6,19 +6,34 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tagloom.functions.sequence import codons_to_protein, double_wildcards, hamming, wildcards
+from tagloom.functions.sequence import codons_to_protein, hamming, one_off, wildcards
 
 KEY = ("cdr3nt", "v", "j", "d")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
 
 
+def with_share(table: DataFrame, of: str, name: str) -> DataFrame:
+    """A column's share of its sum over all rows; the sum is one row, joined to the others."""
+    total = table.agg(F.sum(of).alias("total_of_all"))
+    return table.crossJoin(F.broadcast(total)).withColumn(name, F.col(of) / F.col("total_of_all")).drop("total_of_all")
+
+
 def roll_up(reads: DataFrame, least_quality: int = 25) -> DataFrame:
     """Clonotypes of reads (cdr3nt, v, j, d, quality, inc): events and reads, all and of good quality, and the share of good events."""
     good = F.col("quality") >= least_quality
     found = reads.groupBy(*KEY).agg(F.count_if(good).alias("good_events"), F.count("*").alias("total_events"), F.sum(F.when(good, F.col("inc")).otherwise(0)).alias("good_reads"), F.sum("inc").alias("total_reads"))
-    return found.filter("good_events > 0").withColumn("fraction", F.col("good_events") / F.sum("good_events").over(Window.partitionBy()))
+    return with_share(found.filter("good_events > 0"), "good_events", "fraction")
+
+
+def by_good_events(table: DataFrame) -> DataFrame:
+    """Rows with most good events first; ties by CDR3, V and J."""
+    return table.orderBy(F.desc("good_events"), "cdr3nt", "v", "j", "d")
+
+
+def canonical_or_broken(aa) -> F.Column:
+    """The mapping's looser test: out of frame, with a stop, or ending in F or W."""
+    return F.col(aa).rlike("[?*]|[FW]$")
 
 
 def canonical(aa) -> F.Column:
@@ -44,7 +59,7 @@ def one_apart(table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def erroneous_singletons(table: DataFrame, ratio: int = 20) -> DataFrame:
     """Rows with one good event that are an error of a larger one: one place apart and `ratio` times the reads, or two and its square."""
-    masks = lambda t: t.withColumn("m", F.explode(double_wildcards(F.col("cdr3nt"))))  # noqa: E731  two places masked, perhaps the same
+    masks = lambda t: t.withColumn("m", F.explode(one_off(F.col("cdr3nt"))))  # noqa: E731  strings two places apart are both one place from a third
     lone = masks(table.filter("good_events = 1").select(*KEY, "good_reads"))
     large = masks(table.filter(F.col("good_reads") > ratio).select(F.col("cdr3nt"), "v", "j", "d", "good_reads")).select("m", "v", "j", "d", F.col("cdr3nt").alias("parent"), F.col("good_reads").alias("parent_reads"))
     near = lone.join(large, ["m", "v", "j", "d"]).filter(F.col("parent_reads") > ratio * F.col("good_reads")).withColumn("mm", hamming(F.col("cdr3nt"), F.col("parent")))
@@ -61,7 +76,7 @@ def filter_by_raw(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep
     known = raw.groupBy(*KEY).agg(F.sum("good_reads").alias("raw_reads"))
     kept = asm.join(known, list(KEY), "left").crossJoin(F.broadcast(totals)).filter(F.col("raw_reads").isNull() | (F.col("good_reads") * F.col("t_raw") > ratio * F.col("raw_reads") * F.col("t_asm")))
     kept = kept if keep_nonfunctional else kept.filter(functional("aa"))
-    return kept.select(*KEY, "aa", *COUNTERS, (F.col("good_events") / F.sum("good_events").over(Window.partitionBy())).alias("share"))
+    return with_share(kept.select(*KEY, "aa", *COUNTERS), "good_events", "share")
 
 
 def filter_statistics(assembled: DataFrame, kept: DataFrame) -> DataFrame:
@@ -70,6 +85,23 @@ def filter_statistics(assembled: DataFrame, kept: DataFrame) -> DataFrame:
     return sums(assembled, "total").crossJoin(sums(kept, "kept"))  # one row each
 
 
+def filter_log(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None) -> DataFrame:
+    """One row: clonotypes, events and reads filtered and in all, and those of clonotypes that pass but for being non-functional (which the
+    filtered ones include unless they are kept)."""
+    passed = filter_by_raw(assembled, raw, ratio, True, singleton_ratio).drop("share")
+    broken = ~functional("aa")
+    sums = lambda t, name: t.agg(F.count("*").alias(f"clonotypes_{name}"), F.coalesce(F.sum("good_events"), F.lit(0)).alias(f"events_{name}"), F.coalesce(F.sum("good_reads"), F.lit(0)).alias(f"reads_{name}"))
+    row = sums(assembled, "total").crossJoin(sums(passed if keep_nonfunctional else passed.filter(~broken), "kept")).crossJoin(sums(passed.filter(broken), "broken"))  # one row each
+    kinds = ("clonotypes", "events", "reads")
+    return row.select(*(c for k in kinds for c in ((F.col(f"{k}_total") - F.col(f"{k}_kept")).alias(f"{k}_filtered"), F.col(f"{k}_total"))), *(F.col(f"{k}_broken").alias(f"non_functional_{k}") for k in kinds))
+
+
+def graph_nodes(table: DataFrame) -> DataFrame:
+    """Nodes of the hypermutation graph: each CDR3 with its protein, size and log10 share of all."""
+    nodes = table.groupBy("cdr3nt").agg(F.sum("good_events").alias("size"))
+    return with_share(nodes, "size", "share").select("cdr3nt", codons_to_protein(F.col("cdr3nt")).alias("aa"), "size", F.log10("share").alias("log_share"))
+
+
 def hypermutations(table: DataFrame, most_ratio: float = 10_000) -> DataFrame:
     """Undirected edges a < b between CDR3s one place apart with comparable sizes: the codons and amino acids that differ."""
     nodes = table.groupBy("cdr3nt").agg(F.sum("good_events").alias("size"))
@@ -83,8 +115,8 @@ def hypermutations(table: DataFrame, most_ratio: float = 10_000) -> DataFrame:
 
 
 def split_spikes(table: DataFrame, spikes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows within two places of a spike-in, and the rest."""
-    masks = lambda t: t.select("cdr3nt", F.explode(double_wildcards(F.col("cdr3nt"))).alias("m"))
+    """Rows within two places of a spike-in, and the rest: both are spread by one place."""
+    masks = lambda t: t.select("cdr3nt", F.explode(one_off(F.col("cdr3nt"))).alias("m"))
     near = masks(table).join(masks(spikes).select("m").distinct(), "m", "left_semi").select("cdr3nt").distinct()
     return table.join(near, "cdr3nt", "left_semi"), table.join(near, "cdr3nt", "left_anti")
 
@@ -95,6 +127,29 @@ def paired_samples(assembled: DataFrame, raw: DataFrame) -> DataFrame:
     return a.join(r, "sample", "full").select("sample", F.when(F.col("a") & F.col("r"), "both").when(F.col("a"), "assembled").otherwise("raw").alias("side"))
 
 
+def filter_batch(tables: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False) -> DataFrame:
+    """The filter over all samples that have a raw and an assembled table. tables: sample, side (raw or assembled), the key and counters."""
+    key = ["sample", *KEY]
+    asm, raw = tables.filter("side = 'assembled'").drop("side"), tables.filter("side = 'raw'")
+    total = raw.groupBy("sample").agg(F.sum("total_reads").alias("t_raw")).join(asm.groupBy("sample").agg(F.sum("total_reads").alias("t_asm")), "sample")
+    known = raw.groupBy(*key).agg(F.sum("good_reads").alias("raw_reads"))
+    named = asm.withColumn("aa", codons_to_protein(F.col("cdr3nt"))).filter(canonical("aa"))
+    named = named if keep_nonfunctional else named.filter(functional("aa"))
+    kept = named.join(total, "sample").join(known, key, "left").filter(F.col("raw_reads").isNull() | (F.col("good_reads") * F.col("t_raw") > ratio * F.col("raw_reads") * F.col("t_asm")))
+    whole = kept.groupBy("sample").agg(F.sum("good_events").alias("sample_events"))
+    return kept.join(whole, "sample").select(*key, "aa", *COUNTERS, (F.col("good_events") / F.col("sample_events")).alias("share"))
+
+
+def final_counts(log: DataFrame) -> DataFrame:
+    """Of a filter log by sample: clonotypes and events left, rates of those filtered, and rates of non-functional ones."""
+    rate = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+    kinds = ("clonotypes", "events", "reads")
+    return log.select(
+        "sample", *((F.col(f"{k}_total") - F.col(f"{k}_filtered")).alias(f"{k}_left") for k in kinds), *(rate(f"{k}_filtered", f"{k}_total").alias(f"{k}_filter_rate") for k in kinds),
+        *(rate(f"non_functional_{k}", f"{k}_total").alias(f"{k}_non_functional_rate") for k in kinds),
+    )
+
+
 def merge_noncanonical(table: DataFrame) -> DataFrame:
     """Counters of each canonical CDR3, with those of the others that contain it; of several, the longest, then the first, takes them."""
     canon = table.filter(canonical("aa")).select(F.col("cdr3nt").alias("into"), F.length("cdr3nt").alias("n")).distinct()

@@ -44,7 +44,7 @@ def cdr3s(hits: DataFrame, chimeric: bool = False, least: int = 7, most: int = 3
     start, end = F.col("v_ref_point") + F.col("v_shift") - 3, F.col("j_ref_point") + F.col("j_shift") + 4
     strand = F.when(F.col("v_rc"), reverse_complement(F.col("read"))).otherwise(F.col("read"))
     found = both.withColumns({"from": start, "to": end, "strand": strand}).filter((F.col("from") >= 0) & (F.col("to") <= F.length("read")) & (F.col("to") - F.col("from")).between(least, most))
-    return found.select("read", F.col("v_gene").alias("gene"), F.col("v_segments").alias("v"), F.col("j_segments").alias("j"), F.substring("strand", F.col("from") + 1, F.col("to") - F.col("from")).alias("cdr3nt"), "from", (F.col("v_q_to") - F.col("from")).alias("v_end"), (F.col("j_q_from") - F.col("from")).alias("j_start"))
+    return found.select("read", F.col("v_gene").alias("gene"), F.col("v_segments").alias("v"), F.col("j_segments").alias("j"), F.substring("strand", F.col("from") + 1, F.col("to") - F.col("from")).alias("cdr3nt"), "from", F.col("v_rc").alias("rc"), (F.col("v_q_to") - F.col("from")).alias("v_end"), (F.col("j_q_from") - F.col("from")).alias("j_start"))
 
 
 def d_segments(middles: DataFrame, d_alleles: DataFrame, least: int = 2, most: int = 60) -> DataFrame:

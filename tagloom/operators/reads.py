@@ -35,15 +35,19 @@ def good_windows(reads: DataFrame, size: int = 5, least: int = 15) -> DataFrame:
 
 
 def cdr3_bundles(reads: DataFrame) -> DataFrame:
-    """Reads of each CDR3 cut to the window that all of them have around its start. reads: cdr3, seq, start (0-based)."""
-    whole = Window.partitionBy("cdr3")
-    left, right = F.min("start").over(whole), F.min(F.length("seq") - F.col("start")).over(whole)
-    return reads.withColumns({"l": left, "r": right}).select("cdr3", F.substring("seq", F.col("start") - F.col("l") + 1, F.col("l") + F.col("r")).alias("part")).groupBy("cdr3", "part").agg(F.count("*").alias("n"))
+    """Reads of each CDR3 cut to the window that all of them have around its start, however many they are. reads: cdr3, seq, start (0-based)."""
+    room = reads.groupBy("cdr3").agg(F.min("start").alias("l"), F.min(F.length("seq") - F.col("start")).alias("r"))
+    return reads.join(room, "cdr3").select("cdr3", F.substring("seq", F.col("start") - F.col("l") + 1, F.col("l") + F.col("r")).alias("part")).groupBy("cdr3", "part").agg(F.count("*").alias("n"))
 
 
-def back_track(details: DataFrame, consensus: DataFrame, query: str) -> DataFrame:
-    """Reads behind the consensuses that hold a query. details: umi, seq, cnt; consensus: umi, seq."""
-    return details.join(consensus.filter(F.contains("seq", F.lit(query))).select("umi"), "umi", "left_semi")
+def listed(reads: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Reads whose CDR3 is in a list."""
+    return reads.join(wanted.select(F.col(wanted.columns[0]).alias("cdr3")), "cdr3", "left_semi")
+
+
+def back_track(details: DataFrame, consensus: DataFrame, query: str, by: tuple[str, ...] = ("sample", "mate")) -> DataFrame:
+    """Reads behind the consensuses that hold a query. details: by, umi, seq, cnt; consensus: by, umi, seq."""
+    return details.join(consensus.filter(F.contains("seq", F.lit(query))).select(*by, "umi"), [*by, "umi"], "left_semi")
 
 
 def redundant_cdr3s(reads: DataFrame) -> DataFrame:
@@ -57,13 +61,36 @@ def redundant_cdr3s(reads: DataFrame) -> DataFrame:
     return moved.groupBy("umi", "cdr3").agg(F.sum("size").alias("n"))
 
 
+def largest_tags_first(found: DataFrame) -> DataFrame:
+    """umi, cdr3, n: tags with most reads first, then in each tag the largest CDR3 first."""
+    total = found.groupBy("umi").agg(F.sum("n").alias("total"))
+    return found.join(total, "umi").orderBy(F.desc("total"), "umi", F.desc("n"), "cdr3")
+
+
 def stacked_report(log: DataFrame, by: str, values: list[str]) -> DataFrame:
     """Sums of a log's columns by sample, one row for each value."""
     sums = log.groupBy(by).agg(*(F.sum(v).alias(v) for v in values))
     return sums.unpivot([by], values, "metric", "value")
 
 
+def over_threshold(hist: DataFrame, estimates: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
+    """The report's histogram with each sample's largest over-sequencing threshold."""
+    return hist.join(estimates.groupBy(by[0]).agg(F.max("overseq_threshold").alias("threshold")), by[0])
+
+
+def assembled_fractions(log: DataFrame) -> DataFrame:
+    """Of an assembly log: tags and reads of each sample that end in a consensus, as ratios of sums."""
+    sums = log.groupBy("sample").agg(*(F.sum(c).alias(c) for c in ("migs_good_total", "migs_total", "reads_good_total", "reads_total")))
+    return sums.select("sample", (F.col("migs_good_total") / F.col("migs_total")).alias("migs_fraction"), (F.col("reads_good_total") / F.col("reads_total")).alias("reads_fraction"))
+
+
+def mapping_rates(log: DataFrame) -> DataFrame:
+    """Of a mapping log (sample, type, events and reads: good, mapped, total): mapping and quality rates, one row for each type and metric."""
+    one = lambda m: log.select("sample", "type", F.lit(m).alias("metric"), (F.col(f"{m}_mapped") / F.col(f"{m}_total")).alias("mapping_rate"), (F.col(f"{m}_good") / F.col(f"{m}_mapped")).alias("quality_rate"))
+    return one("events").union(one("reads"))
+
+
 def normalised_histogram(hist: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
     """Share of each bin in its group's reads, and the group's peak bin."""
-    whole = Window.partitionBy(*by)
+    whole = Window.partitionBy(*by)  # a histogram has at most 17 bins
     return hist.select(*by, "bin", (F.col("reads") / F.sum("reads").over(whole)).alias("share"), F.max_by("bin", F.struct("reads", "bin")).over(whole).alias("peak"))

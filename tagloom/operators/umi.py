@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.functions.sequence import LETTERS, coverage_bin, least_phred, wildcards
+from tagloom.functions.sequence import LETTERS, coverage_bin, wildcards
 
 
 def header_tag(header: Column, tag: str = "UMI") -> Column:
@@ -20,7 +20,7 @@ def parse_umi(header: Column, quality: int = 15) -> Column:
     """The tag's bases if all are known and of the given quality, else null. Qualities are the token's last characters, so they may hold a colon."""
     token = header_tag(header)
     bases = F.split_part(token, F.lit(":"), F.lit(1))
-    good = bases.rlike("^[ATGC]+$") & (least_phred(F.right(token, F.length(bases))) >= quality)
+    good = bases.rlike("^[ATGC]+$") & F.right(token, F.length(bases)).rlike(f"^[\\x{33 + quality:02x}-~]+$")
     return F.when(good, bases)
 
 
@@ -31,11 +31,13 @@ def coverage(reads: DataFrame, by: tuple[str, ...] = ("sample", "type"), first_o
 
 
 def collided(counts: DataFrame, ratio: float, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
-    """Tags of which a one-base neighbour has more than 1/ratio times their reads: an equi-join on the tag with one place masked."""
+    """Tags of which a one-base neighbour has more than 1/ratio times their reads: an equi-join on the tag with one place masked.
+
+    Each mask's two largest tags are kept, so that the largest itself is held against the second where the ratio is above 1."""
     small = counts.select(*by, "umi", "n", F.explode(wildcards(F.col("umi"))).alias("mask"))
     large = small.select(*by, "mask", F.col("umi").alias("other"), F.col("n").alias("m"))
-    most = large.groupBy(*by, "mask").agg(F.max(F.struct("m", "other")).alias("top"), F.count("*").alias("k")).filter("k > 1")
-    hit = small.join(most, [*by, "mask"]).filter((F.col("top.other") != F.col("umi")) & (F.col("n") < ratio * F.col("top.m")))
+    most = large.groupBy(*by, "mask").agg(F.slice(F.sort_array(F.collect_list(F.struct("m", "other")), False), 1, 2).alias("top"), F.count("*").alias("k")).filter("k > 1")  # a mask has at most four tags
+    hit = small.join(most, [*by, "mask"]).filter(F.exists("top", lambda t: (t["other"] != F.col("umi")) & (F.col("n") < ratio * t["m"])))
     return counts.join(hit.select(*by, "umi").distinct(), [*by, "umi"], "left_semi")
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.sequence import AMINO_ACIDS, reverse_complement, translate_both_ends
-from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, umi
+from tagloom.functions.sequence import AMINO_ACIDS, file_prefix, percent, reverse_complement, seed_masked, translate_both_ends
+from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
 
 _BASE = "substr('ATGC', cast(({0}) % 4 as int) + 1, 1)"
 _ERROR = "case when (l_orderkey*7 + l_linenumber*3) % 97 = {i} then 1 else 0 end"
@@ -131,22 +131,78 @@ def mig_consensus(spark, sf_dir):
     return assemble.consensus(placed)
 
 
-@query()
+def _assembly(by: str, reads: str, least: int = 5) -> str:
+    """SQL of an assembly of reads (by, mate, umi, seq of 48 bases): sz (sizes), tg (tags), g (reads of those that pass), pl (placed reads), cons (consensus)."""
+    k, t = f"{by}, mate, umi", f"{by}, umi"
+    return f"""m AS (SELECT {k}, seq, count(*) cnt FROM {reads} GROUP BY ALL), sz AS (SELECT {k}, sum(cnt) n, count(*) rws FROM m GROUP BY ALL),
+tg AS (SELECT {t}, min(n) least, floor(avg(n))::BIGINT average FROM sz GROUP BY ALL), g AS (SELECT m.* FROM m JOIN tg USING ({t}) WHERE least >= {least}),
+co AS (SELECT {k}, core FROM (SELECT {k}, substr(seq, 24 - 10 - o::INT + 1, 21) core, sum(cnt) v, sum(abs(o)) a FROM g, range(-5, 6) t(o) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY v DESC, a, core) = 1),
+al AS (SELECT {k}, seq, cnt, min(100 * hamming(substr(seq, 24 - 10 - o::INT + 1, 21), core) + o + 5) b FROM g JOIN co USING ({k}), range(-5, 6) t(o) GROUP BY ALL),
+pl AS (SELECT {k}, seq, cnt, 24 - (b % 100 - 5) x, 24 + (b % 100 - 5) y FROM al WHERE b // 100 <= 5),
+sp AS (SELECT {k}, max(x) l, max(y) r, sum(cnt) n FROM pl GROUP BY ALL HAVING sum(cnt) >= {least}),
+ps AS (SELECT {k}, n, p, CASE WHEN p - (l - x) BETWEEN 0 AND 47 THEN substr(seq, (p - (l - x))::INT + 1, 1) ELSE 'N' END nt, cnt FROM pl JOIN sp USING ({k}), range(0, 60) t(p) WHERE p < l + r),
+ct AS (SELECT {k}, n, p, letter, sum(CASE WHEN nt = letter THEN cnt WHEN nt = 'N' THEN cnt // 4 ELSE 0 END) c FROM ps, (VALUES ('A'), ('T'), ('G'), ('C')) v(letter) GROUP BY ALL),
+bs AS (SELECT * FROM ct QUALIFY row_number() OVER (PARTITION BY {k}, p ORDER BY c DESC, instr('ATGC', letter)) = 1),
+cons AS (SELECT {k}, n::BIGINT count, string_agg(letter, '' ORDER BY p) seq, string_agg(chr(33 + least(40, greatest(2, trunc((c / n - 0.25) / 0.75 * 40)::INT))), '' ORDER BY p) qual FROM bs GROUP BY {k}, n),
+wh AS (SELECT {t} FROM (SELECT DISTINCT {k} FROM g) d LEFT JOIN cons USING ({k}) GROUP BY ALL HAVING count(*) = count(cons.seq))"""
+
+
+_ASSEMBLY = f"WITH {_cte('sample', 'mate', 'umi6', 'seq')}, u AS (SELECT * RENAME (umi6 AS umi) FROM r), " + _assembly("sample", "u")
+
+
+@query(f"{_ASSEMBLY} SELECT * FROM cons SEMI JOIN wh USING (sample, umi)")
 def mig_assembly(spark, sf_dir):
     return assemble.assemble(_mig_reads(spark, sf_dir))
 
 
-@query()
+_LOG = f"""{_ASSEMBLY}, kp AS (SELECT sample, mate, umi, sum(cnt) kn, count(*) kr FROM pl GROUP BY ALL),
+st AS (SELECT sz.*, least, average, least < 5 small, coalesce(kn, 0) kn, coalesce(kr, 0) kr, c.seq IS NOT NULL made FROM sz JOIN tg USING (sample, umi) LEFT JOIN kp USING (sample, mate, umi) LEFT JOIN cons c USING (sample, mate, umi)),
+wt AS (SELECT sample, umi, max(average) average, bool_and(made) whole FROM st GROUP BY ALL),
+tt AS (SELECT sample, count(*) FILTER (whole) migs_good_total, count(*) migs_total, coalesce(sum(average) FILTER (whole), 0)::BIGINT reads_good_total, sum(average)::BIGINT reads_total FROM wt GROUP BY ALL),
+lg AS (SELECT sample, """ + ", ".join(
+    f"count(*) FILTER (mate = {i} AND made) migs_good_{i}, coalesce(sum(kn) FILTER (mate = {i} AND made), 0)::BIGINT reads_good_{i}, coalesce(sum(n - kn) FILTER (mate = {i} AND NOT small), 0)::BIGINT reads_dropped_{i}, coalesce(sum(rws - kr) FILTER (mate = {i} AND NOT small), 0)::BIGINT sequences_dropped_{i}, count(*) FILTER (mate = {i} AND small AND n < 5) migs_dropped_overseq_{i}, coalesce(sum(n) FILTER (mate = {i} AND small AND n < 5), 0)::BIGINT reads_dropped_overseq_{i}, 0::BIGINT migs_dropped_collision_{i}, 0::BIGINT reads_dropped_collision_{i}"
+    for i in (1, 2)
+) + ", any_value(5) mig_count_threshold FROM st GROUP BY ALL)"
+
+
+@query(f"{_LOG} SELECT * FROM lg JOIN tt USING (sample)")
 def assembly_log(spark, sf_dir):
     return assemble.assembly_log(_mig_reads(spark, sf_dir))
 
 
+@query(f"{_LOG} SELECT sample, round(migs_good_total / migs_total, 9) migs_fraction, round(reads_good_total / reads_total, 9) reads_fraction FROM tt")
+def report_assembled_fractions(spark, sf_dir):
+    return reads.assembled_fractions(assemble.assembly_log(_mig_reads(spark, sf_dir))).withColumns({c: F.round(c, 9) for c in ("migs_fraction", "reads_fraction")})
+
+
+@query(f"{_ASSEMBLY}, kp AS (SELECT sample, mate, umi, max(x) l, max(y) r FROM pl GROUP BY ALL HAVING sum(cnt) >= 5) SELECT sample, mate, umi, repeat('N', (l - x)::INT) || seq || repeat('N', (r - y)::INT) aligned, seq, cnt FROM pl JOIN kp USING (sample, mate, umi)")
+def alignment_details(spark, sf_dir):
+    return assemble.alignment_details(_mig_reads(spark, sf_dir))
+
+
+_TYPED = f"WITH {_cte('sample', 'type', 'mate', 'umi6', 'seq')}, t0 AS (SELECT * RENAME (umi6 AS umi) FROM r), es AS (SELECT sample, type, 3 + count(*) % 4 least_n, sample = 'R' fc, CASE WHEN sample = 'A' THEN '1:0' ELSE '1:1' END mask FROM t0 GROUP BY ALL), u AS (SELECT t0.* FROM t0 JOIN es USING (sample, type) WHERE mask[2 * mate - 1] = '1'), " + _assembly("sample, type", "u", 1)
+
+
+@query(f"""{_TYPED}, kp AS (SELECT sample, type, mate, umi, sum(cnt) kn FROM pl GROUP BY ALL), f AS (SELECT sample, type, umi, min(n) fewest, min(coalesce(kn, 0)) lft, max(average) n FROM sz JOIN tg USING (sample, type, umi) LEFT JOIN kp USING (sample, type, mate, umi) GROUP BY ALL),
+x AS (SELECT f.*, least_n, fc FROM f JOIN es USING (sample, type)), w AS (SELECT * FROM x a WHERE fewest >= least_n AND lft >= least_n AND NOT (fc AND EXISTS (SELECT 1 FROM x b WHERE a.sample = b.sample AND a.type = b.type AND hamming(a.umi, b.umi) = 1 AND a.n < 0.1 * b.n)))
+SELECT * FROM cons SEMI JOIN w USING (sample, type, umi)""")
+def assembly_batch(spark, sf_dir):
+    r = _reads(spark, sf_dir, "sample", "type", "mate", "umi6", "seq").withColumnRenamed("umi6", "umi")
+    rules = r.groupBy("sample", "type").agg((3 + F.count("*") % 4).alias("overseq_threshold")).withColumn("filter_collisions", F.col("sample") == "R")
+    masks = rules.select("sample", "type", F.when(F.col("sample") == "A", "1:0").alias("mask"))
+    return assemble.assemble_batch(r, rules, masks)
+
+
 _AA = f"CASE WHEN contains(c, '?') THEN '?' ELSE substr('{AMINO_ACIDS}', 16 * (instr('TCAG', c[1]) - 1) + 4 * (instr('TCAG', c[2]) - 1) + instr('TCAG', c[3]), 1) END"
 
 
-@query(f"""WITH {_cte("cdr3nt", "line")}, s AS (SELECT DISTINCT substr(cdr3nt, 1, 24 + line) s FROM r), f AS (SELECT s, (3 - length(s) % 3) % 3 g, length(s) // 2 h FROM s), t AS (SELECT s, g, h // 3 + 1 mid, substr(s, 1, h) || substr('??', 1, g) || substr(s, h + 1) t FROM f),
-c AS (SELECT s, g, mid, p, substr(t, 3 * p - 2, 3) c FROM t, range(1, 20) x(p) WHERE 3 * p <= length(t))
-SELECT s AS seq, string_agg(CASE WHEN g > 0 AND p = mid THEN lower({_AA}) ELSE {_AA} END, '' ORDER BY p) protein FROM c GROUP BY s""")
+#: Of s (s): tr (seq, protein).
+_BOTH_ENDS = f"""f AS (SELECT s, (3 - length(s) % 3) % 3 g, length(s) // 2 h FROM s), t AS (SELECT s, g, h // 3 + 1 mid, substr(s, 1, h) || substr('??', 1, g) || substr(s, h + 1) t FROM f),
+c AS (SELECT s, g, mid, p, substr(t, 3 * p - 2, 3) c FROM t, range(1, 20) x(p) WHERE 3 * p <= length(t)),
+tr AS (SELECT s AS seq, string_agg(CASE WHEN g > 0 AND p = mid THEN lower({_AA}) ELSE {_AA} END, '' ORDER BY p) protein FROM c GROUP BY s)"""
+
+
+@query(f"WITH {_cte('cdr3nt', 'line')}, s AS (SELECT DISTINCT substr(cdr3nt, 1, 24 + line) s FROM r), {_BOTH_ENDS} SELECT * FROM tr")
 def translated_cdr3s(spark, sf_dir):
     s = _reads(spark, sf_dir, "cdr3nt", "line").select(F.substring("cdr3nt", F.lit(1), F.lit(24) + F.col("line")).alias("seq")).distinct()
     return s.select("seq", translate_both_ends(F.col("seq")).alias("protein"))
@@ -188,6 +244,48 @@ def filter_statistics(spark, sf_dir):
     return clonotypes.filter_statistics(asm, clonotypes.filter_by_raw(asm, clonotypes.roll_up(r)))
 
 
+_FILTER_LOG = _FILTERED.replace(" AND regexp_full_match(aa, '[a-zA-Z]+'))", ")") + """, lg AS (SELECT 'asm' AS sample, clonotypes_total - clonotypes_kept clonotypes_filtered, clonotypes_total, events_total - events_kept events_filtered, events_total, reads_total - reads_kept reads_filtered, reads_total, non_functional_clonotypes, non_functional_events, non_functional_reads
+FROM (SELECT count(*) clonotypes_total, sum(good_events)::BIGINT events_total, sum(good_reads)::BIGINT reads_total FROM a), (SELECT count(*) clonotypes_kept, coalesce(sum(good_events), 0)::BIGINT events_kept, coalesce(sum(good_reads), 0)::BIGINT reads_kept FROM k WHERE regexp_full_match(aa, '[a-zA-Z]+')),
+(SELECT count(*) non_functional_clonotypes, coalesce(sum(good_events), 0)::BIGINT non_functional_events, coalesce(sum(good_reads), 0)::BIGINT non_functional_reads FROM k WHERE NOT regexp_full_match(aa, '[a-zA-Z]+')))"""
+
+
+def _filter_log(spark, sf_dir):
+    r = _clonotype_reads(spark, sf_dir)
+    return clonotypes.filter_log(clonotypes.roll_up(r.filter("sample <> 'N'")), clonotypes.roll_up(r)).withColumn("sample", F.lit("asm"))
+
+
+@query(f"WITH {_FILTER_LOG} SELECT * FROM lg")
+def filter_log(spark, sf_dir):
+    return _filter_log(spark, sf_dir)
+
+
+_RATES = ", ".join([*(f"{k}_total - {k}_filtered {k}_left, round({k}_filtered / {k}_total, 9) {k}_filter_rate, round(non_functional_{k} / {k}_total, 9) {k}_non_functional_rate" for k in ("clonotypes", "events", "reads"))])
+
+
+@query(f"WITH {_FILTER_LOG} SELECT sample, {_RATES} FROM lg")
+def report_final_counts(spark, sf_dir):
+    found = clonotypes.final_counts(_filter_log(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 9) for c in found.columns if c.endswith("_rate")})
+
+
+_SIDES = _cte("sample", "type", "cdr3nt", "v", "j", "d", "phred", "inc") + """, s AS (SELECT type AS sample, CASE WHEN sample = 'N' THEN 'raw' ELSE 'assembled' END side, cdr3nt, v, j, d, count(*) FILTER (phred >= 25) good_events, count(*) total_events, coalesce(sum(inc) FILTER (phred >= 25), 0)::BIGINT good_reads, sum(inc)::BIGINT total_reads FROM r GROUP BY ALL HAVING count(*) FILTER (phred >= 25) > 0),
+a AS (SELECT * FROM s WHERE side = 'assembled'), w AS (SELECT * FROM s WHERE side = 'raw'), """ + _PROTEIN
+
+
+@query(f"""WITH {_SIDES}, k AS (SELECT a.* EXCLUDE (side), aa FROM a JOIN p USING (cdr3nt) JOIN (SELECT sample, sum(total_reads) ta FROM a GROUP BY 1) USING (sample) JOIN (SELECT sample, sum(total_reads) tw FROM w GROUP BY 1) USING (sample) LEFT JOIN w USING (sample, cdr3nt, v, j, d)
+WHERE regexp_full_match(aa, 'C.+[FW]') AND regexp_full_match(aa, '[a-zA-Z]+') AND (w.good_reads IS NULL OR a.good_reads * tw > w.good_reads * ta)) SELECT *, round(good_events / sum(good_events) OVER (PARTITION BY sample), 9) share FROM k""")
+def filter_batch(spark, sf_dir):
+    r = _reads(spark, sf_dir, "sample", "type", "cdr3nt", "v", "j", "d", "phred", "inc").withColumn("side", F.when(F.col("sample") == "N", "raw").otherwise("assembled")).withColumn("sample", F.col("type"))
+    good = F.col("phred") >= 25
+    tables = r.groupBy("sample", "side", *clonotypes.KEY).agg(F.count_if(good).alias("good_events"), F.count("*").alias("total_events"), F.sum(F.when(good, F.col("inc")).otherwise(0)).alias("good_reads"), F.sum("inc").alias("total_reads")).filter("good_events > 0")
+    return clonotypes.filter_batch(tables).withColumn("share", F.round("share", 9))
+
+
+@query(f"WITH {_ALL}, n AS (SELECT cdr3nt, sum(good_events)::BIGINT size FROM a GROUP BY cdr3nt), {_PROTEIN} SELECT cdr3nt, aa, size, round(log10(size / (SELECT sum(size) FROM n)), 9) log_share FROM n JOIN p USING (cdr3nt)")
+def graph_nodes(spark, sf_dir):
+    return clonotypes.graph_nodes(clonotypes.roll_up(_clonotype_reads(spark, sf_dir))).withColumn("log_share", F.round("log_share", 9))
+
+
 @query(f"WITH {_ALL} SELECT cdr3nt, v, j, d, good_events, total_events, good_reads, total_reads FROM a x WHERE good_events = 1 AND EXISTS (SELECT 1 FROM a y WHERE y.v = x.v AND y.j = x.j AND y.d = x.d AND length(x.cdr3nt) = length(y.cdr3nt) AND ((hamming(x.cdr3nt, y.cdr3nt) = 1 AND y.good_reads > 2 * x.good_reads) OR (hamming(x.cdr3nt, y.cdr3nt) = 2 AND y.good_reads > 4 * x.good_reads)))")
 def singleton_errors(spark, sf_dir):
     return clonotypes.erroneous_singletons(clonotypes.roll_up(_clonotype_reads(spark, sf_dir)), 2).drop("fraction")
@@ -212,8 +310,72 @@ def spike_split(spark, sf_dir):
     return spikes.withColumn("spike", F.lit(True)).union(rest.withColumn("spike", F.lit(False))).groupBy("spike").agg(F.count("*").alias("clonotypes"))
 
 
+def _mapped_reads(spark, sf_dir):
+    """Reads, and what a mapping found in three quarters of the sequences, by rule."""
+    r = _reads(spark, sf_dir, "orderkey", "line", "umi6", "seq", "phred", "inc")
+    qual = F.concat(F.repeat(F.char(F.col("phred") + 33), F.lit(24)), F.repeat(F.char((F.col("phred") + 5 * F.col("line")) % 39 + 35), F.lit(24)))
+    table = r.select(F.concat(F.lit("@"), F.col("orderkey").cast("string"), F.lit("."), F.col("line").cast("string")).alias("header"), F.col("umi6").alias("umi"), "seq", qual.alias("qual"), "inc")
+    at = lambda i: F.substring("read", i, 1)
+    named = r.select(F.col("seq").alias("read")).distinct().filter(at(5) != "T")
+    named = named.withColumns({"v": F.concat(F.lit("V"), at(1)), "j": F.concat(F.lit("J"), at(48)), "d": F.concat(F.lit("D"), at(24)), "rc": at(2) == "A", "from": 6 + (at(3) == "G").cast("int"), "n": 27 + 2 * (at(4) == "C").cast("int")})
+    strand = F.when(F.col("rc"), reverse_complement(F.col("read"))).otherwise(F.col("read"))
+    found = named.withColumns({"cdr3nt": F.substring(strand, F.col("from") + 1, F.col("n")), "v_end": F.lit(3), "d_start": F.lit(8), "d_end": F.lit(12), "j_start": F.lit(20)}).drop("n")
+    return repertoire.append_reads(table, found, 25)
+
+
+_APPENDED = f"""{_cte("orderkey", "line", "umi6", "seq", "phred", "inc")}, q AS (SELECT '@' || orderkey || '.' || line header, umi6 umi, seq, inc, repeat(chr(33 + phred), 24) || repeat(chr(35 + (phred + 5 * line::INT) % 39), 24) qual FROM r),
+fo AS (SELECT seq, 'V' || seq[1] v, 'J' || seq[48] j, 'D' || seq[24] d, seq[2] = 'A' rc, 6 + (seq[3] = 'G')::INT fr, substr(CASE WHEN seq[2] = 'A' THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END, 7 + (seq[3] = 'G')::INT, 27 + 2 * (seq[4] = 'C')::INT) cdr3nt FROM (SELECT DISTINCT seq FROM r) WHERE seq[5] <> 'T'),
+ap AS (SELECT q.*, v, j, d, fr, cdr3nt, cdr3nt IS NOT NULL mapped, coalesce(regexp_full_match(substr(CASE WHEN rc THEN reverse(qual) ELSE qual END, fr + 1, length(cdr3nt)), '[:-~]+'), false) good FROM q LEFT JOIN fo USING (seq))"""
+_TOTALS = "to_ AS (SELECT " + ", ".join(f"count(*) FILTER ({t}) events_{n}, coalesce(sum(inc) FILTER ({t}), 0)::BIGINT reads_{n}" for n, t in (("good", "good"), ("mapped", "mapped"), ("total", "true"))) + " FROM ap)"
+
+
+@query(f"""WITH {_APPENDED}, {_TOTALS}, s AS (SELECT DISTINCT cdr3nt s FROM ap WHERE mapped), {_BOTH_ENDS},
+k AS (SELECT cdr3nt, v, j, d, count(*) FILTER (good) good_events, count(*) total_events, coalesce(sum(inc) FILTER (good), 0)::BIGINT good_reads, sum(inc)::BIGINT total_reads FROM (SELECT cdr3nt, v, j, fr, min(d) d FROM ap WHERE mapped GROUP BY ALL) JOIN (SELECT cdr3nt, v, j, fr, good, inc FROM ap WHERE mapped) USING (cdr3nt, v, j, fr) GROUP BY ALL)
+SELECT good_events count, round(good_events / events_good, 9) fraction, cdr3nt, protein cdr3aa, v, j, d, 3 v_end, 8 d_start, 12 d_end, 20 j_start, good_events, total_events, good_reads, total_reads FROM k JOIN tr ON cdr3nt = seq, to_ WHERE good_events > 0 AND regexp_matches(protein, '[?*]|[FW]$')""")
+def read_clonotypes(spark, sf_dir):
+    appended = _mapped_reads(spark, sf_dir)
+    return repertoire.clonotype_table(repertoire.count_clonotypes(appended), repertoire.mapping_totals(appended)).withColumn("fraction", F.round("fraction", 9))
+
+
+@query(f"WITH {_APPENDED}, {_TOTALS} SELECT * FROM to_")
+def mapping_log(spark, sf_dir):
+    return repertoire.mapping_totals(_mapped_reads(spark, sf_dir))
+
+
+@query(f"WITH {_APPENDED}, {_TOTALS} SELECT 'all' AS sample, 'raw' AS type, 'events' metric, round(events_mapped / events_total, 9) mapping_rate, round(events_good / events_mapped, 9) quality_rate FROM to_ UNION ALL SELECT 'all', 'raw', 'reads', round(reads_mapped / reads_total, 9), round(reads_good / reads_mapped, 9) FROM to_")
+def report_mapping_rates(spark, sf_dir):
+    log = repertoire.mapping_totals(_mapped_reads(spark, sf_dir)).withColumns({"sample": F.lit("all"), "type": F.lit("raw")})
+    return reads.mapping_rates(log).withColumns({c: F.round(c, 9) for c in ("mapping_rate", "quality_rate")})
+
+
+@query(f"WITH {_APPENDED} SELECT umi, inc mig_sz, cdr3nt, v, j, d FROM ap WHERE good")
+def tag_clonotypes(spark, sf_dir):
+    return repertoire.tag_table(_mapped_reads(spark, sf_dir))
+
+
+@query(f"WITH {_APPENDED} SELECT header || ' CDR3:' || cdr3nt || ':' || fr || ' V:' || v || ' J:' || j || ' D:' || d AS header, seq, qual FROM ap WHERE good")
+def annotated_reads(spark, sf_dir):
+    return repertoire.annotated_reads(_mapped_reads(spark, sf_dir))
+
+
+@query(f"WITH {_APPENDED} SELECT header, seq, qual FROM ap WHERE NOT mapped")
+def unmapped_reads(spark, sf_dir):
+    return repertoire.unmapped_reads(_mapped_reads(spark, sf_dir))
+
+
+@query(f"WITH {_APPENDED}, l AS (SELECT DISTINCT cdr3nt FROM ap WHERE ends_with(cdr3nt, 'A')) SELECT header, cdr3nt cdr3 FROM ap SEMI JOIN l USING (cdr3nt)")
+def listed_cdr3_reads(spark, sf_dir):
+    found = _mapped_reads(spark, sf_dir).filter("mapped").select("header", F.col("cdr3nt").alias("cdr3"))
+    return reads.listed(found, found.filter(F.endswith("cdr3", F.lit("A"))).select("cdr3").distinct())
+
+
 def _sequences(spark, sf_dir):
-    return _reads(spark, sf_dir, "orderkey", "line", "seq", "phred").withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.lit(48)))
+    """Reads whose quality differs from place to place."""
+    at = lambda i: F.char((F.col("phred") + i * F.col("line")) % 39 + 35)
+    return _reads(spark, sf_dir, "orderkey", "line", "seq", "phred").withColumn("qual", F.concat(*(at(i) for i in range(48))))
+
+
+_PHREDS = _cte("orderkey", "line", "seq", "phred") + ", ph AS (SELECT r.*, pos::INT pos, (phred + pos::INT * line::INT) % 39 + 2 q FROM (SELECT *, row_number() OVER () rid FROM r) r, range(0, 48) t(pos))"
 
 
 @query(f"WITH {_cte('orderkey', 'line', 'seq')} SELECT *, count(*) OVER (PARTITION BY seq) copies FROM r QUALIFY copies >= 10")
@@ -221,19 +383,19 @@ def frequent_reads(spark, sf_dir):
     return reads.frequent_reads(_reads(spark, sf_dir, "orderkey", "line", "seq"))
 
 
-@query(f"WITH {_cte('seq', 'phred')} SELECT seq, count(*) n, repeat(floor(avg(phred))::INT || ',', 47) || floor(avg(phred))::INT quals FROM r GROUP BY seq")
+@query(f"WITH {_PHREDS}, a AS (SELECT seq, pos, count(*) n, greatest(2, least(40, floor(avg(q))::INT)) q FROM ph GROUP BY ALL) SELECT seq, max(n) n, string_agg(q, ',' ORDER BY pos) quals FROM a GROUP BY seq")
 def read_mean_quality(spark, sf_dir):
     return reads.mean_quality(_sequences(spark, sf_dir))
 
 
-@query(f"WITH {_cte('phred')} SELECT pos::INT pos, phred q, count(*) n FROM r, range(0, 48) t(pos) GROUP BY ALL")
+@query(f"WITH {_PHREDS} SELECT pos, q, count(*) n FROM ph GROUP BY ALL")
 def quality_matrix(spark, sf_dir):
     return reads.quality_matrix(_sequences(spark, sf_dir))
 
 
-@query(f"WITH {_cte('orderkey', 'line', 'phred')} SELECT orderkey, line FROM r WHERE phred >= 15")
+@query(f"WITH {_PHREDS}, w AS (SELECT rid, orderkey, line, pos, sum(q) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) s FROM ph) SELECT orderkey, line FROM w WHERE pos <= 43 GROUP BY rid, orderkey, line HAVING min(s) >= 60")
 def good_quality_windows(spark, sf_dir):
-    return reads.good_windows(_sequences(spark, sf_dir)).select("orderkey", "line")
+    return reads.good_windows(_sequences(spark, sf_dir), 5, 12).select("orderkey", "line")
 
 
 @query(f"WITH {_cte('umi6', 'seq', 'line')}, x AS (SELECT umi6 cdr3, seq, line, min(line) OVER (PARTITION BY umi6) l, min(48 - line) OVER (PARTITION BY umi6) m FROM r) SELECT cdr3, substr(seq, line - l + 1, l + m) part, count(*) n FROM x GROUP BY ALL")
@@ -247,10 +409,17 @@ def redundant_cdr3s(spark, sf_dir):
     return reads.redundant_cdr3s(_reads(spark, sf_dir, "umi6", "cdr3nt").toDF("umi", "cdr3"))
 
 
-@query(f"WITH {_MIG}, k AS (SELECT DISTINCT umi FROM m WHERE contains(seq, 'ATGCAT')) SELECT count(DISTINCT umi) umis, sum(cnt)::BIGINT reads FROM m SEMI JOIN k USING (umi)")
+@query(f"WITH {_cte('umi6', 'cdr3nt')}, n AS (SELECT umi6 umi, cdr3nt cdr3, count(*) n FROM r GROUP BY ALL) SELECT *, sum(n) OVER (PARTITION BY umi)::BIGINT total FROM n")
+def largest_tags(spark, sf_dir):
+    counts = _reads(spark, sf_dir, "umi6", "cdr3nt").toDF("umi", "cdr3").groupBy("umi", "cdr3").agg(F.count("*").alias("n"))
+    return reads.largest_tags_first(counts)
+
+
+@query(f"{_ASSEMBLY}, k AS (SELECT sample, mate, umi FROM cons SEMI JOIN wh USING (sample, umi) WHERE contains(seq, 'ATGCAT')) SELECT sample, mate, count(DISTINCT umi) umis, sum(cnt)::BIGINT reads FROM m SEMI JOIN k USING (sample, mate, umi) GROUP BY ALL")
 def back_tracked(spark, sf_dir):
-    m = assemble.migs(_mig_reads(spark, sf_dir))
-    return reads.back_track(m, m, "ATGCAT").agg(F.count_distinct("umi").alias("umis"), F.sum("cnt").alias("reads"))
+    r = _mig_reads(spark, sf_dir)
+    found = reads.back_track(assemble.migs(r), assemble.assemble(r), "ATGCAT")
+    return found.groupBy("sample", "mate").agg(F.count_distinct("umi").alias("umis"), F.sum("cnt").alias("reads"))
 
 
 @query(f"WITH {_cte('seq')}, s AS (SELECT CASE WHEN regexp_matches(seq, 'ATG[ATGC]{{4}}CA') THEN 'S1' WHEN regexp_matches(seq, 'GG[AG][ATGC]{{3}}T') THEN 'S2' ELSE 'undef-m' END sample FROM r) SELECT sample, count(*) FILTER (sample <> 'undef-m') master, count(*) FILTER (sample <> 'undef-m') master_slave, 0::BIGINT overlapped FROM s GROUP BY sample")
@@ -264,6 +433,17 @@ def report_histogram(spark, sf_dir):
     return reads.normalised_histogram(umi.histogram(_counts(spark, sf_dir))).withColumn("share", F.round("share", 9))
 
 
+@query(f"WITH {_COLLIDED.format(ratio=1)}" + _THRESHOLD.format(x="o", t="n") + " SELECT h.*, t.threshold FROM (SELECT sample, type, least(length(bin(n)) - 1, 16) bin, sum(n)::BIGINT reads, count(*) units FROM n GROUP BY ALL) h JOIN (SELECT sample, max(thr) threshold FROM ot GROUP BY ALL) t USING (sample)")
+def report_thresholds(spark, sf_dir):
+    hist = umi.histogram(_counts(spark, sf_dir))
+    return reads.over_threshold(hist, umi.thresholds(hist))
+
+
+@query(f"WITH {_N} SELECT sample, type, umi, n FROM n")
+def umi_frequencies(spark, sf_dir):
+    return umi.frequency_table(_counts(spark, sf_dir))
+
+
 @query(f"WITH {_cte('sample', 'line', 'phred')} SELECT sample, metric, value FROM (SELECT sample, sum(line)::BIGINT line, sum(phred)::BIGINT phred FROM r GROUP BY sample) UNPIVOT (value FOR metric IN (line, phred))")
 def report_sums(spark, sf_dir):
     return reads.stacked_report(_reads(spark, sf_dir, "sample", "line", "phred"), "sample", ["line", "phred"])
@@ -289,6 +469,37 @@ def allele_library(spark, sf_dir):
     return mapping.trimmed_alleles(_alleles(spark, sf_dir))
 
 
-@query()
+_LIBRARY = f"""al AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'V' ELSE 'J' END kind, p_size, 'T' || p_size || '*' || p_partkey id, {_ALLELE} q FROM part), cut_ AS (SELECT kind, id, p_size, CASE WHEN kind = 'V' THEN substr(q, 6) ELSE substr(q, 1, 29) END AS seq, CASE WHEN kind = 'V' THEN 50 ELSE 8 END rp FROM al),
+lib AS (SELECT kind, seq, min(rp)::INT ref_point, string_agg(DISTINCT id, ',' ORDER BY id) alleles, string_agg(DISTINCT 'T' || p_size, ',' ORDER BY 'T' || p_size) segments FROM cut_ GROUP BY kind, seq)"""
+
+
+@query(f"""WITH {_cte("seq")}, {_LIBRARY}, d AS (SELECT DISTINCT seq AS read FROM r), b AS (SELECT read, false rc, read s FROM d UNION ALL SELECT read, true, reverse(translate(read, 'ACGT', 'TGCA')) FROM d),
+bk AS (SELECT read, rc, i::INT i, substr(s, i::INT + 1, 13) w FROM b, range(0, 36) t(i)), lk AS (SELECT kind, alleles, segments, ref_point, i::INT i, substr(seq, i::INT + 1, 13) w FROM lib, range(0, 50) t(i) WHERE i + 13 <= length(seq)),
+h AS (SELECT read, rc, kind, alleles, segments, ref_point, bk.i - lk.i shift, count(*) score, min(bk.i) q_from, max(bk.i) + 12 q_to, min(lk.i) a_from, max(lk.i) + 12 a_to FROM bk JOIN lk USING (w) GROUP BY ALL HAVING count(*) >= 2)
+SELECT *, 'TRB' gene FROM h QUALIFY row_number() OVER (PARTITION BY read, kind ORDER BY score DESC, alleles, rc, shift) = 1""")
 def segment_hits(spark, sf_dir):
     return mapping.best_hits(_reads(spark, sf_dir, "seq"), mapping.trimmed_alleles(_alleles(spark, sf_dir)), 13)
+
+
+@query(f"WITH s AS (SELECT p_partkey, p_size % 2 = 0 v, {_ALLELE} q FROM part) SELECT p_partkey, CASE WHEN v THEN lower(substr(q, 1, 49)) || substr(q, 50, 11) ELSE substr(q, 1, 14) || lower(substr(q, 15)) END masked FROM s")
+def masked_alleles(spark, sf_dir):
+    made = _alleles(spark, sf_dir).select(F.split_part("allele_id", F.lit("*"), F.lit(2)).cast("long").alias("p_partkey"), "segment_type", "ref_point", "seq")
+    return made.select("p_partkey", seed_masked(F.col("seq"), F.col("ref_point"), F.col("segment_type") == "Variable").alias("masked"))
+
+
+@query("SELECT c_custkey, 'file' || c_custkey AS prefix, floor(10000 * c_nationkey / 25) / 100 AS share FROM customer")
+def file_prefixes(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    path = F.concat(F.lit("/data/file"), F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, ".fastq").otherwise(".fastq.gz"))
+    return c.select("c_custkey", file_prefix(path).alias("prefix"), percent(F.col("c_nationkey"), F.lit(25)).alias("share"))
+
+
+@query()
+def clonotypes_from_reads(spark, sf_dir):
+    """The whole way on reads that are made of a V, a middle and a J of the library."""
+    alleles = mapping.trimmed_alleles(_alleles(spark, sf_dir).withColumn("gene", F.lit("TRB")))
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey % 500 AS k", "p_size % 2 = 0 AS is_v", f"{_ALLELE} AS allele").distinct()
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_partkey % 500 AS k", "(l_orderkey * 7 + l_linenumber) % 500 AS kj", f"{_Q} AS phred", "l_linenumber AS inc", "substr('GATTACAGATTACAGATTACA', cast(l_linenumber as int), 9) AS middle")
+    ends = lines.join(part.filter("is_v").withColumnRenamed("allele", "va"), "k").join(part.filter("NOT is_v").select(F.col("k").alias("kj"), F.col("allele").alias("ja")), "kj")
+    made = ends.select(F.concat(F.substring("va", 6, 52), "middle", F.substring("ja", 6, 24)).alias("seq"), "phred", "inc")
+    return repertoire.clonotypes_from_reads(made.withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.length("seq"))), alleles)

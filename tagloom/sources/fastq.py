@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tagloom.functions.sequence import reverse_complement
+
 
 class _Files(InputPartition):
     def __init__(self, first: str, second: str | None):
@@ -82,6 +84,7 @@ def write_fastq(reads: DataFrame, path: str, header: str = "header", seq: str =
     text.write.mode(mode).partitionBy(*by).text(path, compression="gzip" if compress else "none")
 
 
-def groom(header, reverse: bool = False):
-    """A consensus header with its tag joined to the name."""
-    return F.regexp_replace(header, " UMI:", "_UMI:")
+def groom(reads: DataFrame, header: str = "header", seq: str = "seq", qual: str = "qual", reverse: bool = False) -> DataFrame:
+    """Consensus reads whose header has its tag joined to the name; if asked, on the other strand."""
+    named = reads.withColumn(header, F.regexp_replace(header, " UMI:", "_UMI:"))
+    return named.withColumns({seq: reverse_complement(F.col(seq)), qual: F.reverse(qual)}) if reverse else named

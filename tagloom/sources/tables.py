@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,11 @@ def stacked(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
 
 
 def append_new(table: DataFrame, path: str, key: str = "sample") -> None:
-    """Append rows whose key the table at the path doesn't have yet."""
-    spark = table.sparkSession
-    known = spark.read.parquet(path).select(key).distinct()
-    table.join(known, key, "left_anti").write.mode("append").parquet(path)
+    """Append rows whose key the table at the path doesn't have yet; the first time all of them."""
+    try:
+        known = table.sparkSession.read.schema(table.schema).parquet(path).select(key).distinct()
+        table = table.join(known, key, "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    table.write.mode("append").parquet(path)

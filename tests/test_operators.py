@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import sequence as sq
-from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, umi
+from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
 from tagloom.sources import fastq, tables
 
 
@@ -117,3 +117,76 @@ def test_windows_and_bundles(spark):
     assert rows(reads.good_windows(df), "qual") == [("II",), ("IIIIII",)]
     b = spark.createDataFrame([("C", "AACCG", 2), ("C", "ACCGG", 1)], "cdr3 string, seq string, start int")
     assert rows(reads.cdr3_bundles(b)) == [("C", "ACCG", 2)]
+
+
+def test_reads_to_clonotypes_with_quality_tags_and_totals(spark):
+    v, j = "ACGTTGCAAGGCTTACCGATAGGCTGT", "TTTGGACCATTGCAGGTACCA"
+    seq = "AA" + v + "GCAAGCGATGGA" + j
+    rc = seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    lib = spark.createDataFrame([("h", "TRB", "V", "V1*01", "V1", 27, v + "AA"), ("h", "TRB", "J", "J1*01", "J1", -1, j)], "species string, gene string, kind string, alleles string, segments string, ref_point int, seq string")
+    d = spark.createDataFrame([("D1", "AGCGATG")], "alleles string, seq string")
+    bad = "I" * 30 + "!" + "I" * (len(seq) - 31)
+    table = spark.createDataFrame([("@a", "U1", seq, "I" * len(seq), 5), ("@b", "U1", rc, "I" * len(seq), 3), ("@c", "U2", seq, bad, 2), ("@d", "U3", "ACGT" * 15, "I" * 60, 1), ("@e", None, None, None, 1)], "header string, umi string, seq string, qual string, inc int")
+    found = repertoire.map_reads(table, lib, d, 9)
+    appended = repertoire.append_reads(table, found, 30)
+    assert tuple(repertoire.mapping_totals(appended).first()) == (2, 8, 3, 10, 5, 12)
+    (row,) = repertoire.clonotype_table(repertoire.count_clonotypes(appended), repertoire.mapping_totals(appended)).collect()
+    assert (row["count"], row.fraction, row.cdr3aa, row.v, row.j, row.d, row.good_reads, row.total_reads) == (2, 1.0, "CASDGF", "V1", "J1", "D1", 8, 10)
+    assert row.cdr3nt[row.d_start : row.d_end + 1] == "AGCGATG" and row.total_events == 3
+    once = repertoire.count_clonotypes(repertoire.once_a_tag(appended, F.col("header")))
+    assert once.agg(F.sum("good_events")).first()[0] == 1
+    assert repertoire.unmapped_reads(appended).count() == 2 and rows(repertoire.tag_table(appended).select("umi", "mig_sz"), "mig_sz") == [("U1", 3), ("U1", 5)]
+    assert sorted(r[0].split(" ")[2] for r in repertoire.annotated_reads(appended).collect()) == ["V:V1", "V:V1"]
+    samples = spark.createDataFrame([("s", "raw", "h", "TRB"), ("s", "assembled", "h", "TRB")], "sample string, type string, species string, gene string")
+    batch = table.withColumn("sample", F.lit("s")).withColumn("type", F.when(F.col("umi") == "U1", "assembled").otherwise("raw"))
+    counted, log = repertoire.clonotypes_batch(batch, samples, lib, d, 9)
+    assert rows(counted.select("type", "good_events", "good_reads")) == [("assembled", 2, 8)] and log.count() == 2
+
+
+def test_assembly_of_a_large_tag_is_the_same(spark, monkeypatch):
+    import random
+
+    r = random.Random(4)
+    base = "".join(r.choice("ATGC") for _ in range(70))
+    reads_ = []
+    for u in ("AAAA", "CCCC", "GGGG"):
+        for m in (1, 2):
+            for _ in range(30):
+                x = list(base[10 + r.randint(-3, 3) :][: r.randint(40, 50)])
+                for _ in range(r.randint(0, 3)):
+                    x[r.randrange(len(x))] = r.choice("ATGCN")
+                reads_.append(("s", m, u, "".join(x)))
+    df = spark.createDataFrame([*reads_, ("s", 1, None, base), ("s", 1, "TTTT", None)], "sample string, mate int, umi string, seq string")
+    one = rows(assemble.assemble(df), "umi", "mate")
+    log = assemble.assembly_log(df).first()
+    monkeypatch.setattr(assemble, "MOST_READS", 5)
+    assert rows(assemble.assemble(df), "umi", "mate") == one and len(one) == 6
+    assert assemble.assembly_log(df).first() == log and log.migs_good_total == 3
+    assert assemble.alignment_details(df).agg(F.sum("cnt")).first()[0] == log.reads_good_1 + log.reads_good_2
+
+
+def test_checkout_options(spark):
+    assert checkout.trim_switch("TTGGGGACA", "123456789") == ("ACA", "789") and checkout.trim_switch("ACACCCCAA", "123456789", True) == ("ACA", "123")
+    b = [checkout.Barcode("S", "ATGCNNNN", "G?G")]
+    assert b[0].slave is None
+    df = spark.createDataFrame([("CCATGCACGTAA", "I" * 12, None, None), ("CCCC", "IIII", None, None)], "s1 string, q1 string, s2 string, q2 string")
+    assert [r.umi for r in checkout.checkout(df, b, [], skip_undef=True).collect()] == ["ACGT"]
+    assert [r["sample"] for r in checkout.checkout(df, [checkout.Barcode("S", "NNNNGCAT")], [], complement=True).collect()] == ["S", "undef-m"]
+    table = spark.createDataFrame([(1, "A", "ATGC", None, "x"), (2, "B", "CCCC", None, None)], "ord long, sample string, master string, slave string, fastq1 string")
+    got = checkout.checkout_batch(df.withColumn("file", F.lit("x")).union(df.withColumn("file", F.lit("y"))), table, ["file"])
+    assert rows(got.select("file", "sample"), "file", "sample") == [("x", "A"), ("x", "B"), ("y", "B"), ("y", "undef-m")]
+
+
+def test_tables_start_empty(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1)], "sample string, n int")
+    for _ in range(2):
+        tables.append_new(one, str(tmp_path / "new"))
+    assert rows(spark.read.parquet(str(tmp_path / "new"))) == [("a", 1)]
+    seg = tmp_path / "seg.txt"
+    seg.write_text("#species\tgene\n" + "Human\tTRB\tVariable\tTRBV1*01\t5\tACGT\nHuman\tTRB\tJoining\tTRBJ1*01\t1\tACGT\nMouse\tTRB\tVariable\tx\t5\tA\n")
+    lib = tables.read_segments(spark, str(seg), "human", ["trb"])
+    assert lib.count() == 2 and tuple(tables.library_metadata(lib).first()) == ("Human", "TRB", 1, 0, 1, 1)
+    df = spark.createDataFrame([("@a UMI:ACGT:5", "AAC", "123")], "header string, seq string, qual string")
+    assert rows(fastq.groom(df, reverse=True)) == [("@a_UMI:ACGT:5", "GTT", "321")]
+    log = spark.createDataFrame([("s", 10, 2, 20, 4, 30, 6, 1, 1, 1)], "sample string, clonotypes_total long, clonotypes_filtered long, events_total long, events_filtered long, reads_total long, reads_filtered long, non_functional_clonotypes long, non_functional_events long, non_functional_reads long")
+    assert clonotypes.final_counts(log).first().events_left == 16
