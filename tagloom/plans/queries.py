@@ -494,12 +494,29 @@ def file_prefixes(spark, sf_dir):
     return c.select("c_custkey", file_prefix(path).alias("prefix"), percent(F.col("c_nationkey"), F.lit(25)).alias("share"))
 
 
-@query()
+_BACKWARDS = _LIBRARY.replace(f"id, {_ALLELE} q FROM part)", f"id, CASE WHEN p_size % 2 = 0 THEN {_ALLELE} ELSE reverse({_ALLELE}) END q FROM part)")
+_Q_SQL = _Q.replace("as string", "as varchar")
+
+
+@query(f"""WITH {_BACKWARDS}, pa AS (SELECT DISTINCT p_partkey % 500 k, p_size % 2 = 0 is_v, {_ALLELE} allele FROM part),
+li AS (SELECT l_partkey % 500 k, (l_orderkey * 7 + l_linenumber) % 500 kj, {_Q_SQL} phred, l_linenumber inc, substr('GATTACAGATTACAGATTACA', l_linenumber::INT, 9) middle FROM lineitem),
+rd AS (SELECT substr(v.allele, 6, 52) || middle || substr(reverse(j.allele), 1, 29) seq, phred, inc FROM li JOIN pa v ON v.k = li.k AND v.is_v JOIN pa j ON j.k = kj AND NOT j.is_v),
+d AS (SELECT DISTINCT seq AS read FROM rd), b AS (SELECT read, false rc, read s FROM d UNION ALL SELECT read, true, reverse(translate(read, 'ACGT', 'TGCA')) FROM d),
+bk AS (SELECT read, rc, s, i::INT i, substr(s, i::INT + 1, 11) w FROM b, range(0, 80) t(i)), lk AS (SELECT kind, alleles, segments, ref_point, i::INT i, substr(seq, i::INT + 1, 11) w FROM lib, range(0, 50) t(i) WHERE i + 11 <= length(seq)),
+h AS (SELECT read, rc, s, kind, alleles, segments, ref_point, bk.i - lk.i shift, count(*) score, min(bk.i) q_from, max(bk.i) + 10 q_to, min(lk.i) a_from, max(lk.i) + 10 a_to FROM bk JOIN lk USING (w) GROUP BY ALL HAVING count(*) >= 2),
+t1 AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY read, kind ORDER BY score DESC, alleles, rc, shift) = 1), nr AS (SELECT * FROM t1 WHERE ref_point + 1 >= a_from AND ref_point - 1 <= a_to),
+cd AS (SELECT v.read, v.s, v.segments v, j.segments j, v.ref_point + v.shift - 3 fr, j.ref_point + j.shift + 4 til, v.q_to, j.q_from FROM nr v JOIN nr j ON v.read = j.read AND v.kind = 'V' AND j.kind = 'J' AND v.rc = j.rc),
+fo AS (SELECT read, v, j, fr, substr(s, fr + 1, til - fr) cdr3nt, q_to - fr v_end, q_from - fr j_start FROM cd WHERE fr >= 0 AND til <= length(read) AND til - fr BETWEEN 7 AND 300),
+ap AS (SELECT fo.*, phred >= 25 good, inc FROM rd JOIN fo ON seq = read), pl AS (SELECT v, j, fr, cdr3nt, min(1000 * v_end + j_start) p FROM ap GROUP BY ALL),
+s AS (SELECT DISTINCT cdr3nt s FROM ap), {_BOTH_ENDS},
+k AS (SELECT cdr3nt, v, j, p // 1000 v_end, p % 1000 j_start, count(*) FILTER (good) good_events, count(*) total_events, coalesce(sum(inc) FILTER (good), 0)::BIGINT good_reads, sum(inc)::BIGINT total_reads FROM ap JOIN pl USING (v, j, fr, cdr3nt) GROUP BY ALL)
+SELECT good_events count, round(good_events / (SELECT count(*) FILTER (good) FROM ap), 9) fraction, cdr3nt, protein cdr3aa, v, j, '.' d, v_end::INT v_end, -1 d_start, -1 d_end, j_start::INT j_start, good_events, total_events, good_reads, total_reads FROM k JOIN tr ON cdr3nt = seq WHERE good_events > 0 AND regexp_matches(protein, '[?*]|[FW]$')""")
 def clonotypes_from_reads(spark, sf_dir):
     """The whole way on reads that are made of a V, a middle and a J of the library."""
-    alleles = mapping.trimmed_alleles(_alleles(spark, sf_dir).withColumn("gene", F.lit("TRB")))
+    backwards = F.when(F.col("segment_type") == "Joining", F.reverse("seq")).otherwise(F.col("seq"))  # or J would be found in V
+    alleles = mapping.trimmed_alleles(_alleles(spark, sf_dir).withColumn("seq", backwards))
     part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey % 500 AS k", "p_size % 2 = 0 AS is_v", f"{_ALLELE} AS allele").distinct()
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_partkey % 500 AS k", "(l_orderkey * 7 + l_linenumber) % 500 AS kj", f"{_Q} AS phred", "l_linenumber AS inc", "substr('GATTACAGATTACAGATTACA', cast(l_linenumber as int), 9) AS middle")
-    ends = lines.join(part.filter("is_v").withColumnRenamed("allele", "va"), "k").join(part.filter("NOT is_v").select(F.col("k").alias("kj"), F.col("allele").alias("ja")), "kj")
-    made = ends.select(F.concat(F.substring("va", 6, 52), "middle", F.substring("ja", 6, 24)).alias("seq"), "phred", "inc")
-    return repertoire.clonotypes_from_reads(made.withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.length("seq"))), alleles)
+    ends = lines.join(part.filter("is_v").withColumnRenamed("allele", "va"), "k").join(part.filter("NOT is_v").select(F.col("k").alias("kj"), F.reverse("allele").alias("ja")), "kj")
+    made = ends.select(F.concat(F.substring("va", 6, 52), "middle", F.substring("ja", 1, 29)).alias("seq"), "phred", "inc")
+    return repertoire.clonotypes_from_reads(made.withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.length("seq"))), alleles).withColumn("fraction", F.round("fraction", 9))
