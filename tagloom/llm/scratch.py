@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -51,6 +52,11 @@ class Scratch:
                 path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table))[1])
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def tidy(self) -> None:
+        """Let Spark's cleaner find the shuffle files of finished steps, which it removes once the driver has forgotten their plans."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop_all(self, *but: DataFrame) -> None:
         self.drop(*(t for t, _ in list(self.paths.values()) if not any(t is x for x in but)))
 

@@ -127,6 +127,17 @@ def _each(batches: Iterator[pa.RecordBatch], size: int, by_line: bool, text: int
             yield part, sets_of(part.column(text), size, by_line, least_words)
 
 
+def _planes(x: np.ndarray, kind: str) -> bytes:
+    """An array's bytes, first those of one place of all numbers, then of the next: high places that are zero shrink to nothing when compressed."""
+    x = np.ascontiguousarray(x.astype(kind))
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplaned(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(wide, -1).T).view(kind).ravel() for x in column])
+
+
 def _table(names: str, *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names.split())
 
@@ -239,7 +250,7 @@ class SetJoin:
                 order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
                 own = shard[order]
                 cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])).tolist()
-                rows = [(int(own[lo]), *(x[order[lo:hi]].astype(t).tobytes() for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4"), (power, "u1")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                rows = [(int(own[lo]), *(_planes(x[order[lo:hi]], t) for x, t in ((tok, "<u8"), (digest, "<u8"), (n, "<u4"), (pos, "<u4"), (power, "u1")))) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
                 cols = list(zip(*rows, strict=True))
                 return _table("shard tok digest n pos power", pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]))
 
@@ -289,7 +300,7 @@ class SetJoin:
 
     def _runs(self, table: pa.Table) -> pa.Table:
         """The members of runs that have a partner left by length and position."""
-        tok, digest, n, pos, power = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table[c]]) for c, t in (("tok", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("pos", "<u4"), ("power", "u1")))
+        tok, digest, n, pos, power = (_unplaned(table[c], t) for c, t in (("tok", "<u8"), ("digest", "<u8"), ("n", "<u4"), ("pos", "<u4"), ("power", "u1")))
         piece = piece_of(tok, digest, power)
         order = np.lexsort((digest, piece, tok))
         tok, digest, n, pos, power, piece = tok[order], digest[order], n[order].astype(np.int64), pos[order].astype(np.int64), power[order], piece[order]
@@ -388,7 +399,7 @@ class SetJoin:
         x = held.withColumnRenamed("digest", "a").join(few, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
         y = held.toDF("b", "y")
         salted = pairs.join(few, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-        return salted.join(y, "b").join(x, ["a", "salt"])
+        return y.join(F.broadcast(salted) if pairs.limit(1_000_001).count() <= 1_000_000 else salted, "b").join(x, ["a", "salt"])
 
     def _verified(self, pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
         """Pairs (a, b) that are similar, saved: first by wide sketches, then by whole sets."""
@@ -409,6 +420,7 @@ class SetJoin:
         ranks = spark.sparkContext.broadcast((known, powers))
         prefixes = texts.mapInArrow(self._prefixes(ranks, int(min(shards, 1 << 30))), "shard int, tok binary, digest binary, n binary, pos binary, power binary")
         runs = prefixes.groupBy("shard").applyInArrow(lambda t: self._runs(t), "tok long, piece long, pieces long, digest long, pos long")
+        scratch.tidy()
         full = runs.join(classes, "digest").withColumn("cell", F.pmod(F.xxhash64("tok", "piece"), F.lit(shards)))
         entries = scratch.save(full.groupBy("cell").applyInArrow(self._choose(order), full.withColumn("named", F.lit(None).cast("long")).schema), "entries")
         bitmap = spark.sparkContext.broadcast(bitmap_of(entries.select("digest")))
@@ -416,6 +428,7 @@ class SetJoin:
         sets = scratch.save(own.join(entries.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "sets")
         for sent in (ranks, bitmap):
             sent.destroy()
+        scratch.tidy()
         return entries, sets
 
     def _named(self, entries: DataFrame) -> DataFrame:
