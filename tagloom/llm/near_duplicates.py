@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.scratch import Scratch
+from tagloom.llm.scratch import Scratch, saved, small
 from tagloom.llm.setjoin import SetJoin
 
 
@@ -32,4 +32,5 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Documents with the smallest key of their group; rows that repeat a kept key are kept, as are rows with a null key or an empty set."""
     lower = similar_groups(docs.select(key, text), key, text, size, percent).filter(F.col("component_id") < F.col(key)).select(F.col(key).alias("gone")).distinct()
+    lower = small(saved(lower, "gone"), 2_000_000, None if lower.schema["gone"].dataType.simpleString() != "string" else "gone")  # so the texts needn't move
     return docs.join(lower, docs[key] == lower["gone"], "left_anti")
