@@ -16,8 +16,11 @@ from tagloom.llm.near_duplicates import similar_groups
 from tagloom.llm.neighbours import nearest
 from tagloom.llm.pack import pack
 from tagloom.llm.pii import personal_data
+from tagloom.llm.products import top_products
 from tagloom.llm.scratch import Scratch, bounded_batches, crc_of
+from tagloom.llm.trie import prefix_trie
 from tagloom.llm.url_filter import apply_rules
+from tagloom.llm.whitening import whitened
 
 #: Lower-casing of A-Z alone, in SQL.
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,5 +129,38 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup, "op2_language_model": op2_language_model, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_decontamination": op9_decontamination, "op10_language": op10_language}
-ORACLES: dict[str, str] = {"op1_line_dedup": _OP1_SQL, "op3_ngram_jaccard": _OP3_SQL, "op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+_CRC = "list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"
+_OP12_SQL = f"""
+WITH t AS (SELECT conv_id c, coalesce(role, '') r, coalesce(text, '') x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || md5(coalesce(text, '')))) p FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, xor({_CRC}, 4294967295) % 4 h FROM (SELECT DISTINCT c FROM t)),
+o AS (SELECT v.c, 0 part, p, r, x FROM v JOIN t ON t.c = v.c - v.c % 20 WHERE p <= h UNION ALL SELECT v.c, 1, p, r, x FROM v JOIN t USING (c) WHERE p > h),
+l AS (SELECT v.c, coalesce(list(struct_pack(r, x) ORDER BY part, p) FILTER (o.c IS NOT NULL), []) s FROM v LEFT JOIN o USING (c) GROUP BY v.c),
+m AS (SELECT c, d::BIGINT d, s[1:d] s, len(s) = d e FROM l, range(0, 10000) q(d) WHERE d <= len(s)),
+n AS (SELECT d, s, min(c) c, count(*) n, string_agg(c, ',' ORDER BY c) FILTER (e) ends, (n - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(any_value(s)[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END w FROM m GROUP BY d, s),
+k AS (SELECT d - 1 d, s[1:d - 1] s, count(*) k FROM n WHERE d > 0 GROUP BY ALL),
+a AS (SELECT n.*, coalesce(k, 0) k FROM n LEFT JOIN k USING (d, s)),
+u AS (SELECT s[1:q] s, q d, count(*) FILTER (k = 0) leaves, sum(w)::BIGINT w FROM a, range(0, 10000) z(q) WHERE q <= d GROUP BY ALL)
+SELECT a.c conv_id, a.d AS depth, b.c parent_conv_id, a.n n_convs, a.k n_children, u.leaves n_leaves, u.w saved_tokens, sha256(coalesce(a.ends, '')) ends_sha256
+FROM a JOIN u USING (d, s) LEFT JOIN n b ON b.d = a.d - 1 AND b.s = a.s[1:a.d - 1]"""
+
+
+def op13_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
+_OP13_SQL = """
+WITH v AS (SELECT row_number() OVER () i, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) y FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id query_id, row_number() OVER (PARTITION BY q.i ORDER BY list_inner_product(q.y, c.y) DESC, c.vec_id)::INT AS rank, c.vec_id, list_inner_product(q.y, c.y)::BIGINT score
+FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.i <> c.i QUALIFY rank <= 5"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup, "op2_language_model": op2_language_model, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_pii": op5_pii, "op6_extract": op6_extract, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_decontamination": op9_decontamination, "op10_language": op10_language, "op11_whitening": op11_whitening, "op12_trie": op12_trie, "op13_products": op13_products}
+ORACLES: dict[str, str] = {"op1_line_dedup": _OP1_SQL, "op3_ngram_jaccard": _OP3_SQL, "op4_url_filter": _OP4_SQL, "op9_decontamination": _OP9_SQL, "op12_trie": _OP12_SQL, "op13_products": _OP13_SQL}
