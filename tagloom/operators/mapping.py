@@ -36,12 +36,16 @@ def best_hits(reads: DataFrame, alleles: DataFrame, k: int = 11, least: int = 2)
 
 
 def cdr3s(hits: DataFrame, chimeric: bool = False, least: int = 7, most: int = 300) -> DataFrame:
-    """CDR3 of each read with a V and a J hit on one strand and (unless chimeric) of one gene, both reference points in the hit, give or take one."""
+    """CDR3 of each read with a V and a J hit on one strand and (unless chimeric) of one gene, both reference points in the hit, give or take one.
+
+    Of gapped hits the reference point's place in the read is known (q_ref); of ungapped ones it follows from the diagonal."""
     near = hits.filter((F.col("ref_point") + 1 >= F.col("a_from")) & (F.col("ref_point") - 1 <= F.col("a_to")))
-    side = lambda kind, p: near.filter(F.col("kind") == kind).select("read", *(F.col(c).alias(f"{p}_{c}") for c in ("rc", "gene", "segments", "ref_point", "shift", "q_from", "q_to")))
-    both = side("V", "v").join(side("J", "j"), "read").filter("v_rc = j_rc")
+    near = near if "q_ref" in hits.columns else near.withColumn("q_ref", F.col("ref_point") + F.col("shift"))
+    side = lambda kind: F.max(F.when(F.col("kind") == kind, F.struct("rc", "gene", "segments", "q_ref", "q_from", "q_to")))  # noqa: E731  a read has one hit of a kind
+    both = near.groupBy("read").agg(side("V").alias("v"), side("J").alias("j")).filter("v.rc = j.rc")
+    both = both.select("read", *(F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in "vj" for c in ("rc", "gene", "segments", "q_ref", "q_from", "q_to")))
     both = both if chimeric else both.filter("v_gene = j_gene")
-    start, end = F.col("v_ref_point") + F.col("v_shift") - 3, F.col("j_ref_point") + F.col("j_shift") + 4
+    start, end = F.col("v_q_ref") - 3, F.col("j_q_ref") + 4
     strand = F.when(F.col("v_rc"), reverse_complement(F.col("read"))).otherwise(F.col("read"))
     found = both.withColumns({"from": start, "to": end, "strand": strand}).filter((F.col("from") >= 0) & (F.col("to") <= F.length("read")) & (F.col("to") - F.col("from")).between(least, most))
     return found.select("read", F.col("v_gene").alias("gene"), F.col("v_segments").alias("v"), F.col("j_segments").alias("j"), F.substring("strand", F.col("from") + 1, F.col("to") - F.col("from")).alias("cdr3nt"), "from", F.col("v_rc").alias("rc"), (F.col("v_q_to") - F.col("from")).alias("v_end"), (F.col("j_q_from") - F.col("from")).alias("j_start"))

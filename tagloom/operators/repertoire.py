@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import translate_both_ends
+from tagloom.operators.alignment import gapped_hits
 from tagloom.operators.clonotypes import canonical_or_broken
 from tagloom.operators.mapping import best_hits, cdr3s, d_segments
 
@@ -28,9 +29,9 @@ def with_d(found: DataFrame, d_alleles: DataFrame | None) -> DataFrame:
     return named.withColumns({"d": F.coalesce("d", F.lit(".")), "d_start": F.coalesce((F.col("s") + shift).cast("int"), F.lit(-1)), "d_end": F.coalesce((F.col("e") + shift).cast("int"), F.lit(-1))}).drop("middle", "s", "e")
 
 
-def map_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 11, chimeric: bool = False) -> DataFrame:
-    """CDR3 (read, v, j, d, cdr3nt, from, rc and places) of each distinct sequence that has one."""
-    return with_d(cdr3s(best_hits(reads, alleles, k), chimeric), d_alleles)
+def map_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 7, chimeric: bool = False, gapped: bool = True) -> DataFrame:
+    """CDR3 (read, v, j, d, cdr3nt, from, rc and places) of each distinct sequence that has one; not gapped: by the diagonal with most shared words."""
+    return with_d(cdr3s((gapped_hits if gapped else best_hits)(reads, alleles, k), chimeric), d_alleles)
 
 
 def append_reads(reads: DataFrame, found: DataFrame, least_quality: int = 25) -> DataFrame:
@@ -74,13 +75,13 @@ def mapping_totals(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return appended.groupBy(*by).agg(*sums) if by else appended.agg(*sums)
 
 
-def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, least_quality: int = 25, k: int = 11, chimeric: bool = False) -> DataFrame:
+def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, least_quality: int = 25, k: int = 7, chimeric: bool = False, gapped: bool = True) -> DataFrame:
     """The whole way: segments, CDR3s, reads appended, clonotype table."""
-    appended = append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric), least_quality)
+    appended = append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric, gapped), least_quality)
     return clonotype_table(count_clonotypes(appended), mapping_totals(appended))
 
 
-def clonotypes_batch(reads: DataFrame, samples: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 11, raw_quality: int = 25, assembled_quality: int = 30) -> tuple[DataFrame, DataFrame]:
+def clonotypes_batch(reads: DataFrame, samples: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 7, raw_quality: int = 25, assembled_quality: int = 30) -> tuple[DataFrame, DataFrame]:
     """Clonotype counters and mapping log of all samples at once. reads: sample, type (raw or assembled), seq, qual, inc; samples: sample, species,
     gene, type: which to map, by which library; alleles have species and gene too."""
     wanted = reads.join(samples.select("sample", "type", "gene").distinct(), ["sample", "type"])

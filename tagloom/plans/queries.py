@@ -519,4 +519,4 @@ def clonotypes_from_reads(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_partkey % 500 AS k", "(l_orderkey * 7 + l_linenumber) % 500 AS kj", f"{_Q} AS phred", "l_linenumber AS inc", "substr('GATTACAGATTACAGATTACA', cast(l_linenumber as int), 9) AS middle")
     ends = lines.join(part.filter("is_v").withColumnRenamed("allele", "va"), "k").join(part.filter("NOT is_v").select(F.col("k").alias("kj"), F.reverse("allele").alias("ja")), "kj")
     made = ends.select(F.concat(F.substring("va", 6, 52), "middle", F.substring("ja", 1, 29)).alias("seq"), "phred", "inc")
-    return repertoire.clonotypes_from_reads(made.withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.length("seq"))), alleles).withColumn("fraction", F.round("fraction", 9))
+    return repertoire.clonotypes_from_reads(made.withColumn("qual", F.repeat(F.char(F.col("phred") + 33), F.length("seq"))), alleles, k=11, gapped=False).withColumn("fraction", F.round("fraction", 9))

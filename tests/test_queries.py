@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tagloom.plans.queries import ORACLES, QUERIES
+from tagloom.plans.run_queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
