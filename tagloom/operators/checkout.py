@@ -1,21 +1,28 @@
 """Sample barcodes: which sample a read pair belongs to, its tag, trimming, orientation and merging of overlapping mates.
 
-The barcode list is small and its search needs fuzzy matching at every place of a read, so reads go through one Arrow function; all
-counting is DataFrame work. Every barcode start is tried, qualities are those of the matched bases, low- and high-quality mismatches
-have limits of their own."""
+A run has as many barcodes as samples, so the list goes to all tasks, and a task works on whole Arrow batches of pairs in numpy. Seeds are searched bit-parallel:
+a machine word a barcode holds which of its beginnings end at the current base, and each base moves the words of all reads and barcodes by one shift and mask. Starts found
+are held against the limits of low- and high-quality mismatches, all of a barcode together. Tags, cuts and strands are index arithmetic on the batch's bytes.
+Mates are merged by matching the second mate's first bases with every place of the first, for all pairs at once. Every barcode start is tried, qualities are those of the
+matched bases. All counting is DataFrame work."""
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.sequence import IUPAC, iupac_complement, seed_regex
+from tagloom.functions.sequence import IUPAC, iupac_complement
 
-_RC = str.maketrans("ATGCatgc", "TACGtacg")
+_CODE = np.full(256, 4, np.uint8)
+_CODE[list(b"ATGC")] = range(4)
+_OTHER = np.full(256, ord("N"), np.uint8)
+_OTHER[list(b"ATGC")] = list(b"TACG")
+_ROWS = 4096
 
 
 @dataclass
@@ -33,116 +40,313 @@ class Barcode:
             self.slave = None  # a slave that can't be read is skipped
 
 
-def find(barcode: str, seq: str, qual: str, low: int = 15, low_share: float = 0.2, high_share: float = 0.05) -> int:
-    """First start at which the seed matches and mismatches of low and of high quality are within their limits; -1 without one."""
-    n, upper = len(barcode), barcode.upper()
-    for m in re.finditer(f"(?={seed_regex(barcode)})", seq):
-        a, bad, worse = m.start(), 0, 0
-        for i in range(n):
-            if seq[a + i] not in IUPAC[upper[i]]:
-                worse += ord(qual[a + i]) - 33 > low
-                bad += ord(qual[a + i]) - 33 <= low
-        if bad <= int(n * low_share) and worse <= int(n * high_share):
-            return a
-    return -1
-
-
-def tag(barcode: str, seq: str, qual: str, at: int) -> tuple[str, str]:
-    places = [at + i for i, c in enumerate(barcode) if c == "N"]
-    return "".join(seq[p] for p in places), "".join(qual[p] for p in places)
-
-
-def trim(seq: str, qual: str, at: int, size: int, least: int = 10) -> tuple[str, str]:
-    """Cut a barcode out, with what is before and after it where that has at most `least` bases."""
-    keep = [*(range(at) if at > least else ()), *(range(at + size, len(seq)) if len(seq) - at - size > least else ())]
-    return "".join(seq[i] for i in keep), "".join(qual[i] for i in keep)
-
-
-def trim_switch(seq: str, qual: str, slave: bool = False) -> tuple[str, str]:
-    """Cut the bases of template switching: up to 3 T and 3 to 7 G that a master's rest begins with, or C and A that a slave's ends with."""
-    m = re.search(r"C{3,7}A{0,3}$", seq) if slave else re.match(r"T{0,3}G{3,7}", seq)
-    if not m:
-        return seq, qual
-    return (seq[: m.start()], qual[: m.start()]) if slave else (seq[m.end() :], qual[m.end() :])
+@dataclass
+class Limits:
+    """Mismatches of fuzzy bases: qualities up to `low` are low ones; shares of a barcode's length that may mismatch with low and with high quality."""
 
+    low: int = 15
+    low_share: float = 0.2
+    high_share: float = 0.05
 
-def overlap(s1: str, q1: str, s2: str, q2: str, most_offset: int = 5, seed: int = 5, match: int = 10, partial: bool = False) -> tuple[str, str] | None:
-    """Mates merged where the second begins inside the first: the better base of each shared place, ties to the second. With partial, the
-    compared stretch may be cut short by the end of a mate."""
-    for i in range(most_offset):
-        k = s2[i : i + seed]
-        p = s1.find(k) if len(k) == seed else -1
-        while p >= 0:
-            a, b = s1[p + seed : p + seed + match], s2[i + seed : i + seed + match]
-            bad = [x != y for x, y in zip(a, b, strict=False)]
-            if (len(bad) == match or (partial and bad)) and sum(bad) <= len(bad) * 0.1 and not any(x and y for x, y in zip(bad, bad[1:], strict=False)):
-                n = min(len(s1) - p, len(s2) - i)
-                best = [(s1[p + j], q1[p + j]) if q1[p + j] > q2[i + j] else (s2[i + j], q2[i + j]) for j in range(n)]
-                tail = (s1[p + n :], q1[p + n :]) if len(s1) - p > n else (s2[i + n :], q2[i + n :])
-                return s1[:p] + "".join(x for x, _ in best) + tail[0], q1[:p] + "".join(y for _, y in best) + tail[1]
-            p = s1.find(k, p + 1)
-    return None
 
+@dataclass
+class Merging:
+    """Sizes of the search for overlaps: how far into the second mate its seed may begin, the seed, the stretch behind it that is compared (partial: which an end may cut short)."""
 
-SCHEMA = "sample string, type string, umi string, umi_qual string, s1 string, q1 string, s2 string, q2 string, swapped boolean"
+    most_offset: int = 5
+    seed: int = 5
+    match: int = 10
+    partial: bool = False
 
 
-def checkout(reads: DataFrame, barcodes: list[Barcode], keep: list[str], cut: bool = False, both_ways: bool = True, mask: str = "0:1", merge: bool = False, switch: bool = False, skip_undef: bool = False, partial: bool = False, complement: bool = False) -> DataFrame:
+@dataclass
+class Reads:
+    """Reads of a batch in flat arrays of bases and qualities: where each begins, and its length."""
+
+    seq: np.ndarray
+    qual: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    _codes: np.ndarray | None = field(default=None, repr=False)
+
+    @classmethod
+    def of(cls, seqs: list[str | None], quals: list[str | None]) -> Reads:
+        """A missing quality counts as zero."""
+        seqs = [x or "" for x in seqs]
+        size = np.fromiter(map(len, seqs), np.int64, len(seqs))
+        quals = [q if q is not None and len(q) == n else ((q or "") + "!" * n)[:n] for q, n in zip(quals, size.tolist(), strict=True)]
+        flat = lambda x: np.frombuffer("".join(x).encode("latin-1", "replace"), np.uint8)
+        return cls(flat(seqs), flat(quals), np.cumsum(size) - size, size)
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def places(self, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first bases of each read, and which of them are there."""
+        inside = np.arange(wide)[None] < self.size[:, None]
+        return np.where(inside, self.start[:, None] + np.arange(wide)[None], 0), inside
+
+    def codes(self) -> np.ndarray:
+        """Codes of bases in a matrix, a 4 for what isn't one."""
+        if self._codes is None:
+            at, inside = self.places(int(self.size.max(initial=0)))
+            self._codes = np.where(inside, _CODE[self.seq[at]], 4).astype(np.uint8) if at.size else np.zeros(at.shape, np.uint8)
+        return self._codes
+
+    def rows(self, which: np.ndarray) -> Reads:
+        return Reads(self.seq, self.qual, self.start[which], self.size[which])
+
+    def cut(self, pieces: list[tuple[np.ndarray, np.ndarray]]) -> Reads:
+        """Each read as some pieces of it (begin, length), one after the other."""
+        begin = np.stack([self.start + b for b, _ in pieces], 1).ravel()
+        size = np.stack([n for _, n in pieces], 1)
+        at = ranges(begin, size.ravel())
+        return Reads(self.seq[at], self.qual[at], np.cumsum(size.sum(1)) - size.sum(1), size.sum(1))
+
+    def turned(self, which: np.ndarray) -> Reads:
+        """Reads with some of them on the other strand."""
+        at = ranges(self.start, self.size)
+        turn = np.repeat(which, self.size)
+        at = np.where(turn, 2 * np.repeat(self.start, self.size) + np.repeat(self.size, self.size) - 1 - at, at)
+        seq = self.seq[at]
+        return Reads(np.where(turn, _OTHER[seq], seq), self.qual[at], np.cumsum(self.size) - self.size, self.size)
+
+    def texts(self, of: str) -> pa.Array:
+        flat = getattr(self, of)[ranges(self.start, self.size)].tobytes().decode("latin-1")
+        end = np.cumsum(self.size)
+        return pa.array([flat[a:b] for a, b in zip((end - self.size).tolist(), end.tolist(), strict=True)], pa.string())
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of all ranges."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def stacked(parts: list[Reads]) -> Reads:
+    """Reads of several objects in one."""
+    moved = np.cumsum([0, *(len(p.seq) for p in parts[:-1])])
+    return Reads(*(np.concatenate(x) for x in ([p.seq for p in parts], [p.qual for p in parts], [p.start + m for p, m in zip(parts, moved.tolist(), strict=True)], [p.size for p in parts])))
+
+
+class Patterns:
+    """Compiled barcodes: for each its seed as bit masks of the bases (the first 64 places), and the bases that each place allows."""
+
+    def __init__(self, barcodes: list[str], limits: Limits):
+        self.size = np.array([len(b) for b in barcodes])
+        self.allowed = [np.array([[x in IUPAC[c.upper()] for x in "ATGC"] + [False] for c in b]) for b in barcodes]
+        self.seed = [a | np.array([[c.islower()] * 4 + [False] for c in b]) for a, b in zip(self.allowed, barcodes, strict=True)]
+        self.mask = np.array([[sum(1 << i for i in range(min(len(b), 64)) if s[i, c]) for c in range(5)] for b, s in zip(barcodes, self.seed, strict=True)], np.uint64).reshape(-1, 5)
+        self.top = np.array([1 << (min(len(b), 64) - 1) for b in barcodes], np.uint64)
+        self.tag = [np.array([i for i, c in enumerate(b) if c == "N"], np.int64) for b in barcodes]
+        self.most_low, self.most_high, self.low = [int(n * limits.low_share) for n in self.size], [int(n * limits.high_share) for n in self.size], limits.low
+
+    def find(self, reads: Reads, which: np.ndarray | None = None) -> np.ndarray:
+        """First start of each pattern (or of one for each read) that matches; -1 without one."""
+        codes = reads.codes()
+        one = which is not None
+        masks = self.mask[which] if one else self.mask.T
+        top = self.top[which][:, None] if one else self.top[None]
+        state, found = np.zeros((len(reads), 1 if one else len(self.size)), np.uint64), []
+        for j in range(codes.shape[1]):
+            step = np.take_along_axis(masks, codes[:, j : j + 1].astype(np.int64), 1) if one else masks[codes[:, j]]
+            state = ((state << np.uint64(1)) | np.uint64(1)) & step
+            r, k = np.nonzero(state & top)
+            if len(r):
+                found.append((r, which[r] if one else k, np.full(len(r), j)))
+        out = np.full(state.shape, -1)
+        if not found:
+            return out
+        row, pattern, end = (np.concatenate(x) for x in zip(*found, strict=True))
+        best = np.full(state.shape, 1 << 60)
+        for p in np.unique(pattern).tolist():
+            here = pattern == p
+            n, r = int(self.size[p]), row[here]
+            start = end[here] - min(n, 64) + 1
+            fits = start + n <= reads.size[r]
+            r, start = r[fits], start[fits]
+            at = start[:, None] + np.arange(n)[None]
+            base, places = codes[r[:, None], at], np.arange(n)[None]
+            wrong = ~self.allowed[p][places, base]
+            low = reads.qual[reads.start[r][:, None] + at].astype(np.int64) - 33 <= self.low
+            good = self.seed[p][places, base].all(1) & ((wrong & low).sum(1) <= self.most_low[p]) & ((wrong & ~low).sum(1) <= self.most_high[p])
+            np.minimum.at(best, (r[good], 0 if one else p), start[good])
+        out[best < 1 << 60] = best[best < 1 << 60]
+        return out
+
+    def tags(self, reads: Reads, which: np.ndarray, at: np.ndarray) -> tuple[list[str], list[str]]:
+        """Bases and qualities at the tag's places of each read, whose pattern `which` begins at `at`; empty where it is -1."""
+        bases, quals = [""] * len(reads), [""] * len(reads)
+        for p in np.unique(which[at >= 0]).tolist():
+            rows, n = np.flatnonzero((which == p) & (at >= 0)), len(self.tag[p])
+            if n:
+                place = (reads.start[rows] + at[rows])[:, None] + self.tag[p][None]
+                b, q = reads.seq[place].tobytes().decode("latin-1"), reads.qual[place].tobytes().decode("latin-1")
+                for i, r in enumerate(rows.tolist()):
+                    bases[r], quals[r] = b[i * n : i * n + n], q[i * n : i * n + n]
+        return bases, quals
+
+
+def trimmed(reads: Reads, at: np.ndarray, size: np.ndarray, least: int = 10) -> Reads:
+    """Barcodes cut out where there is one (at is not -1), with what is before and after them where that has at most `least` bases."""
+    has = at >= 0
+    after = np.where(has, reads.size - at - size, 0)
+    return reads.cut([(np.zeros_like(at), np.where(has, np.where(at > least, at, 0), reads.size)), (np.where(has, at + size, 0), np.where(after > least, after, 0))])
+
+
+def without_switch(reads: Reads, which: np.ndarray, slave: bool = False) -> Reads:
+    """Bases of template switching cut: up to 3 T and 3 to 7 G that a master's rest begins with, or C and A that a slave's ends with."""
+    wide = 11
+    i = np.arange(wide)[None]
+    at = np.where(slave, reads.size[:, None] - 1 - i, i)
+    inside = (i < reads.size[:, None]) & which[:, None]
+    base = np.where(inside, reads.seq[np.where(inside, reads.start[:, None] + at, 0)] if len(reads.seq) else 0, 0)
+    run = lambda hit: np.logical_and.accumulate(hit, 1).sum(1)
+    first = run(base == ord("A" if slave else "T"))
+    second = run((base == ord("C" if slave else "G")) | (i < first[:, None])) - first
+    n = np.where((first <= 3) & (second >= 3), first + np.minimum(second, 7), 0)
+    return reads.cut([(np.zeros_like(n) if slave else n, reads.size - n)])
+
+
+def merged(first: Reads, second: Reads, sizes: Merging) -> tuple[np.ndarray, Reads]:
+    """Which pairs overlap, and those merged where the second mate begins inside the first: the better base of each shared place, ties to the second."""
+    n = len(first)
+    w1, w2, seed, match = int(first.size.max(initial=0)), int(second.size.max(initial=0)), sizes.seed, sizes.match
+    at1, in1 = first.places(w1 + match)
+    at2, in2 = second.places(max(w2, sizes.most_offset + seed) + match)
+    one = np.where(in1, first.seq[at1] if len(first.seq) else 0, 0)
+    two = np.where(in2, second.seq[at2] if len(second.seq) else 0, 1)
+    begin, offset = np.full(n, -1), np.zeros(n, np.int64)
+    for i in range(sizes.most_offset):
+        open_ = np.flatnonzero(begin < 0)
+        if not len(open_) or w1 < seed:
+            break
+        hit = np.ones((len(open_), w1 - seed + 1), bool)
+        for j in range(seed):
+            hit &= one[open_, j : j + w1 - seed + 1] == two[open_, i + j, None]
+        r, p = np.nonzero(hit)  # in order of places
+        row = open_[r]
+        a, b = (p + seed)[:, None] + np.arange(match)[None], i + seed + np.arange(match)[None]
+        inside = (a < first.size[row][:, None]) & (b < second.size[row][:, None])
+        bad = (one[row[:, None], a] != two[row[:, None], b]) & inside
+        compared = inside.sum(1)
+        good = ((compared == match) | (sizes.partial & (compared > 0))) & (bad.sum(1) <= compared * 0.1) & ~(bad[:, 1:] & bad[:, :-1]).any(1)
+        row, p = row[good], p[good]
+        least = np.full(n, 1 << 40)
+        np.minimum.at(least, row, p)
+        begin[row], offset[row] = least[row], i
+    which = begin >= 0
+    f, s, begin, offset = first.rows(which), second.rows(which), begin[which], offset[which]
+    shared = np.minimum(f.size - begin, s.size - offset)
+    left, right = f.cut([(begin, shared)]), s.cut([(offset, shared)])
+    better = left.qual > right.qual
+    middle = Reads(np.where(better, left.seq, right.seq), np.where(better, left.qual, right.qual), left.start, left.size)
+    longer = f.size - begin > shared
+    parts = stacked([f.cut([(np.zeros_like(begin), begin)]), middle, f.cut([(begin + shared, np.where(longer, f.size - begin - shared, 0))]), s.cut([(offset + shared, np.where(longer, 0, s.size - offset - shared))])])
+    m = int(which.sum())
+    size = parts.size.reshape(4, m).T
+    at = ranges(parts.start.reshape(4, m).T.ravel(), size.ravel())
+    total = size.sum(1)
+    return which, Reads(parts.seq[at], parts.qual[at], np.cumsum(total) - total, total)
+
+
+SCHEMA = "sample string, matched string, type string, umi string, umi_qual string, s1 string, q1 string, s2 string, q2 string, swapped boolean"
+
+
+class Checkout:
+    """Barcodes and options of a run, applied to batches of pairs."""
+
+    def __init__(self, barcodes: list[Barcode], cut: bool, both_ways: bool, mask: str, merge: Merging | None, switch: bool, complement: bool, limits: Limits):
+        if complement:
+            barcodes = [x for b in barcodes for x in (b, Barcode(b.sample, iupac_complement(b.master), iupac_complement(b.slave) if b.slave else None))]
+        self.barcodes, self.cut, self.both_ways, self.merge, self.switch = barcodes, cut, both_ways, merge, switch
+        self.flags = [x == "1" for x in mask.split(":")]
+        self.masters = Patterns([b.master for b in barcodes], limits)
+        self.slaves = Patterns([b.slave if b.slave and b.slave != "N" else "N" for b in barcodes], limits)
+        self.wanted = np.array([bool(b.slave) and b.slave != "N" for b in barcodes], bool)
+
+    def __call__(self, s1: list, q1: list, s2: list, q2: list) -> list[pa.Array]:
+        n, paired = len(s1), np.array([x is not None for x in s2], bool)
+        one, two = Reads.of(s1, q1), Reads.of(s2, q2)
+        at = np.full((n, len(self.barcodes), 2), -1)
+        if self.barcodes:
+            at[:, :, 0] = self.masters.find(one)
+            if self.both_ways and paired.any():
+                at[paired, :, 1] = self.masters.find(two.rows(paired))
+        at = at.reshape(n, -1)
+        hit = at >= 0
+        some, first = hit.any(1), hit.argmax(1) if at.shape[1] else np.zeros(n, np.int64)
+        of, swapped = np.where(some, first // 2, -1), some & (first % 2 == 1)
+        at = np.where(some, at[np.arange(n), first], -1) if at.shape[1] else np.full(n, -1)
+        both, own = stacked([one, two]), np.arange(n) + np.where(swapped, n, 0)
+        master, other = both.rows(own), both.rows(np.where(swapped, np.arange(n), np.arange(n) + n))
+        asked = some & paired & (self.wanted[of] if len(self.barcodes) else False)
+        to = np.full(n, -1)
+        if asked.any():
+            to[asked] = self.slaves.find(other.rows(asked), of[asked])[:, 0]
+        whole = some & ~(asked & (to < 0))
+        umi, qual = self.masters.tags(master, of, at)
+        umi_2, qual_2 = self.slaves.tags(other, of, to)
+        if self.cut:
+            master = trimmed(master, at, np.where(some, self.masters.size[of] if len(self.barcodes) else 0, 0))
+            other = trimmed(other, to, np.where(to >= 0, self.slaves.size[of] if len(self.barcodes) else 0, 0))
+            if self.switch:
+                master, other = without_switch(master, some), without_switch(other, to >= 0, True)
+        if self.flags[0]:
+            master = master.turned(np.ones(n, bool))
+        if self.flags[1]:
+            other = other.turned(paired)
+        type_ = np.where(paired, "paired", "unpaired").astype(object)
+        gone, out = ~paired, [master.texts("seq"), master.texts("qual"), other.texts("seq"), other.texts("qual")]
+        if self.merge and (tried := np.flatnonzero(whole & paired)).size:
+            which, made = merged(master.rows(tried), other.rows(tried), self.merge)
+            rows = tried[which]
+            type_[rows] = "overlapped"
+            gone = gone.copy()
+            gone[rows] = True
+            for k, texts in ((0, made.texts("seq")), (1, made.texts("qual"))):
+                held = out[k].to_pylist()
+                for r, t in zip(rows.tolist(), texts.to_pylist(), strict=True):
+                    held[r] = t
+                out[k] = pa.array(held, pa.string())
+        names = np.array([b.sample for b in self.barcodes] + ["undef-m"], object)
+        sample = np.where(whole, names[of], np.where(some, "undef-s", "undef-m"))
+        no_tag = ~some
+        text = lambda x, none=None: pa.array(x, pa.string(), mask=none)
+        mates = [text(out[k].to_pylist(), gone) for k in (2, 3)]
+        return [text(sample), text(names[of]), text(type_), text(np.array([a + b for a, b in zip(umi, umi_2, strict=True)], object), no_tag), text(np.array([a + b for a, b in zip(qual, qual_2, strict=True)], object), no_tag), out[0], out[1], *mates, pa.array(swapped)]
+
+
+def checkout(
+    reads: DataFrame, barcodes: list[Barcode] | dict[str, list[Barcode]], keep: list[str], cut: bool = False, both_ways: bool = True, mask: str = "0:1", merge: bool | Merging = False,
+    switch: bool = False, skip_undef: bool = False, partial: bool = False, complement: bool = False, limits: Limits | None = None, file: str = "file",
+) -> DataFrame:
     """Assign read pairs (s1, q1, s2, q2) to the first barcode that is found, the first mate before the second. Columns in `keep` pass through.
 
-    sample is undef-m without a master, undef-s without its slave; type is paired, overlapped or unpaired. s2 may be null. A null read has no barcode.
-    switch: template-switch bases go too (only where barcodes are cut); skip_undef: pairs without a sample are left out; partial: see `overlap`;
-    complement: barcodes are given on the other strand."""
-    if complement:
-        barcodes = [Barcode(b.sample, iupac_complement(b.master), iupac_complement(b.slave) if b.slave else None) for b in barcodes]
-    seeds = [re.compile(f"(?={seed_regex(b.master)})") for b in barcodes]
-    flags = [x == "1" for x in mask.split(":")]
-
-    def one(s1, q1, s2, q2):
-        s1, q1 = s1 or "", q1 or ""
-        pair = s2 is not None
-        kind = "paired" if pair else "unpaired"
-        for b, seed in zip(barcodes, seeds, strict=True):
-            if not seed.search(s1) and not (pair and both_ways and seed.search(s2)):
-                continue
-            ends = [(s1, q1, s2 or "", q2 or "", False)] + ([(s2, q2, s1, q1, True)] if pair and both_ways else [])
-            for ms, mq, os, oq, swapped in ends:
-                at = find(b.master, ms, mq)
-                if at < 0:
-                    continue
-                u, uq = tag(b.master, ms, mq, at)
-                if cut:
-                    ms, mq = trim(ms, mq, at, len(b.master))
-                    ms, mq = trim_switch(ms, mq) if switch else (ms, mq)
-                sample = b.sample
-                if pair and b.slave and b.slave != "N":
-                    to = find(b.slave, os, oq)
-                    if to < 0:
-                        sample = "undef-s"
-                    else:
-                        v, vq = tag(b.slave, os, oq, to)
-                        u, uq = u + v, uq + vq
-                        if cut:
-                            os, oq = trim(os, oq, to, len(b.slave))
-                            os, oq = trim_switch(os, oq, True) if switch else (os, oq)
-                if flags[0]:
-                    ms, mq = ms.translate(_RC)[::-1], mq[::-1]
-                if pair and flags[1]:
-                    os, oq = os.translate(_RC)[::-1], oq[::-1]
-                if merge and pair and (whole := overlap(ms, mq, os, oq, partial=partial)):
-                    return sample, "overlapped", u, uq, *whole, None, None, swapped
-                return sample, kind, u, uq, ms, mq, os if pair else None, oq if pair else None, swapped
-        return "undef-m", kind, None, None, s1, q1, s2, q2, False
-
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
-
-    def run(frames):
-        for f in frames:
-            out = pd.DataFrame([one(*r) for r in f[["s1", "q1", "s2", "q2"]].itertuples(index=False)], columns=names, dtype=object)
-            yield pd.concat([f[keep].reset_index(drop=True), out], axis=1)
+    sample is undef-m without a master, undef-s without its slave (matched: whose master it has); type is paired, overlapped or unpaired. s2 may be null. A null read has no barcode, a
+    missing quality counts as zero. Reads without a sample are oriented too, those without a slave are also cut.
+    barcodes: of all reads, or by the value of the column `file` (None: of files that aren't named).
+    switch: template-switch bases go too (only where barcodes are cut); skip_undef: pairs without a sample are left out; merge, partial: see Merging;
+    complement: barcodes are looked for on the other strand too."""
+    by_file = barcodes if isinstance(barcodes, dict) else {None: barcodes}
+    sizes = merge if isinstance(merge, Merging) else Merging(partial=partial) if merge else None
+    options = (cut, both_ways, mask, sizes, switch, complement, limits or Limits())
+    named = isinstance(barcodes, dict)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = {f: Checkout(b, *options) for f, b in by_file.items()}
+        for whole in batches:
+            files = np.array(whole.column(whole.num_columns - 1).to_pylist(), object) if named else None
+            for name in [None] if files is None else sorted({f if f in made else None for f in files.tolist()}, key=str):
+                rows = np.arange(whole.num_rows) if files is None else np.flatnonzero([f == name if name is not None else f not in made or f is None for f in files.tolist()])
+                for a in range(0, len(rows), _ROWS):
+                    batch = whole.take(pa.array(rows[a : a + _ROWS]))
+                    columns = [batch.column(len(keep) + i).to_pylist() for i in range(4)]
+                    run_ = made[name] if name in made else Checkout([], *options)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *run_(*columns)], [f"c{i}" for i in range(len(keep) + 10)])
 
     kinds = ", ".join(f"`{c}` {reads.schema[c].dataType.simpleString()}" for c in keep)
-    found = reads.select(*keep, "s1", "q1", "s2", "q2").mapInPandas(run, f"{kinds}, {SCHEMA}" if keep else SCHEMA)
+    wanted = reads.select(*keep, "s1", "q1", "s2", "q2", *([F.col(file).alias("_of_file")] if named else []))
+    found = wanted.mapInArrow(run, f"{kinds}, {SCHEMA}" if keep else SCHEMA)
     return found.filter(~F.col("sample").isin("undef-m", "undef-s")) if skip_undef else found
 
 
@@ -152,19 +356,15 @@ def compiled(rows: DataFrame) -> list[Barcode]:
 
 
 def checkout_batch(reads: DataFrame, rows: DataFrame, keep: list[str], **options) -> DataFrame:
-    """Reads of several files, each with the barcodes of its own rows. reads has a file column; rows: ord, sample, master, slave, fastq1.
+    """Reads of several files, each with the barcodes of its own rows, in one pass over the reads. reads has a file column; rows: ord, sample, master, slave, fastq1, and fastq2 or not.
     Barcodes without a file are for all."""
-    files = [r.fastq1 for r in rows.select("fastq1").filter("fastq1 IS NOT NULL").distinct().orderBy("fastq1").collect()]
-    parts = [checkout(reads.filter(F.col("file") == f), compiled(rows.filter(F.col("fastq1").isNull() | (F.col("fastq1") == f))), keep, **options) for f in files]
-    none = rows.filter("fastq1 IS NULL")
-    rest = reads.filter(~F.col("file").isin(files)) if files else reads
-    out = checkout(rest, compiled(none), keep, **options)
-    for part in parts:
-        out = out.unionByName(part)
-    return out
+    table = rows.orderBy("ord").collect()
+    files = {r.fastq1 for r in table if r.fastq1 is not None}
+    barcodes = {f: [Barcode(r["sample"], r.master, r.slave) for r in table if r.fastq1 in (None, f)] for f in (*files, None)}
+    return checkout(reads, barcodes, keep, **options)
 
 
 def checkout_log(found: DataFrame) -> DataFrame:
-    """Pairs with a master, with master and slave, and merged, by sample."""
+    """Pairs with a sample's master, with master and slave, and merged, by sample; undef-m counts none."""
     whole = ~F.col("sample").isin("undef-m", "undef-s")
-    return found.groupBy("sample").agg(F.count_if(F.col("sample") != "undef-m").alias("master"), F.count_if(whole).alias("master_slave"), F.count_if(F.col("type") == "overlapped").alias("overlapped"))
+    return found.groupBy(F.col("matched").alias("sample")).agg(F.count_if(F.col("sample") != "undef-m").alias("master"), F.count_if(whole).alias("master_slave"), F.count_if(F.col("type") == "overlapped").alias("overlapped"))

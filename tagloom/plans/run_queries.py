@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.sequence import reverse_complement
-from tagloom.operators import repertoire
-from tagloom.plans.queries import ORACLES, QUERIES, query
+from tagloom.functions.sequence import IUPAC, reverse_complement
+from tagloom.operators import checkout, repertoire
+from tagloom.plans.queries import _SEQ, _UMI8, ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -55,3 +55,67 @@ def gapped_cdr3s(spark, sf_dir):
     reads = _gapped_reads(spark, sf_dir).groupBy("seq").agg(F.count("*").alias("n"))
     found = repertoire.map_reads(reads, _library(spark, sf_dir))
     return reads.join(found, reads["seq"] == found["read"]).groupBy("cdr3nt", "v", "j").agg(F.sum("n").alias("reads"))
+
+
+#: Seeds, fuzzy places, tags in master and slave; the third has no slave.
+BARCODES = [checkout.Barcode("S1", "ATGNNNNCAtgcawt", "GGRNNtt"), checkout.Barcode("S2", "CATNNNNtgctagca", "CCAc"), checkout.Barcode("S3", "GGATCNNtacgt")]
+_RC = "reverse(translate({}, 'ACGT', 'TGCA'))"
+_PAIRS = f"""WITH b AS (SELECT l_orderkey o, l_linenumber l, {_SEQ} AS seq, {_UMI8} AS umi, cast(l_quantity as int) ph FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) l_partkey, min(l_quantity) l_quantity FROM lineitem GROUP BY l_orderkey, l_linenumber) x),
+m AS (SELECT o, l, ph, concat(substr(seq, 1, cast(o % 5 as int)), CASE o % 4 WHEN 0 THEN concat('ATG', substr(umi, 1, 4), 'CA') WHEN 1 THEN concat('CAT', substr(umi, 1, 4)) WHEN 2 THEN concat('GGATC', substr(umi, 1, 2)) ELSE 'TTTTTT' END,
+  CASE WHEN o % 4 = 2 THEN 'TACGT' WHEN o % 7 = 0 THEN 'TGCAAC' WHEN o % 4 = 0 THEN 'TGCAAT' ELSE 'TGCTAGCA' END, seq) AS m1,
+  concat(substr('TATA', 1, cast(l % 4 as int)), CASE WHEN o % 11 = 0 THEN 'TTTT' WHEN o % 4 = 0 THEN concat('GGA', substr(umi, 5, 2), 'TT') ELSE 'CCAC' END, {_RC.format("substr(seq, cast(1 + (o + l) % 30 as int))")}) AS m2 FROM b),
+q AS (SELECT *, concat({", ".join(f"chr(cast(35 + (ph + {i} * l) % 39 as int))" for i in range(80))}) AS qs FROM m),
+p AS (SELECT o, l, m1, m2, substr(qs, 1, length(m1)) AS q1, reverse(substr(qs, 1, length(m2))) AS q2 FROM q),
+pairs AS (SELECT o, l, CASE WHEN o % 3 = 0 THEN m2 ELSE m1 END AS s1, CASE WHEN o % 3 = 0 THEN q2 ELSE q1 END AS q1, CASE WHEN o % 3 = 0 THEN m1 ELSE m2 END AS s2, CASE WHEN o % 3 = 0 THEN q1 ELSE q2 END AS q2 FROM p)"""
+
+
+def _pairs(spark, sf_dir) -> DataFrame:
+    return spark.sql(f"{_PAIRS} SELECT * FROM pairs".replace("FROM lineitem", "FROM {lineitem}").replace("{div}", "div"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+
+def _found(barcode: str, reads: str) -> str:
+    """SQL of the first start of a barcode in the reads (o, l, mate, s, q)."""
+    n, letters = len(barcode), list(enumerate(barcode))
+    base = lambda i: f"substr(s, p::INT + {i}, 1)"
+    seed = " AND ".join([f"{base(i)} IN ({', '.join(map(repr, IUPAC[c]))})" for i, c in letters if c.isupper() and c != "N"])
+    wrong = lambda sign: "+".join(["0", *(f"({base(i)} NOT IN ({', '.join(map(repr, IUPAC[c.upper()]))}) AND ascii(substr(q, p::INT + {i}, 1)) - 33 {sign} 15)::INT" for i, c in letters if c.islower() and c != "n")])
+    return f"SELECT o, l, mate, min(p)::INT AS st FROM {reads}, range(1, 90) t(p) WHERE p + {n} - 1 <= length(s) AND {seed} AND {wrong('<=')} <= {int(n * 0.2)} AND {wrong('>')} <= {int(n * 0.05)} GROUP BY ALL"
+
+
+def _places(barcode: str, text: str, at: str) -> str:
+    return "||".join(["''", *(f"substr({text}, {at} + {i}, 1)" for i, c in enumerate(barcode) if c == "N")])
+
+
+def _by(value: str) -> str:
+    """SQL of a value for each barcode, by its number."""
+    return "CASE k " + " ".join(f"WHEN {k} THEN {value.format(m=b.master, s=b.slave or 'N', n=len(b.master), t=len(b.slave or ''), tag_u=_places(b.master, 'ms', 'st'), tag_q=_places(b.master, 'mq', 'st'), tag_v=_places(b.slave or '', 'os', 'too'), tag_w=_places(b.slave or '', 'oq', 'too'), name=b.sample)}" for k, b in enumerate(BARCODES)) + " END"
+
+
+_CHECKED = f"""{_PAIRS.replace("{div}", "//")}, mt AS (SELECT o, l, 0 mate, s1 s, q1 q FROM pairs UNION ALL SELECT o, l, 1, s2, q2 FROM pairs),
+ma AS ({" UNION ALL ".join(f"SELECT {k} k, * FROM ({_found(b.master, 'mt')})" for k, b in enumerate(BARCODES))}),
+fm AS (SELECT * FROM ma QUALIFY row_number() OVER (PARTITION BY o, l ORDER BY k, mate) = 1),
+mo AS (SELECT p.o, p.l, k, st, coalesce(mate, 0) = 1 swapped, CASE WHEN mate = 1 THEN s2 ELSE s1 END ms, CASE WHEN mate = 1 THEN q2 ELSE q1 END mq, CASE WHEN mate = 1 THEN s1 ELSE s2 END os, CASE WHEN mate = 1 THEN q1 ELSE q2 END oq FROM pairs p LEFT JOIN fm USING (o, l)),
+sl AS ({" UNION ALL ".join(f"SELECT {k} k, * FROM ({_found(b.slave, f'(SELECT o, l, 0 mate, os s, oq q FROM mo WHERE k = {k})')})" for k, b in enumerate(BARCODES) if b.slave)}),
+fo AS (SELECT mo.*, sl.st too, {_by("'{name}'")} matched, k IS NOT NULL AND ({_by("'{s}'")} = 'N' OR sl.st IS NOT NULL) whole FROM mo LEFT JOIN sl USING (o, l, k)),
+tg AS (SELECT *, CASE WHEN k IS NOT NULL THEN {_by("{tag_u}")} || coalesce({_by("{tag_v}")}, '') END umi, CASE WHEN k IS NOT NULL THEN {_by("{tag_q}")} || coalesce({_by("{tag_w}")}, '') END umi_qual,
+  {_by("st + {n}")} e, {_by("too + {t}")} f FROM fo),
+cu AS (SELECT *, CASE WHEN k IS NULL THEN ms ELSE CASE WHEN st - 1 > 10 THEN substr(ms, 1, st - 1) ELSE '' END || CASE WHEN length(ms) - e + 1 > 10 THEN substr(ms, e) ELSE '' END END a, CASE WHEN k IS NULL THEN mq ELSE CASE WHEN st - 1 > 10 THEN substr(mq, 1, st - 1) ELSE '' END || CASE WHEN length(ms) - e + 1 > 10 THEN substr(mq, e) ELSE '' END END aq,
+  {_RC.format("CASE WHEN too IS NULL THEN os ELSE CASE WHEN too - 1 > 10 THEN substr(os, 1, too - 1) ELSE '' END || CASE WHEN length(os) - f + 1 > 10 THEN substr(os, f) ELSE '' END END")} b,
+  reverse(CASE WHEN too IS NULL THEN oq ELSE CASE WHEN too - 1 > 10 THEN substr(oq, 1, too - 1) ELSE '' END || CASE WHEN length(os) - f + 1 > 10 THEN substr(oq, f) ELSE '' END END) bq FROM tg),
+ov AS (SELECT o, l, i, p FROM cu, range(0, 5) x(i), range(0, 90) y(p) WHERE whole AND p + 15 <= length(a) AND i + 15 <= length(b) AND substr(a, p::INT + 1, 5) = substr(b, i::INT + 1, 5) AND hamming(substr(a, p::INT + 6, 10), substr(b, i::INT + 6, 10)) <= 1 QUALIFY row_number() OVER (PARTITION BY o, l ORDER BY i, p) = 1),
+mg AS (SELECT cu.*, i, p, least(length(a) - p, length(b) - i) n FROM cu LEFT JOIN ov USING (o, l)),
+jo AS (SELECT o, l, string_agg(CASE WHEN substr(aq, (p + j)::INT, 1) > substr(bq, (i + j)::INT, 1) THEN substr(a, (p + j)::INT, 1) ELSE substr(b, (i + j)::INT, 1) END, '' ORDER BY j) js, string_agg(greatest(substr(aq, (p + j)::INT, 1), substr(bq, (i + j)::INT, 1)), '' ORDER BY j) jq FROM mg, range(1, 90) z(j) WHERE p IS NOT NULL AND j <= n GROUP BY ALL),
+co AS (SELECT o, l, CASE WHEN whole THEN matched WHEN k IS NOT NULL THEN 'undef-s' ELSE 'undef-m' END AS sample, coalesce(matched, 'undef-m') matched, CASE WHEN p IS NULL THEN 'paired' ELSE 'overlapped' END AS type, umi, umi_qual,
+  CASE WHEN p IS NULL THEN a ELSE substr(a, 1, p::INT) || js || CASE WHEN length(a) - p > n THEN substr(a, (p + n)::INT + 1) ELSE substr(b, (i + n)::INT + 1) END END s1, CASE WHEN p IS NULL THEN aq ELSE substr(aq, 1, p::INT) || jq || CASE WHEN length(a) - p > n THEN substr(aq, (p + n)::INT + 1) ELSE substr(bq, (i + n)::INT + 1) END END q1,
+  CASE WHEN p IS NULL THEN b END s2, CASE WHEN p IS NULL THEN bq END q2, swapped FROM mg LEFT JOIN jo USING (o, l))"""
+
+
+@query(f"{_CHECKED} SELECT * FROM co")
+def checkout_pairs(spark, sf_dir):
+    """Pairs with fuzzy barcodes on either mate, slaves, tags of both, cut and merged where they overlap."""
+    return checkout.checkout(_pairs(spark, sf_dir), BARCODES, ["o", "l"], cut=True, merge=True)
+
+
+@query(f"{_CHECKED} SELECT matched AS sample, count(*) FILTER (sample <> 'undef-m') master, count(*) FILTER (sample NOT LIKE 'undef%') master_slave, count(*) FILTER (type = 'overlapped') overlapped FROM co GROUP BY matched")
+def checkout_pairs_log(spark, sf_dir):
+    return checkout.checkout_log(checkout.checkout(_pairs(spark, sf_dir), BARCODES, [], cut=True, merge=True))

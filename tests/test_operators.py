@@ -59,12 +59,6 @@ def test_checkout_outcomes(spark):
         checkout.Barcode("S", "AXX")
 
 
-def test_overlap_takes_the_better_base():
-    a, b = "AAAACCCCGGGGTTTTACGT", "CCCCGGGGTTTTACGTAAAATTTT"
-    assert checkout.overlap(a, "I" * 20, b, "5" * 24)[0] == "AAAACCCCGGGGTTTTACGTAAAATTTT"
-    assert checkout.overlap("A" * 20, "I" * 20, "C" * 20, "I" * 20) is None
-
-
 def test_singletons_and_spikes(spark):
     df = spark.createDataFrame([("AAAA", "v", "j", "d", 9, 9, 1000, 1000), ("AAAT", "v", "j", "d", 1, 1, 2, 2), ("AATT", "v", "j", "d", 1, 1, 2, 2), ("TTTT", "v", "j", "d", 1, 1, 2, 2)], "cdr3nt string, v string, j string, d string, good_events long, total_events long, good_reads long, total_reads long")
     assert rows(clonotypes.erroneous_singletons(df).select("cdr3nt"), "cdr3nt") == [("AAAT",), ("AATT",)]
@@ -166,7 +160,6 @@ def test_assembly_of_a_large_tag_is_the_same(spark, monkeypatch):
 
 
 def test_checkout_options(spark):
-    assert checkout.trim_switch("TTGGGGACA", "123456789") == ("ACA", "789") and checkout.trim_switch("ACACCCCAA", "123456789", True) == ("ACA", "123")
     b = [checkout.Barcode("S", "ATGCNNNN", "G?G")]
     assert b[0].slave is None
     df = spark.createDataFrame([("CCATGCACGTAA", "I" * 12, None, None), ("CCCC", "IIII", None, None)], "s1 string, q1 string, s2 string, q2 string")
