@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import codons_to_protein, hamming, one_off, wildcards
+from tagloom.operators.substrings import contained
 
 KEY = ("cdr3nt", "v", "j", "d")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
@@ -152,10 +153,8 @@ def final_counts(log: DataFrame) -> DataFrame:
 
 def merge_noncanonical(table: DataFrame) -> DataFrame:
     """Counters of each canonical CDR3, with those of the others that contain it; of several, the longest, then the first, takes them."""
-    canon = table.filter(canonical("aa")).select(F.col("cdr3nt").alias("into"), F.length("cdr3nt").alias("n")).distinct()
-    sizes = [r.n for r in canon.select("n").distinct().collect()]  # as many as CDR3s have lengths
-    rest = table.filter(~canonical("aa"))
-    parts = rest.select("cdr3nt", F.explode(F.flatten(F.array(*(F.transform(F.sequence(F.lit(0), F.greatest(F.length("cdr3nt") - n, F.lit(0))), lambda i, n=n: F.substring("cdr3nt", i + 1, F.lit(n))) for n in sizes)) if sizes else F.array().cast("array<array<string>>"))).alias("into")).distinct()
-    to = parts.join(canon, "into").groupBy("cdr3nt").agg(F.min_by("into", F.struct(-F.col("n"), "into")).alias("into"))
+    canon, rest = table.filter(canonical("aa")), table.filter(~canonical("aa"))
+    pairs = contained(rest, "cdr3nt", canon.select(F.col("cdr3nt").alias("into")), "into")
+    to = pairs.groupBy("cdr3nt").agg(F.min_by("into", F.struct(-F.length("into"), "into")).alias("into"))
     moved = rest.join(to, "cdr3nt").select(F.col("into").alias("cdr3nt"), *COUNTERS)
-    return table.filter(canonical("aa")).select("cdr3nt", *COUNTERS).unionByName(moved).groupBy("cdr3nt").agg(*(F.sum(c).alias(c) for c in COUNTERS))
+    return canon.select("cdr3nt", *COUNTERS).unionByName(moved).groupBy("cdr3nt").agg(*(F.sum(c).alias(c) for c in COUNTERS))

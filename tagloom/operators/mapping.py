@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import reverse_complement
+from tagloom.operators.substrings import longest_stretches
 
 
 def trimmed_alleles(segments: DataFrame, v_left: int = 50, j_right: int = 20) -> DataFrame:
@@ -51,12 +52,9 @@ def cdr3s(hits: DataFrame, chimeric: bool = False, least: int = 7, most: int = 3
     return found.select("read", F.col("v_gene").alias("gene"), F.col("v_segments").alias("v"), F.col("j_segments").alias("j"), F.substring("strand", F.col("from") + 1, F.col("to") - F.col("from")).alias("cdr3nt"), "from", F.col("v_rc").alias("rc"), (F.col("v_q_to") - F.col("from")).alias("v_end"), (F.col("j_q_from") - F.col("from")).alias("j_start"))
 
 
-def d_segments(middles: DataFrame, d_alleles: DataFrame, least: int = 2, most: int = 60) -> DataFrame:
-    """The longest, then leftmost, stretch of each middle that a D allele or its reverse complement holds, and all alleles that hold it. middles: middle."""
-    def parts(t: DataFrame, text: str) -> DataFrame:
-        size = F.explode(F.sequence(F.lit(least), F.least(F.length(text), F.lit(most))))
-        return t.filter(F.length(text) >= least).withColumn("n", size).withColumn("at", F.explode(F.sequence(F.lit(0), F.length(text) - F.col("n")))).withColumn("part", F.substring(text, F.col("at") + 1, F.col("n")))
-
-    strands = d_alleles.select("alleles", "seq").union(d_alleles.select("alleles", reverse_complement(F.col("seq"))))
-    lib = parts(strands, "seq").groupBy("part").agg(F.array_join(F.sort_array(F.collect_set("alleles")), ",").alias("d"))
-    return parts(middles.select("middle").distinct(), "middle").join(lib, "part").groupBy("middle").agg(F.max_by(F.struct("d", F.col("at").alias("d_start"), (F.col("at") + F.col("n") - 1).alias("d_end")), F.struct("n", -F.col("at"))).alias("best")).select("middle", "best.*")
+def d_segments(middles: DataFrame, d_alleles: DataFrame, least: int = 2) -> DataFrame:
+    """The longest, then leftmost, stretch of each middle that a D allele or its reverse complement holds, and all alleles that hold it. middles: middle; d_alleles: alleles, seq, a library's D segments."""
+    table = str.maketrans("ACGT", "TGCA")
+    forward = [(r.alleles, r.seq) for r in d_alleles.select("alleles", "seq").filter("seq IS NOT NULL").orderBy("alleles", "seq").collect()]  # a gene has some dozens
+    library = forward + [(name, "".join(c if c in "ACGT" else "N" for c in x)[::-1].translate(table)) for name, x in forward]
+    return longest_stretches(middles, "middle", library, least).withColumnsRenamed({"names": "d", "start": "d_start", "end": "d_end"})

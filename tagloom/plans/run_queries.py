@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import IUPAC, reverse_complement
-from tagloom.operators import checkout, repertoire
+from tagloom.operators import checkout, clonotypes, mapping, repertoire
 from tagloom.plans.queries import _SEQ, _UMI8, ORACLES, QUERIES, query
+from tagloom.sources import fastq
+from tagloom.sources.tables import shared_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -119,3 +121,43 @@ def checkout_pairs(spark, sf_dir):
 @query(f"{_CHECKED} SELECT matched AS sample, count(*) FILTER (sample <> 'undef-m') master, count(*) FILTER (sample NOT LIKE 'undef%') master_slave, count(*) FILTER (type = 'overlapped') overlapped FROM co GROUP BY matched")
 def checkout_pairs_log(spark, sf_dir):
     return checkout.checkout_log(checkout.checkout(_pairs(spark, sf_dir), BARCODES, [], cut=True, merge=True))
+
+
+@query(f"""{_CHECKED} SELECT sample, '@' || o || '.' || l || CASE WHEN swapped THEN ' R2' ELSE ' R1' END || CASE WHEN umi <> '' THEN ' UMI:' || umi || ':' || umi_qual ELSE '' END h1, s1, q1,
+CASE WHEN type = 'paired' THEN '@' || o || '.' || l || CASE WHEN swapped THEN ' R1' ELSE ' R2' END || CASE WHEN umi <> '' THEN ' UMI:' || umi || ':' || umi_qual ELSE '' END END h2, s2, q2 FROM co""")
+def fastq_round_trip(spark, sf_dir):
+    """Checked-out pairs written as files by sample, and read again in several ranges a file."""
+    header = F.concat(F.lit("@"), F.col("o").cast("string"), F.lit("."), F.col("l").cast("string"))
+    pairs = _pairs(spark, sf_dir).withColumns({"h1": header, "h2": header})
+    path = shared_folder(spark, "samples")
+    fastq.write_samples(checkout.checkout(pairs, BARCODES, ["h1", "h2"], cut=True, merge=True), path)
+    reads = [fastq.read_samples(spark, path, kind, split=1 << 18) for kind in ("paired", "overlapped")]
+    return reads[0].unionByName(reads[1]).select("sample", "h1", "s1", "q1", "h2", "s2", "q2")
+
+
+_D = ["GGGACAGGGGGC", "GGGACTAGCGGGGGGG", "ACGTACCATG"]
+_MIDDLE = f"substr({_SEQ}, 5, 14)"
+
+
+@query(f"""WITH m AS (SELECT DISTINCT {_MIDDLE.format(div="//")} middle FROM lineitem), d AS (SELECT * FROM (VALUES {", ".join(f"('D{i}', '{x}')" for i, x in enumerate(_D, 1))}) v(name, x)), s AS (SELECT * FROM d UNION ALL SELECT name, {_RC.format("x")} FROM d),
+w AS (SELECT DISTINCT name, substr(x, a::INT, n::INT) w FROM s, range(1, 17) t(a), range(2, 15) u(n) WHERE a + n - 1 <= length(x)), p AS (SELECT middle, a - 1 a, n, substr(middle, a::INT, n::INT) w FROM m, range(1, 14) t(a), range(2, 15) u(n) WHERE a + n - 1 <= 14)
+SELECT middle, string_agg(DISTINCT name, ',' ORDER BY name) d, a::INT d_start, (a + n - 1)::INT d_end FROM p JOIN w USING (w) GROUP BY middle, a, n QUALIFY row_number() OVER (PARTITION BY middle ORDER BY n DESC, a) = 1""")
+def d_segments(spark, sf_dir):
+    """The D segments that middles hold a stretch of."""
+    middles = spark.sql(f"SELECT {_MIDDLE.format(div='div')} AS middle FROM {{lineitem}}", lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return mapping.d_segments(middles, spark.createDataFrame([(f"D{i}", x) for i, x in enumerate(_D, 1)], "alleles string, seq string"))
+
+
+_CORE = f"concat('TGT', substr({_SEQ}, 1, cast(6 + 3 * (l_linenumber % 4) as int)), 'TTT')"
+_LOOSE = f"SELECT CASE WHEN l_suppkey % 3 = 0 THEN concat('GG', {_CORE}, substr('ACCA', 1, cast(l_suppkey % 5 as int))) ELSE {_CORE} END AS cdr3nt, CASE WHEN l_suppkey % 3 = 0 THEN 'GCF?' ELSE 'CAF' END AS aa, 1 AS good_events, l_linenumber AS good_reads FROM lineitem"
+
+
+@query(f"""WITH r AS ({_LOOSE.format(div="//")}), t AS (SELECT cdr3nt, aa, count(*) good_events, sum(good_reads)::BIGINT good_reads FROM r GROUP BY ALL), c AS (SELECT * FROM t WHERE aa = 'CAF'),
+x AS (SELECT n.cdr3nt, c.cdr3nt AS target FROM t n JOIN c ON contains(n.cdr3nt, c.cdr3nt) WHERE n.aa <> 'CAF' QUALIFY row_number() OVER (PARTITION BY n.cdr3nt ORDER BY length(c.cdr3nt) DESC, c.cdr3nt) = 1),
+a AS (SELECT cdr3nt, good_events, good_reads FROM c UNION ALL SELECT target, good_events, good_reads FROM x JOIN t USING (cdr3nt))
+SELECT cdr3nt, sum(good_events)::BIGINT good_events, sum(good_events)::BIGINT total_events, sum(good_reads)::BIGINT good_reads, sum(good_reads)::BIGINT total_reads FROM a GROUP BY cdr3nt""")
+def merged_noncanonical(spark, sf_dir):
+    """Canonical CDR3s with the counters of longer ones that hold them."""
+    rows = spark.sql(_LOOSE.format(div="div").replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    table = rows.groupBy("cdr3nt", "aa").agg(F.count("*").alias("good_events"), F.count("*").alias("total_events"), F.sum("good_reads").alias("good_reads"), F.sum("good_reads").alias("total_reads"))
+    return clonotypes.merge_noncanonical(table)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +59,21 @@ def append_new(table: DataFrame, path: str, key: str = "sample") -> None:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
     table.write.mode("append").parquet(path)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one in spark.checkpoint.dir, which the cluster shares; where that is unset, and only on a local master, below a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(table: DataFrame, name: str) -> DataFrame:
+    """A table that several steps read, written to the shared folder once."""
+    path = shared_folder(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
