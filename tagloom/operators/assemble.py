@@ -11,13 +11,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tagloom.functions.sequence import core, hamming, phred_symbol
+from tagloom.functions.sequence import core, hamming
+from tagloom.operators import profiles
 from tagloom.operators.umi import collided
+from tagloom.sources.tables import saved
 
 
 MOST_READS, AT_ONCE = 100_000, 20_000
+_LETTER = np.full(256, 4)
+_LETTER[list(b"ATGC")] = range(4)
 
 
 def migs(reads: DataFrame, least_length: int = 32, by: tuple[str, ...] = ("sample",)) -> DataFrame:
@@ -48,20 +51,45 @@ def aligned(groups: DataFrame, offset: int = 5, anchor: int = 10, most: int = 5,
 
 
 def consensus(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """Consensus sequence and quality of aligned reads: unknown bases and padding count a quarter for each letter; ties go A, T, G, C."""
+    """Consensus sequence and quality of aligned reads: unknown bases and padding count a quarter for each letter; ties go A, T, G, C. Reads are added up by place in the tasks that
+    have them, so a tag of any size sends one row a task."""
     key = [*by, "mate", "umi"]
-    whole = Window.partitionBy(*key)
-    placed = reads.withColumns({"left": F.max("x").over(whole), "right": F.max("y").over(whole), "n": F.sum("cnt").over(whole)}).filter(F.col("n") >= least)
-    padded = F.concat(F.repeat(F.lit("N"), F.col("left") - F.col("x")), F.col("seq"), F.repeat(F.lit("N"), F.col("right") - F.col("y")))
-    places = placed.select(*key, "n", "cnt", F.posexplode(F.split(padded, "")).alias("pos", "nt")).filter("nt <> ''")
-    quarter = F.floor(F.col("cnt") / 4)
-    sums = places.groupBy(*key, "n", "pos").agg(*(F.sum(F.when(F.col("nt") == c, F.col("cnt")).when(F.col("nt").isin(*"ATGC"), 0).otherwise(quarter)).alias(c) for c in "ATGC"))
-    top = F.greatest(*"ATGC")
-    letter = F.coalesce(*(F.when(F.col(c) == top, c) for c in "ATGC"))
-    cqs = F.greatest(F.lit(2), ((top / F.col("n") - 0.25) / 0.75 * 40).cast("int"))
-    lines = sums.select(*key, "n", "pos", letter.alias("nt"), phred_symbol(cqs).alias("q"))
-    made = lines.groupBy(*key, "n").agg(F.sort_array(F.collect_list(F.struct("pos", "nt", "q"))).alias("s"))  # as many places as a read has
-    return made.select(*key, F.col("n").alias("count"), F.array_join("s.nt", "").alias("seq"), F.array_join("s.q", "").alias("qual"))
+    spans = reads.groupBy(*key).agg(F.max("x").alias("left"), F.sum("cnt").alias("n"), F.max("y").alias("right")).filter(F.col("n") >= least)
+    placed = reads.join(spans, key).select(*key, "n", "left", "right", "x", "seq", "cnt")
+
+    def amounts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each key the bases by place (four a place), then a last number, so that the vector is as long as the span."""
+        left, right, x, cnt = (batch.column(c).to_numpy() for c in ("left", "right", "x", "cnt"))
+        row, place, base = profiles.letters(batch.column("seq"))
+        nt = _LETTER[base]
+        known = nt < 4
+        width = (left + right).astype(np.int64)
+        every = np.repeat(np.arange(len(x)), width)
+        padding = np.arange(len(every)) - np.repeat(np.cumsum(width) - width, width)
+        quarter, known_row, known_spot = cnt // 4, row[known], (left - x)[row[known]] + place[known]
+        spread = [(every, 4 * padding + c, quarter[every]) for c in range(4)]  # a quarter for each letter, which known bases give back
+        back = [(known_row, 4 * known_spot + c, -quarter[known_row]) for c in range(4)]
+        parts = [*spread, *back, (known_row, 4 * known_spot + nt[known], cnt[known_row])]
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+    def finished(sums: list[np.ndarray]) -> list[pa.Array]:
+        return [pa.array([v.tobytes() for v in sums], pa.binary())]
+
+    sums = profiles.summed(placed, [*key, "n"], amounts, finished, "vector binary")
+
+    def read_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, seqs, quals = batch.column("n").to_numpy(), [], []
+            for total, vector in zip(n.tolist(), batch.column("vector").to_pylist(), strict=True):
+                votes = np.frombuffer(vector, np.int64).reshape(-1, 4)
+                top = votes.argmax(1)
+                share = votes[np.arange(len(top)), top] / total
+                seqs.append(np.frombuffer(b"ATGC", np.uint8)[top].tobytes().decode())
+                quals.append((np.clip(((share - 0.25) / 0.75 * 40).astype(np.int64), 2, 40) + 33).astype(np.uint8).tobytes().decode())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in key), batch.column("n"), pa.array(seqs, pa.string()), pa.array(quals, pa.string())], [*key, "count", "seq", "qual"])
+
+    kinds = ", ".join(f"`{c}` {reads.schema[c].dataType.simpleString()}" for c in key)
+    return sums.mapInArrow(read_off, f"{kinds}, count long, seq string, qual string")
 
 
 def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: int, anchor: int, most: int, least: int):
@@ -94,9 +122,7 @@ def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: in
     read = np.repeat(k, size[k])
     inside = np.arange(len(read)) - np.repeat(np.cumsum(size[k]) - size[k], size[k])
     spot = base[tag[read]] + left[tag[read]] - x[read] + inside
-    letter = np.full(256, 4)
-    letter[list(b"ATGC")] = range(4)
-    nt, total = letter[data[begin[read] + inside]], int(width.sum())
+    nt, total = _LETTER[data[begin[read] + inside]], int(width.sum())
     known, quarter = nt < 4, cnt // 4
     sums = np.bincount(spot[known] * 4 + nt[known], cnt[read[known]], total * 4).reshape(total, 4)
     spread = np.bincount(tag[k], quarter[k], tags)
@@ -148,7 +174,7 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
     """A row for each tag and mate: n (reads), average (of the tag's mates), collided, small (some mate has too few reads), and for the others count
     (reads in consensus), dropped_reads, dropped_sequences, seq and qual (null if too few reads are left)."""
     key = [*by, "umi"]
-    groups = migs(reads, 2 * (anchor + offset + 1), by)
+    groups = saved(migs(reads, 2 * (anchor + offset + 1), by), "tags")
     sizes = groups.groupBy(*key, "mate").agg(F.sum("cnt").alias("n"), F.count("*").alias("rows"))
     tags = sizes.groupBy(*key).agg(F.min("n").alias("least"), F.floor(F.avg("n")).alias("average"), F.max("rows").alias("rows"))
     tags = tags.withColumn("small", F.col("least") < least).withColumn("collided", F.lit(False))
@@ -161,7 +187,7 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*key, "mate")), "count long, dropped_reads long, dropped_sequences long, seq string, qual string"])
     found = usual.mapInArrow(_assembled(offset, anchor, most, least, len(key) + 1), schema)
     large = good.filter(F.col("rows") > MOST_READS).drop("rows")
-    placed = aligned(large, offset, anchor, most, by)
+    placed = saved(aligned(large, offset, anchor, most, by), "large-tags")
     left = placed.groupBy(*key, "mate").agg(F.sum("cnt").alias("count"), F.count("*").alias("kept"))
     drops = large.groupBy(*key, "mate").agg(F.sum("cnt").alias("n"), F.count("*").alias("rows")).join(left, [*key, "mate"], "left").fillna(0, ["count", "kept"])
     made = drops.join(consensus(placed, least, by).drop("count"), [*key, "mate"], "left")
@@ -172,16 +198,16 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
 def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1) -> DataFrame:
     """Consensus of every tag that passes; of paired reads only where both mates have one."""
     key = [*by, "umi"]
-    found = statuses(reads, least, filter_collisions, by, offset, anchor, most, ratio)
+    found = saved(statuses(reads, least, filter_collisions, by, offset, anchor, most, ratio), "consensus")
     short = found.filter("seq IS NULL").select(*key).distinct()
     return found.filter("seq IS NOT NULL").join(short, key, "left_anti").select(*key, "mate", "count", "seq", "qual")
 
 
 def alignment_details(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5) -> DataFrame:
     """Reads behind each consensus, shifted and padded as they were counted: by, mate, umi, aligned, seq, cnt."""
-    groups = migs(reads, 2 * (anchor + offset + 1), by)
+    groups = saved(migs(reads, 2 * (anchor + offset + 1), by), "tags")
     groups = groups.join(passing(groups, least, by=by).select(*by, "umi"), [*by, "umi"], "left_semi")
-    placed = aligned(groups, offset, anchor, most, by)
+    placed = saved(aligned(groups, offset, anchor, most, by), "placed")
     span = placed.groupBy(*by, "mate", "umi").agg(F.max("x").alias("left"), F.max("y").alias("right"), F.sum("cnt").alias("n")).filter(F.col("n") >= least)
     padded = F.concat(F.repeat(F.lit("N"), F.col("left") - F.col("x")), F.col("seq"), F.repeat(F.lit("N"), F.col("right") - F.col("y")))
     return placed.join(span, [*by, "mate", "umi"]).select(*by, "mate", "umi", padded.alias("aligned"), "seq", "cnt")
@@ -190,7 +216,7 @@ def alignment_details(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("
 def assembly_log(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), filter_collisions: bool = False, ratio: float = 0.1) -> DataFrame:
     """The counters of an assembly, a row for each of the by-columns: tags and reads in consensus by mate and in all, reads and distinct reads
     dropped within tags, and tags and reads dropped for their size and as collided, by mate."""
-    found = statuses(reads, least, filter_collisions, by, ratio=ratio)
+    found = saved(statuses(reads, least, filter_collisions, by, ratio=ratio), "consensus")
     passed = ~F.col("small") & ~F.col("collided")
     tests = {"overseq": F.col("small") & ~F.col("collided") & (F.col("n") < least), "collision": F.col("collided")}
     count = lambda test, name: F.count_if(test).alias(name)
@@ -217,7 +243,7 @@ def assemble_batch(reads: DataFrame, estimates: DataFrame, metadata: DataFrame |
         rules = rules.withColumn("mask", F.lit(default_mask))
     rules = rules.withColumn("mask", F.split(F.coalesce("mask", F.lit(default_mask)), ":"))
     wanted = reads.join(rules, ["sample", "type"]).filter(F.element_at("mask", F.col("mate").cast("int")) == "1")
-    found = statuses(wanted, 1, False, ("sample", "type"))
+    found = saved(statuses(wanted, 1, False, ("sample", "type")), "consensus")
     tags = found.groupBy("sample", "type", "umi").agg(F.min("n").alias("fewest"), F.min("count").alias("left"), F.max("average").alias("n")).join(rules.drop("mask"), ["sample", "type"])
     hit = collided(tags.filter("filter_collided").select("sample", "type", "umi", "n"), 0.1).select("sample", "type", "umi")
     whole = tags.filter((F.col("fewest") >= F.col("least_n")) & (F.col("left") >= F.col("least_n"))).join(hit, ["sample", "type", "umi"], "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import codons_to_protein, hamming, one_off, wildcards
 from tagloom.operators.substrings import contained
+from tagloom.sources.tables import saved
 
 KEY = ("cdr3nt", "v", "j", "d")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
@@ -16,6 +17,7 @@ COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
 
 def with_share(table: DataFrame, of: str, name: str) -> DataFrame:
     """A column's share of its sum over all rows; the sum is one row, joined to the others."""
+    table = saved(table, "shares")
     total = table.agg(F.sum(of).alias("total_of_all"))
     return table.crossJoin(F.broadcast(total)).withColumn(name, F.col(of) / F.col("total_of_all")).drop("total_of_all")
 
@@ -70,6 +72,7 @@ def erroneous_singletons(table: DataFrame, ratio: int = 20) -> DataFrame:
 
 def filter_by_raw(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None) -> DataFrame:
     """Assembled clonotypes that gained reads against the raw ones, canonical, functional unless kept, with their new share."""
+    assembled, raw = saved(assembled, "assembled"), saved(raw, "raw")
     totals = assembled.agg(F.sum("total_reads").alias("t_asm")).crossJoin(raw.agg(F.sum("total_reads").alias("t_raw")))  # two sums
     asm = assembled.withColumn("aa", codons_to_protein(F.col("cdr3nt"))).filter(canonical("aa"))
     if singleton_ratio:
@@ -89,7 +92,8 @@ def filter_statistics(assembled: DataFrame, kept: DataFrame) -> DataFrame:
 def filter_log(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None) -> DataFrame:
     """One row: clonotypes, events and reads filtered and in all, and those of clonotypes that pass but for being non-functional (which the
     filtered ones include unless they are kept)."""
-    passed = filter_by_raw(assembled, raw, ratio, True, singleton_ratio).drop("share")
+    assembled = saved(assembled, "assembled")
+    passed = saved(filter_by_raw(assembled, raw, ratio, True, singleton_ratio).drop("share"), "passed")
     broken = ~functional("aa")
     sums = lambda t, name: t.agg(F.count("*").alias(f"clonotypes_{name}"), F.coalesce(F.sum("good_events"), F.lit(0)).alias(f"events_{name}"), F.coalesce(F.sum("good_reads"), F.lit(0)).alias(f"reads_{name}"))
     row = sums(assembled, "total").crossJoin(sums(passed if keep_nonfunctional else passed.filter(~broken), "kept")).crossJoin(sums(passed.filter(broken), "broken"))  # one row each
@@ -105,7 +109,7 @@ def graph_nodes(table: DataFrame) -> DataFrame:
 
 def hypermutations(table: DataFrame, most_ratio: float = 10_000) -> DataFrame:
     """Undirected edges a < b between CDR3s one place apart with comparable sizes: the codons and amino acids that differ."""
-    nodes = table.groupBy("cdr3nt").agg(F.sum("good_events").alias("size"))
+    nodes = saved(table.groupBy("cdr3nt").agg(F.sum("good_events").alias("size")), "nodes")
     edges = one_apart(nodes).filter((F.col("a") < F.col("b")) & (F.abs(F.log10(F.col("a_size") / F.col("b_size"))) < abs(math.log10(most_ratio))))
     place = F.aggregate(F.sequence(F.lit(1), F.length("a")), F.lit(0), lambda s, i: F.when(F.substring("a", i, F.lit(1)) != F.substring("b", i, F.lit(1)), i - 1).otherwise(s))
     at = F.col("pos") - F.col("pos") % 3 + 1
@@ -130,7 +134,7 @@ def paired_samples(assembled: DataFrame, raw: DataFrame) -> DataFrame:
 
 def filter_batch(tables: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False) -> DataFrame:
     """The filter over all samples that have a raw and an assembled table. tables: sample, side (raw or assembled), the key and counters."""
-    key = ["sample", *KEY]
+    key, tables = ["sample", *KEY], saved(tables, "clonotypes")
     asm, raw = tables.filter("side = 'assembled'").drop("side"), tables.filter("side = 'raw'")
     total = raw.groupBy("sample").agg(F.sum("total_reads").alias("t_raw")).join(asm.groupBy("sample").agg(F.sum("total_reads").alias("t_asm")), "sample")
     known = raw.groupBy(*key).agg(F.sum("good_reads").alias("raw_reads"))
@@ -153,6 +157,7 @@ def final_counts(log: DataFrame) -> DataFrame:
 
 def merge_noncanonical(table: DataFrame) -> DataFrame:
     """Counters of each canonical CDR3, with those of the others that contain it; of several, the longest, then the first, takes them."""
+    table = saved(table, "clonotypes")
     canon, rest = table.filter(canonical("aa")), table.filter(~canonical("aa"))
     pairs = contained(rest, "cdr3nt", canon.select(F.col("cdr3nt").alias("into")), "into")
     to = pairs.groupBy("cdr3nt").agg(F.min_by("into", F.struct(-F.length("into"), "into")).alias("into"))

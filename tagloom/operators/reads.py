@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.sequence import phreds
+from tagloom.operators import profiles
+from tagloom.sources.tables import saved
 
 
 def frequent_reads(reads: DataFrame, least: int = 10) -> DataFrame:
@@ -16,15 +22,34 @@ def frequent_reads(reads: DataFrame, least: int = 10) -> DataFrame:
 
 
 def mean_quality(reads: DataFrame) -> DataFrame:
-    """Distinct sequences with their number and mean quality at each place, cut to whole numbers and held to 2..40."""
-    places = reads.select("seq", F.posexplode(phreds(F.col("qual"))).alias("pos", "q")).groupBy("seq", "pos").agg(F.floor(F.avg("q")).alias("q"), F.count("*").alias("n"))
-    held = F.least(F.greatest(F.col("q"), F.lit(2)), F.lit(40))
-    return places.groupBy("seq").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", held.alias("q")))).alias("s")).select("seq", "n", F.array_join(F.transform("s", lambda x: x["q"].cast("string")), ",").alias("quals"))
+    """Distinct sequences with their number and mean quality at each place, cut to whole numbers and held to 2..40. Sequences without a quality are left out."""
+
+    def amounts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, place, symbol = profiles.letters(batch.column("qual"))
+        return np.tile(row, 2), np.concatenate([2 * place, 2 * place + 1]), np.concatenate([symbol.astype(np.int64) - 33, np.ones(len(row), np.int64)])
+
+    def finished(sums: list[np.ndarray]) -> list[pa.Array]:
+        means = [np.clip(v[::2] // v[1::2], 2, 40) for v in sums]
+        return [pa.array([int(v[1::2].max()) for v in sums], pa.int64()), pa.array([",".join(map(str, m.tolist())) for m in means], pa.string())]
+
+    return profiles.summed(reads.filter(F.length("qual") > 0).select("seq", "qual"), ["seq"], amounts, finished, "n long, quals string")
 
 
 def quality_matrix(reads: DataFrame) -> DataFrame:
-    """Reads by place and quality."""
-    return reads.select(F.posexplode(phreds(F.col("qual"))).alias("pos", "q")).groupBy("pos", "q").agg(F.count("*").alias("n"))
+    """Reads by place and quality: a task counts its own reads in a matrix, and sends that."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((0, 256), np.int64)
+        for batch in batches:
+            _, place, symbol = profiles.letters(batch.column(0))
+            if len(place):
+                here = np.bincount(place * 256 + symbol, minlength=256 * max(int(place.max()) + 1, len(total))).reshape(-1, 256)
+                here[: len(total)] += total
+                total = here
+        place, symbol = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array((symbol - 33).astype(np.int32)), pa.array(total[place, symbol])], ["pos", "q", "n"])
+
+    return reads.select("qual").mapInArrow(counted, "pos int, q int, n long").groupBy("pos", "q").agg(F.sum("n").alias("n"))
 
 
 def good_windows(reads: DataFrame, size: int = 5, least: int = 15) -> DataFrame:
@@ -54,7 +79,7 @@ def redundant_cdr3s(reads: DataFrame) -> DataFrame:
     """CDR3s of each tag, those one place from a more frequent one of the same tag added to it. reads: umi, cdr3."""
     from tagloom.operators.clonotypes import one_apart
 
-    counts = reads.groupBy("umi", "cdr3").agg(F.count("*").alias("size"))
+    counts = saved(reads.groupBy("umi", "cdr3").agg(F.count("*").alias("size")), "counts")
     pairs = one_apart(counts.withColumnRenamed("cdr3", "cdr3nt"), ("umi",)).filter("a_size < b_size")
     into = pairs.groupBy("umi", F.col("a").alias("cdr3")).agg(F.max_by("b", F.struct("b_size", "b")).alias("into"))
     moved = counts.join(into, ["umi", "cdr3"], "left").withColumn("cdr3", F.coalesce("into", "cdr3"))

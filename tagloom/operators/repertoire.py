@@ -12,6 +12,7 @@ from tagloom.functions.sequence import translate_both_ends
 from tagloom.operators.alignment import gapped_hits
 from tagloom.operators.clonotypes import canonical_or_broken
 from tagloom.operators.mapping import best_hits, cdr3s, d_segments
+from tagloom.sources.tables import saved
 
 SIGNATURE = ("cdr3nt", "cdr3aa", "v", "j", "d", "v_end", "d_start", "d_end", "j_start")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
@@ -77,7 +78,7 @@ def mapping_totals(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, least_quality: int = 25, k: int = 7, chimeric: bool = False, gapped: bool = True) -> DataFrame:
     """The whole way: segments, CDR3s, reads appended, clonotype table."""
-    appended = append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric, gapped), least_quality)
+    appended = saved(append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric, gapped), least_quality), "appended")
     return clonotype_table(count_clonotypes(appended), mapping_totals(appended))
 
 

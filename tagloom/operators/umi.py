@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.sequence import LETTERS, coverage_bin, wildcards
+from tagloom.sources.tables import saved
 
 
 def header_tag(header: Column, tag: str = "UMI") -> Column:
@@ -34,6 +35,7 @@ def collided(counts: DataFrame, ratio: float, by: tuple[str, ...] = ("sample", "
     """Tags of which a one-base neighbour has more than 1/ratio times their reads: an equi-join on the tag with one place masked.
 
     Each mask's two largest tags are kept, so that the largest itself is held against the second where the ratio is above 1."""
+    counts = saved(counts, "counts")
     small = counts.select(*by, "umi", "n", F.explode(wildcards(F.col("umi"))).alias("mask"))
     large = small.select(*by, "mask", F.col("umi").alias("other"), F.col("n").alias("m"))
     most = large.groupBy(*by, "mask").agg(F.slice(F.sort_array(F.collect_list(F.struct("m", "other")), False), 1, 2).alias("top"), F.count("*").alias("k")).filter("k > 1")  # a mask has at most four tags
@@ -54,6 +56,7 @@ def dense_bins(hist: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> Dat
 
 def thresholds(hist: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
     """Over-sequencing threshold: from the peak among bins 3..10 of the smoothed reads, if enough reads are in bins 3 and above; else 1."""
+    hist = saved(hist, "histogram")
     near = Window.partitionBy(*by).orderBy("bin").rowsBetween(-1, 1)
     smooth = dense_bins(hist, by).withColumn("avg", F.avg("reads").over(near))
     low, high = F.sum(F.when(F.col("bin") < 3, F.col("reads"))), F.sum(F.when(F.col("bin") >= 3, F.col("reads")))
@@ -63,6 +66,7 @@ def thresholds(hist: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> Dat
 
 def estimates(counts: DataFrame, ratio: float = 1.0, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
     """Over-sequencing and collision thresholds of each group."""
+    counts = saved(counts, "counts")
     over = thresholds(histogram(counts, by), by)
     coll = thresholds(histogram(collided(counts, ratio, by), by), by).select(*by, F.col("overseq_threshold").alias("collision_threshold"))
     size = counts.groupBy(*by).agg(F.max(F.length("umi")).alias("umi_len"))
@@ -77,6 +81,7 @@ def collision_filter_advised(found: DataFrame) -> DataFrame:
 
 def position_weights(counts: DataFrame, ratio: float = 1.0, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
     """Share of each base at each place, over tags that aren't collided, by tags and by reads."""
+    counts = saved(counts, "counts")
     good = counts.join(collided(counts, ratio, by).select(*by, "umi"), [*by, "umi"], "left_anti")
     places = good.select(*by, "n", F.posexplode(F.split("umi", "")).alias("pos", "nt")).filter("nt <> ''")
     sums = places.groupBy(*by, "pos", "nt").agg(F.count("*").alias("units"), F.sum("n").alias("reads"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import AMINO_ACIDS, file_prefix, percent, reverse_complement, seed_masked, translate_both_ends
 from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
+from tagloom.sources.tables import saved
 
 _BASE = "substr('ATGC', cast(({0}) % 4 as int) + 1, 1)"
 _ERROR = "case when (l_orderkey*7 + l_linenumber*3) % 97 = {i} then 1 else 0 end"
@@ -320,7 +321,7 @@ def _mapped_reads(spark, sf_dir):
     named = named.withColumns({"v": F.concat(F.lit("V"), at(1)), "j": F.concat(F.lit("J"), at(48)), "d": F.concat(F.lit("D"), at(24)), "rc": at(2) == "A", "from": 6 + (at(3) == "G").cast("int"), "n": 27 + 2 * (at(4) == "C").cast("int")})
     strand = F.when(F.col("rc"), reverse_complement(F.col("read"))).otherwise(F.col("read"))
     found = named.withColumns({"cdr3nt": F.substring(strand, F.col("from") + 1, F.col("n")), "v_end": F.lit(3), "d_start": F.lit(8), "d_end": F.lit(12), "j_start": F.lit(20)}).drop("n")
-    return repertoire.append_reads(table, found, 25)
+    return saved(repertoire.append_reads(table, found, 25), "appended")
 
 
 _APPENDED = f"""{_cte("orderkey", "line", "umi6", "seq", "phred", "inc")}, q AS (SELECT '@' || orderkey || '.' || line header, umi6 umi, seq, inc, repeat(chr(33 + phred), 24) || repeat(chr(35 + (phred + 5 * line::INT) % 39), 24) qual FROM r),
@@ -435,7 +436,7 @@ def report_histogram(spark, sf_dir):
 
 @query(f"WITH {_COLLIDED.format(ratio=1)}" + _THRESHOLD.format(x="o", t="n") + " SELECT h.*, t.threshold FROM (SELECT sample, type, least(length(bin(n)) - 1, 16) bin, sum(n)::BIGINT reads, count(*) units FROM n GROUP BY ALL) h JOIN (SELECT sample, max(thr) threshold FROM ot GROUP BY ALL) t USING (sample)")
 def report_thresholds(spark, sf_dir):
-    hist = umi.histogram(_counts(spark, sf_dir))
+    hist = saved(umi.histogram(_counts(spark, sf_dir)), "histogram")
     return reads.over_threshold(hist, umi.thresholds(hist))
 
 

@@ -72,8 +72,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(table: DataFrame, name: str) -> DataFrame:
-    """A table that several steps read, written to the shared folder once."""
+def saved(table: DataFrame, name: str) -> DataFrame:
+    """A table that several steps read, written to the shared folder once; one that was is returned as it is."""
+    if getattr(table, "is_saved", False):
+        return table
     path = shared_folder(table.sparkSession, name)
     table.write.parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    out = table.sparkSession.read.schema(table.schema).parquet(path)
+    out.is_saved = True
+    return out
