@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tagloom.sources.tables import saved
 
 KEY = ("cdr3nt", "v", "j", "d")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
+MOST_PAIRS = 1 << 20
 
 
 def with_share(table: DataFrame, of: str, name: str) -> DataFrame:
@@ -60,27 +62,58 @@ def one_apart(table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return a.join(b, [*by, "mask"]).filter("a <> b").drop("mask").distinct()
 
 
-def erroneous_singletons(table: DataFrame, ratio: int = 20) -> DataFrame:
-    """Rows with one good event that are an error of a larger one: one place apart and `ratio` times the reads, or two and its square."""
-    masks = lambda t: t.withColumn("m", F.explode(one_off(F.col("cdr3nt"))))  # noqa: E731  strings two places apart are both one place from a third
-    lone = masks(table.filter("good_events = 1").select(*KEY, "good_reads"))
-    large = masks(table.filter(F.col("good_reads") > ratio).select(F.col("cdr3nt"), "v", "j", "d", "good_reads")).select("m", "v", "j", "d", F.col("cdr3nt").alias("parent"), F.col("good_reads").alias("parent_reads"))
-    near = lone.join(large, ["m", "v", "j", "d"]).filter(F.col("parent_reads") > ratio * F.col("good_reads")).withColumn("mm", hamming(F.col("cdr3nt"), F.col("parent")))
-    bad = near.filter(((F.col("mm") == 1) | (F.col("parent_reads") > ratio * ratio * F.col("good_reads"))) & (F.col("mm") > 0))
-    return table.join(bad.select(*KEY).distinct(), list(KEY), "left_semi")
-
-
-def filter_by_raw(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None) -> DataFrame:
-    """Assembled clonotypes that gained reads against the raw ones, canonical, functional unless kept, with their new share."""
+def two_apart(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, a, b, mm) of all strings a of the left and b of the right table (by, cdr3nt) of one length with the same by-values that differ in at most two places; both distinct.
+
+    Strings are cut in five; two that differ in at most two places agree in three of the parts, so they meet under one of ten hashes of three parts. Where a hash is too common
+    (its pairs would be more than MOST_PAIRS), the left strings that have it are looked up by all their neighbours at one place instead, of which both sides share one."""
+    def keyed(t: DataFrame, name: str) -> DataFrame:
+        n = F.length("cdr3nt")
+        part = [F.substring("cdr3nt", F.floor(n * i / 5).cast("int") + 1, F.floor(n * (i + 1) / 5).cast("int") - F.floor(n * i / 5).cast("int")) for i in range(5)]
+        keys = F.array(*(F.xxhash64(F.lit(k), n, *(part[i] for i in three), *by) for k, three in enumerate(combinations(range(5), 3))))
+        return t.select(*by, "cdr3nt").distinct().withColumn("key", F.explode(keys)).withColumnRenamed("cdr3nt", name)
+
+    sides = {"a": saved(keyed(left, "a"), "left-keys"), "b": saved(keyed(right, "b"), "right-keys")}
+    counts = [sides[s].groupBy("key").agg(F.count("*").alias(f"n{s}")) for s in "ab"]
+    common = saved(counts[0].join(counts[1], "key").filter(F.col("na") * F.col("nb") > MOST_PAIRS).select("key"), "common-keys")
+    near = lambda pairs: pairs.filter(F.length("a") == F.length("b")).withColumn("mm", hamming(F.col("a"), F.col("b"))).filter("mm <= 2").distinct()
+    on = ["key", *by]
+    if common.limit(1).count() == 0:
+        return near(sides["a"].join(sides["b"], on).drop("key"))
+    usual = sides["a"].join(common, "key", "left_anti").join(sides["b"], on).drop("key")
+    masked = lambda t, name: t.select(*by, name).distinct().withColumn("m", F.explode(one_off(F.col(name))))
+    rest = masked(sides["a"].join(common, "key", "left_semi"), "a").join(masked(sides["b"].join(common, "key", "left_semi"), "b"), ["m", *by]).drop("m")
+    return near(usual.unionByName(rest))
+
+
+def erroneous_singletons(table: DataFrame, ratio: int = 20, by: tuple[str, ...] = ("v", "j", "d")) -> DataFrame:
+    """Rows with one good event that are an error of a larger one with the same by-values: one place apart and `ratio` times the reads, or two and its square."""
+    table = saved(table, "clonotypes")
+    lone, large = table.filter("good_events = 1"), table.filter(F.col("good_reads") > ratio)
+    pairs = two_apart(lone, large, by).filter("mm > 0")
+    sized = pairs.join(lone.select(*by, F.col("cdr3nt").alias("a"), "good_reads"), [*by, "a"]).join(large.select(*by, F.col("cdr3nt").alias("b"), F.col("good_reads").alias("parent_reads")), [*by, "b"])
+    bad = sized.filter((F.col("parent_reads") > ratio * F.col("good_reads")) & ((F.col("mm") == 1) | (F.col("parent_reads") > ratio * ratio * F.col("good_reads"))))
+    return table.join(bad.select(F.col("a").alias("cdr3nt"), *by).distinct(), ["cdr3nt", *by], "left_semi").filter("good_events = 1")
+
+
+def filter_by_raw(assembled: DataFrame, raw: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None, collapsed: bool = False, ordered: bool = False) -> DataFrame:
+    """Assembled clonotypes that gained reads against the raw ones, canonical, functional unless kept, with their new share. collapsed: both tables by CDR3 first; ordered: most good events first."""
+    if collapsed:
+        assembled, raw = collapse(assembled), collapse(raw)
+    key = ["cdr3nt"] if collapsed else list(KEY)
     assembled, raw = saved(assembled, "assembled"), saved(raw, "raw")
     totals = assembled.agg(F.sum("total_reads").alias("t_asm")).crossJoin(raw.agg(F.sum("total_reads").alias("t_raw")))  # two sums
     asm = assembled.withColumn("aa", codons_to_protein(F.col("cdr3nt"))).filter(canonical("aa"))
     if singleton_ratio:
-        asm = asm.join(erroneous_singletons(assembled, singleton_ratio).select(*KEY), list(KEY), "left_anti")
-    known = raw.groupBy(*KEY).agg(F.sum("good_reads").alias("raw_reads"))
-    kept = asm.join(known, list(KEY), "left").crossJoin(F.broadcast(totals)).filter(F.col("raw_reads").isNull() | (F.col("good_reads") * F.col("t_raw") > ratio * F.col("raw_reads") * F.col("t_asm")))
+        asm = asm.join(erroneous_singletons(assembled, singleton_ratio, tuple(key[1:])).select(*key), key, "left_anti")
+    known = raw.groupBy(*key).agg(F.sum("good_reads").alias("raw_reads"))
+    kept = asm.join(known, key, "left").crossJoin(F.broadcast(totals)).filter(F.col("raw_reads").isNull() | (F.col("good_reads") * F.col("t_raw") > ratio * F.col("raw_reads") * F.col("t_asm")))
     kept = kept if keep_nonfunctional else kept.filter(functional("aa"))
-    return with_share(kept.select(*KEY, "aa", *COUNTERS), "good_events", "share")
+    return _ordered(with_share(kept.select(*KEY, "aa", *COUNTERS), "good_events", "share"), ordered)
+
+
+def _ordered(table: DataFrame, ordered: bool) -> DataFrame:
+    return by_good_events(table) if ordered else table
 
 
 def filter_statistics(assembled: DataFrame, kept: DataFrame) -> DataFrame:
@@ -120,9 +153,9 @@ def hypermutations(table: DataFrame, most_ratio: float = 10_000) -> DataFrame:
 
 
 def split_spikes(table: DataFrame, spikes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows within two places of a spike-in, and the rest: both are spread by one place."""
-    masks = lambda t: t.select("cdr3nt", F.explode(one_off(F.col("cdr3nt"))).alias("m"))
-    near = masks(table).join(masks(spikes).select("m").distinct(), "m", "left_semi").select("cdr3nt").distinct()
+    """Rows within two places of a spike-in, and the rest."""
+    table = saved(table, "clonotypes")
+    near = two_apart(table, spikes).select(F.col("a").alias("cdr3nt")).distinct()
     return table.join(near, "cdr3nt", "left_semi"), table.join(near, "cdr3nt", "left_anti")
 
 
@@ -132,17 +165,24 @@ def paired_samples(assembled: DataFrame, raw: DataFrame) -> DataFrame:
     return a.join(r, "sample", "full").select("sample", F.when(F.col("a") & F.col("r"), "both").when(F.col("a"), "assembled").otherwise("raw").alias("side"))
 
 
-def filter_batch(tables: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False) -> DataFrame:
-    """The filter over all samples that have a raw and an assembled table. tables: sample, side (raw or assembled), the key and counters."""
-    key, tables = ["sample", *KEY], saved(tables, "clonotypes")
+def filter_batch(tables: DataFrame, ratio: float = 1.0, keep_nonfunctional: bool = False, singleton_ratio: int | None = None, collapsed: bool = False) -> DataFrame:
+    """The filter over all samples that have a raw and an assembled table, singletons by sample. tables: sample, side (raw or assembled), the key and counters."""
+    if collapsed:
+        best = F.max_by(F.struct("v", "j", "d"), F.struct("good_reads", "v", "j", "d"))
+        one = tables.groupBy("sample", "side", "cdr3nt").agg(best.alias("best"), *(F.sum(c).alias(c) for c in COUNTERS))
+        tables = one.select("sample", "side", "cdr3nt", "best.*", *COUNTERS)
+    key, tables = ["sample", "cdr3nt"] if collapsed else ["sample", *KEY], saved(tables, "clonotypes")
     asm, raw = tables.filter("side = 'assembled'").drop("side"), tables.filter("side = 'raw'")
     total = raw.groupBy("sample").agg(F.sum("total_reads").alias("t_raw")).join(asm.groupBy("sample").agg(F.sum("total_reads").alias("t_asm")), "sample")
     known = raw.groupBy(*key).agg(F.sum("good_reads").alias("raw_reads"))
     named = asm.withColumn("aa", codons_to_protein(F.col("cdr3nt"))).filter(canonical("aa"))
+    if singleton_ratio:
+        bad = erroneous_singletons(asm, singleton_ratio, tuple(c for c in key if c != "cdr3nt"))
+        named = named.join(bad.select(*key), key, "left_anti")
     named = named if keep_nonfunctional else named.filter(functional("aa"))
     kept = named.join(total, "sample").join(known, key, "left").filter(F.col("raw_reads").isNull() | (F.col("good_reads") * F.col("t_raw") > ratio * F.col("raw_reads") * F.col("t_asm")))
     whole = kept.groupBy("sample").agg(F.sum("good_events").alias("sample_events"))
-    return kept.join(whole, "sample").select(*key, "aa", *COUNTERS, (F.col("good_events") / F.col("sample_events")).alias("share"))
+    return kept.join(whole, "sample").select("sample", *KEY, "aa", *COUNTERS, (F.col("good_events") / F.col("sample_events")).alias("share"))
 
 
 def final_counts(log: DataFrame) -> DataFrame:
