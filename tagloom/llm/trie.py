@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.running import running
 from tagloom.llm.scratch import Scratch, crc_of
 
-SHARD, QUEUE, CHUNK, IDS = 4096, 1 << 20, 1 << 16, 8192
+SHARD, QUEUE, CHUNK, IDS = 256, 1 << 20, 1 << 16, 8192
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
