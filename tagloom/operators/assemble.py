@@ -195,9 +195,13 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
     return sizes.drop("rows").join(tags.drop("least", "rows"), key).join(found, [*key, "mate"], "left")
 
 
-def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1) -> DataFrame:
-    """Consensus of every tag that passes; of paired reads only where both mates have one."""
+def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1, mask: str = "1:1", only_first: bool = False) -> DataFrame:
+    """Consensus of every tag that passes; of paired reads only where both mates have one.
+
+    mask: which mates are assembled; only_first: only reads that were first mates before they were oriented (orig_mate)."""
     key = [*by, "umi"]
+    reads = reads.filter(F.col("mate").isin([m for m, on in enumerate(mask.split(":"), 1) if on == "1"])) if mask != "1:1" else reads
+    reads = reads.filter("orig_mate = 1") if only_first else reads
     found = saved(statuses(reads, least, filter_collisions, by, offset, anchor, most, ratio), "consensus")
     short = found.filter("seq IS NULL").select(*key).distinct()
     return found.filter("seq IS NOT NULL").join(short, key, "left_anti").select(*key, "mate", "count", "seq", "qual")
@@ -213,6 +217,13 @@ def alignment_details(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("
     return placed.join(span, [*by, "mate", "umi"]).select(*by, "mate", "umi", padded.alias("aligned"), "seq", "cnt")
 
 
+def save_details(details: DataFrame, table: str, by: tuple[str, ...] = ("sample",), buckets: int = 200) -> DataFrame:
+    """Alignment details as a table of the catalog, bucketed and sorted by tag and mate, so that joins with tags don't move it."""
+    key = [*by, "mate", "umi"]
+    details.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)  # a task a bucket
+    return details.sparkSession.table(table)
+
+
 def assembly_log(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), filter_collisions: bool = False, ratio: float = 0.1) -> DataFrame:
     """The counters of an assembly, a row for each of the by-columns: tags and reads in consensus by mate and in all, reads and distinct reads
     dropped within tags, and tags and reads dropped for their size and as collided, by mate."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import reverse_complement
+from tagloom.operators.alignment import HIT
 from tagloom.operators.substrings import longest_stretches
 
 
@@ -36,6 +37,28 @@ def best_hits(reads: DataFrame, alleles: DataFrame, k: int = 11, least: int = 2)
     return hits.filter(F.col("score") >= least).groupBy("read", "kind").agg(F.min_by(F.struct(*cols), F.struct(-F.col("score"), "gene", "alleles", "rc", "shift")).alias("hit")).select("read", "kind", "hit.*")
 
 
+def external_hits(hits: DataFrame, queries: DataFrame, alleles: DataFrame, least_identical: int = 7) -> DataFrame:
+    """Hits of an external aligner as `gapped_hits` would give them: of each query and kind of segment the one with most identities, ties to the first names.
+
+    hits: columns of `sources.tables.read_hits`; queries: query, seq; alleles: gene, kind, alleles, segments, ref_point, seq (hits name `alleles`). Of hits on the other strand, places are turned to it."""
+    named = hits.filter(F.col("n_ident") >= least_identical).join(queries, "query").join(alleles.select("gene", "kind", F.col("alleles").alias("allele"), "segments", "ref_point"), "allele")
+    rc = F.col("a_start") > F.col("a_end")
+    n = F.length("seq")
+    turned = named.select(
+        F.col("seq").alias("read"), "kind", rc.alias("rc"), "gene", F.col("allele").alias("alleles"), "segments", "ref_point", "n_ident",
+        F.when(rc, n - F.col("q_end")).otherwise(F.col("q_start") - 1).alias("q_from"), F.when(rc, n - F.col("q_start")).otherwise(F.col("q_end") - 1).alias("q_to"), (F.least("a_start", "a_end") - 1).alias("a_from"), (F.greatest("a_start", "a_end") - 1).alias("a_to"),
+        F.when(rc, F.reverse("q_seq")).otherwise(F.col("q_seq")).alias("q"), F.when(rc, F.reverse("a_seq")).otherwise(F.col("a_seq")).alias("a"),
+    )
+    step = F.struct(F.lit(0).alias("q"), F.lit(0).alias("a"), F.lit(-1).alias("at"))
+    columns = F.transform(F.sequence(F.lit(1), F.length("q")), lambda i: F.struct((F.substring("q", i, F.lit(1)) != "-").cast("int").alias("q"), (F.substring("a", i, F.lit(1)) != "-").cast("int").alias("a")))
+    ahead = F.col("ref_point") - F.col("a_from")  # bases of the allele before the reference point
+    walked = F.aggregate(columns, step, lambda s, c: F.struct((s["q"] + c["q"]).alias("q"), (s["a"] + c["a"]).alias("a"), F.when((s["at"] < 0) & (c["a"] == 1) & (s["a"] == ahead), s["q"]).otherwise(s["at"]).alias("at")))
+    place = F.when(ahead == -1, F.col("q_from") - 1).when(F.col("ref_point") == F.col("a_to") + 1, F.col("q_to") + 1).when(walked["at"] >= 0, F.col("q_from") + walked["at"]).otherwise(-1)
+    made = turned.withColumn("q_ref", place).withColumns({"score": F.col("n_ident"), "shift": F.col("q_from") - F.col("a_from")})
+    cols = [x.split()[0] for x in HIT.split(", ")]
+    return made.groupBy("read", "kind").agg(F.min_by(F.struct(*cols), F.struct(-F.col("n_ident"), "gene", "alleles", "rc", "shift")).alias("hit")).select("read", "kind", "hit.*")
+
+
 def cdr3s(hits: DataFrame, chimeric: bool = False, least: int = 7, most: int = 300) -> DataFrame:
     """CDR3 of each read with a V and a J hit on one strand and (unless chimeric) of one gene, both reference points in the hit, give or take one.
 

@@ -76,10 +76,11 @@ def mapping_totals(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return appended.groupBy(*by).agg(*sums) if by else appended.agg(*sums)
 
 
-def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, least_quality: int = 25, k: int = 7, chimeric: bool = False, gapped: bool = True) -> DataFrame:
-    """The whole way: segments, CDR3s, reads appended, clonotype table."""
-    appended = saved(append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric, gapped), least_quality), "appended")
-    return clonotype_table(count_clonotypes(appended), mapping_totals(appended))
+def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, least_quality: int = 25, k: int = 7, chimeric: bool = False, gapped: bool = True, file_order: str | None = None, ordered: bool = True) -> DataFrame:
+    """The whole way: segments, CDR3s, reads appended, clonotype table. file_order: a column with the number of a read's file, of files of one sample, in which a tag's CDR3 counts once."""
+    appended = append_reads(reads, map_reads(reads, alleles, d_alleles, k, chimeric, gapped), least_quality)
+    appended = saved(once_a_tag(appended, F.col(file_order)) if file_order else appended, "appended")
+    return clonotype_table(count_clonotypes(appended), mapping_totals(appended), ordered)
 
 
 def clonotypes_batch(reads: DataFrame, samples: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 7, raw_quality: int = 25, assembled_quality: int = 30) -> tuple[DataFrame, DataFrame]:

@@ -48,6 +48,11 @@ def histogram(counts: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> Da
     return counts.groupBy(*by, coverage_bin(F.col("n")).alias("bin")).agg(F.sum("n").alias("reads"), F.count("*").alias("units"))
 
 
+def wide(hist: DataFrame, value: str = "reads", by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
+    """A histogram with a column for each of the 17 bins, named by its smallest coverage."""
+    return hist.groupBy(*by).agg(*(F.coalesce(F.sum(F.when(F.col("bin") == b, F.col(value))), F.lit(0)).alias(f"from_{1 << b}") for b in range(17)))
+
+
 def dense_bins(hist: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
     """All 17 bins of each group, 0 where there is nothing."""
     grid = hist.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(16))))
@@ -79,14 +84,15 @@ def collision_filter_advised(found: DataFrame) -> DataFrame:
     return found.withColumn("filter_collisions", advised)
 
 
-def position_weights(counts: DataFrame, ratio: float = 1.0, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:
-    """Share of each base at each place, over tags that aren't collided, by tags and by reads."""
+def position_weights(counts: DataFrame, ratio: float = 1.0, by: tuple[str, ...] = ("sample", "type"), together: bool = False) -> DataFrame:
+    """Share of each base at each place, over tags that aren't collided, by tags and by reads; together: over all groups."""
     counts = saved(counts, "counts")
     good = counts.join(collided(counts, ratio, by).select(*by, "umi"), [*by, "umi"], "left_anti")
-    places = good.select(*by, "n", F.posexplode(F.split("umi", "")).alias("pos", "nt")).filter("nt <> ''")
-    sums = places.groupBy(*by, "pos", "nt").agg(F.count("*").alias("units"), F.sum("n").alias("reads"))
-    whole = Window.partitionBy(*by, "pos")
-    return sums.select(*by, "pos", "nt", (F.col("units") / F.sum("units").over(whole)).alias("unit_share"), (F.col("reads") / F.sum("reads").over(whole)).alias("read_share"))
+    of = () if together else by
+    places = good.select(*of, "n", F.posexplode(F.split("umi", "")).alias("pos", "nt")).filter("nt <> ''")
+    sums = places.groupBy(*of, "pos", "nt").agg(F.count("*").alias("units"), F.sum("n").alias("reads"))
+    whole = Window.partitionBy(*of, "pos")
+    return sums.select(*of, "pos", "nt", (F.col("units") / F.sum("units").over(whole)).alias("unit_share"), (F.col("reads") / F.sum("reads").over(whole)).alias("read_share"))
 
 
 def information(pwm: DataFrame, by: tuple[str, ...] = ("sample", "type")) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import IUPAC, reverse_complement
-from tagloom.operators import checkout, clonotypes, mapping, repertoire
-from tagloom.plans.queries import _SEQ, _UMI8, ORACLES, QUERIES, query
+from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
+from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _mapped_reads, _mig_reads, _reads, query
 from tagloom.sources import fastq
 from tagloom.sources.tables import shared_folder
+from tagloom.streaming import tags
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -161,3 +162,66 @@ def merged_noncanonical(spark, sf_dir):
     rows = spark.sql(_LOOSE.format(div="div").replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     table = rows.groupBy("cdr3nt", "aa").agg(F.count("*").alias("good_events"), F.count("*").alias("total_events"), F.sum("good_reads").alias("good_reads"), F.sum("good_reads").alias("total_reads"))
     return clonotypes.merge_noncanonical(table)
+
+
+@query(f"WITH {_N} SELECT sample, type, least(length(bin(n)) - 1, 16) bin, sum(n)::BIGINT reads, count(*) units FROM n GROUP BY ALL")
+def streamed_histogram(spark, sf_dir):
+    """The coverage histogram of reads that come in file by file, counted as a stream."""
+    folder, target = shared_folder(spark, "incoming"), shared_folder(spark, "tag-counts")
+    header = F.concat(F.lit("@read R1 UMI:"), "umi8", F.lit(":"), F.repeat(F.char(F.col("phred") + 33), F.lit(8)))
+    _reads(spark, sf_dir, "sample", "type", "umi8", "phred").select("sample", "type", header.alias("header")).repartition(6).write.parquet(folder)
+    tags.count_tags(spark, folder, "sample string, type string, header string", target, files_at_once=2).awaitTermination()
+    return umi.histogram(tags.counts_so_far(spark, target))
+
+
+@query(f"""{_ASSEMBLY}, k AS (SELECT sample, mate, umi FROM cons SEMI JOIN wh USING (sample, umi) WHERE contains(seq, 'ATGCAT')) SELECT sample, mate, count(DISTINCT umi) umis, sum(cnt)::BIGINT reads FROM pl SEMI JOIN k USING (sample, mate, umi) GROUP BY ALL""")
+def back_tracked_details(spark, sf_dir):
+    """Reads in the consensuses that hold a query, from the table of alignment details."""
+    r = _mig_reads(spark, sf_dir)
+    table = "details_" + shared_folder(spark, "x").rsplit("-", 1)[1]
+    details = assemble.save_details(assemble.alignment_details(r), table, buckets=16)
+    found = reads.back_track(details, assemble.assemble(r), "ATGCAT")
+    return found.groupBy("sample", "mate").agg(F.count_distinct("umi").alias("umis"), F.sum("cnt").alias("reads"))
+
+
+@query(f"""WITH {_cte("sample", "type", "cdr3nt", "v", "j", "d", "phred", "inc")}, s AS (SELECT type AS sample, CASE WHEN sample = 'N' THEN 'raw' ELSE 'assembled' END side, cdr3nt, v, j, d, count(*) FILTER (phred >= 25) good_events, count(*) total_events, coalesce(sum(inc) FILTER (phred >= 25), 0)::BIGINT good_reads, sum(inc)::BIGINT total_reads FROM r GROUP BY ALL HAVING count(*) FILTER (phred >= 25) > 0),
+n AS (SELECT sample, side, cdr3nt, v, j, d FROM s QUALIFY row_number() OVER (PARTITION BY sample, side, cdr3nt ORDER BY good_reads DESC, v DESC, j DESC, d DESC) = 1),
+c AS (SELECT sample, side, cdr3nt, sum(good_events)::BIGINT good_events, sum(total_events)::BIGINT total_events, sum(good_reads)::BIGINT good_reads, sum(total_reads)::BIGINT total_reads FROM s GROUP BY ALL),
+a AS (SELECT * FROM c WHERE side = 'assembled'), w AS (SELECT * FROM c WHERE side = 'raw'), {_PROTEIN},
+bad AS (SELECT x.sample, x.cdr3nt FROM a x WHERE good_events = 1 AND EXISTS (SELECT 1 FROM a y WHERE y.sample = x.sample AND ((hamming(x.cdr3nt, y.cdr3nt) = 1 AND y.good_reads > 2 * x.good_reads) OR (hamming(x.cdr3nt, y.cdr3nt) = 2 AND y.good_reads > 4 * x.good_reads)))),
+k AS (SELECT a.sample, a.cdr3nt, v, j, d, aa, a.good_events, a.total_events, a.good_reads, a.total_reads FROM a ANTI JOIN bad USING (sample, cdr3nt) JOIN n USING (sample, side, cdr3nt) JOIN p USING (cdr3nt) JOIN (SELECT sample, sum(total_reads) ta FROM a GROUP BY 1) USING (sample) JOIN (SELECT sample, sum(total_reads) tw FROM w GROUP BY 1) USING (sample) LEFT JOIN w USING (sample, cdr3nt)
+WHERE regexp_full_match(aa, 'C.+[FW]') AND regexp_full_match(aa, '[a-zA-Z]+') AND (w.good_reads IS NULL OR a.good_reads * tw > w.good_reads * ta)) SELECT *, round(good_events / sum(good_events) OVER (PARTITION BY sample), 9) share FROM k""")
+def filter_batch_collapsed(spark, sf_dir):
+    """The filter of all samples by CDR3, without singletons near larger ones."""
+    r = _reads(spark, sf_dir, "sample", "type", "cdr3nt", "v", "j", "d", "phred", "inc").withColumn("side", F.when(F.col("sample") == "N", "raw").otherwise("assembled")).withColumn("sample", F.col("type"))
+    good = F.col("phred") >= 25
+    tables = r.groupBy("sample", "side", *clonotypes.KEY).agg(F.count_if(good).alias("good_events"), F.count("*").alias("total_events"), F.sum(F.when(good, F.col("inc")).otherwise(0)).alias("good_reads"), F.sum("inc").alias("total_reads")).filter("good_events > 0")
+    return clonotypes.filter_batch(tables, singleton_ratio=2, collapsed=True).withColumn("share", F.round("share", 9))
+
+
+@query(f"""WITH {_APPENDED}, o AS (SELECT *, NOT good OR inc = min(inc) FILTER (good) OVER (PARTITION BY umi, cdr3nt) counts FROM ap)
+SELECT v, j, fr AS "from", cdr3nt, min(d) d, 3 v_end, 8 d_start, 12 d_end, 20 j_start, count(*) FILTER (good AND counts) good_events, count(*) FILTER (counts) total_events, coalesce(sum(inc) FILTER (good), 0)::BIGINT good_reads, sum(inc)::BIGINT total_reads FROM o WHERE mapped GROUP BY ALL""")
+def same_sample_clonotypes(spark, sf_dir):
+    """Clonotype counters of several files of one sample, in which a tag's CDR3 counts in the first."""
+    return repertoire.count_clonotypes(repertoire.once_a_tag(_mapped_reads(spark, sf_dir), F.col("inc")))
+
+
+_PWM_ALL = _COLLIDED.format(ratio=0.1) + """, g AS (SELECT * FROM n ANTI JOIN c USING (sample, type, umi)), p AS (SELECT pos, substr(umi, pos::INT + 1, 1) nt, count(*) u, sum(n) k FROM g, range(0, 8) t(pos) GROUP BY ALL)"""
+
+
+@query(f"WITH {_PWM_ALL} SELECT pos::INT pos, nt, round(u / sum(u) OVER (PARTITION BY pos), 6) unit_share, round(k / sum(k) OVER (PARTITION BY pos), 6) read_share FROM p")
+def umi_position_weights_all(spark, sf_dir):
+    """Position weights over all samples; collisions are those within a sample."""
+    return umi.position_weights(_counts(spark, sf_dir), 0.1, together=True).withColumns({c: F.round(c, 6) for c in ("unit_share", "read_share")})
+
+
+@query(f"WITH {_N}, h AS (SELECT sample, type, least(length(bin(n)) - 1, 16) bin, sum(n) reads FROM n GROUP BY ALL) SELECT sample, type, " + ", ".join(f"coalesce(sum(reads) FILTER (bin = {b}), 0)::BIGINT from_{1 << b}" for b in range(17)) + " FROM h GROUP BY sample, type")
+def umi_histogram_wide(spark, sf_dir):
+    return umi.wide(umi.histogram(_counts(spark, sf_dir)))
+
+
+@query(f"WITH {_cte('sample', 'mate', 'umi6', 'seq', 'line')}, u AS (SELECT * EXCLUDE (line) RENAME (umi6 AS umi) FROM r WHERE mate = 1 AND line % 3 < 2), " + _assembly("sample", "u") + " SELECT * FROM cons SEMI JOIN wh USING (sample, umi)")
+def mig_assembly_masked(spark, sf_dir):
+    """Consensus of first mates that were first before."""
+    r = _reads(spark, sf_dir, "sample", "mate", "umi6", "seq", "line").withColumnRenamed("umi6", "umi").withColumn("orig_mate", F.when(F.col("line") % 3 < 2, 1).otherwise(2))
+    return assemble.assemble(r, mask="1:0", only_first=True)

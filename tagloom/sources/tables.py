@@ -31,6 +31,38 @@ def read_segments(spark: SparkSession, path: str, species: str, genes: list[str]
     return rows.filter((F.upper("species") == species.upper()) & F.upper("gene").isin([g.upper() for g in genes]))
 
 
+def library_name(all_segments: bool = False, all_alleles: bool = False) -> str:
+    """A library's files: with non-functional segments or not, with all alleles of a segment or the first of each."""
+    return "segments" + (".all" if all_segments else "") + (".minor" if all_alleles else "")
+
+
+def read_library(spark: SparkSession, folder: str, species: str, genes: list[str], all_segments: bool = False, all_alleles: bool = False) -> DataFrame:
+    """Segments of a species and some genes in the wanted variant of a library; a gene that its listing doesn't have is an error."""
+    listed = {(r.gene or "").upper() for r in available_genes(spark, folder, all_segments, all_alleles).filter(F.upper("species") == species.upper()).collect()}
+    missing = [g for g in genes if g.upper() not in listed]
+    if missing:
+        raise ValueError(f"no {', '.join(missing)} of {species} in {library_name(all_segments, all_alleles)}")
+    return read_segments(spark, f"{folder}/{library_name(all_segments, all_alleles)}.txt", species, genes)
+
+
+def read_listing(spark: SparkSession, folder: str, all_segments: bool = False, all_alleles: bool = False) -> DataFrame:
+    """species, gene and whether there are V, D, J and both V and J segments, as 0 or 1."""
+    return spark.read.csv(f"{folder}/{library_name(all_segments, all_alleles)}.metadata", sep="\t", schema="species string, gene string, v int, d int, j int, vj int", comment="#")
+
+
+def available_genes(spark: SparkSession, folder: str, all_segments: bool = False, all_alleles: bool = False) -> DataFrame:
+    """species and gene that reads can be mapped to, and whether they have D segments."""
+    return read_listing(spark, folder, all_segments, all_alleles).filter("vj = 1").select("species", "gene", (F.col("d") == 1).alias("has_d"))
+
+
+HITS = "query long, allele string, q_start int, q_end int, a_start int, a_end int, q_seq string, a_seq string, n_ident int"
+
+
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    """Hits of an external aligner: nine tab-separated columns, places from 1 on and inclusive, an allele's falling on the other strand; aligned sequences with gaps as -."""
+    return spark.read.csv(path, sep="\t", schema=HITS)
+
+
 def library_metadata(segments: DataFrame) -> DataFrame:
     """Which genes have V, D and J segments, and so can be mapped."""
     has = lambda t: F.max(F.startswith("segment_type", F.lit(t)).cast("int"))
