@@ -41,7 +41,8 @@ def turns(rows: DataFrame) -> DataFrame:
 
 def rebuilt(rows: DataFrame, scratch: Scratch, heads: int = 4, block: int = 20) -> tuple[DataFrame, DataFrame]:
     """Conversations (conv, len), and their rebuilt turns: conv, depth (`count`), name of the prefix (to_a, to_b), words, and words so far (to_words)."""
-    own = running(turns(rows), "conv", [F.asc_nulls_first("turn"), F.col("digest")], [], scratch, "turns")
+    digests = scratch.save(turns(rows), "digests")  # texts are read once, though range partitioning looks at its input twice
+    own = running(digests, "conv", [F.asc_nulls_first("turn"), F.col("digest")], [], scratch, "turns")
     h = crc_of("conv") % heads
     sizes = scratch.save(own.groupBy("conv").agg(F.max("count").alias("n")).select("conv", "n", h.alias("h"), (F.col("conv") - F.col("conv") % block).alias("base")), "sizes")
     based = sizes.join(sizes.select(F.col("conv").alias("base"), F.col("n").alias("base_n")), "base", "left").withColumn("m", F.least("h", F.coalesce("base_n", F.lit(0))))
