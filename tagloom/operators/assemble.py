@@ -244,14 +244,16 @@ def assembly_log(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sampl
     return found.groupBy(*by).agg(*by_mate).join(total, list(by)).withColumn("mig_count_threshold", F.lit(least))
 
 
-def assemble_batch(reads: DataFrame, estimates: DataFrame, metadata: DataFrame | None = None, default_mask: str = "1:1", force_overseq: int | None = None, force_collision_filter: bool = False) -> DataFrame:
+def assemble_batch(reads: DataFrame, estimates: DataFrame, metadata: DataFrame | None = None, default_mask: str = "1:1", force_overseq: int | None = None, force_collision_filter: bool = False, manifest: DataFrame | None = None) -> DataFrame:
     """Consensus of all samples, each with its own thresholds and mask. reads: sample, type, mate, umi, seq; estimates: sample, type,
-    overseq_threshold, filter_collisions; metadata: sample, type, mask (`1:1`, `1:0`, `0:1`; a missing one is the default). Samples without an estimate are left out."""
+    overseq_threshold, filter_collisions; metadata: sample, type, mask (`1:1`, `1:0`, `0:1`; a missing one is the default). Samples without an estimate are left out,
+    and those that a manifest (sample, type), where one is given, doesn't have."""
     rules = estimates.select("sample", "type", (F.lit(force_overseq) if force_overseq else F.col("overseq_threshold")).cast("long").alias("least_n"), (F.lit(force_collision_filter) | F.coalesce("filter_collisions", F.lit(False))).alias("filter_collided"))
     if metadata is not None:
         rules = rules.join(metadata.select("sample", "type", "mask"), ["sample", "type"])
     else:
         rules = rules.withColumn("mask", F.lit(default_mask))
+    rules = rules if manifest is None else rules.join(manifest.select("sample", "type").distinct(), ["sample", "type"], "left_semi")
     rules = rules.withColumn("mask", F.split(F.coalesce("mask", F.lit(default_mask)), ":"))
     wanted = reads.join(rules, ["sample", "type"]).filter(F.element_at("mask", F.col("mate").cast("int")) == "1")
     found = saved(statuses(wanted, 1, False, ("sample", "type")), "consensus")

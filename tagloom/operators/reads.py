@@ -16,9 +16,12 @@ from tagloom.sources.tables import saved
 
 
 def frequent_reads(reads: DataFrame, least: int = 10) -> DataFrame:
-    """Reads whose sequence comes at least so often; counted first, so a common sequence is not gathered."""
-    often = reads.groupBy("seq").agg(F.count("*").alias("copies")).filter(F.col("copies") >= least)
-    return reads.join(often, "seq")
+    """Reads whose sequence comes at least so often. Sequences are counted first; the most common ones, of which there can be at most 4,096, go to all tasks, so that their reads aren't gathered."""
+    counts = saved(reads.groupBy("seq").agg(F.count("*").alias("copies")).filter((F.col("copies") >= least) & F.col("seq").isNotNull()), "copies")
+    common = (counts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0] >> 12) + least
+    hot = F.broadcast(counts.filter(F.col("copies") > common))
+    rest = reads.join(F.broadcast(counts.filter(F.col("copies") > common).select("seq")), "seq", "left_anti")
+    return reads.join(hot, "seq").unionByName(rest.join(counts.filter(F.col("copies") <= common), "seq"))
 
 
 def mean_quality(reads: DataFrame) -> DataFrame:

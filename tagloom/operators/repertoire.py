@@ -51,22 +51,24 @@ def once_a_tag(appended: DataFrame, order: Column) -> DataFrame:
     return appended.join(first, ["umi", "cdr3nt"], "left").withColumn("counts", ~F.col("good") | (order == F.col("first_place"))).drop("first_place")
 
 
-def count_clonotypes(appended: DataFrame) -> DataFrame:
+def count_clonotypes(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Events and reads, good and all, of each V, J, CDR3 start and CDR3, with the places of the segments (of the first by order, where they differ)."""
     counts = F.col("counts") if "counts" in appended.columns else F.lit(True)
     places = ("d", "v_end", "d_start", "d_end", "j_start")
-    return appended.filter("mapped").groupBy("v", "j", "from", "cdr3nt").agg(
+    return appended.filter("mapped").groupBy(*by, "v", "j", "from", "cdr3nt").agg(
         F.min(F.struct(*places)).alias("p"), F.count_if(F.col("good") & counts).alias("good_events"), F.count_if(counts).alias("total_events"),
         F.coalesce(F.sum(F.when(F.col("good"), F.col("inc"))), F.lit(0)).cast("long").alias("good_reads"), F.sum("inc").cast("long").alias("total_reads"),
-    ).select("v", "j", "from", "cdr3nt", "p.*", *COUNTERS)
+    ).select(*by, "v", "j", "from", "cdr3nt", "p.*", *COUNTERS)
 
 
-def clonotype_table(counted: DataFrame, good_total: DataFrame, ordered: bool = True) -> DataFrame:
-    """The clonotype table: canonical, out-of-frame or stopped CDR3s with good events, rolled up to their full signature, with the share of all good events."""
+def clonotype_table(counted: DataFrame, good_total: DataFrame, ordered: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """The clonotype table: canonical, out-of-frame or stopped CDR3s with good events, rolled up to their full signature, with the share of all good events (of the same by-values)."""
     named = counted.withColumn("cdr3aa", translate_both_ends(F.col("cdr3nt"))).filter(canonical_or_broken("cdr3aa"))
-    rolled = named.groupBy(*SIGNATURE).agg(*(F.sum(c).alias(c) for c in COUNTERS)).filter("good_events > 0")
-    shared = rolled.crossJoin(F.broadcast(good_total.select(F.col("events_good").alias("all_good")))).select(F.col("good_events").alias("count"), (F.col("good_events") / F.col("all_good")).alias("fraction"), *SIGNATURE, *COUNTERS)
-    return shared.orderBy(F.desc("count"), "cdr3nt", "v", "j", "d") if ordered else shared
+    rolled = named.groupBy(*by, *SIGNATURE).agg(*(F.sum(c).alias(c) for c in COUNTERS)).filter("good_events > 0")
+    total = good_total.select(*by, F.col("events_good").alias("all_good"))
+    shared = rolled.join(total, list(by)) if by else rolled.crossJoin(F.broadcast(total))  # one row
+    shared = shared.select(*by, F.col("good_events").alias("count"), (F.col("good_events") / F.col("all_good")).alias("fraction"), *SIGNATURE, *COUNTERS)
+    return shared.orderBy(*by, F.desc("count"), "cdr3nt", "v", "j", "d") if ordered else shared
 
 
 def mapping_totals(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -84,16 +86,17 @@ def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataF
 
 
 def clonotypes_batch(reads: DataFrame, samples: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 7, raw_quality: int = 25, assembled_quality: int = 30) -> tuple[DataFrame, DataFrame]:
-    """Clonotype counters and mapping log of all samples at once. reads: sample, type (raw or assembled), seq, qual, inc; samples: sample, species,
+    """Clonotype tables (sample, type, gene, and the columns of a table) and mapping log of all samples at once. reads: sample, type (raw or assembled), seq, qual, inc; samples: sample, species,
     gene, type: which to map, by which library; alleles have species and gene too."""
     wanted = reads.join(samples.select("sample", "type", "gene").distinct(), ["sample", "type"])
     found = map_reads(wanted, alleles.join(samples.select("species", "gene").distinct(), ["species", "gene"], "left_semi"), d_alleles, k).withColumnRenamed("gene", "of_gene")
     appended = append_reads(wanted.filter("type = 'raw'"), found, raw_quality).unionByName(append_reads(wanted.filter("type = 'assembled'"), found, assembled_quality))
     other = F.col("of_gene").isNotNull() & (F.col("of_gene") != F.col("gene"))
     appended = appended.withColumns({"mapped": F.col("mapped") & ~other, "good": F.col("good") & ~other})
-    key = ["sample", "type", "gene", "v", "j", "d", "cdr3nt"]
-    sums = appended.filter("mapped").groupBy(*key).agg(F.count_if("good").alias("good_events"), F.count("*").alias("total_events"), F.coalesce(F.sum(F.when(F.col("good"), F.col("inc"))), F.lit(0)).cast("long").alias("good_reads"), F.sum("inc").cast("long").alias("total_reads"))
-    return sums.filter("good_events > 0"), mapping_totals(appended, ("sample", "type", "gene"))
+    by = ("sample", "type", "gene")
+    appended = saved(appended, "appended")
+    log = saved(mapping_totals(appended, by), "mapping-log")
+    return clonotype_table(count_clonotypes(appended, by), log, False, by), log
 
 
 def annotated_reads(appended: DataFrame) -> DataFrame:

@@ -188,7 +188,7 @@ _TYPED = f"WITH {_cte('sample', 'type', 'mate', 'umi6', 'seq')}, t0 AS (SELECT *
 x AS (SELECT f.*, least_n, fc FROM f JOIN es USING (sample, type)), w AS (SELECT * FROM x a WHERE fewest >= least_n AND lft >= least_n AND NOT (fc AND EXISTS (SELECT 1 FROM x b WHERE a.sample = b.sample AND a.type = b.type AND hamming(a.umi, b.umi) = 1 AND a.n < 0.1 * b.n)))
 SELECT * FROM cons SEMI JOIN w USING (sample, type, umi)""")
 def assembly_batch(spark, sf_dir):
-    r = _reads(spark, sf_dir, "sample", "type", "mate", "umi6", "seq").withColumnRenamed("umi6", "umi")
+    r = saved(_reads(spark, sf_dir, "sample", "type", "mate", "umi6", "seq").withColumnRenamed("umi6", "umi"), "reads")
     rules = r.groupBy("sample", "type").agg((3 + F.count("*") % 4).alias("overseq_threshold")).withColumn("filter_collisions", F.col("sample") == "R")
     masks = rules.select("sample", "type", F.when(F.col("sample") == "A", "1:0").alias("mask"))
     return assemble.assemble_batch(r, rules, masks)

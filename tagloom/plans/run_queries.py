@@ -9,7 +9,7 @@ from tagloom.functions.sequence import IUPAC, reverse_complement
 from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
 from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _mapped_reads, _mig_reads, _reads, query
 from tagloom.sources import fastq
-from tagloom.sources.tables import shared_folder
+from tagloom.sources.tables import saved, shared_folder
 from tagloom.streaming import tags
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -26,7 +26,7 @@ def _segments(kind: str, div: str) -> str:
     return f"SELECT p_partkey % 40 k, {seq.format(div=div)} AS seq FROM part GROUP BY 1, 2"
 
 
-_LINES = "SELECT l_orderkey o, l_linenumber l, l_partkey % 40 kv, (l_orderkey * 7 + l_linenumber) % 40 kj, substr('GATTACAGATTACAGATTACA', cast(l_linenumber as int), 9) middle, l_linenumber inc, l_quantity q FROM lineitem"
+_LINES = "SELECT l_orderkey o, l_linenumber l, l_partkey % 40 kv, (l_orderkey * 7 + l_linenumber) % 40 kj, substr('GATTACAGATTACAGATTACA', cast(l_linenumber as int), 9) middle, l_linenumber inc, cast(l_quantity as int) % 39 + 2 q, l_returnflag AS sample, CASE WHEN l_linestatus = 'O' THEN 'raw' ELSE 'assembled' END AS type FROM lineitem"
 
 
 def _library(spark, sf_dir) -> DataFrame:
@@ -46,10 +46,10 @@ def _gapped_reads(spark, sf_dir) -> DataFrame:
     """Reads of a V, a middle and a J, some with bases cut out of or put into V or J, every second one on the other strand."""
     lines, lib = _lines(spark, sf_dir), _library(spark, sf_dir)
     side = lambda kind: F.broadcast(lib.filter(F.col("kind") == kind).select(F.col("k").alias(f"k{kind.lower()}"), F.col("seq").alias(kind)))  # noqa: E731  40 rows
-    ends = lines.join(side("V"), "kv").join(side("J"), "kj").select("l", "o", "middle", F.substring("V", 1, 52).alias("v"), F.substring("J", 1, 30).alias("j"))
-    cut = ends.selectExpr("l", "middle", "CASE o % 4 WHEN 1 THEN concat(substr(v, 1, 20), substr(v, 23)) WHEN 2 THEN concat(substr(v, 1, 25), 'ACG', substr(v, 26)) ELSE v END AS v", "CASE WHEN o % 3 = 1 THEN concat(substr(j, 1, 16), substr(j, 18)) ELSE j END AS j")
-    whole = cut.select("l", F.concat("v", "middle", "j").alias("seq"))
-    return whole.select(F.when(F.col("l") % 2 == 0, reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+    ends = lines.join(side("V"), "kv").join(side("J"), "kj").select("l", "o", "sample", "type", "q", "inc", "middle", F.substring("V", 1, 52).alias("v"), F.substring("J", 1, 30).alias("j"))
+    cut = ends.selectExpr("l", "sample", "type", "q", "inc", "middle", "CASE o % 4 WHEN 1 THEN concat(substr(v, 1, 20), substr(v, 23)) WHEN 2 THEN concat(substr(v, 1, 25), 'ACG', substr(v, 26)) ELSE v END AS v", "CASE WHEN o % 3 = 1 THEN concat(substr(j, 1, 16), substr(j, 18)) ELSE j END AS j")
+    whole = cut.select("l", "sample", "type", "q", "inc", F.concat("v", "middle", "j").alias("seq"))
+    return whole.select("sample", "type", "q", "inc", F.when(F.col("l") % 2 == 0, reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
 @query(f"WITH {_MADE} SELECT substr(va, 48, 5) || middle || substr(ja, 1, 12) cdr3nt, 'V' || kv v, 'J' || kj j, count(*) reads FROM en GROUP BY ALL")
@@ -225,3 +225,30 @@ def mig_assembly_masked(spark, sf_dir):
     """Consensus of first mates that were first before."""
     r = _reads(spark, sf_dir, "sample", "mate", "umi6", "seq", "line").withColumnRenamed("umi6", "umi").withColumn("orig_mate", F.when(F.col("line") % 3 < 2, 1).otherwise(2))
     return assemble.assemble(r, mask="1:0", only_first=True)
+
+
+def _batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    made = saved(_gapped_reads(spark, sf_dir).withColumn("qual", F.repeat(F.char(F.col("q") + 33), F.length("seq"))), "reads")
+    samples = made.select("sample", "type").distinct().filter("sample <> 'N' OR type = 'raw'").withColumns({"species": F.lit("human"), "gene": F.lit("TRB")})
+    return repertoire.clonotypes_batch(made, samples, _library(spark, sf_dir).withColumn("species", F.lit("human")))
+
+
+_WANTED = f"{_MADE}, b AS (SELECT *, q >= CASE WHEN type = 'raw' THEN 25 ELSE 30 END good FROM en WHERE sample <> 'N' OR type = 'raw'), lo AS (SELECT sample, type, 'TRB' gene, count(*) FILTER (good) events_good, coalesce(sum(inc) FILTER (good), 0)::BIGINT reads_good, count(*) events_mapped, sum(inc)::BIGINT reads_mapped, count(*) events_total, sum(inc)::BIGINT reads_total FROM b GROUP BY ALL)"
+
+
+@query(f"WITH {_WANTED} SELECT sample, type, 'TRB' gene, substr(va, 48, 5) || middle || substr(ja, 1, 12) cdr3nt, 'V' || kv v, 'J' || kj j, count(*) FILTER (good) good_events, round(count(*) FILTER (good) / any_value(events_good), 9) fraction, coalesce(sum(inc) FILTER (good), 0)::BIGINT good_reads FROM b JOIN lo USING (sample, type) GROUP BY ALL HAVING count(*) FILTER (good) > 0")
+def clonotypes_batch(spark, sf_dir):
+    """Clonotype tables of all samples, raw and assembled."""
+    table, _ = _batch(spark, sf_dir)
+    return table.groupBy("sample", "type", "gene", "cdr3nt", "v", "j").agg(F.sum("good_events").alias("good_events"), F.round(F.sum("fraction"), 9).alias("fraction"), F.sum("good_reads").alias("good_reads"))
+
+
+@query(f"WITH {_WANTED} SELECT * FROM lo")
+def mapping_log_batch(spark, sf_dir):
+    return _batch(spark, sf_dir)[1]
+
+
+@query(f"WITH {_WANTED} SELECT sample, type, 'events' metric, round(events_mapped / events_total, 9) mapping_rate, round(events_good / events_mapped, 9) quality_rate FROM lo UNION ALL SELECT sample, type, 'reads', round(reads_mapped / reads_total, 9), round(reads_good / reads_mapped, 9) FROM lo")
+def report_mapping_rates_batch(spark, sf_dir):
+    """Mapping and quality rates of all samples and types."""
+    return reads.mapping_rates(_batch(spark, sf_dir)[1]).withColumns({c: F.round(c, 9) for c in ("mapping_rate", "quality_rate")})
