@@ -255,11 +255,11 @@ SCHEMA = "sample string, matched string, type string, umi string, umi_qual strin
 class Checkout:
     """Barcodes and options of a run, applied to batches of pairs."""
 
-    def __init__(self, barcodes: list[Barcode], cut: bool, both_ways: bool, mask: str, merge: Merging | None, switch: bool, complement: bool, limits: Limits):
+    def __init__(self, barcodes: list[Barcode], cut: bool, both_ways: bool, mask: str, merge: Merging | None, switch: bool, complement: bool, limits: Limits, most_trim: int = 10):
         if complement:
             barcodes = [x for b in barcodes for x in (b, Barcode(b.sample, iupac_complement(b.master), iupac_complement(b.slave) if b.slave else None))]
         self.barcodes, self.cut, self.both_ways, self.merge, self.switch = barcodes, cut, both_ways, merge, switch
-        self.flags = [x == "1" for x in mask.split(":")]
+        self.flags, self.most_trim = [x == "1" for x in mask.split(":")], most_trim
         self.masters = Patterns([b.master for b in barcodes], limits)
         self.slaves = Patterns([b.slave if b.slave and b.slave != "N" else "N" for b in barcodes], limits)
         self.wanted = np.array([bool(b.slave) and b.slave != "N" for b in barcodes], bool)
@@ -287,8 +287,8 @@ class Checkout:
         umi, qual = self.masters.tags(master, of, at)
         umi_2, qual_2 = self.slaves.tags(other, of, to)
         if self.cut:
-            master = trimmed(master, at, np.where(some, self.masters.size[of] if len(self.barcodes) else 0, 0))
-            other = trimmed(other, to, np.where(to >= 0, self.slaves.size[of] if len(self.barcodes) else 0, 0))
+            master = trimmed(master, at, np.where(some, self.masters.size[of] if len(self.barcodes) else 0, 0), self.most_trim)
+            other = trimmed(other, to, np.where(to >= 0, self.slaves.size[of] if len(self.barcodes) else 0, 0), self.most_trim)
             if self.switch:
                 master, other = without_switch(master, some), without_switch(other, to >= 0, True)
         if self.flags[0]:
@@ -318,7 +318,7 @@ class Checkout:
 
 def checkout(
     reads: DataFrame, barcodes: list[Barcode] | dict[str, list[Barcode]], keep: list[str], cut: bool = False, both_ways: bool = True, mask: str = "0:1", merge: bool | Merging = False,
-    switch: bool = False, skip_undef: bool = False, partial: bool = False, complement: bool = False, limits: Limits | None = None, file: str = "file",
+    switch: bool = False, skip_undef: bool = False, partial: bool = False, complement: bool = False, limits: Limits | None = None, file: str = "file", most_trim: int = 10,
 ) -> DataFrame:
     """Assign read pairs (s1, q1, s2, q2) to the first barcode that is found, the first mate before the second. Columns in `keep` pass through.
 
@@ -326,10 +326,10 @@ def checkout(
     missing quality counts as zero. Reads without a sample are oriented too, those without a slave are also cut.
     barcodes: of all reads, or by the value of the column `file` (None: of files that aren't named).
     switch: template-switch bases go too (only where barcodes are cut); skip_undef: pairs without a sample are left out; merge, partial: see Merging;
-    complement: barcodes are looked for on the other strand too."""
+    complement: barcodes are looked for on the other strand too; most_trim: bases before and behind a barcode that are cut with it."""
     by_file = barcodes if isinstance(barcodes, dict) else {None: barcodes}
     sizes = merge if isinstance(merge, Merging) else Merging(partial=partial) if merge else None
-    options = (cut, both_ways, mask, sizes, switch, complement, limits or Limits())
+    options = (cut, both_ways, mask, sizes, switch, complement, limits or Limits(), most_trim)
     named = isinstance(barcodes, dict)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
