@@ -129,24 +129,24 @@ def _let_through(bitmap, ks: list[int]):
     return run
 
 
-def _marked(text: str):
+def _marked(text: str, row: str, hits: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = {n: batch.schema.get_field_index(n) for n in batch.schema.names}
             rows = []
-            for value, found in zip(batch.column(at[text]), batch.column(at["_found"]).to_pylist(), strict=True):
+            for value, found in zip(batch.column(at[text]), batch.column(at[hits]).to_pylist(), strict=True):
                 w = words(*flat(pa.array([value.as_py()], pa.large_string())), NOT_ALNUM)
                 rows.append(_digest(len(w.hash), {x["item"] for x in found or ()}, [(x["at"], x["k"]) for x in found or ()]))
             columns = list(zip(*rows, strict=True)) or [()] * 5
-            kept = [n for n in batch.schema.names if n not in ("_row", "_found")]
+            kept = [n for n in batch.schema.names if n not in (row, hits)]
             yield pa.RecordBatch.from_arrays([*(batch.column(at[n]) for n in kept), *(pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True))], [*kept, *(x.split()[0] for x in _COLUMNS.split(", "))])
 
     return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = 10, broadcast_windows: int = 500_000) -> DataFrame:
-    """Add n_words, n_hit, n_items, items_sha256 and contaminated to documents, which must not have these names."""
-    spark = docs.sparkSession
+    """Add n_words, n_hit, n_items, items_sha256 and contaminated to documents; columns of these names that documents have give way."""
+    spark, docs = docs.sparkSession, docs.drop(*(x.split()[0] for x in _COLUMNS.split(", ")))
     windows = benchmark_windows(benchmark, size)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), _COLUMNS])
     if windows.count() <= broadcast_windows:
@@ -158,11 +158,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", siz
     for r in windows.select((F.pmod(F.expr("shiftrightunsigned(hash, 1)"), F.lit(BITS >> 1)) * 2 + F.col("hash").bitwiseAND(F.lit(1))).alias("bit")).distinct().toLocalIterator():
         bits[r.bit] = True
     ks = [r.k for r in windows.select("k").distinct().collect()]
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    maybe = rows.select("_row", text).mapInArrow(_let_through(spark.sparkContext.broadcast(np.packbits(bits).tobytes()), ks), "row long, at long, k int, hash long, words binary")
-    found = maybe.join(windows, ["k", "hash", "words"]).groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("at", "k", "item")).alias("_found"))
-    joined = rows.join(found, "_row", "left")
-    return joined.select("_row", *docs.columns, "_found").mapInArrow(_marked(text), schema)
+    row, hits = _free("_row", docs.columns), _free("_found", docs.columns)
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    maybe = rows.select(row, text).mapInArrow(_let_through(spark.sparkContext.broadcast(np.packbits(bits).tobytes()), ks), "row long, at long, k int, hash long, words binary")
+    found = maybe.join(windows, ["k", "hash", "words"]).groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("at", "k", "item")).alias(hits))
+    joined = rows.join(found, row, "left")
+    return joined.select(row, *docs.columns, hits).mapInArrow(_marked(text, row, hits), schema)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """The name, with something behind it if it is taken."""
+    while name in {x.lower() for x in taken}:
+        name += "_"
+    return name
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", most_hit: float = 0.0) -> DataFrame:

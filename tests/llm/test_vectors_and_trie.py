@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.llm import products, running, trie, whitening
+from tagloom.llm import extract, products, running, trie, whitening
+from tagloom.llm.decontaminate import contamination
 from tagloom.llm.scratch import Scratch
 
 SCHEMA = "vec_id long, embedding array<float>, n long, key string, id int"
@@ -190,3 +192,20 @@ def test_queue_spills():
     assert q.file is not None
     for level in range(4, -1, -1):
         assert {int(c): [int(a), int(b)] for c, a, b in q.pop(level)} == sent.get(level, {})
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_clashing_names_of_contaminated_documents(spark, most):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"a {words} b", 5, "r", [1]), (2, "clean", 6, "s", [2])], "doc_id long, text string, _row int, n_words string, _FOUND array<int>")
+    tests = spark.createDataFrame([("i", words)], "item_id string, text string")
+    got = contamination(docs, tests, broadcast_windows=most)
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.contaminated, r["_row"], r["_FOUND"]) for r in got.collect()) == [(1, 14, 12, True, 5, [1]), (2, 1, 0, False, 6, [2])]
+
+
+def test_unclosed_tags_take_linear_time():
+    began = time.time()
+    for page in ("<a " * 300_000, "<!" * 500_000, "<p>kept</p>" + "<a " * 300_000, "<a \"'" * 100_000 + ">"):
+        text = extract.main_text(page, {"path": [], "host": frozenset(), "template": {}})
+        assert text == ("kept" if "kept" in page else "")
+    assert time.time() - began < 20
