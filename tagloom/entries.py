@@ -58,6 +58,8 @@ def checkout(
 def tagged_reads(spark: SparkSession, folder: str, quality: int = 15, only_first: bool = False, split: int = fastq.SPLIT) -> DataFrame:
     """sample, type, mate, orig_mate, header, umi, seq and qual of a checkout's samples; the tag is in both mates' headers. undef-m and undef-s are no samples."""
     kinds = [r.type for r in fastq.manifest(spark, folder).select("type").distinct().orderBy("type").collect()]
+    if not kinds:
+        raise ValueError(f"no samples in {folder}")
     out = None
     for kind in kinds:
         found = fastq.read_samples(spark, folder, kind, split=split).filter(~F.col("sample").isin("undef-m", "undef-s")).withColumn("type", F.lit(kind))

@@ -83,7 +83,7 @@ def test_samples(spark, tmp_path, compress):
     path = str(tmp_path / "out")
     fastq.write_samples(df.filter("umi IS NULL OR h1 < '@r4'"), path, compress)
     fastq.write_samples(df.filter("NOT (umi IS NULL OR h1 < '@r4')"), path, compress)
-    names = {p.name.split("-")[-3].split("_")[-1] if False else p.name.split("_")[1].split("-")[0] for p in (tmp_path / "out" / "A").iterdir() if not p.name.startswith(".")}
+    names = {p.name.split("_")[1].split("-")[0] for p in (tmp_path / "out" / "A").iterdir() if not p.name.startswith(".")}
     assert names == {"R0", "R1", "R2", "R12"}
     got = fastq.read_samples(spark, path, "paired", split=100)
     def heads(i):
