@@ -2,15 +2,17 @@
 
 Tokens are the words of a text, A-Z lower-cased, then one end; the first is seen after a begin mark. Tasks count the bigrams of
 some million tokens at a time and send them, as arrays sorted by hash, to one of S shards; a shard's task adds them up and writes them to
-the shared folder. A bigram's shard follows from its first word, except for first words that hold more than a fraction of a shard's
-share of all tokens: their bigrams are spread over all shards, and only their totals meet on the driver (at most HEAVY words). Shards
-also send, for each second word, the number of distinct first words, summed in a second exchange. Discounts come from
-counts of counts over all shards. A scoring task maps the arrays and looks up the distinct tokens and bigrams of a block of texts.
+the shared folder. A bigram's shard follows from its first word, unless that word may hold more than a fraction of a shard's share of all
+tokens: first words are counted by `BUCKETS` places of their hash, over all texts, and the bigrams of words in a full place are spread over all
+shards. What the shards know of such a word meets in the word's own shard, by a second exchange, as does the number of distinct first
+words of each second word. Discounts come from counts of counts over all shards. A scoring task maps the arrays and looks up the distinct
+tokens and bigrams of a block of texts; it keeps the `MAPS` arrays used last open.
 
 Every text counts whole. A null text is empty, so its only token is the end. Repeated rows are scored one by one, and count as often as they
 come. Without training rows every token has probability 1. A very long text is a block of its own. Other columns pass through; those named like the
 new ones give way. Files of a model stay in the shared folder until `LanguageModel.drop`; a task that runs again writes the same files. From a
-store that can't be mapped a worker reads the arrays that a block needs, and keeps those used last, up to `KEPT_BYTES`.
+store that can't be mapped a worker reads the arrays that a block needs, and keeps those used last, up to `KEPT_BYTES`; blocks are eight times as
+large there.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from tagloom.llm.scratch import new_folder
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, words
 
 END, BEGIN, _PAIR = np.uint64(0x517CC1B727220A95), np.uint64(0x2545F4914F6CDD1D), np.uint64(0xA0761D6478BD642F)
-FLUSH_TOKENS, SHARD_TOKENS, HEAVY, HEAVY_PART, KEPT_BYTES = 1 << 20, 1 << 21, 4096, 0.001, 256 << 20
+FLUSH_TOKENS, SHARD_TOKENS, BUCKETS, SLICE, MAPS, KEPT_BYTES = 1 << 20, 1 << 21, 1 << 20, 1 << 10, 256, 256 << 20
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,20 +84,43 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield np.concatenate(now), np.concatenate(before)
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens in number (word null), and the words that are frequent among them."""
-    for now, before in _chunks(batches):
-        w, c = np.unique(before, return_counts=True)
-        often = c >= max(2, HEAVY_PART * len(now))
-        yield _table(word=([None, *w[often].view(np.int64).tolist()], pa.int64()), n=([len(now), *c[often].tolist()], pa.int64()))
+def bucket(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _count(heavy, shards: int):
+def _loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many tokens of a task follow the words of each place, in slices of places."""
+    load = np.zeros(BUCKETS, np.int64)
+    for _, before in _chunks(batches):
+        load += np.bincount(bucket(before), minlength=BUCKETS)
+    used = np.flatnonzero(load)
+    cuts = np.searchsorted(used, np.arange(BUCKETS // SLICE + 1) * SLICE)
+    full = np.flatnonzero(np.diff(cuts)).tolist()
+    yield _table(part=(full, pa.int32()), at=([_bytes(used[cuts[i] : cuts[i + 1]] - i * SLICE, "<u2") for i in full], pa.binary()), n=([_bytes(load[used[cuts[i] : cuts[i + 1]]], "<i8") for i in full], pa.binary()))
+
+
+def _add_loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sums.setdefault(i, np.zeros(SLICE, np.int64))[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+    yield _table(part=(list(sums), pa.int32()), n=([_bytes(x, "<i8") for x in sums.values()], pa.binary()))
+
+
+def loads(rows: DataFrame) -> np.ndarray:
+    """Tokens after the words of each place, over all texts: BUCKETS numbers, whatever the input."""
+    out = np.zeros(BUCKETS, np.int64)
+    for r in rows.mapInArrow(_loads, "part int, at binary, n binary").repartition("part").mapInArrow(_add_loads, "part int, n binary").collect():
+        out[r.part * SLICE : (r.part + 1) * SLICE] = np.frombuffer(r.n, "<i8")
+    return out
+
+
+def _count(spread, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, before in _chunks(batches):
             g, at, c = np.unique(pair(before, now), return_index=True, return_counts=True)
             b = before[at]
-            shard = np.where(np.isin(b, heavy.value), _shard(g, shards), _shard(b, shards))
+            shard = np.where(spread.value[bucket(b)], _shard(g, shards), _shard(b, shards))
             order = np.lexsort((b, shard))
             shard, b, w, c = shard[order], b[order], now[at][order], c[order]
             cuts = np.searchsorted(shard, np.arange(shards + 1))
@@ -137,7 +162,7 @@ def _tally(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
 
-def _add_up(folder: str, heavy, shards: int):
+def _add_up(folder: str, spread, shards: int):
     def run(table: pa.Table) -> pa.Table:
         s = table["shard"][0].as_py()
         b = np.repeat(_read(table["first"], "<u8"), _read(table["runs"], "<u4"))
@@ -152,15 +177,20 @@ def _add_up(folder: str, heavy, shards: int):
         big = c >= 255
         _write(folder, f"big-{s}", np.stack([g[big].view(np.int64), c[big]]))
         first, total, one, two, more = _group_sums(b, c, *((c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)))
-        mine = ~np.isin(first, heavy.value)
-        _write(folder, f"first-{s}", first[mine])
-        _write(folder, f"totals-{s}", np.stack([x[mine] for x in (total, one, two, more)]))
-        stats = np.array([*_tally(c), len(c), int(mine.sum()), int(c.sum())], np.int64)
-        rows = [(-1, stats.tobytes(), np.stack([first[~mine].view(np.int64), *(x[~mine] for x in (total, one, two, more))]).tobytes())]
+        apart = spread.value[bucket(first)]
+        sums = np.stack([total, one, two, more])
+        _write(folder, f"first-{s}", first[~apart])
+        _write(folder, f"totals-{s}", sums[:, ~apart])
+        stats = np.array([*_tally(c), len(c), int(c.sum())], np.int64)
         w, n = np.unique(w, return_counts=True)
-        cuts = np.searchsorted(_shard(w, shards), np.arange(shards + 1))
-        rows += [(t, _bytes(w[cuts[t] : cuts[t + 1]], "<u8"), _bytes(n[cuts[t] : cuts[t + 1]], "<u4")) for t in np.flatnonzero(np.diff(cuts)).tolist()]
-        return pa.Table.from_batches([_table(shard=([r[0] for r in rows], pa.int32()), a=([r[1] for r in rows], pa.binary()), b=([r[2] for r in rows], pa.binary()))])
+        u, sums = first[apart], sums[:, apart]
+        to = _shard(u, shards)
+        cuts, ends = (np.searchsorted(x, np.arange(shards + 1)) for x in (_shard(w, shards), to))
+        rows = [(-1, stats.tobytes(), b"", b"", b"")]
+        for t in np.flatnonzero(np.diff(cuts) + np.diff(ends)).tolist():
+            x, y = slice(cuts[t], cuts[t + 1]), slice(ends[t], ends[t + 1])
+            rows.append((t, _bytes(w[x], "<u8"), _bytes(n[x], "<u4"), _bytes(u[y], "<u8"), _bytes(sums[:, y].T, "<i8")))
+        return pa.Table.from_batches([_table(**{name: ([r[i] for r in rows], pa.binary() if i else pa.int32()) for i, name in enumerate(("shard", "a", "b", "first", "sums"))})])
 
     return run
 
@@ -168,17 +198,18 @@ def _add_up(folder: str, heavy, shards: int):
 def _followers(folder: str):
     def run(table: pa.Table) -> pa.Table:
         s = table["shard"][0].as_py()
-        if s < 0:  # what the shards have to say about all
-            stats = sum(np.frombuffer(x.as_py(), np.int64) for x in table["a"])
-            heavy = np.concatenate([np.frombuffer(x.as_py(), np.int64).reshape(5, -1) for x in table["b"]], 1)
-            first, *sums = _group_sums(heavy[0].view(np.uint64), *heavy[1:])
-            row = (s, stats.tobytes(), np.stack([first.view(np.int64), *sums]).tobytes())
+        if s < 0:  # six numbers of each shard
+            row = (s, sum(np.frombuffer(x.as_py(), np.int64) for x in table["a"]).tobytes())
         else:
             w, n = _group_sums(_read(table["a"], "<u8"), _read(table["b"], "<u4").astype(np.int64))
             _write(folder, f"word-{s}", w)
             _write(folder, f"before-{s}", n)
-            row = (s, np.array([*_tally(n), int((n > 2).sum()), len(n)], np.int64).tobytes(), b"")
-        return pa.Table.from_batches([_table(shard=([row[0]], pa.int32()), a=([row[1]], pa.binary()), b=([row[2]], pa.binary()))])
+            first, *sums = _group_sums(_read(table["first"], "<u8"), *_read(table["sums"], "<i8").reshape(-1, 4).T)
+            if len(first):
+                _write(folder, f"spread-{s}", first)
+                _write(folder, f"spreadtotals-{s}", np.stack(sums))
+            row = (s, np.array([*_tally(n), int((n > 2).sum()), len(n)], np.int64).tobytes())
+        return pa.Table.from_batches([_table(shard=([row[0]], pa.int32()), a=([row[1]], pa.binary()))])
 
     return run
 
@@ -192,7 +223,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Where a model's arrays are, and its sums: training tokens, distinct tokens, discounts, heavy first words."""
+    """Where a model's arrays are, and its sums: training tokens, distinct tokens, discounts, places of hashes whose words are spread."""
 
     folder: str
     shards: int
@@ -203,7 +234,7 @@ class LanguageModel:
     word_discounts: np.ndarray = field(default_factory=lambda: np.zeros(4))
     pairs: int = 0
     left: float = 1.0
-    heavy: np.ndarray = field(default_factory=lambda: np.zeros((5, 0), np.int64))
+    spread: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, bool))
 
     def drop(self) -> None:
         where, path = fs.FileSystem.from_uri(self.folder)
@@ -220,28 +251,27 @@ def count(docs: DataFrame, text: str = "text") -> LanguageModel:
     rows = docs.select(F.col(text).alias("text"))
     folder = _uri(new_folder(spark, "ngrams"))
     folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
-    often = rows.mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(HEAVY + 1).collect()
-    total = sum(r.n for r in often if r.word is None)
+    load = loads(rows)
+    total = int(load.sum())
     shards = 1 << max(3, math.ceil(math.log2(max(1, total / SHARD_TOKENS))))
     model = LanguageModel(folder, shards)
     if not total:
         return model
-    heavy = spark.sparkContext.broadcast(np.array([r.word for r in often if r.word is not None and r.n > total / (8 * shards)], np.int64).view(np.uint64))
-    counted = rows.mapInArrow(_count(heavy, shards), "shard int, first binary, runs binary, second binary, n binary")
-    added = counted.groupBy("shard").applyInArrow(_add_up(folder, heavy, shards), "shard int, a binary, b binary")
-    got = added.groupBy("shard").applyInArrow(_followers(folder), "shard int, a binary, b binary").collect()
+    model.spread = load > max(total / (8 * shards), 4 * total / BUCKETS)
+    spread = spark.sparkContext.broadcast(model.spread)
+    counted = rows.mapInArrow(_count(spread, shards), "shard int, first binary, runs binary, second binary, n binary")
+    added = counted.groupBy("shard").applyInArrow(_add_up(folder, spread, shards), "shard int, a binary, b binary, first binary, sums binary")
+    got = added.groupBy("shard").applyInArrow(_followers(folder), "shard int, a binary").collect()
     tallies = np.zeros(6, np.int64)
     for r in got:
+        s = np.frombuffer(r.a, np.int64)
         if r.shard < 0:
-            s = np.frombuffer(r.a, np.int64)
-            model.heavy = np.frombuffer(r.b, np.int64).reshape(5, -1)
-            model.pair_discounts, model.pairs, model.tokens = discounts(*s[:4].tolist()), int(s[4]), int(s[6])
+            model.pair_discounts, model.pairs, model.tokens = discounts(*s[:4].tolist()), int(s[4]), int(s[5])
         else:
-            tallies += np.frombuffer(r.a, np.int64)
+            tallies += s
+    spread.destroy()
     model.distinct = int(tallies[5])
-    # A text begins and ends once.
-    begins = model.heavy[1][model.heavy[0].view(np.uint64) == BEGIN]
-    model.texts = int(begins[0]) if len(begins) else int(Arrays(model).firsts(np.array([BEGIN]))[0][0])
+    model.texts = int(Arrays(model).firsts(np.array([BEGIN]))[0][0])  # a text begins and ends once
     model.word_discounts = discounts(*tallies[:4].tolist())
     model.left = float(model.word_discounts[1:] @ np.array([tallies[0], tallies[1], tallies[4]])) / model.pairs
     return model
@@ -260,18 +290,17 @@ class Arrays:
             self.maps.move_to_end(name)
             return self.maps[name]
         path = f"{self.path}/{name}.npy"
-        if self.local:
-            self.maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-            return self.maps[name]
         array = None
-        if self.where.get_file_info(path).type == fs.FileType.File:
+        if self.local:
+            array = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+        elif self.where.get_file_info(path).type == fs.FileType.File:
             with self.where.open_input_stream(path) as file:
                 array = np.lib.format.read_array(file)
             self.bytes += array.nbytes
         self.maps[name] = array
-        while self.bytes > KEPT_BYTES and len(self.maps) > 1:
-            _, old = self.maps.popitem(last=False)
-            self.bytes -= 0 if old is None else old.nbytes
+        while len(self.maps) > (MAPS if self.local else 1) and (self.local or self.bytes > KEPT_BYTES):
+            _, old = self.maps.popitem(last=False)  # a map that nothing holds is closed
+            self.bytes -= 0 if old is None or self.local else old.nbytes
         return array
 
     def _look(self, keys: np.ndarray, shard: np.ndarray, names: str, values: str, rows: int) -> np.ndarray:
@@ -289,18 +318,13 @@ class Arrays:
 
     def firsts(self, w: np.ndarray) -> np.ndarray:
         """Total, and number of followers seen once, twice and more often, of sorted first words."""
-        out = self._look(w, _shard(w, self.model.shards), "first", "totals", 4)
-        heavy = self.model.heavy
-        if heavy.shape[1]:
-            known = heavy[0].view(np.uint64)
-            at = np.minimum(np.searchsorted(known, w), len(known) - 1)
-            hit = known[at] == w
-            out[:, hit] = heavy[1:, at[hit]]
+        out, shard, apart = np.zeros((4, len(w)), np.int64), _shard(w, self.model.shards), self.model.spread[bucket(w)]
+        for own, names in ((~apart, ("first", "totals")), (apart, ("spread", "spreadtotals"))):
+            out[:, own] = self._look(w[own], shard[own], *names, 4)
         return out
 
     def pairs(self, g: np.ndarray, before: np.ndarray) -> np.ndarray:
-        spread = np.isin(before, self.model.heavy[0].view(np.uint64))
-        shard = np.where(spread, _shard(g, self.model.shards), _shard(before, self.model.shards))
+        shard = np.where(self.model.spread[bucket(before)], _shard(g, self.model.shards), _shard(before, self.model.shards))
         c = self._look(g, shard, "pair", "count", 1)[0]
         for i in np.flatnonzero(c == 255).tolist():
             big = self._map(f"big-{shard[i]}")
@@ -323,7 +347,7 @@ def _score(model, text: str, names: list[str]):
         d, e = m.pair_discounts, m.word_discounts
         for batch in batches:
             texts, cols = batch.column(batch.schema.get_field_index(text)), [[], [], [], []]
-            for lo, hi in blocks(texts, 1 << 20):
+            for lo, hi in blocks(texts, 1 << 20 if arrays.local else 1 << 23):
                 now, before, first = tokens(texts.slice(lo, hi - lo))
                 w, inv = np.unique(now, return_inverse=True)
                 b, back = np.unique(before, return_inverse=True)

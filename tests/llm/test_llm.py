@@ -190,6 +190,27 @@ def test_language_model(docs, texts):
     assert ngram.score(docs, none).agg(F.sum("score")).first()[0] == 0.0
 
 
+def test_language_model_spreads_hot_words(spark, docs, monkeypatch):
+    hot = docs.select("doc_id", F.expr("concat_ws(' ', text, array_join(array_repeat(concat('the ', doc_id), size(split(coalesce(text, ''), ' '))), ' '))").alias("text"))
+    model = ngram.count(hot)
+    load = ngram.loads(hot.select("text"))
+    assert model.spread.any() and not model.spread.all() and load.sum() == model.tokens
+    got = {r.doc_id: r.score for r in ngram.score(hot, model).collect()}
+    monkeypatch.setattr(ngram, "loads", lambda rows: np.where(np.arange(ngram.BUCKETS) < model.tokens, 1, 0))
+    plain = ngram.count(hot)
+    assert not plain.spread.any() and plain.tokens == model.tokens and plain.pairs == model.pairs
+    for r in ngram.score(hot, plain).collect():
+        assert abs(got[r.doc_id] - r.score) < 1e-9
+    some = np.unique(ngram.tokens(pa.array(["the 3 the 5 nothing", "ba ke li mo"]))[0])
+    want, few, far = ngram.Arrays(model).firsts(some), ngram.Arrays(model), ngram.Arrays(model)
+    far.local = False  # as on a store that can't be mapped
+    monkeypatch.setattr(ngram, "MAPS", 2)
+    monkeypatch.setattr(ngram, "KEPT_BYTES", 1000)
+    for arrays in (few, far):
+        assert (arrays.firsts(some) == want).all() and (arrays.before(some) == ngram.Arrays(plain).before(some)).all()
+    assert len(few.maps) == 2 and (far.bytes <= 1000 or len(far.maps) == 1)
+
+
 def test_url_filter(spark):
     urls = ["https://www.Example.com/en/1", "http://a.b.www.example.com/en/x?" + "y" * 50_000, "http://net/es/" + "z" * 50_000, "http://com/", "http://example.com/", "http://zzz.com/en/", "http://a.example.com/en/", "http://x.com", "http://x.com/?q", "https://b.net/fr/x#y", "ftp://net/es/", None, "no host", "http://example.com.org/en/", "http://xexample.com/en/"]
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
