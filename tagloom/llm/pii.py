@@ -6,7 +6,8 @@ and decoded by Viterbi over numpy batches of lines. Every span must hold a trigg
 brackets), so lines without one need no decoding; lines with one are decoded whole. A span of the field is kept if it doesn't touch a span of
 the patterns and passes the kind's check; spans of the patterns always stay. `evaluate` gives precision and recall of the field by kind.
 
-Null and empty texts have no spans. Lines of any length are decoded whole, long ones few at a time. Equal labellings go by the order of labels. Offsets are code points, ends exclusive. Rows with equal ids are judged one by one; other columns
+Null and empty texts have no spans. Lines of any length are decoded whole; of one with more than `LONG` tokens only back pointers and places are kept
+(some 25 bytes a token), features and scores being made block by block. Equal labellings go by the order of labels. Offsets are code points, ends exclusive. Rows with equal ids are judged one by one; other columns
 are not read.
 """
 
@@ -16,6 +17,8 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -32,11 +35,13 @@ _EMAIL_AT, _EMAIL = re.compile(_LOCAL), re.compile(r"(?<![A-Za-z0-9._%+-])" + _L
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-CELLS = 1 << 17
+CELLS, LONG, PENDING = 1 << 17, 1 << 12, 1 << 15
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ]+|[0-9]+|[^\sA-Za-z0-9À-ɏ]|\n")
 _TRIGGER = re.compile(r"[0-9@]|[\[({]\s*(?:at|dot)\s*[\])}]", re.I)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 HASHED = 1 << 14
+IS_BEGIN, IS_INSIDE = (np.array([x[0] == p for x in LABELS]) for p in "BI")
+FIRST = np.array([0.0 if x[0] != "I" else -1e6 for x in LABELS])
 
 
 def luhn(digits: str) -> bool:
@@ -63,7 +68,7 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "@" in text:
         found += [(a, 0, b) for a, b in _emails(text)]
-    found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+    found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split("."))]
     for m in _CARD.finditer(text):
         if 14 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             found.append((m.start(), 2, m.end()))
@@ -168,7 +173,6 @@ def viterbi(runs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
         if not groups or (len(groups[-1]) + 1) * len(runs[i]) > CELLS:
             groups.append([])
         groups[-1].append(i)
-    first = np.array([0.0 if x[0] != "I" else -1e6 for x in LABELS])
     for part in groups:
         longest = max(len(runs[i]) for i in part)
         if not longest:
@@ -177,7 +181,7 @@ def viterbi(runs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
         for j, i in enumerate(part):
             e[j, : len(runs[i])] = w[runs[i]].sum(1)
         lens = np.array([len(runs[i]) for i in part])
-        best, came = e[:, 0] + first, np.zeros((len(part), longest, len(LABELS)), np.int64)
+        best, came = e[:, 0] + FIRST, np.zeros((len(part), longest, len(LABELS)), np.uint8)
         for i in range(1, longest):
             s = best[:, :, None] + t[None]
             came[:, i] = s.argmax(1)
@@ -192,15 +196,78 @@ def viterbi(runs: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.nda
     return out
 
 
-def _runs(text: str) -> Iterator[list[tuple[str, int, int]]]:
-    """Tokens with their places of each line that has a trigger."""
+def viterbi_in_blocks(blocks: Iterator[np.ndarray], w: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Best labels of one run whose features come in blocks: what is carried on is one column of scores."""
+    came, best = [], None
+    for f in blocks:
+        e, back = w[f].sum(1), np.zeros((len(f), len(LABELS)), np.uint8)
+        for i in range(len(f)):
+            if best is None:
+                best = e[i] + FIRST
+                continue
+            s = best[:, None] + t
+            back[i] = s.argmax(0)
+            best = s.max(0) + e[i]
+        came.append(back)
+    n = sum(map(len, came))
+    y = np.zeros(n, np.uint8)
+    if n:
+        y[-1] = best.argmax()
+    for back in reversed(came):
+        for row in back[::-1]:
+            n -= 1
+            if n:
+                y[n - 1] = row[y[n]]
+    return y
+
+
+def token_features(text: str, a: int, b: int, start: array, stop: array) -> Iterator[np.ndarray]:
+    """Features of the tokens of text[a:b] in blocks of LONG; each token's place is added to start and stop."""
+    held, left = [], 0  # the first `left` are there for their neighbours
+    for x in _TOKEN.finditer(text, a, b):
+        start.append(x.start())
+        stop.append(x.end())
+        held.append(x[0])
+        if len(held) == left + LONG + 2:
+            yield _features(held)[left:-2]
+            held, left = held[-4:], 2
+    if len(held) > left:
+        yield _features(held)[left:]
+
+
+class Taken:
+    """Stretches of a text that spans cover."""
+
+    def __init__(self, spans: list[tuple]):
+        self.start, self.stop = array("q"), array("q")
+        for a, _, b in spans:  # by start
+            if self.stop and a < self.stop[-1]:
+                self.stop[-1] = max(b, self.stop[-1])
+            else:
+                self.start.append(a)
+                self.stop.append(b)
+
+    def touches(self, a: int, b: int) -> bool:
+        i = bisect_right(self.stop, a)
+        return i < len(self.stop) and self.start[i] < b
+
+
+def _open_lines(text: str, taken: Taken) -> Iterator[tuple[int, int, int]]:
+    """Begin, end and number of tokens of each line with a trigger that the patterns have left; the number stops at LONG + 1."""
     end = 0
     for m in _TRIGGER.finditer(text):
         if m.start() < end:
             continue
         a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
         end = len(text) if b < 0 else b
-        yield [(x[0], x.start(), x.end()) for x in _TOKEN.finditer(text, a, end)]
+        n, left = 0, False
+        for x in _TOKEN.finditer(text, a, end):
+            n += 1
+            left = left or (_TRIGGER.match(text, x.start()) is not None and not taken.touches(*x.span()))
+            if left and n > LONG:
+                break
+        if left:
+            yield a, end, n
 
 
 def _plausible(kind: str, s: str) -> bool:
@@ -217,24 +284,37 @@ def _plausible(kind: str, s: str) -> bool:
 def find_spans(texts: list[str], w: np.ndarray, t: np.ndarray) -> list[tuple[list, list]]:
     """For each text its pattern spans, and those and the field's spans together."""
     base = [pattern_spans(x) for x in texts]
-    runs, of = [], []
-    for i, x in enumerate(texts):
-        for run in _runs(x):
-            inside = [b for b in base[i] if b[0] < run[-1][2] and b[2] > run[0][1]]
-            rest = [z for z in run if not any(b[0] < z[2] and b[2] > z[1] for b in inside)]
-            if any(_TRIGGER.match(x, z[1]) for z in rest):  # what the patterns have found leaves something to decide
-                runs.append(run)
-                of.append((i, inside))
     every = [list(b) for b in base]
-    for (i, inside), run, y in zip(of, runs, viterbi([_features([z[0] for z in r]) for r in runs], w, t), strict=True):
-        at = 0
-        for b in range(1, len(run) + 1):
-            if b == len(run) or LABELS[y[b]][0] != "I":
-                if y[at] and not any(p[0] < run[b - 1][2] and p[2] > run[at][1] for p in inside):
-                    kind = LABELS[y[at]][2:]
-                    if _plausible(kind, texts[i][run[at][1] : run[b - 1][2]]):
-                        every[i].append((run[at][1], KINDS.index(kind), run[b - 1][2]))
-                at = b
+    pending: list[tuple] = []
+
+    def keep(i: int, taken: Taken, start: array, stop: array, y: np.ndarray) -> None:
+        begins = np.flatnonzero(IS_BEGIN[y])  # a label that isn't inside ends what came before
+        ends = np.append(np.flatnonzero(~IS_INSIDE[y]), len(y))
+        for at, to in zip(begins.tolist(), ends[np.searchsorted(ends, begins, "right")].tolist(), strict=True):
+            a, b, kind = start[at], stop[to - 1], LABELS[y[at]][2:]
+            if not taken.touches(a, b) and _plausible(kind, texts[i][a:b]):
+                every[i].append((a, KINDS.index(kind), b))
+
+    def decode() -> None:
+        for (i, taken, start, stop, _), y in zip(pending, viterbi([f for *_, f in pending], w, t), strict=True):
+            keep(i, taken, start, stop, y)
+        pending.clear()
+
+    waiting = 0
+    for i, x in enumerate(texts):
+        taken = Taken(base[i])
+        for a, b, n in _open_lines(x, taken):
+            start, stop = array("q"), array("q")
+            if n > LONG:
+                y = viterbi_in_blocks(token_features(x, a, b, start, stop), w, t)
+                keep(i, taken, start, stop, y)
+                continue
+            pending.append((i, taken, start, stop, np.concatenate(list(token_features(x, a, b, start, stop)))))
+            waiting += n
+            if waiting > PENDING:
+                decode()
+                waiting = 0
+    decode()
     return [(b, sorted(set(e))) for b, e in zip(base, every, strict=True)]
 
 

@@ -293,6 +293,17 @@ def test_pii_field(spark):
     assert pii.personal_data(spark.createDataFrame([(1, "x@y.z")], "doc_id long, text string"), labelled=table).first().n_email == 1
 
 
+def test_pii_long_lines_in_blocks(monkeypatch):
+    model = pii.train()
+    lines = [" ".join(a) for a, _ in pii.labelled_table(400, 9)]
+    texts = [" ".join(lines[:150]), "\n".join(lines[150:300]), "x@y.z 1.2.3.4 " * 50 + "me (at) there.org", "0" * 5000 + "1.2.3.4", "", "5"]
+    whole = pii.find_spans(texts, *model)
+    assert any(len(every) > len(base) for base, every in whole) and whole[3][0] == [(0, 1, 5007)]
+    for long in (2, 3, 64):
+        monkeypatch.setattr(pii, "LONG", long)
+        assert pii.find_spans(texts, *model) == whole
+
+
 def test_extract(spark):
     page = "<html><body><nav>menu</nav><div class='ad box'>ad</div><article><h1>T {0}</h1><p>one &amp;\n {0} <b>two<p>three<script>x('</p>')</script> four {0}<div id=comments>no</div></article><footer>f</footer>"
     rows = [(i, f"http://h/{i}", page.format(i)) for i in range(6)] + [(7, None, None), (8, "x", ""), (9, "http://h2/", "<p>a<br>b<ul><li>c<li>d</ul><aside>e</aside><ta")]
