@@ -353,7 +353,7 @@ def test_nearest(spark):
         hit += len({v for _, v, _ in own} & set(want))
     assert hit >= 0.9 * 90 and {r.query_id for r in got} == set(range(0, 900, 100))
     nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
-    whole = neighbours.scanned(nodes.filter("id % 90 = 0"), 10, nodes, 5).collect()
+    whole = neighbours.scanned(nodes.filter("id % 90 = 0"), 10, nodes, 5, "<f4").collect()
     for q in range(0, 900, 90):
         d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(1)
         own = sorted((r.d, r.nbr) for r in whole if r.id == q)
@@ -362,6 +362,17 @@ def test_nearest(spark):
     assert neighbours.nearest(few).count() == 3 and neighbours.nearest(few.filter("false")).count() == 0
 
 
+def test_nearest_measures_doubles(spark):
+    g = np.random.Generator(np.random.PCG64(2))
+    x = 1 + 1e-10 * g.standard_normal((60, 4))  # all alike as floats
+    got = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), every=20).collect()
+    for q in (0, 20, 40):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        want = [i for i in np.argsort(d).tolist() if i != q][:10]
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [v for _, v, _ in own] == want and all(s == d[v] for _, v, s in own)
+
+
 def test_language(spark):
     r = random.Random(8)
     make = lambda letters: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(30))
