@@ -6,7 +6,7 @@ the shared folder. A bigram's shard follows from its first word, unless that wor
 tokens: first words are counted by `BUCKETS` places of their hash, over all texts, and the bigrams of words in a full place are spread over all
 shards. What the shards know of such a word meets in the word's own shard, by a second exchange, as does the number of distinct first
 words of each second word. Discounts come from counts of counts over all shards. A scoring task maps the arrays and looks up the distinct
-tokens and bigrams of a block of texts; it keeps the `MAPS` arrays used last open.
+tokens and bigrams of a block of texts; it keeps the `MAPS` arrays used last mapped, without file handles.
 
 Every text counts whole. A null text is empty, so its only token is the end. Repeated rows are scored one by one, and count as often as they
 come. Without training rows every token has probability 1. A very long text is a block of its own. Other columns pass through; those named like the
@@ -18,7 +18,9 @@ large there.
 from __future__ import annotations
 
 import math
+import mmap
 import os
+import sys
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -34,7 +36,10 @@ from tagloom.llm.scratch import new_folder
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, words
 
 END, BEGIN, _PAIR = np.uint64(0x517CC1B727220A95), np.uint64(0x2545F4914F6CDD1D), np.uint64(0xA0761D6478BD642F)
-FLUSH_TOKENS, SHARD_TOKENS, BUCKETS, SLICE, MAPS, KEPT_BYTES = 1 << 20, 1 << 21, 1 << 20, 1 << 10, 256, 256 << 20
+FLUSH_TOKENS, SHARD_TOKENS, BUCKETS, SLICE, KEPT_BYTES = 1 << 20, 1 << 21, 1 << 20, 1 << 10, 256 << 20
+#: From Python 3.13 on a map needs no file handle; a process may have 65,530 maps as a rule. Earlier each takes one of some 1,024 handles.
+_NO_HANDLE = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+MAPS = 1 << 15 if _NO_HANDLE else 256
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,6 +282,15 @@ def count(docs: DataFrame, text: str = "text") -> LanguageModel:
     return model
 
 
+def _mapped(path: str) -> np.ndarray:
+    with open(path, "rb") as file:
+        np.lib.format.read_magic(file)
+        shape, _, kind = np.lib.format.read_array_header_1_0(file)
+        at = file.tell()
+        data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **_NO_HANDLE)
+    return np.frombuffer(data, kind, math.prod(shape), at).reshape(shape)
+
+
 class Arrays:
     """A model's arrays in a worker: mapped, or read where the store can't be mapped."""
 
@@ -292,7 +306,7 @@ class Arrays:
         path = f"{self.path}/{name}.npy"
         array = None
         if self.local:
-            array = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            array = _mapped(path) if os.path.exists(path) else None
         elif self.where.get_file_info(path).type == fs.FileType.File:
             with self.where.open_input_stream(path) as file:
                 array = np.lib.format.read_array(file)
