@@ -182,7 +182,8 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
         hit = collided(tags.select(*key, F.col("average").alias("n")), ratio, by).select(*key, F.lit(True).alias("hit"))
         tags = tags.join(hit, key, "left").withColumn("collided", F.coalesce("hit", F.lit(False))).drop("hit")
     good = groups.join(tags.filter("NOT small AND NOT collided").select(*key, "rows"), key)
-    usual = good.filter(F.col("rows") <= MOST_READS).select(*key, "mate", "seq", "cnt").repartition(*key).sortWithinPartitions(*key, "mate")
+    usual = good.filter(F.col("rows") <= MOST_READS).select(*key, "mate", "seq", "cnt", F.xxhash64(*key).alias("place"))
+    usual = usual.repartition("place").sortWithinPartitions(*key, "mate").drop("place")  # by a column that the join hasn't: a repartition by its own keys is left out, and a join may be turned into one that parts tags
     kinds = {f.name: f.dataType.simpleString() for f in good.schema}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*key, "mate")), "count long, dropped_reads long, dropped_sequences long, seq string, qual string"])
     found = usual.mapInArrow(_assembled(offset, anchor, most, least, len(key) + 1), schema)
