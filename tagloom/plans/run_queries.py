@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import IUPAC, reverse_complement
 from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
-from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _mapped_reads, _mig_reads, _reads, query
+from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _mapped_reads, _mig_reads, _qualities, _quick, _reads, query
 from tagloom.sources import fastq
 from tagloom.sources.tables import saved, shared_folder
 from tagloom.streaming import tags
@@ -31,6 +31,7 @@ _LINES = "SELECT l_orderkey o, l_linenumber l, l_partkey % 40 kv, (l_orderkey *
 
 def _library(spark, sf_dir) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = part.select((F.col("p_partkey") % 40).alias("p_partkey")).distinct()  # an allele's bases are made once
     one = lambda kind, ref: spark.sql(_segments(kind, "div").replace("FROM part", "FROM {part}"), part=part).select(F.lit("TRB").alias("gene"), F.lit(kind).alias("kind"), F.concat(F.lit(kind), F.col("k").cast("string"), F.lit("*01")).alias("alleles"), F.concat(F.lit(kind), F.col("k").cast("string")).alias("segments"), F.lit(ref).alias("ref_point"), "seq", "k")
     return one("V", 50).union(one("J", 8))
 
@@ -62,18 +63,20 @@ def gapped_cdr3s(spark, sf_dir):
 
 #: Seeds, fuzzy places, tags in master and slave; the third has no slave.
 BARCODES = [checkout.Barcode("S1", "ATGNNNNCAtgcawt", "GGRNNtt"), checkout.Barcode("S2", "CATNNNNtgctagca", "CCAc"), checkout.Barcode("S3", "GGATCNNtacgt")]
+_QS = "concat(" + ", ".join(f"chr(cast(35 + (ph + {i} * l) % 39 as int))" for i in range(80)) + ")"
 _RC = "reverse(translate({}, 'ACGT', 'TGCA'))"
 _PAIRS = f"""WITH b AS (SELECT l_orderkey o, l_linenumber l, {_SEQ} AS seq, {_UMI8} AS umi, cast(l_quantity as int) ph FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) l_partkey, min(l_quantity) l_quantity FROM lineitem GROUP BY l_orderkey, l_linenumber) x),
 m AS (SELECT o, l, ph, concat(substr(seq, 1, cast(o % 5 as int)), CASE o % 4 WHEN 0 THEN concat('ATG', substr(umi, 1, 4), 'CA') WHEN 1 THEN concat('CAT', substr(umi, 1, 4)) WHEN 2 THEN concat('GGATC', substr(umi, 1, 2)) ELSE 'TTTTTT' END,
   CASE WHEN o % 4 = 2 THEN 'TACGT' WHEN o % 7 = 0 THEN 'TGCAAC' WHEN o % 4 = 0 THEN 'TGCAAT' ELSE 'TGCTAGCA' END, seq) AS m1,
   concat(substr('TATA', 1, cast(l % 4 as int)), CASE WHEN o % 11 = 0 THEN 'TTTT' WHEN o % 4 = 0 THEN concat('GGA', substr(umi, 5, 2), 'TT') ELSE 'CCAC' END, {_RC.format("substr(seq, cast(1 + (o + l) % 30 as int))")}) AS m2 FROM b),
-q AS (SELECT *, concat({", ".join(f"chr(cast(35 + (ph + {i} * l) % 39 as int))" for i in range(80))}) AS qs FROM m),
+q AS (SELECT *, {_QS} AS qs FROM m),
 p AS (SELECT o, l, m1, m2, substr(qs, 1, length(m1)) AS q1, reverse(substr(qs, 1, length(m2))) AS q2 FROM q),
 pairs AS (SELECT o, l, CASE WHEN o % 3 = 0 THEN m2 ELSE m1 END AS s1, CASE WHEN o % 3 = 0 THEN q2 ELSE q1 END AS q1, CASE WHEN o % 3 = 0 THEN m1 ELSE m2 END AS s2, CASE WHEN o % 3 = 0 THEN q1 ELSE q2 END AS q2 FROM p)"""
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
-    return spark.sql(f"{_PAIRS} SELECT * FROM pairs".replace("FROM lineitem", "FROM {lineitem}").replace("{div}", "div"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    made = _quick(f"{_PAIRS} SELECT * FROM pairs").replace(_QS, _qualities("ph", "l", 80))
+    return spark.sql(made.replace("FROM lineitem", "FROM {lineitem}").replace("{div}", "div"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 def _found(barcode: str, reads: str) -> str:
@@ -145,7 +148,7 @@ w AS (SELECT DISTINCT name, substr(x, a::INT, n::INT) w FROM s, range(1, 17) t(a
 SELECT middle, string_agg(DISTINCT name, ',' ORDER BY name) d, a::INT d_start, (a + n - 1)::INT d_end FROM p JOIN w USING (w) GROUP BY middle, a, n QUALIFY row_number() OVER (PARTITION BY middle ORDER BY n DESC, a) = 1""")
 def d_segments(spark, sf_dir):
     """The D segments that middles hold a stretch of."""
-    middles = spark.sql(f"SELECT {_MIDDLE.format(div='div')} AS middle FROM {{lineitem}}", lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    middles = spark.sql(f"SELECT {_quick(_MIDDLE)} AS middle FROM {{lineitem}}", lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     return mapping.d_segments(middles, spark.createDataFrame([(f"D{i}", x) for i, x in enumerate(_D, 1)], "alleles string, seq string"))
 
 
@@ -159,7 +162,7 @@ a AS (SELECT cdr3nt, good_events, good_reads FROM c UNION ALL SELECT target, goo
 SELECT cdr3nt, sum(good_events)::BIGINT good_events, sum(good_events)::BIGINT total_events, sum(good_reads)::BIGINT good_reads, sum(good_reads)::BIGINT total_reads FROM a GROUP BY cdr3nt""")
 def merged_noncanonical(spark, sf_dir):
     """Canonical CDR3s with the counters of longer ones that hold them."""
-    rows = spark.sql(_LOOSE.format(div="div").replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    rows = spark.sql(_quick(_LOOSE).replace("FROM lineitem", "FROM {lineitem}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     table = rows.groupBy("cdr3nt", "aa").agg(F.count("*").alias("good_events"), F.count("*").alias("total_events"), F.sum("good_reads").alias("good_reads"), F.sum("good_reads").alias("total_reads"))
     return clonotypes.merge_noncanonical(table)
 
