@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.functions.sequence import phreds
 from tagloom.operators import profiles
 from tagloom.sources.tables import saved
 
@@ -56,10 +55,23 @@ def quality_matrix(reads: DataFrame) -> DataFrame:
 
 
 def good_windows(reads: DataFrame, size: int = 5, least: int = 15) -> DataFrame:
-    """Reads in which each window of qualities has the least mean."""
-    q = phreds(F.col("qual"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("qual") - size + 1, F.lit(1)))
-    return reads.filter(F.forall(starts, lambda i: F.aggregate(F.slice(q, i, size), F.lit(0), lambda s, x: s + x) >= size * least))
+    """Reads in which each window of qualities has the least mean; one shorter than a window counts as a window of what it has. Reads without a quality are left out."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            qual = batch.column("qual")
+            row, place, symbol = profiles.letters(qual)
+            n = np.bincount(row, minlength=batch.num_rows)
+            sums = np.concatenate([[0], np.cumsum(symbol.astype(np.int64) - 33)])
+            starts = np.flatnonzero((place + size <= n[row]) | (place == 0))
+            ends = np.minimum(starts + size, (np.cumsum(n))[row[starts]])
+            bad = row[starts][sums[ends] - sums[starts] < size * least]
+            good = (n > 0) if size * least > 0 else np.ones(batch.num_rows, bool)
+            good[bad] = False
+            good &= qual.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(good))
+
+    return reads.mapInArrow(kept, reads.schema)
 
 
 def cdr3_bundles(reads: DataFrame) -> DataFrame:
