@@ -256,9 +256,9 @@ def assemble_batch(reads: DataFrame, estimates: DataFrame, metadata: DataFrame |
         rules = rules.withColumn("mask", F.lit(default_mask))
     rules = rules if manifest is None else rules.join(manifest.select("sample", "type").distinct(), ["sample", "type"], "left_semi")
     rules = rules.withColumn("mask", F.split(F.coalesce("mask", F.lit(default_mask)), ":"))
-    wanted = reads.join(rules, ["sample", "type"]).filter(F.element_at("mask", F.col("mate").cast("int")) == "1")
+    wanted = reads.join(F.broadcast(rules), ["sample", "type"]).filter(F.element_at("mask", F.col("mate").cast("int")) == "1")
     found = saved(statuses(wanted, 1, False, ("sample", "type")), "consensus")
-    tags = found.groupBy("sample", "type", "umi").agg(F.min("n").alias("fewest"), F.min("count").alias("left"), F.max("average").alias("n")).join(rules.drop("mask"), ["sample", "type"])
+    tags = found.groupBy("sample", "type", "umi").agg(F.min("n").alias("fewest"), F.min("count").alias("left"), F.max("average").alias("n")).join(F.broadcast(rules.drop("mask")), ["sample", "type"])
     hit = collided(tags.filter("filter_collided").select("sample", "type", "umi", "n"), 0.1).select("sample", "type", "umi")
     whole = tags.filter((F.col("fewest") >= F.col("least_n")) & (F.col("left") >= F.col("least_n"))).join(hit, ["sample", "type", "umi"], "left_anti")
     return found.join(whole.select("sample", "type", "umi"), ["sample", "type", "umi"], "left_semi").select("sample", "type", "umi", "mate", "count", "seq", "qual")

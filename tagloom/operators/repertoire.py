@@ -66,7 +66,7 @@ def clonotype_table(counted: DataFrame, good_total: DataFrame, ordered: bool = T
     named = counted.withColumn("cdr3aa", translate_both_ends(F.col("cdr3nt"))).filter(canonical_or_broken("cdr3aa"))
     rolled = named.groupBy(*by, *SIGNATURE).agg(*(F.sum(c).alias(c) for c in COUNTERS)).filter("good_events > 0")
     total = good_total.select(*by, F.col("events_good").alias("all_good"))
-    shared = rolled.join(total, list(by)) if by else rolled.crossJoin(F.broadcast(total))  # one row
+    shared = rolled.join(F.broadcast(total), list(by)) if by else rolled.crossJoin(F.broadcast(total))  # a row a sample, or one
     shared = shared.select(*by, F.col("good_events").alias("count"), (F.col("good_events") / F.col("all_good")).alias("fraction"), *SIGNATURE, *COUNTERS)
     return shared.orderBy(*by, F.desc("count"), "cdr3nt", "v", "j", "d") if ordered else shared
 
@@ -88,7 +88,7 @@ def clonotypes_from_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataF
 def clonotypes_batch(reads: DataFrame, samples: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None = None, k: int = 7, raw_quality: int = 25, assembled_quality: int = 30) -> tuple[DataFrame, DataFrame]:
     """Clonotype tables (sample, type, gene, and the columns of a table) and mapping log of all samples at once. reads: sample, type (raw or assembled), seq, qual, inc; samples: sample, species,
     gene, type: which to map, by which library; alleles have species and gene too."""
-    wanted = reads.join(samples.select("sample", "type", "gene").distinct(), ["sample", "type"])
+    wanted = reads.join(F.broadcast(samples.select("sample", "type", "gene").distinct()), ["sample", "type"])  # a row a sample; by sample, the reads of one would be one task
     found = map_reads(wanted, alleles.join(samples.select("species", "gene").distinct(), ["species", "gene"], "left_semi"), d_alleles, k).withColumnRenamed("gene", "of_gene")
     appended = append_reads(wanted.filter("type = 'raw'"), found, raw_quality).unionByName(append_reads(wanted.filter("type = 'assembled'"), found, assembled_quality))
     other = F.col("of_gene").isNotNull() & (F.col("of_gene") != F.col("gene"))
