@@ -57,9 +57,10 @@ def collapse(table: DataFrame) -> DataFrame:
 
 def one_apart(table: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (a, b) of rows whose CDR3s differ in one place: an equi-join on the CDR3 with one place masked. table: id columns `by`, cdr3nt, size."""
+    # merged: Spark takes exploded rows for no more than the table has, and would broadcast them
     masks = table.select(*by, "cdr3nt", "size", F.explode(wildcards(F.col("cdr3nt"))).alias("mask"))
     a, b = masks.select(*by, "mask", F.col("cdr3nt").alias("a"), F.col("size").alias("a_size")), masks.select(*by, "mask", F.col("cdr3nt").alias("b"), F.col("size").alias("b_size"))
-    return a.join(b, [*by, "mask"]).filter("a <> b").drop("mask").distinct()
+    return a.join(b.hint("merge"), [*by, "mask"]).filter("a <> b").drop("mask").distinct()
 
 
 def two_apart(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
