@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import reverse_complement
-from tagloom.operators.alignment import HIT
+from tagloom.operators.alignment import HIT, PIECE
 from tagloom.operators.substrings import longest_stretches
+from tagloom.sources.tables import saved
 
 
 def trimmed_alleles(segments: DataFrame, v_left: int = 50, j_right: int = 20) -> DataFrame:
@@ -28,13 +29,20 @@ def seeds(table: DataFrame, k: int) -> DataFrame:
 def best_hits(reads: DataFrame, alleles: DataFrame, k: int = 11, least: int = 2) -> DataFrame:
     """Best ungapped hit of each distinct sequence (both strands) and kind of segment: the diagonal with most shared k-mers.
 
-    reads: seq. An equi-join on k-mers, so no read is held against a whole library; ties go to the first allele names, then the diagonal."""
+    reads: seq. An equi-join on k-mers, so no read is held against a whole library (one of at most PIECE bases goes to all tasks); ties go to the first allele names, then the diagonal."""
     forward = reads.select("seq").distinct()
     both = forward.select("seq", F.col("seq").alias("read"), F.lit(False).alias("rc")).unionByName(forward.select(reverse_complement(F.col("seq")).alias("seq"), F.col("seq").alias("read"), F.lit(True).alias("rc")))
-    lib = seeds(alleles.select("gene", "kind", "alleles", "segments", "ref_point", "seq"), k).select("gene", "kind", "alleles", "segments", "ref_point", F.col("at").alias("a_at"), "kmer")
-    hits = seeds(both, k).join(lib, "kmer").groupBy("read", "rc", "gene", "kind", "alleles", "segments", "ref_point", (F.col("at") - F.col("a_at")).alias("shift")).agg(F.count("*").alias("score"), F.min("at").alias("q_from"), (F.max("at") + k - 1).alias("q_to"), F.min("a_at").alias("a_from"), (F.max("a_at") + k - 1).alias("a_to"))
-    cols = ["rc", "gene", "alleles", "segments", "ref_point", "shift", "score", "q_from", "q_to", "a_from", "a_to"]
-    return hits.filter(F.col("score") >= least).groupBy("read", "kind").agg(F.min_by(F.struct(*cols), F.struct(-F.col("score"), "gene", "alleles", "rc", "shift")).alias("hit")).select("read", "kind", "hit.*")
+    named = ["gene", "kind", "alleles", "segments", "ref_point"]
+    alleles = saved(alleles.select(*named, "seq"), "alleles")
+    names = saved(alleles.select(*named).distinct().orderBy("gene", "alleles", "kind", "segments", "ref_point").withColumn("no", F.monotonically_increasing_id()), "names")  # in order; names may be long, so hits go by number
+    numbered = alleles.join(names, [alleles[c].eqNullSafe(names[c]) for c in named]).select("no", alleles["kind"], "seq")
+    small = (alleles.agg(F.sum(F.length("seq"))).first()[0] or 0) <= PIECE
+    sent = F.broadcast if small else lambda t: t  # so that words of reads aren't moved
+    lib = seeds(numbered, k).select("no", "kind", F.col("at").alias("a_at"), "kmer")
+    hits = seeds(both, k).join(sent(lib), "kmer").groupBy("read", "rc", "kind", "no", (F.col("at") - F.col("a_at")).alias("shift")).agg(F.count("*").alias("score"), F.min("at").alias("q_from"), (F.max("at") + k - 1).alias("q_to"), F.min("a_at").alias("a_from"), (F.max("a_at") + k - 1).alias("a_to"))
+    places = ["shift", "score", "q_from", "q_to", "a_from", "a_to"]
+    best = hits.filter(F.col("score") >= least).groupBy("read", "kind").agg(F.min_by(F.struct("rc", "no", *places), F.struct(-F.col("score"), "no", "rc", "shift")).alias("hit")).select("read", "kind", "hit.*")
+    return best.join(sent(names.drop("kind")), "no").select("read", "kind", "rc", "gene", "alleles", "segments", "ref_point", *places)
 
 
 def external_hits(hits: DataFrame, queries: DataFrame, alleles: DataFrame, least_identical: int = 7) -> DataFrame:

@@ -5,7 +5,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tagloom.operators import assemble, reads, repertoire, umi
+from tagloom.operators import assemble, clonotypes, mapping, reads, repertoire, umi
 
 
 @contextlib.contextmanager
@@ -54,3 +54,19 @@ def test_samples_are_broadcast_to_reads(spark):
         finally:
             repertoire.saved = real
     assert "BroadcastHashJoin [sample" in plans[0] and "SortMergeJoin [sample" not in plans[0]
+
+
+def test_masked_strings_are_not_broadcast(spark):
+    table = spark.createDataFrame([("u", "ATG", 1), ("u", "ATC", 2)], "umi string, cdr3nt string, size long")
+    pairs = clonotypes.one_apart(table, ("umi",))
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 2
+
+
+def test_hits_carry_numbers_not_names(spark):
+    seq = "ATGCCATTGACGTACGGATCCATTGCAAGT"
+    alleles = spark.createDataFrame([("TRB", "V", n * 3000, n, 9, seq) for n in "BA"], "gene string, kind string, alleles string, segments string, ref_point int, seq string")
+    found = mapping.best_hits(spark.createDataFrame([(seq,)], "seq string"), alleles)
+    (row,) = found.collect()
+    assert (row.segments, row.alleles, row.shift, row.score) == ("A", "A" * 3000, 0, 20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("alleles" in line for line in plan.splitlines() if "hashpartitioning" in line)
