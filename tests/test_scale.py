@@ -6,6 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from tagloom.operators import assemble, clonotypes, mapping, reads, repertoire, umi
+from tagloom.plans import queries as plans
 
 
 @contextlib.contextmanager
@@ -70,3 +71,9 @@ def test_hits_carry_numbers_not_names(spark):
     assert (row.segments, row.alleles, row.shift, row.score) == ("A", "A" * 3000, 0, 20)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not any("alleles" in line for line in plan.splitlines() if "hashpartitioning" in line)
+
+
+def test_looked_up_reads_are_those_made_base_by_base(spark):
+    keys = spark.range(300).selectExpr("id * 977 + 3 AS l_partkey", "nullif(id * 31 + 7, 38) AS l_orderkey", "cast(id % 7 + 1 AS int) AS l_linenumber")
+    for name, quick in plans._QUICK.items():
+        assert keys.filter(f"NOT (({plans._COLUMNS[name].format(div='div')}) <=> ({quick}))").count() == 0
