@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.sequence import core, hamming
 from tagloom.operators import profiles
 from tagloom.operators.umi import collided
-from tagloom.sources.tables import saved
+from tagloom.sources.tables import saved, sent_if_small
 
 
 MOST_READS, AT_ONCE = 100_000, 20_000
@@ -92,15 +92,29 @@ def consensus(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",
     return sums.mapInArrow(read_off, f"{kinds}, count long, seq string, qual string")
 
 
-def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: int, anchor: int, most: int, least: int):
-    """Tags' (numbered from 0, in order) reads in consensus, distinct reads in it, and sequence and quality; empty below `least` reads."""
+def _in_order(words: np.ndarray) -> np.ndarray:
+    """Words of letters (along the last axis), one after the other, as values in their order: as whole numbers where those are wide enough."""
+    wide, held = words.shape[-1], np.bincount(words.ravel(), minlength=256) > 0
+    bits = max(1, (int(held.sum()) - 1).bit_length())
+    if wide * bits > 63:
+        return np.ascontiguousarray(words).view(f"S{wide}").ravel()
+    rank = (np.cumsum(held) - 1)[words]
+    out = np.zeros(words.shape[:-1], np.int64)
+    for i in range(wide):
+        out = out << bits | rank[..., i]
+    return out.ravel()
+
+
+def placed_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: int, anchor: int, most: int, least: int):
+    """Tags' (numbered from 0, in order) reads shifted to their core: all bases, where each read's begin, its bases left and right of the middle, whether it is in the consensus (at most `most`
+    mismatches, and the tag has `least` such reads), and of each tag reads and distinct reads with few mismatches."""
     tags, wide = int(tag[-1]) + 1, 2 * anchor + 1
     size = np.array([len(x) for x in seqs])
     begin, data = np.cumsum(size) - size, np.frombuffer(b"".join(seqs), np.uint8)
     offsets = np.arange(-offset, offset + 1)
     middle = size // 2
     cores = data[(begin + middle - anchor)[:, None, None] - offsets[None, :, None] + np.arange(wide)[None, None]]
-    _, code = np.unique(np.ascontiguousarray(cores).view(f"S{wide}").ravel(), return_inverse=True)  # in the order of letters
+    _, code = np.unique(_in_order(cores), return_inverse=True)
     vote, place, back = np.unique(np.repeat(tag, len(offsets)) * (int(code.max()) + 1) + code, return_index=True, return_inverse=True)
     votes, away = np.bincount(back, np.repeat(cnt, len(offsets))), np.bincount(back, np.tile(np.abs(offsets), len(seqs)))
     owner = vote // (int(code.max()) + 1)
@@ -113,6 +127,13 @@ def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: in
     n, distinct = np.bincount(tag[keep], cnt[keep], tags).astype(np.int64), np.bincount(tag[keep], minlength=tags)
     keep &= n[tag] >= least
     x, y = middle - offsets[at], size - middle + offsets[at]
+    return data, begin, x, y, keep, n, distinct
+
+
+def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: int, anchor: int, most: int, least: int):
+    """Tags' (numbered from 0, in order) reads in consensus, distinct reads in it, and sequence and quality; empty below `least` reads."""
+    data, begin, x, y, keep, n, distinct = placed_of(tag, seqs, cnt, offset, anchor, most, least)
+    tags, size = len(n), x + y
     left, right = np.zeros(tags, np.int64), np.zeros(tags, np.int64)
     np.maximum.at(left, tag[keep], x[keep])
     np.maximum.at(right, tag[keep], y[keep])
@@ -134,42 +155,71 @@ def consensus_of(tag: np.ndarray, seqs: list[bytes], cnt: np.ndarray, offset: in
     return n, distinct, [nts[a : a + w] for a, w in zip(base.tolist(), width.tolist(), strict=True)], [quals[a : a + w] for a, w in zip(base.tolist(), width.tolist(), strict=True)]
 
 
+def _whole_tags(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Of batches sorted by tag and mate (the first columns; then seq, cnt): tables that hold them whole, with each row's tag, numbered from 0, and the first row of each."""
+    rest = None
+
+    def numbered(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for i in range(keys):
+            coded = table.column(i).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            new[1:] |= coded[1:] != coded[:-1]
+        return table, np.cumsum(new) - 1, np.flatnonzero(new)
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch], rest.schema)])
+        last = [table.column(i)[-1] for i in range(keys)]
+        cut = table.num_rows
+        while cut and all(table.column(i)[cut - 1] == last[i] for i in range(keys)):
+            cut -= 1
+        if cut >= AT_ONCE or (cut and table.num_rows > 2 * AT_ONCE):
+            yield numbered(table.slice(0, cut))
+            table = table.slice(cut)
+        rest = table
+    if rest is not None and rest.num_rows:
+        yield numbered(rest)
+
+
 def _assembled(offset: int, anchor: int, most: int, least: int, keys: int):
     """Batches sorted by tag and mate: the by-columns, umi, mate, seq, cnt. A row for each tag and mate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-
-        def made(table: pa.Table) -> pa.RecordBatch:
-            columns = [table.column(i).combine_chunks() for i in range(keys)]
-            new = np.zeros(table.num_rows, bool)
-            new[0] = True
-            for c in columns:
-                coded = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
-                new[1:] |= coded[1:] != coded[:-1]
-            tag, cnt = np.cumsum(new) - 1, table.column(keys + 1).to_numpy()
+        for table, tag, first in _whole_tags(batches, keys):
+            cnt = table.column(keys + 1).to_numpy()
             n, distinct, seq, qual = consensus_of(tag, [x.encode() for x in table.column(keys).to_pylist()], cnt, offset, anchor, most, least)
-            first = pa.array(np.flatnonzero(new))
             reads, rows = np.bincount(tag, cnt).astype(np.int64), np.bincount(tag)
             some = n >= least
-            return pa.RecordBatch.from_arrays([*(c.take(first) for c in columns), pa.array(n), pa.array(reads - n), pa.array(rows - distinct), pa.array(seq, mask=~some), pa.array(qual, mask=~some)], [f"c{i}" for i in range(keys + 5)])
+            yield pa.RecordBatch.from_arrays([*(table.column(i).combine_chunks().take(pa.array(first)) for i in range(keys)), pa.array(n), pa.array(reads - n), pa.array(rows - distinct), pa.array(seq, mask=~some), pa.array(qual, mask=~some)], [f"c{i}" for i in range(keys + 5)])
 
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch], rest.schema)])
-            last = [table.column(i)[-1] for i in range(keys)]
-            cut = table.num_rows
-            while cut and all(table.column(i)[cut - 1] == last[i] for i in range(keys)):
-                cut -= 1
-            if cut >= AT_ONCE or (cut and table.num_rows > 2 * AT_ONCE):
-                yield made(table.slice(0, cut))
-                table = table.slice(cut)
-            rest = table
-        if rest is not None and rest.num_rows:
-            yield made(rest)
+    return run
+
+
+def _detailed(offset: int, anchor: int, most: int, least: int, keys: int):
+    """As `_assembled`, a row for each read in a consensus, with the read padded to the consensus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, tag, _ in _whole_tags(batches, keys):
+            seqs = table.column(keys).to_pylist()
+            _, _, x, y, keep, n, _ = placed_of(tag, [s.encode() for s in seqs], table.column(keys + 1).to_numpy(), offset, anchor, most, least)
+            left, right = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+            np.maximum.at(left, tag[keep], x[keep])
+            np.maximum.at(right, tag[keep], y[keep])
+            rows = np.flatnonzero(keep)
+            before, after = (left[tag] - x)[rows].tolist(), (right[tag] - y)[rows].tolist()
+            aligned = pa.array(["N" * a + seqs[r] + "N" * b for r, a, b in zip(rows.tolist(), before, after, strict=True)], pa.string())
+            columns = [table.column(i).combine_chunks().take(pa.array(rows)) for i in range(keys + 2)]
+            yield pa.RecordBatch.from_arrays([*columns[:keys], aligned, *columns[keys:]], [f"c{i}" for i in range(keys + 3)])
 
     return run
 
 
+def _by_tag(good: DataFrame, key: list[str]) -> DataFrame:
+    """Reads of tags of usual size, those of a tag in one task and in order of its mates."""
+    usual = good.filter(F.col("rows") <= MOST_READS).select(*key, "mate", "seq", "cnt", F.xxhash64(*key).alias("place"))
+    return usual.repartition("place").sortWithinPartitions(*key, "mate").drop("place")  # by a column that the join hasn't: a repartition by its own keys is left out, and a join may be turned into one that parts tags
+
+
 def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5, ratio: float = 0.1) -> DataFrame:
     """A row for each tag and mate: n (reads), average (of the tag's mates), collided, small (some mate has too few reads), and for the others count
     (reads in consensus), dropped_reads, dropped_sequences, seq and qual (null if too few reads are left)."""
@@ -182,11 +232,9 @@ def statuses(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
         hit = collided(tags.select(*key, F.col("average").alias("n")), ratio, by).select(*key, F.lit(True).alias("hit"))
         tags = tags.join(hit, key, "left").withColumn("collided", F.coalesce("hit", F.lit(False))).drop("hit")
     good = groups.join(tags.filter("NOT small AND NOT collided").select(*key, "rows"), key)
-    usual = good.filter(F.col("rows") <= MOST_READS).select(*key, "mate", "seq", "cnt", F.xxhash64(*key).alias("place"))
-    usual = usual.repartition("place").sortWithinPartitions(*key, "mate").drop("place")  # by a column that the join hasn't: a repartition by its own keys is left out, and a join may be turned into one that parts tags
     kinds = {f.name: f.dataType.simpleString() for f in good.schema}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*key, "mate")), "count long, dropped_reads long, dropped_sequences long, seq string, qual string"])
-    found = usual.mapInArrow(_assembled(offset, anchor, most, least, len(key) + 1), schema)
+    found = _by_tag(good, key).mapInArrow(_assembled(offset, anchor, most, least, len(key) + 1), schema)
     large = good.filter(F.col("rows") > MOST_READS).drop("rows")
     placed = saved(aligned(large, offset, anchor, most, by), "large-tags")
     left = placed.groupBy(*key, "mate").agg(F.sum("cnt").alias("count"), F.count("*").alias("kept"))
@@ -210,12 +258,20 @@ def assemble(reads: DataFrame, least: int = 5, filter_collisions: bool = False,
 
 def alignment_details(reads: DataFrame, least: int = 5, by: tuple[str, ...] = ("sample",), offset: int = 5, anchor: int = 10, most: int = 5) -> DataFrame:
     """Reads behind each consensus, shifted and padded as they were counted: by, mate, umi, aligned, seq, cnt."""
+    key = [*by, "umi"]
     groups = saved(migs(reads, 2 * (anchor + offset + 1), by), "tags")
-    groups = groups.join(passing(groups, least, by=by).select(*by, "umi"), [*by, "umi"], "left_semi")
-    placed = saved(aligned(groups, offset, anchor, most, by), "placed")
-    span = placed.groupBy(*by, "mate", "umi").agg(F.max("x").alias("left"), F.max("y").alias("right"), F.sum("cnt").alias("n")).filter(F.col("n") >= least)
-    padded = F.concat(F.repeat(F.lit("N"), F.col("left") - F.col("x")), F.col("seq"), F.repeat(F.lit("N"), F.col("right") - F.col("y")))
-    return placed.join(span, [*by, "mate", "umi"]).select(*by, "mate", "umi", padded.alias("aligned"), "seq", "cnt")
+    sizes = groups.groupBy(*key, "mate").agg(F.sum("cnt").alias("n"), F.count("*").alias("rows")).groupBy(*key).agg(F.min("n").alias("least"), F.max("rows").alias("rows"))
+    tags = sent_if_small(sizes.filter(F.col("least") >= least).drop("least"), "sizes")
+    good = groups.join(tags, key)
+    kinds = {f.name: f.dataType.simpleString() for f in good.schema}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*key, "mate")), "aligned string, seq string, cnt long"])
+    found = _by_tag(good, key).mapInArrow(_detailed(offset, anchor, most, least, len(key) + 1), schema)
+    if tags.filter(F.col("rows") > MOST_READS).limit(1).count():
+        placed = saved(aligned(good.filter(F.col("rows") > MOST_READS).drop("rows"), offset, anchor, most, by), "placed")
+        span = placed.groupBy(*key, "mate").agg(F.max("x").alias("left"), F.max("y").alias("right"), F.sum("cnt").alias("n")).filter(F.col("n") >= least)
+        padded = F.concat(F.repeat(F.lit("N"), F.col("left") - F.col("x")), F.col("seq"), F.repeat(F.lit("N"), F.col("right") - F.col("y")))
+        found = found.unionByName(placed.join(span, [*key, "mate"]).select(*key, "mate", padded.alias("aligned"), "seq", "cnt"))
+    return found.select(*by, "mate", "umi", "aligned", "seq", "cnt")
 
 
 def save_details(details: DataFrame, table: str, by: tuple[str, ...] = ("sample",), buckets: int = 200) -> DataFrame:

@@ -113,3 +113,10 @@ def saved(table: DataFrame, name: str) -> DataFrame:
     out = table.sparkSession.read.schema(table.schema).parquet(path)
     out.is_saved = True
     return out
+
+
+def sent_if_small(table: DataFrame, name: str, most_bytes: int = 16 << 20) -> DataFrame:
+    """A table, saved, that goes to all tasks if it holds few bytes, so that what it is joined with isn't moved; a larger one is joined as Spark decides."""
+    held = saved(table, name)
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(0)) + 16 for c, kind in held.dtypes)
+    return F.broadcast(held) if (held.agg(F.sum(size)).first()[0] or 0) <= most_bytes else held
