@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.operators import profiles
-from tagloom.sources.tables import saved
+from tagloom.sources.tables import saved, sent_if_small
 
 
 def frequent_reads(reads: DataFrame, least: int = 10) -> DataFrame:
@@ -82,7 +82,7 @@ def cdr3_bundles(reads: DataFrame) -> DataFrame:
 
 def listed(reads: DataFrame, wanted: DataFrame) -> DataFrame:
     """Reads whose CDR3 is in a list."""
-    return reads.join(wanted.select(F.col(wanted.columns[0]).alias("cdr3")), "cdr3", "left_semi")
+    return reads.join(sent_if_small(wanted.select(F.col(wanted.columns[0]).alias("cdr3")), "listed"), "cdr3", "left_semi")
 
 
 def back_track(details: DataFrame, consensus: DataFrame, query: str, by: tuple[str, ...] = ("sample", "mate")) -> DataFrame:
