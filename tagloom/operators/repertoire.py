@@ -12,7 +12,7 @@ from tagloom.functions.sequence import translate_both_ends
 from tagloom.operators.alignment import gapped_hits
 from tagloom.operators.clonotypes import canonical_or_broken
 from tagloom.operators.mapping import best_hits, cdr3s, d_segments
-from tagloom.sources.tables import saved
+from tagloom.sources.tables import saved, sent_if_small
 
 SIGNATURE = ("cdr3nt", "cdr3aa", "v", "j", "d", "v_end", "d_start", "d_end", "j_start")
 COUNTERS = ("good_events", "total_events", "good_reads", "total_reads")
@@ -38,6 +38,7 @@ def map_reads(reads: DataFrame, alleles: DataFrame, d_alleles: DataFrame | None
 def append_reads(reads: DataFrame, found: DataFrame, least_quality: int = 25) -> DataFrame:
     """All reads with what was found in their sequence; mapped: it has a CDR3; good: whose bases all have the least quality (25 for raw reads,
     30 for consensuses)."""
+    found = sent_if_small(found, "found")  # of distinct sequences, which may be few
     joined = reads.join(found, reads["seq"] == found["read"], "left").drop("read")
     along = F.when(F.col("rc"), F.reverse("qual")).otherwise(F.col("qual"))
     slice_ = F.substring(along, (F.col("from") + 1).cast("int"), F.length("cdr3nt"))
@@ -47,7 +48,7 @@ def append_reads(reads: DataFrame, found: DataFrame, least_quality: int = 25) ->
 
 def once_a_tag(appended: DataFrame, order: Column) -> DataFrame:
     """For files of one sample: whether an event counts, as a tag's CDR3 may come in several files. The first good event of each tag and CDR3, by an order, does."""
-    first = appended.filter("good").groupBy("umi", "cdr3nt").agg(F.min(order).alias("first_place"))
+    first = sent_if_small(appended.filter("good").groupBy("umi", "cdr3nt").agg(F.min(order).alias("first_place")), "first-places")
     return appended.join(first, ["umi", "cdr3nt"], "left").withColumn("counts", ~F.col("good") | (order == F.col("first_place"))).drop("first_place")
 
 
@@ -63,6 +64,7 @@ def count_clonotypes(appended: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
 
 def clonotype_table(counted: DataFrame, good_total: DataFrame, ordered: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
     """The clonotype table: canonical, out-of-frame or stopped CDR3s with good events, rolled up to their full signature, with the share of all good events (of the same by-values)."""
+    counted = saved(counted, "counted")  # else a test of the protein, which is made of a key of the groups, moves below them, to all reads
     named = counted.withColumn("cdr3aa", translate_both_ends(F.col("cdr3nt"))).filter(canonical_or_broken("cdr3aa"))
     rolled = named.groupBy(*by, *SIGNATURE).agg(*(F.sum(c).alias(c) for c in COUNTERS)).filter("good_events > 0")
     total = good_total.select(*by, F.col("events_good").alias("all_good"))

@@ -77,3 +77,36 @@ def test_looked_up_reads_are_those_made_base_by_base(spark):
     keys = spark.range(300).selectExpr("id * 977 + 3 AS l_partkey", "nullif(id * 31 + 7, 38) AS l_orderkey", "cast(id % 7 + 1 AS int) AS l_linenumber")
     for name, quick in plans._QUICK.items():
         assert keys.filter(f"NOT (({plans._COLUMNS[name].format(div='div')}) <=> ({quick}))").count() == 0
+
+
+def test_found_sequences_are_sent_to_reads(spark):
+    """Few distinct sequences go to all reads, however many of those there are."""
+    rows = spark.range(100).select(F.lit("ATGCATGC").alias("seq"), F.lit("IIIIIIII").alias("qual"), F.lit(1).alias("inc"), F.lit("T").alias("umi"))
+    found = spark.createDataFrame([("ATGCATGC", "TGCA", "V1", "J1", 1, False)], "read string, cdr3nt string, v string, j string, from int, rc boolean")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        appended = repertoire.append_reads(rows, found)
+        once = repertoire.once_a_tag(appended, F.col("inc"))
+        listed = reads.listed(rows.withColumn("cdr3", F.col("seq")), found.select("read"))
+        for table in (appended, once, listed):
+            assert "SortMergeJoin" not in table._jdf.queryExecution().executedPlan().toString() and table.count() == 100
+        assert once.filter("counts AND good").count() == 100
+
+
+def test_proteins_are_made_of_clonotypes_not_of_reads(spark):
+    """A test of the protein, which is made of a key of the groups, would be pushed below them."""
+    rows = spark.range(50).select(F.lit("TGTGCCTTT").alias("cdr3nt"), F.lit("V1").alias("v"), F.lit("J1").alias("j"), F.lit(".").alias("d"), F.lit(1).alias("from"), *(F.lit(-1).alias(c) for c in ("v_end", "d_start", "d_end", "j_start")), F.lit(True).alias("mapped"), F.lit(True).alias("good"), F.lit(1).alias("inc"))
+    total = spark.createDataFrame([(50,)], "events_good long")
+    table = repertoire.clonotype_table(repertoire.count_clonotypes(rows), total)
+    assert "Range" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["count"], r.fraction, r.cdr3aa) for r in table.collect()] == [(50, 1.0, "CAF")]
+
+
+def test_details_of_usual_and_large_tags_are_the_same(spark, monkeypatch):
+    base = "ATGCCATTGACGTACGGATCCATTGCAAGTTACGGCAT"
+    seqs = [base, base[1:] + "A", "C" + base[:-1], base[:20] + "T" + base[21:], base[::-1], base[:30] + "N" + base[31:], "TT" + base]
+    rows = spark.createDataFrame([("S", 1 + n % 2, f"T{n % 3}", seqs[n * n % len(seqs)]) for n in range(120)] + [("S", 1, "few", base), ("S", 1, None, base)], "sample string, mate int, umi string, seq string")
+    usual = assemble.alignment_details(rows)
+    assert "Generate" not in usual._jdf.queryExecution().executedPlan().toString()  # cores aren't moved
+    usual = sorted(map(tuple, usual.collect()))
+    monkeypatch.setattr(assemble, "MOST_READS", 0)
+    assert usual and usual == sorted(map(tuple, assemble.alignment_details(rows).collect()))
