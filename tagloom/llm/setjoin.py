@@ -6,8 +6,9 @@
 3. Each class sends its prefix (the shingles of which a similar set must have one) to shards by shingle; a shingle counted often is dealt to
    several cells by class. A run is what one cell has of one shingle. Members stay in a run while the length filter, the positional filter and
    a parity sketch (two sets differ in at least as many shingles as their sketches in bits) leave them a partner.
-4. In each run a member names the first earlier member it may be similar to; each class takes the one named most often, and the pair is
-   verified on whole sets, which are made again from the texts for those classes alone that a bitmap of bounded size lets through.
+4. In each run a member names one earlier member it may be similar to: of the NEAR before it the one with the nearest sketch, or else the first.
+   (In a large group of near copies most pairs may be similar but aren't; without the nearest one most members would still be open.)
+   Each class takes the one named most often, and the pair is verified on whole sets, which are made again from the texts for those classes alone that a bitmap of bounded size lets through.
 5. What is still open is done in full. `earlier` wants one earlier similar class of each class, so only classes without one ask again, for all
    earlier partners. `links` wants classes connected: links make groups, pairs of groups name one pair each, and then the members of all but
    the largest group of a run ask for all partners in other groups. Those that ask go to every cell of a shingle, the others stay in theirs.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import Scratch, small
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, FREQUENT, PIECE_BITS, SCAN, HUB, LEAST_BITS, MOST_BITS = 1 << 20, 1 << 19, 1 << 18, 1 << 19, 13, 2048, 2000, 1 << 20, 1 << 30
+FLUSH, BLOCK, SHARD_ENTRIES, FREQUENT, PIECE_BITS, SCAN, NEAR, HUB, LEAST_BITS, MOST_BITS = 1 << 20, 1 << 19, 1 << 18, 1 << 19, 13, 2048, 1024, 2000, 1 << 20, 1 << 30
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -325,7 +326,7 @@ class SetJoin:
         return pa.Table.from_batches([_table("tok piece pieces digest pos", *(_int64(x[keep]) for x in (tok, piece, pieces, digest, pos)))])
 
     def _choose(self, order: list[str]):
-        """Members of runs that have a partner left by their sketches too, and the first earlier one of each."""
+        """Members of runs that have a partner left by their sketches too, and one earlier partner of each."""
 
         def run(table: pa.Table) -> pa.Table:
             table = table.sort_by([(c, "ascending") for c in ("tok", "piece", *order, "digest")])
@@ -341,8 +342,19 @@ class SetJoin:
                 ok[ok] = self._reaches(n[x[ok]], sketch[x[ok]], n[y[ok]], sketch[y[ok]])
                 return ok
 
-            at, step = np.flatnonzero(start < np.arange(len(tok))), 0
-            while len(at):  # from the first member on
+            place, share = np.arange(len(tok)) - start, np.zeros(len(tok))
+            at, step = np.flatnonzero(place >= 1), 1
+            while len(at) and step <= NEAR:  # the nearest of those just before
+                x = at[self._fits(n[at], pos[at], n[at - step], pos[at - step])]
+                y = x - step
+                both = n[x] + n[y]
+                common = both - np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+                nearer = (common >= 2 * self.overlap(n[x], n[y])) & (common > share[x] * both)
+                best[x[nearer]], share[x[nearer]] = y[nearer], (common / both)[nearer]
+                step += 1
+                at = at[place[at] >= step]
+            at, step = np.flatnonzero((place > NEAR) & (best < 0)), 0
+            while len(at):  # or the first
                 hit = may(at, start[at] + step)
                 best[at[hit]] = start[at[hit]] + step
                 step += 1

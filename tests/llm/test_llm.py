@@ -617,3 +617,32 @@ def test_extract_counts_all_pages_of_a_host(spark):
     got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert not any("Home of all" in got[i] for i in range(1, 60))
     assert all(f"some text of page {i} " in got[i] and f"U {i}" in got[i] for i in range(3, 60, 3)) and "other text 1 of it" in got[100]
+
+
+def test_members_of_a_large_group_name_a_near_one(spark, monkeypatch):
+    """Of near copies that are similar to some and not to most others, few are open after the first naming."""
+    import random
+
+    from tagloom.llm.near_duplicates import similar_groups
+    from tagloom.llm.setjoin import SetJoin
+
+    dice, base = random.Random(5), [f"w{i}" for i in range(150)]
+    texts = [" ".join("x" + str(dice.random()) if i > 60 and dice.random() < 0.026 else w for i, w in enumerate(base)) for _ in range(150)]
+    left, real = [], SetJoin._between
+
+    def between(self, grouped):
+        left.append(grouped.select("grp").distinct().count())
+        return real(self, grouped)
+
+    monkeypatch.setattr(SetJoin, "_between", between)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in similar_groups(docs, size=4, percent=85).collect()}
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in map(str.split, texts)]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((group[a], group[b]))
+                group = [x if g == y else g for g in group]
+    assert found == dict(enumerate(group))
+    assert left[0] <= 10  # 35 when each named the first
