@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import Scratch, small
 from tagloom.llm.wordhash import SPACE, blocks, flat, mix, shingles, words
 
-FLUSH, BLOCK, SHARD_ENTRIES, FREQUENT, PIECE_BITS, SCAN, NEAR, HUB, LEAST_BITS, MOST_BITS = 1 << 20, 1 << 19, 1 << 18, 1 << 19, 13, 2048, 1024, 2000, 1 << 20, 1 << 30
+FLUSH, BLOCK, SHARD_ENTRIES, FREQUENT, PIECE_BITS, SCAN, NEAR, HUB, LEAST_BITS, MOST_BITS, EDGES = 1 << 20, 1 << 19, 1 << 18, 1 << 19, 13, 2048, 1024, 2000, 1 << 20, 1 << 30, 1 << 20
 _SHORT, _CLASS = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -576,24 +576,32 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, grp: the smallest node reachable by links (a, b), saved. Each task makes stars of its links; then the stars of neighbours are
-    joined, larger ones then smaller ones, until nothing changes."""
+    """node, grp: the smallest node reachable by links (a, b), saved. Each task makes stars of some EDGES links, so one does all of no more than
+    these at once; else the stars of neighbours are joined, larger ones then smaller ones, until one task can hold them or nothing changes."""
+
+    def stars(edges: DataFrame) -> tuple[DataFrame, int]:
+        held = scratch.save(edges, "edges")
+        tasks = held.count() // EDGES + 1
+        made = held.coalesce(tasks).mapInArrow(_contract, "u long, v long")
+        made = scratch.save(made.distinct() if tasks > 1 else made, "edges")
+        scratch.drop(held)
+        return made, tasks
 
     def mark(edges: DataFrame):
         return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
 
-    edges = scratch.save(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u <> v").distinct().mapInArrow(_contract, "u long, v long"), "edges")
-    now = mark(edges)
-    while now[0]:
+    edges, tasks = stars(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u <> v"))
+    now = mark(edges) if tasks > 1 else None
+    while tasks > 1:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct()
         down = large.groupBy("v").agg(F.min("u").alias("m"))
         less = large.join(down, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u <> v").distinct()
-        new = scratch.save(less.mapInArrow(_contract, "u long, v long").distinct(), "edges")
+        new, tasks = stars(less)
         scratch.drop(edges)
         edges, before = new, now
-        now = mark(edges)
+        now = mark(edges) if tasks > 1 else None
         if now == before:
             break
     return edges.select(F.col("v").alias("node"), F.col("u").alias("grp")).union(edges.select("u", "u").distinct())

@@ -646,3 +646,20 @@ def test_members_of_a_large_group_name_a_near_one(spark, monkeypatch):
                 group = [x if g == y else g for g in group]
     assert found == dict(enumerate(group))
     assert left[0] <= 10  # 35 when each named the first
+
+
+def test_few_links_are_joined_by_one_task(spark, monkeypatch):
+    """A chain of links in many partitions took rounds of joins; with more links than a task may hold it still does, with the same groups."""
+    from tagloom.llm import setjoin
+
+    saves = []
+    real = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: saves.append(name) or real(self, df, name))
+    links = spark.range(300).filter("id % 100 < 90").selectExpr("(id * 7919) % 100003 AS a", "((id + 1) * 7919) % 100003 AS b").repartition(16)
+    got = {tuple(r) for r in setjoin.components(links, Scratch(spark)).collect()}
+    assert len(saves) == 2
+    least = {i: min(n * 7919 % 100003 for n in range(i // 100 * 100, i // 100 * 100 + 91)) for i in range(300) if i % 100 <= 90}
+    assert got == {(i * 7919 % 100003, g) for i, g in least.items()}
+    monkeypatch.setattr(setjoin, "EDGES", 8)
+    assert {tuple(r) for r in setjoin.components(links, Scratch(spark)).collect()} == got
+    assert setjoin.components(links.filter("a < 0"), Scratch(spark)).count() == 0
