@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +71,13 @@ class Reads:
     _codes: np.ndarray | None = field(default=None, repr=False)
 
     @classmethod
-    def of(cls, seqs: list[str | None], quals: list[str | None]) -> Reads:
-        """A missing quality counts as zero."""
+    def of(cls, seqs: list[str | None] | pa.Array, quals: list[str | None] | pa.Array) -> Reads:
+        """A missing quality counts as zero. Columns of ASCII with whole qualities are taken as they lie in Arrow's buffers."""
+        if isinstance(seqs, pa.Array):
+            (seq, size), (qual, held) = flat_bytes(seqs), flat_bytes(quals)
+            if np.array_equal(size, held) and not (seq & 128).any() and not (qual & 128).any():
+                return cls(seq, qual, np.cumsum(size) - size, size)
+            seqs, quals = seqs.to_pylist(), quals.to_pylist()
         seqs = [x or "" for x in seqs]
         size = np.fromiter(map(len, seqs), np.int64, len(seqs))
         quals = [q if q is not None and len(q) == n else ((q or "") + "!" * n)[:n] for q, n in zip(quals, size.tolist(), strict=True)]
@@ -112,11 +118,23 @@ class Reads:
         return Reads(np.where(turn, _OTHER[seq], seq), self.qual[at], np.cumsum(self.size) - self.size, self.size)
 
     def texts(self, of: str) -> pa.Array:
-        flat = getattr(self, of)[ranges(self.start, self.size)].tobytes().decode("latin-1")
-        end = np.cumsum(self.size)
+        flat, end = getattr(self, of)[ranges(self.start, self.size)], np.cumsum(self.size)
+        if not (flat & 128).any() and len(flat) < 1 << 31:
+            return pa.StringArray.from_buffers(len(self), pa.py_buffer(np.concatenate([[0], end]).astype(np.int32)), pa.py_buffer(flat))
+        flat = flat.tobytes().decode("latin-1")
         return pa.array([flat[a:b] for a, b in zip((end - self.size).tolist(), end.tolist(), strict=True)], pa.string())
 
 
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a column of texts, one after the other, and how many each has; nulls have none."""
+    texts = texts.cast(pa.binary())
+    if texts.null_count:
+        texts = texts.fill_null(b"")
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] else np.zeros(0, np.uint8)), np.diff(at)
+
+
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All places of all ranges."""
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -137,6 +155,7 @@ class Patterns:
         self.seed = [a | np.array([[c.islower()] * 4 + [False] for c in b]) for a, b in zip(self.allowed, barcodes, strict=True)]
         self.mask = np.array([[sum(1 << i for i in range(min(len(b), 64)) if s[i, c]) for c in range(5)] for b, s in zip(barcodes, self.seed, strict=True)], np.uint64).reshape(-1, 5)
         self.top = np.array([1 << (min(len(b), 64) - 1) for b in barcodes], np.uint64)
+        self.word = next(w for n, w in ((16, np.uint16), (32, np.uint32), (np.inf, np.uint64)) if max(map(len, barcodes), default=0) <= n)
         self.tag = [np.array([i for i, c in enumerate(b) if c == "N"], np.int64) for b in barcodes]
         self.most_low, self.most_high, self.low = [int(n * limits.low_share) for n in self.size], [int(n * limits.high_share) for n in self.size], limits.low
 
@@ -144,20 +163,25 @@ class Patterns:
         """First start of each pattern (or of one for each read) that matches; -1 without one."""
         codes = reads.codes()
         one = which is not None
-        masks = self.mask[which] if one else self.mask.T
-        top = self.top[which][:, None] if one else self.top[None]
-        state, found = np.zeros((len(reads), 1 if one else len(self.size)), np.uint64), []
-        for j in range(codes.shape[1]):
-            step = np.take_along_axis(masks, codes[:, j : j + 1].astype(np.int64), 1) if one else masks[codes[:, j]]
-            state = ((state << np.uint64(1)) | np.uint64(1)) & step
-            r, k = np.nonzero(state & top)
-            if len(r):
-                found.append((r, which[r] if one else k, np.full(len(r), j)))
-        out = np.full(state.shape, -1)
-        if not found:
+        kinds, n = 1 if one else len(self.size), len(reads)
+        out = np.full((n, kinds), -1)
+        if not out.size:
+            return out
+        masks, top = self.mask.astype(self.word), self.top.astype(self.word)
+        by_place = np.ascontiguousarray(codes.T).astype(np.intp)
+        step = masks.ravel().take(by_place + 5 * which)[:, None] if one else np.stack([m.take(by_place) for m in masks], 1)  # place, pattern, read
+        state, hits = np.zeros((kinds, n), self.word), np.zeros((len(by_place), kinds, n), bool)
+        top = top[which][None] if one else top[:, None]
+        for j in range(len(by_place)):
+            np.left_shift(state, self.word(1), out=state)
+            np.bitwise_or(state, self.word(1), out=state)
+            np.bitwise_and(state, step[j], out=state)
+            np.not_equal(state & top, 0, out=hits[j])
+        end, pattern, row = np.unravel_index(np.flatnonzero(hits), hits.shape)
+        if not len(row):
             return out
-        row, pattern, end = (np.concatenate(x) for x in zip(*found, strict=True))
-        best = np.full(state.shape, 1 << 60)
+        pattern = which[row] if one else pattern
+        best = np.full(out.shape, 1 << 60)
         for p in np.unique(pattern).tolist():
             here = pattern == p
             n, r = int(self.size[p]), row[here]
@@ -173,17 +197,13 @@ class Patterns:
         out[best < 1 << 60] = best[best < 1 << 60]
         return out
 
-    def tags(self, reads: Reads, which: np.ndarray, at: np.ndarray) -> tuple[list[str], list[str]]:
-        """Bases and qualities at the tag's places of each read, whose pattern `which` begins at `at`; empty where it is -1."""
-        bases, quals = [""] * len(reads), [""] * len(reads)
+    def tags(self, reads: Reads, which: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of the tag of each read, whose pattern `which` begins at `at`; -1 where it has fewer, and in all where `at` is -1."""
+        places = np.full((len(reads), max(map(len, self.tag), default=0)), -1)
         for p in np.unique(which[at >= 0]).tolist():
-            rows, n = np.flatnonzero((which == p) & (at >= 0)), len(self.tag[p])
-            if n:
-                place = (reads.start[rows] + at[rows])[:, None] + self.tag[p][None]
-                b, q = reads.seq[place].tobytes().decode("latin-1"), reads.qual[place].tobytes().decode("latin-1")
-                for i, r in enumerate(rows.tolist()):
-                    bases[r], quals[r] = b[i * n : i * n + n], q[i * n : i * n + n]
-        return bases, quals
+            rows = np.flatnonzero((which == p) & (at >= 0))
+            places[rows, : len(self.tag[p])] = (reads.start[rows] + at[rows])[:, None] + self.tag[p][None]
+        return places
 
 
 def trimmed(reads: Reads, at: np.ndarray, size: np.ndarray, least: int = 10) -> Reads:
@@ -264,8 +284,9 @@ class Checkout:
         self.slaves = Patterns([b.slave if b.slave and b.slave != "N" else "N" for b in barcodes], limits)
         self.wanted = np.array([bool(b.slave) and b.slave != "N" for b in barcodes], bool)
 
-    def __call__(self, s1: list, q1: list, s2: list, q2: list) -> list[pa.Array]:
-        n, paired = len(s1), np.array([x is not None for x in s2], bool)
+    def __call__(self, s1: list | pa.Array, q1: list | pa.Array, s2: list | pa.Array, q2: list | pa.Array) -> list[pa.Array]:
+        s1, q1, s2, q2 = (x if isinstance(x, pa.Array) else pa.array(x, pa.string()) for x in (s1, q1, s2, q2))
+        n, paired = len(s1), s2.is_valid().to_numpy(zero_copy_only=False)
         one, two = Reads.of(s1, q1), Reads.of(s2, q2)
         at = np.full((n, len(self.barcodes), 2), -1)
         if self.barcodes:
@@ -284,8 +305,9 @@ class Checkout:
         if asked.any():
             to[asked] = self.slaves.find(other.rows(asked), of[asked])[:, 0]
         whole = some & ~(asked & (to < 0))
-        umi, qual = self.masters.tags(master, of, at)
-        umi_2, qual_2 = self.slaves.tags(other, of, to)
+        places = np.concatenate([self.masters.tags(master, of, at), self.slaves.tags(other, of, to)], 1)
+        size = (places >= 0).sum(1)
+        tag = Reads(both.seq[places[places >= 0]], both.qual[places[places >= 0]], np.cumsum(size) - size, size)
         if self.cut:
             master = trimmed(master, at, np.where(some, self.masters.size[of] if len(self.barcodes) else 0, 0), self.most_trim)
             other = trimmed(other, to, np.where(to >= 0, self.slaves.size[of] if len(self.barcodes) else 0, 0), self.most_trim)
@@ -296,24 +318,21 @@ class Checkout:
         if self.flags[1]:
             other = other.turned(paired)
         type_ = np.where(paired, "paired", "unpaired").astype(object)
-        gone, out = ~paired, [master.texts("seq"), master.texts("qual"), other.texts("seq"), other.texts("qual")]
+        gone, first = ~paired, master
         if self.merge and (tried := np.flatnonzero(whole & paired)).size:
             which, made = merged(master.rows(tried), other.rows(tried), self.merge)
             rows = tried[which]
             type_[rows] = "overlapped"
             gone = gone.copy()
             gone[rows] = True
-            for k, texts in ((0, made.texts("seq")), (1, made.texts("qual"))):
-                held = out[k].to_pylist()
-                for r, t in zip(rows.tolist(), texts.to_pylist(), strict=True):
-                    held[r] = t
-                out[k] = pa.array(held, pa.string())
+            of_made = np.arange(n)
+            of_made[rows] = n + np.arange(len(rows))
+            first = stacked([master, made]).rows(of_made)
         names = np.array([b.sample for b in self.barcodes] + ["undef-m"], object)
         sample = np.where(whole, names[of], np.where(some, "undef-s", "undef-m"))
-        no_tag = ~some
-        text = lambda x, none=None: pa.array(x, pa.string(), mask=none)
-        mates = [text(out[k].to_pylist(), gone) for k in (2, 3)]
-        return [text(sample), text(names[of]), text(type_), text(np.array([a + b for a, b in zip(umi, umi_2, strict=True)], object), no_tag), text(np.array([a + b for a, b in zip(qual, qual_2, strict=True)], object), no_tag), out[0], out[1], *mates, pa.array(swapped)]
+        text = lambda x: pa.array(x, pa.string())
+        some_of = lambda reads, none: [pc.if_else(pa.array(none), pa.scalar(None, pa.string()), reads.texts(c)) for c in ("seq", "qual")]
+        return [text(sample), text(names[of]), text(type_), *some_of(tag, ~some), first.texts("seq"), first.texts("qual"), *some_of(other, gone), pa.array(swapped)]
 
 
 def checkout(
@@ -340,7 +359,7 @@ def checkout(
                 rows = np.arange(whole.num_rows) if files is None else np.flatnonzero([f == name if name is not None else f not in made or f is None for f in files.tolist()])
                 for a in range(0, len(rows), _ROWS):
                     batch = whole.take(pa.array(rows[a : a + _ROWS]))
-                    columns = [batch.column(len(keep) + i).to_pylist() for i in range(4)]
+                    columns = [batch.column(len(keep) + i) for i in range(4)]
                     run_ = made[name] if name in made else Checkout([], *options)
                     yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *run_(*columns)], [f"c{i}" for i in range(len(keep) + 10)])
 

@@ -91,3 +91,21 @@ def test_log_counts_masters_without_slave(spark):
     assert sorted(tuple(r) for r in checkout.checkout_log(checkout.checkout(df, b, [])).collect()) == [("S", 2, 1, 0), ("undef-m", 0, 0, 0)]
     assert checkout.checkout(df, [], []).filter("sample = 'undef-m'").count() == 3
     assert checkout.checkout(df.filter("false"), b, []).count() == 0
+
+
+def test_columns_of_pairs_are_used_as_they_lie_in_arrow():
+    """Batches of ASCII with whole qualities aren't made lists of texts; others (nulls, other letters, short qualities) still give the same."""
+    import pyarrow as pa
+
+    seqs = ["ATGAAAACACCCCCCCCCCCCCCCCCC", "CATACGTTTGCAACGTACGTACGTACGT", "", "ATGCCCCCACC", "GGATCATTACGTACGTACGTACGT"]
+    mates = ["GGAACTTACGTACGTACGTACG", "CCACGGGGGGGGGGGGGG", "CCAC", None, "TTTT"]
+    barcodes = [checkout.Barcode("S1", "ATGNNNNCA", "GGANNTT"), checkout.Barcode("S2", "CATNNNNt", "CCAc"), checkout.Barcode("S3", "GGATCNN")]
+    run = checkout.Checkout(barcodes, True, True, "0:1", checkout.Merging(), False, False, checkout.Limits())
+    for s1, s2, short in ((seqs, mates, 0), (["é" + seqs[0], None, *seqs[2:]], mates, 0), (seqs, mates, 2)):
+        q1, q2 = (["I" * max(0, len(x) - short) if x is not None else None for x in s] for s in (s1, s2))
+        whole = [pa.array(["x", *x, "y"], pa.string()).slice(1, len(x)) for x in (s1, q1, s2, q2)]
+        got = [c.to_pylist() for c in run(*whole)]
+        alone = [[c.to_pylist()[0] for c in run(*([x[i]] for x in (s1, q1, s2, q2)))] for i in range(len(s1))]
+        assert [list(r) for r in zip(*got, strict=True)] == alone and all(c.type in (pa.string(), pa.bool_()) for c in run(*whole))
+    one = checkout.Reads.of(pa.array(seqs), pa.array(["I" * len(x) for x in seqs]))
+    assert not one.seq.flags.owndata and one.texts("seq").to_pylist() == seqs
