@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import IUPAC, iupac_complement
+from tagloom.operators.profiles import flat_bytes
 
 _CODE = np.full(256, 4, np.uint8)
 _CODE[list(b"ATGC")] = range(4)
@@ -125,16 +126,6 @@ class Reads:
         return pa.array([flat[a:b] for a, b in zip((end - self.size).tolist(), end.tolist(), strict=True)], pa.string())
 
 
-def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a column of texts, one after the other, and how many each has; nulls have none."""
-    texts = texts.cast(pa.binary())
-    if texts.null_count:
-        texts = texts.fill_null(b"")
-    _, offsets, data = texts.buffers()
-    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
-    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] else np.zeros(0, np.uint8)), np.diff(at)
-
-
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All places of all ranges."""
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())

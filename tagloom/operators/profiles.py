@@ -8,10 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-HELD = 4_000_000
+HELD, ROWS, BYTES = 4_000_000, 1 << 17, 16 << 20
 
 #: Of a batch: the row, the place in its key's vector, and the amount of each thing to add.
 Amounts = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Or of a batch, the number of each row's key and how many keys there are, the summed vector of each key.
+Vectors = Callable[[pa.RecordBatch, np.ndarray, int], list[np.ndarray]]
 
 
 def coded(columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
@@ -39,8 +41,20 @@ def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(rows: DataFrame, keys: list[str], amounts: Amounts, finished: Callable[[list[np.ndarray]], list[pa.Array]], schema: str) -> DataFrame:
-    """One row a key: the keys and what `finished` makes of the sums of its vectors. schema: of the columns after the keys."""
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to some of about ROWS rows or BYTES bytes, so that a key's sums are added up less often."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS or sum(b.nbytes for b in held) >= BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def summed(rows: DataFrame, keys: list[str], amounts: Amounts | None, finished: Callable[[list[np.ndarray]], list[pa.Array]], schema: str, vectors: Vectors | None = None) -> DataFrame:
+    """One row a key: the keys and what `finished` makes of the sums of its vectors. schema: of the columns after the keys. vectors, if given, stands for amounts."""
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys)
     n = len(keys)
 
@@ -53,14 +67,15 @@ def summed(rows: DataFrame, keys: list[str], amounts: Amounts, finished: Callabl
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
         size = 0
-        for batch in batches:
+        for batch in _gathered(batches) if vectors else batches:
             if not batch.num_rows:
                 continue
             columns = [batch.column(c) for c in keys]
             rows_types[:] = [c.type for c in columns]
             code, first = coded(columns)
             names = list(zip(*(c.take(pa.array(first)).to_pylist() for c in columns), strict=True))
-            for key, vector in zip(names, _ragged(code, len(first), *amounts(batch)), strict=True):
+            sums = vectors(batch, code, len(first)) if vectors else _ragged(code, len(first), *amounts(batch))
+            for key, vector in zip(names, sums, strict=True):
                 old = held.get(key)
                 held[key] = vector if old is None else _added(old, vector)
                 size += len(held[key]) - (0 if old is None else len(old))
@@ -99,9 +114,44 @@ def summed(rows: DataFrame, keys: list[str], amounts: Amounts, finished: Callabl
     return sums.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(whole, f"{kinds}, {schema}")
 
 
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a column of texts, one after the other, and how many each has; nulls have none."""
+    texts = texts.cast(pa.binary())
+    if texts.null_count:
+        texts = texts.fill_null(b"")
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] else np.zeros(0, np.uint8)), np.diff(at)
+
+
+def letter_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of texts, one for each letter, and how many letters each has. Nulls have none."""
+    data, size = flat_bytes(column)
+    if not (data & 128).any():
+        return data, size
+    texts = [x or "" for x in column.to_pylist()]
+    return np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8), np.fromiter(map(len, texts), np.int64, len(texts))
+
+
 def letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of texts: the row, the place and the byte of each letter. Nulls have none."""
-    texts = [x or "" for x in column.to_pylist()]
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = np.frombuffer("".join(texts).encode("latin-1", "replace"), np.uint8)
-    return np.repeat(np.arange(len(texts)), size), np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size), data
+    data, size = letter_bytes(column)
+    return np.repeat(np.arange(len(size)), size), np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size), data
+
+
+def by_place(column: pa.Array, code: np.ndarray, keys: int, zero: int = 33) -> list[np.ndarray]:
+    """For each key, place by place, the sum of its texts' bytes (less `zero`) and how many texts have the place. Texts of one length are added up as a matrix."""
+    data, size = letter_bytes(column)
+    start, wide = np.cumsum(size) - size, np.zeros(keys, np.int64)
+    np.maximum.at(wide, code, size)
+    out = [np.zeros(2 * n, np.int64) for n in wide.tolist()]
+    for n in np.unique(size[size > 0]).tolist():
+        rows = np.flatnonzero(size == n)
+        rows = rows[np.argsort(code[rows], kind="stable")]
+        own = code[rows]
+        cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        sums = np.add.reduceat(data[start[rows][:, None] + np.arange(n)], cut, axis=0, dtype=np.int64)
+        for k, total, m in zip(own[cut].tolist(), sums, np.diff(np.append(cut, len(rows))).tolist(), strict=True):
+            out[k][: 2 * n : 2] += total - zero * m
+            out[k][1 : 2 * n : 2] += m
+    return out

@@ -26,15 +26,11 @@ def frequent_reads(reads: DataFrame, least: int = 10) -> DataFrame:
 def mean_quality(reads: DataFrame) -> DataFrame:
     """Distinct sequences with their number and mean quality at each place, cut to whole numbers and held to 2..40. Sequences without a quality are left out."""
 
-    def amounts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row, place, symbol = profiles.letters(batch.column("qual"))
-        return np.tile(row, 2), np.concatenate([2 * place, 2 * place + 1]), np.concatenate([symbol.astype(np.int64) - 33, np.ones(len(row), np.int64)])
-
     def finished(sums: list[np.ndarray]) -> list[pa.Array]:
         means = [np.clip(v[::2] // v[1::2], 2, 40) for v in sums]
         return [pa.array([int(v[1::2].max()) for v in sums], pa.int64()), pa.array([",".join(map(str, m.tolist())) for m in means], pa.string())]
 
-    return profiles.summed(reads.filter(F.length("qual") > 0).select("seq", "qual"), ["seq"], amounts, finished, "n long, quals string")
+    return profiles.summed(reads.filter(F.length("qual") > 0).select("seq", "qual"), ["seq"], None, finished, "n long, quals string", lambda batch, code, n: profiles.by_place(batch.column("qual"), code, n))
 
 
 def quality_matrix(reads: DataFrame) -> DataFrame:

@@ -110,3 +110,21 @@ def test_details_of_usual_and_large_tags_are_the_same(spark, monkeypatch):
     usual = sorted(map(tuple, usual.collect()))
     monkeypatch.setattr(assemble, "MOST_READS", 0)
     assert usual and usual == sorted(map(tuple, assemble.alignment_details(rows).collect()))
+
+
+def test_qualities_are_added_up_as_matrices(spark):
+    """Not letter by letter in arrays of whole numbers, and of several batches at once; lengths and letters of any kind give the same means."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tagloom.operators import profiles
+
+    quals = ["5555", "II", None, "", "5I5I", "é5", "!!!", "IIII"]
+    code = np.array([0, 1, 0, 2, 0, 1, 1, 1])
+    row, place, symbol = profiles.letters(pa.array(quals))
+    want = profiles._ragged(code, 3, np.tile(row, 2), np.concatenate([2 * place, 2 * place + 1]), np.concatenate([symbol.astype(np.int64) - 33, np.ones(len(row), np.int64)]))
+    assert [v.tolist() for v in profiles.by_place(pa.array(["x", *quals]).slice(1), code, 3)] == [v.tolist() for v in want]
+    parts = [pa.RecordBatch.from_arrays([pa.array(["a"] * 5)], ["x"])] * 3
+    assert [b.num_rows for b in profiles._gathered(iter(parts))] == [15]
+    rows = spark.createDataFrame([("A", "55"), ("A", "II"), ("A", "I"), ("C", None), ("C", "")], "seq string, qual string")
+    assert [tuple(r) for r in reads.mean_quality(rows).collect()] == [("A", 3, "33,30")]
