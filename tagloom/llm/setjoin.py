@@ -68,10 +68,9 @@ def sets_of(texts: pa.Array, size: int, by_line: bool, least_words: int = 1) ->
     data, offsets = flat(texts)
     w = words(data, offsets, SPACE)
     if by_line:
-        breaks = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(data == 10, out=breaks[1:])
-        doc = w.doc()
-        line = breaks[w.start] - breaks[offsets[:-1]][doc] if len(doc) else doc
+        breaks, doc = np.flatnonzero(data == 10), w.doc()
+        before = np.cumsum(np.bincount(np.searchsorted(w.start, breaks), minlength=len(doc) + 1))[: len(doc)]
+        line = before - np.searchsorted(breaks, offsets[:-1])[doc] if len(doc) else doc
         cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])) if len(doc) else np.zeros(0, np.int64)
         first, row, part = np.append(cut, len(doc)), doc[cut], line[cut]
     else:
@@ -191,13 +190,17 @@ class SetJoin:
             types: list[pa.DataType] = []
 
             def flush() -> pa.RecordBatch:
-                tok, c = np.unique(np.concatenate(held), return_counts=True)
-                total = sum(map(len, held))
+                tok = np.concatenate(held)
+                total = len(tok)
                 held.clear()
-                more = c > 1
-                tok = pa.array([None, *tok[more].view(np.int64).tolist()], pa.int64())
+                tok.sort()
+                again = np.zeros(total + 1, bool)
+                np.equal(tok[1:], tok[:-1], out=again[1:-1])
+                first = np.flatnonzero(again[1:] & ~again[:-1])
+                c = np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
+                tok = pa.array(np.append(np.uint64(0), tok[first]).view(np.int64), mask=np.arange(len(first) + 1) == 0)
                 none = [pa.nulls(len(tok), t) for t in (*types, pa.int64())]
-                return pa.RecordBatch.from_arrays([*none, pa.array([total, *c[more].tolist()], pa.int64()), *[pa.nulls(len(tok), pa.int64())] * (1 + self.longs), tok, pa.array([True] * len(tok))], names)
+                return pa.RecordBatch.from_arrays([*none, pa.array(np.append(total, c)), *[pa.nulls(len(tok), pa.int64())] * (1 + self.longs), tok, pa.array([True] * len(tok))], names)
 
             for part, s in _each(batches, self.size, self.by_line, len(keys), self.least_words):
                 types = [part.column(i).type for i in range(len(keys))]
@@ -269,12 +272,14 @@ class SetJoin:
                     touched = np.zeros(len(n), bool)
                     touched[item[maybe[hit]]] = True
                     own = np.flatnonzero(touched[item])
-                    order[own] = own[np.lexsort((power[own], item[own]))]  # stable: by rarity, then hash
-                pos = np.arange(len(s.tok)) - np.repeat(s.at[:-1], n)
-                keep = pos < np.repeat(n - self.least(n) + 1, n)
-                if keep.any():
-                    held.append((s.tok[order][keep], s.digest[item[keep]], n[item[keep]], pos[keep], power[order][keep]))
-                    count += int(keep.sum())
+                    rank = np.sort((item[own] << 6 | power[own]).astype(np.uint64) << np.uint64(32) | own.astype(np.uint64))  # by rarity, then hash
+                    order[own] = (rank & np.uint64((1 << 32) - 1)).astype(np.int64)
+                size = np.where(n > 0, n - self.least(n) + 1, 0)
+                of, pos = np.repeat(np.arange(len(n)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                if len(pos):
+                    at = order[s.at[of] + pos]
+                    held.append((s.tok[at], s.digest[of], n[of].astype(np.uint32), pos.astype(np.uint32), power[at]))
+                    count += len(pos)
                 if count >= FLUSH >> 1:
                     yield flush()
                     count = 0

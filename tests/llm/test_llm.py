@@ -663,3 +663,20 @@ def test_few_links_are_joined_by_one_task(spark, monkeypatch):
     monkeypatch.setattr(setjoin, "EDGES", 8)
     assert {tuple(r) for r in setjoin.components(links, Scratch(spark)).collect()} == got
     assert setjoin.components(links.filter("a < 0"), Scratch(spark)).count() == 0
+
+
+def test_repeats_of_a_scan_are_counted(spark):
+    """Shingles that come more than once with their numbers, and the number of all; words are found without folding the bytes first."""
+    from tagloom.llm import wordhash
+    from tagloom.llm.setjoin import SetJoin, sets_of
+
+    texts = ["a b c d\nA b c d e\n\n f", "\n\n", "", "b c d e\r\nx", None, "é b c\vd \n e"]
+    join = SetJoin(2, 80, True)
+    scan = join.scan(spark.createDataFrame(list(enumerate(texts)), "k long, text string").coalesce(1), ["k"], "text", Scratch(spark))
+    known = [(i, j, space_words(x)) for i, t in enumerate(texts) for j, x in enumerate((t or "").split("\n"))]
+    assert sorted(map(tuple, join.items(scan).select("k0", "part", "n").collect())) == [(i, j, len({tuple(w[k : k + 2]) for k in range(max(1, len(w) - 1))})) for i, j, w in known if w]
+    s = sets_of(pa.array(texts), 2, True)
+    count = Counter(s.tok.view(np.int64).tolist())
+    assert dict(map(tuple, scan.filter("often").select("tok", "n").collect())) == {None: len(s.tok)} | {t: c for t, c in count.items() if c > 1}
+    w = wordhash.words(*wordhash.flat(pa.array(["Ab É c"])), wordhash.SPACE)
+    assert "lower" not in vars(w) and [w.text(i) for i in range(3)] == [b"ab", "É".encode(), b"c"]
