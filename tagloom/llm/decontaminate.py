@@ -90,7 +90,7 @@ def _scan(table, text: str):
             tests.append((k, lets))
         for batch in batches:
             texts, rows = batch.column(batch.schema.get_field_index(text)), []
-            for lo, hi in blocks(texts, 1 << 20):
+            for lo, hi in blocks(texts, 1 << 18):
                 w = words(*flat(texts.slice(lo, hi - lo)), NOT_ALNUM)
                 hits: dict[int, list] = {}
                 doc = w.doc()
@@ -117,7 +117,7 @@ def _let_through(bitmap, ks: list[int]):
         for batch in batches:
             row, texts = batch.column(0), batch.column(1)
             out: list[list] = [[], [], [], [], []]
-            for lo, hi in blocks(texts, 1 << 20):
+            for lo, hi in blocks(texts, 1 << 18):
                 w = words(*flat(texts.slice(lo, hi - lo)), NOT_ALNUM)
                 for i in range(hi - lo):
                     a, b = int(w.first[i]), int(w.first[i + 1])

@@ -114,7 +114,7 @@ class Router:
 def _tokens(path: str, end_id: int, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows lo:hi, their ids (each text's with the end id) and sizes."""
     encoder = _encoders[path] if path in _encoders else _encoders.setdefault(path, WordEncoder(path))
-    for lo, hi in blocks(texts, 1 << 20):
+    for lo, hi in blocks(texts, 1 << 18):
         flat, at, _, _ = encoder(texts.slice(lo, hi - lo))
         at = at[: hi - lo + 1]
         yield lo, hi, np.insert(flat[: at[-1]], at[1:], np.uint16(end_id)), np.diff(at) + 1

@@ -680,3 +680,18 @@ def test_repeats_of_a_scan_are_counted(spark):
     assert dict(map(tuple, scan.filter("often").select("tok", "n").collect())) == {None: len(s.tok)} | {t: c for t, c in count.items() if c > 1}
     w = wordhash.words(*wordhash.flat(pa.array(["Ab É c"])), wordhash.SPACE)
     assert "lower" not in vars(w) and [w.text(i) for i in range(3)] == [b"ab", "É".encode(), b"c"]
+
+
+def test_tasks_hold_little_of_wide_texts(spark):
+    """What a stage hands to a Python worker, reads of a file and holds while it writes, at a time."""
+    from tagloom.llm.scratch import bounded_batches
+
+    bounded_batches(spark)
+    wide = saved(spark.range(3000).select("id", F.repeat(F.lit("abcdefgh"), 512).alias("text")).coalesce(1), "wide")
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"n": [b.nbytes]})
+
+    assert 1 << 20 < max(r.n for r in wide.mapInArrow(sizes, "n long").collect()) < 3 << 20
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
