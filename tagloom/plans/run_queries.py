@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.sequence import IUPAC, reverse_complement
 from tagloom.operators import assemble, checkout, clonotypes, mapping, reads, repertoire, umi
-from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _mapped_reads, _mig_reads, _qualities, _quick, _reads, query
+from tagloom.plans.queries import _APPENDED, _ASSEMBLY, _COLLIDED, _N, _PROTEIN, _SEQ, _UMI8, ORACLES, QUERIES, _assembly, _counts, _cte, _looked_up, _mapped_reads, _mig_reads, _qualities, _quick, _reads, query
 from tagloom.sources import fastq
 from tagloom.sources.tables import saved, shared_folder
 from tagloom.streaming import tags
@@ -74,8 +74,19 @@ p AS (SELECT o, l, m1, m2, substr(qs, 1, length(m1)) AS q1, reverse(substr(qs, 1
 pairs AS (SELECT o, l, CASE WHEN o % 3 = 0 THEN m2 ELSE m1 END AS s1, CASE WHEN o % 3 = 0 THEN q2 ELSE q1 END AS q1, CASE WHEN o % 3 = 0 THEN m1 ELSE m2 END AS s2, CASE WHEN o % 3 = 0 THEN q1 ELSE q2 END AS q2 FROM p)"""
 
 
+def _whole_reads(turned: bool) -> str:
+    """SQL of _SEQ, or its other strand, looked up from the key's remainder (see `_bases`) and the place of the wrong base; 48 if there is none."""
+    texts = ["".join("ATGC"[(k * 31 + i * 17 + (k * i) % 13 + (i == at)) % 4] for i in range(48)) for k in range(52) for at in range(49)]
+    texts = [x.translate(str.maketrans("ACGT", "TGCA"))[::-1] for x in texts] if turned else texts
+    return _looked_up(texts, "l_partkey % 52 * 49 + least((l_orderkey*7 + l_linenumber*3) % 97, 48)")
+
+
 def _pairs(spark, sf_dir) -> DataFrame:
-    made = _quick(f"{_PAIRS} SELECT * FROM pairs").replace(_QS, _qualities("ph", "l", 80))
+    """Pairs with their bases and qualities, and those of the other strand, looked up whole: the second mate is a beginning of the one and an end of the other."""
+    made = f"{_PAIRS} SELECT * FROM pairs".replace(f"{_SEQ} AS seq", f"{_whole_reads(False)} AS seq, {_whole_reads(True)} AS other")
+    made = made.replace(_RC.format("substr(seq, cast(1 + (o + l) % 30 as int))"), "substr(other, 1, 48 - cast((o + l) % 30 as int))")
+    made = made.replace(f"{_QS} AS qs", f"{_qualities('ph', 'l', 80)} AS qs, {_qualities('ph + l', '38 * l', 80)} AS sq").replace("reverse(substr(qs, 1, length(m2)))", "substr(sq, 81 - length(m2))")
+    made = _quick(made)
     return spark.sql(made.replace("FROM lineitem", "FROM {lineitem}").replace("{div}", "div"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 

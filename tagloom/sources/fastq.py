@@ -3,7 +3,7 @@
 Reading is a Python data source over byte ranges: a task begins at a byte of a file, skips to the first record that begins behind it (a line that begins with @
 whose second next begins with +, which no quality line can be), and goes on to the last record that begins in its range, so each record is read once whatever
 the ranges are. Of blocked gzip files (BGZF) the blocks are such points; other gzip files are one range. Record numbers and mates in step come from a first pass that counts the records of each range.
-Mates of unequal number are an error.
+A task counts, and reads, neighbouring ranges of a file up to `SPLIT` bytes, or less while cores would be idle, so small ranges cost no task each. Mates of unequal number are an error.
 
 Writing fans out by sample: tasks write files of their own under a folder of the job, and the commit moves the files of finished attempts to their sample and then adds
 one manifest file, by which samples are read. So mates stay in step after a retry, and an append is seen whole or not at all."""
@@ -14,11 +14,14 @@ import gzip
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import zip_longest
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +48,7 @@ class Span(InputPartition):
     mate_begin: int = 0
     mate_skip: int = 0
     whole: bool = False
+    split: int = 0  # counted in ranges of so many bytes
 
 
 def _where(path: str) -> tuple[fs.FileSystem, str]:
@@ -186,6 +190,9 @@ class FastqReader(DataSourceReader):
             raise ValueError("as many files of mates as of reads are needed")
         self.spans = [Span(a, mate=b, whole=True) for a, b in zip_longest(first, second)]
 
+    def __getstate__(self) -> dict:
+        return {"counting": self.counting}  # a task gets its own span, not all of them
+
     def partitions(self) -> list[InputPartition]:
         return self.spans or [Span("")]
 
@@ -193,8 +200,11 @@ class FastqReader(DataSourceReader):
         if not span.file:
             return
         if self.counting:
-            n = sum(len(h) for h, _, _ in _records(span))
-            yield pa.RecordBatch.from_arrays([pa.array([span.file]), pa.array([n]), *(pa.nulls(1, pa.string()) for _ in range(6))], [x.split()[0] for x in SCHEMA.split(", ")])
+            ranges = [(a, min(a + span.split, span.end)) for a in range(span.begin, span.end, span.split)] if span.split else [(span.begin, span.end)]
+            counts = [sum(len(h) for h, _, _ in _records(span, *x)) for x in ranges]
+            n = len(ranges)
+            begins = pa.array([str(a) for a, _ in ranges], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([span.file] * n), pa.array(counts, pa.int64()), begins, *(pa.nulls(n, pa.string()) for _ in range(5))], [x.split()[0] for x in SCHEMA.split(", ")])
             return
         idx = span.idx
         for chunk in _in_step(span) if span.mate else _limited(_records(span), 0, span.most):
@@ -233,6 +243,12 @@ def spans_of(path: str, split: int) -> list[Span]:
     return [Span(path, a, min(a + split, size)) for a in range(0, size, split)]
 
 
+def _packed(spans: list[Span], most: int, split: int) -> list[list[Span]]:
+    """Ranges of a file, in order, as lists of neighbouring ones of at most so many bytes in all."""
+    several = max(1, most // split)
+    return [spans[i : i + several] for i in range(0, len(spans), several)]
+
+
 def read_fastq(spark: SparkSession, paths: list[str], mates: list[str] | None = None, first: int | None = None, split: int = SPLIT) -> DataFrame:
     """Reads, or pairs, of some files, numbered by file, in ranges of `split` bytes; `first` takes the first so many of each file, and reads no further."""
     spark.dataSource.register(FastqSource)
@@ -245,21 +261,30 @@ def read_fastq(spark: SparkSession, paths: list[str], mates: list[str] | None =
     cut = {p: spans_of(p, split) for p in {*paths, *(mates or [])}}
     if all(len(cut[a]) == 1 for a in paths):
         return load([Span(a, mate=b, whole=True) for a, b in pairs])
-    several = [s for p in cut if len(cut[p]) > 1 or mates for s in cut[p]]
-    counts = load(several, count="true").select("idx", F.spark_partition_id().alias("no")).collect()  # a row a range
-    number = {r.no: r.idx for r in counts}
-    starts: dict[str, list[tuple[int, Span]]] = {}
+    cores = spark.sparkContext.defaultParallelism
+    most = lambda files: max(split, min(SPLIT, sum(cut[p][-1].end for p in files if len(cut[p]) > 1) // cores))
+    counted = [p for p in cut if len(cut[p]) > 1 or mates]
+    tasks = [Span(p, pack[0].begin, pack[-1].end, split=split if len(cut[p]) > 1 else 0) for p in counted for pack in _packed(cut[p], most(counted), split)]
+    number = {(r.file, int(r.h1)): r.idx for r in load(tasks, count="true").select("file", "h1", "idx").collect()}  # a row a range
+    starts: dict[str, list[int]] = {}
     total: dict[str, int] = {}
-    for i, s in enumerate(several):
-        starts.setdefault(s.file, []).append((total.get(s.file, 0), s))
-        total[s.file] = total.get(s.file, 0) + number[i]
+    for p in counted:
+        starts[p], total[p] = [], 0
+        for s in cut[p]:
+            starts[p].append(total[p])
+            total[p] += number[p, s.begin]
     plan = []
     for a, b in pairs:
         if b and total[a] != total[b]:
             raise ValueError(f"{a} has {total[a]} records, {b} has {total[b]}")
-        for idx, s in starts.get(a, [(0, cut[a][0])]):
-            there, at = next((n, t) for n, t in reversed(starts[b]) if n <= idx) if b else (0, Span(""))
-            plan.append(Span(s.file, s.begin, s.end, idx, -1, b, at.begin, idx - there))
+        at = 0
+        for pack in _packed(cut[a], most(paths), split):
+            idx, begin, skip = starts[a][at] if a in starts else 0, 0, 0
+            if b:
+                place = bisect_right(starts[b], idx) - 1
+                begin, skip = cut[b][place].begin, idx - starts[b][place]
+            plan.append(Span(a, pack[0].begin, pack[-1].end, idx, -1, b, begin, skip))
+            at += len(pack)
     return load(plan)
 
 
@@ -271,6 +296,14 @@ class Written(WriterCommitMessage):
     rows: list[str]
 
 
+def _as_text(heads: pa.Array, seqs: pa.Array, quals: pa.Array) -> pa.Buffer | bytes:
+    """Records as they stand in a file, joined in Arrow; a missing text is empty."""
+    wide = pa.large_string()
+    parts = heads.cast(wide), seqs.cast(wide), pa.scalar("+", wide), quals.cast(wide), pa.scalar("", wide), pa.scalar("\n", wide)
+    joined = pc.binary_join_element_wise(*parts, null_handling="replace", null_replacement="")
+    return joined.buffers()[2].slice(0, int(np.frombuffer(joined.buffers()[1], np.int64)[len(joined)])) if len(joined) else b""
+
+
 class SampleWriter(DataSourceArrowWriter):
     """Columns sample, type, h1, s1, q1, h2, s2, q2 to files by sample and mate: R0 of unpaired reads, R1 and R2 of paired ones, R12 of merged ones."""
 
@@ -289,15 +322,16 @@ class SampleWriter(DataSourceArrowWriter):
         open_: dict[tuple[str, str], list] = {}
         for batch in iterator:
             columns = {c: batch.column(c) for c in batch.schema.names}
-            keys = list(zip(columns["sample"].to_pylist(), columns["type"].to_pylist(), strict=True))
-            for key in sorted(set(keys)):
-                rows = pa.array([i for i, k in enumerate(keys) if k == key])
+            coded = [columns[c].dictionary_encode(null_encoding="encode") for c in ("sample", "type")]
+            kinds, of = np.unique(np.stack([c.indices.to_numpy() for c in coded], 1), axis=0, return_inverse=True)
+            for no, (sample, kind) in enumerate(kinds.tolist()):
+                key = coded[0].dictionary[sample].as_py(), coded[1].dictionary[kind].as_py()
+                rows = pa.array(np.flatnonzero(of.ravel() == no))
                 if key not in open_:
                     names = [f"{key[0]}_{m}-{mark}{self.end}" for m in self.NAMES[key[1]]]
                     open_[key] = [(n, where.open_output_stream(f"{folder}/{n}", compression="gzip" if self.end.endswith("gz") else None)) for n in names]
                 for m, (_, out) in enumerate(open_[key], 1):
-                    h, s, q = (columns[f"{c}{m}"].take(rows).to_pylist() for c in "hsq")
-                    out.write("".join(f"{a}\n{b or ''}\n+\n{c or ''}\n" for a, b, c in zip(h, s, q, strict=True)).encode())
+                    out.write(_as_text(*(columns[f"{c}{m}"].take(rows) for c in "hsq")))
         files, lines = [], []
         for (sample, kind), outs in open_.items():
             for name, out in outs:

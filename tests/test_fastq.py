@@ -1,6 +1,7 @@
 """FASTQ in byte ranges against one-task reading, mates in step, blocked gzip, files by sample, retries."""
 
 import gzip
+import pickle
 import random
 import struct
 import zlib
@@ -102,3 +103,25 @@ def test_a_failed_job_leaves_no_files(spark, tmp_path):
     assert not list((tmp_path / "out").glob("**/*.fastq"))
     fastq.write_samples(df.filter("id < 90"), path)
     assert fastq.read_samples(spark, path, "paired").count() == 90 and fastq.manifest(spark, path).count() >= 1
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Tasks grow with bytes and cores, not with ranges, and hold no other task's span."""
+    one, two = records(4, 2000), records(5, 2000)
+    a, b = tmp_path / "a_R1.fastq", tmp_path / "a_R2.fastq"
+    a.write_bytes(text(one))
+    b.write_bytes(text(two))
+    got = fastq.read_fastq(spark, [str(a)], [str(b)], split=400)
+    assert len(fastq.spans_of(str(a), 400)) > 300 and 1 < got.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert [tuple(r)[1:] for r in got.orderBy("idx").collect()] == [(i, *x, *y) for i, (x, y) in enumerate(zip(one, two, strict=True))]
+    single = fastq.read_fastq(spark, [str(a)], split=400)
+    assert [(r.idx, r.h1) for r in single.orderBy("idx").collect()] == [(i, x[0]) for i, x in enumerate(one)]
+    spans = fastq.json.dumps([list(vars(fastq.Span(str(a), i, i + 1)).values()) for i in range(5000)])
+    assert len(pickle.dumps(fastq.FastqReader({"spans": spans}))) < 500
+
+
+def test_missing_texts_are_written_empty():
+    heads, seqs, quals = ["@a", "@b", "@c R1"], ["AC", None, ""], ["II", None, None]
+    table = fastq.pa.table([["@x", *heads], ["GG", *seqs], ["##", *quals]], ["h", "s", "q"]).combine_chunks().to_batches()[0].slice(1)
+    assert bytes(fastq._as_text(*table.columns)) == b"@a\nAC\n+\nII\n@b\n\n+\n\n@c R1\n\n+\n\n"
+    assert bytes(fastq._as_text(*table.slice(3).columns)) == b""

@@ -2,11 +2,13 @@
 
 import contextlib
 import math
+import tempfile
 
 from pyspark.sql import functions as F
 
 from tagloom.operators import assemble, clonotypes, mapping, reads, repertoire, umi
 from tagloom.plans import queries as plans
+from tagloom.plans import run_queries
 
 
 @contextlib.contextmanager
@@ -79,6 +81,20 @@ def test_looked_up_reads_are_those_made_base_by_base(spark):
         assert keys.filter(f"NOT (({plans._COLUMNS[name].format(div='div')}) <=> ({quick}))").count() == 0
 
 
+def test_pairs_are_looked_up_whole(spark):
+    """Both strands of a read, and no translation of each read's bases."""
+    keys = spark.range(3000).selectExpr("id * 977 + 3 AS l_partkey", "nullif(id * 31 + 7, 38) AS l_orderkey", "cast(id % 7 + 1 AS int) AS l_linenumber")
+    seq, turned = f"({plans._SEQ.format(div='div')})", run_queries._RC.format(f"({plans._SEQ.format(div='div')})")
+    assert keys.filter(f"NOT ({seq} <=> {run_queries._whole_reads(False)} AND {turned} <=> {run_queries._whole_reads(True)})").count() == 0
+    rows = keys.selectExpr("*", "cast(l_partkey % 50 + 1 AS double) l_quantity")
+    with tempfile.TemporaryDirectory(dir="/tmp") as folder:
+        rows.write.parquet(f"{folder}/lineitem.parquet")
+        pairs = run_queries._pairs(spark, folder)
+        plain = spark.sql(run_queries._PAIRS.replace("FROM lineitem", "FROM {lineitem}").replace("{div}", "div") + " SELECT * FROM pairs", lineitem=rows)
+        assert pairs.count() == 3000 and pairs.exceptAll(plain).count() == 0
+        assert "ACGT, TGCA" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_found_sequences_are_sent_to_reads(spark):
     """Few distinct sequences go to all reads, however many of those there are."""
     rows = spark.range(100).select(F.lit("ATGCATGC").alias("seq"), F.lit("IIIIIIII").alias("qual"), F.lit(1).alias("inc"), F.lit("T").alias("umi"))
