@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -619,6 +620,21 @@ def test_extract_counts_all_pages_of_a_host(spark):
     assert all(f"some text of page {i} " in got[i] and f"U {i}" in got[i] for i in range(3, 60, 3)) and "other text 1 of it" in got[100]
 
 
+def test_extract_finds_the_container_by_all_pages_of_a_host(spark):
+    """The first pages of a host have one part, all others two: their container is the box around them. Some pages are of no account."""
+    part = "<div class=part><p>text {0} of page {1} that is long enough to read</p></div>"
+    outer = "<body><div class=x><p>Home of all</p></div><div class=page>{0}</div></body>"
+    rows = [(i, f"http://h/{i}", outer.format("".join(part.format(n, i) for n in range(1 if i < 40 else 2)))) for i in range(240)]
+    rows += [(-3, "http://h/", None), (-2, "http://h/", ""), (None, "http://h/", outer.format(part.format(0, "null"))), (-1, "http://one/", outer.format(part.format(0, 0)))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found, firsts = extract.supports(table.repartition(5))
+    got = {r.host: json.loads(r.wrapper)["path"] for r in extract.wrappers(found, firsts).collect()}
+    assert got == {"h": ["body", "div.page"], "one": []} and [r.first[:40] for r in firsts.orderBy("host").collect()] == [rows[0][2][:40], rows[-1][2][:40]]
+    texts = {r.page_id: r.text for r in extract.extract(table).collect()}
+    assert all(texts[i] == "\n".join(f"text {n} of page {i} that is long enough to read" for n in range(1 if i < 40 else 2)) for i in range(240))
+    assert texts[None] == "text 0 of page null that is long enough to read" and texts[-3] == texts[-2] == ""
+
+
 def test_members_of_a_large_group_name_a_near_one(spark, monkeypatch):
     """Of near copies that are similar to some and not to most others, few are open after the first naming."""
     import random
